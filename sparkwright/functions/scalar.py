@@ -25,7 +25,7 @@ def java_split(s, sep_regex: str) -> Column:
     so strip the trailing separator run first.
     """
     s = _c(s)
-    stripped = F.regexp_replace(s, f"(?:{sep_regex})+$", "")
+    stripped = F.regexp_replace(s, f"(?:{sep_regex})+\\z", "")
     return (F.when(s.isNull(), F.lit(None))
             .when(s == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
@@ -36,13 +36,13 @@ def text_lines(text) -> Column:
     """Lines of a text as a line reader sees them: split on '\\n', one final
     line break does not start another line, an empty text has no lines."""
     t = _c(text)
-    body = F.regexp_replace(t, "\n$", "")
+    body = F.regexp_replace(t, "\n\\z", "")
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n"))
 
 
 def py_split(text) -> Column:
     """Python ``str.split()``: runs of whitespace, no empty tokens."""
-    t = F.regexp_replace(_c(text), f"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$", "")
+    t = F.regexp_replace(_c(text), f"^{PY_WHITESPACE}+|{PY_WHITESPACE}+\\z", "")
     return F.when(t == "", F.array().cast("array<string>")).otherwise(
         F.split(t, f"{PY_WHITESPACE}+"))
 

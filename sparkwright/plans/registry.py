@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "sparkwright.plans.basic",
+    "sparkwright.plans.text_jobs",
 ]
 
 
