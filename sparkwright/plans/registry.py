@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "sparkwright.plans.basic",
     "sparkwright.plans.text_jobs",
+    "sparkwright.plans.shape_jobs",
 ]
 
 
