@@ -8,6 +8,7 @@ _MODULES = [
     "sparkwright.plans.basic",
     "sparkwright.plans.text_jobs",
     "sparkwright.plans.shape_jobs",
+    "sparkwright.plans.graph_jobs",
 ]
 
 
