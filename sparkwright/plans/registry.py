@@ -9,6 +9,7 @@ _MODULES = [
     "sparkwright.plans.text_jobs",
     "sparkwright.plans.shape_jobs",
     "sparkwright.plans.graph_jobs",
+    "sparkwright.plans.stats_jobs",
 ]
 
 
