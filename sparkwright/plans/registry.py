@@ -10,6 +10,7 @@ _MODULES = [
     "sparkwright.plans.shape_jobs",
     "sparkwright.plans.graph_jobs",
     "sparkwright.plans.stats_jobs",
+    "sparkwright.plans.reconcile_jobs",
 ]
 
 
