@@ -11,6 +11,7 @@ _MODULES = [
     "sparkwright.plans.graph_jobs",
     "sparkwright.plans.stats_jobs",
     "sparkwright.plans.reconcile_jobs",
+    "sparkwright.plans.types_jobs",
 ]
 
 
