@@ -12,6 +12,7 @@ _MODULES = [
     "sparkwright.plans.stats_jobs",
     "sparkwright.plans.reconcile_jobs",
     "sparkwright.plans.types_jobs",
+    "sparkwright.plans.model_jobs",
 ]
 
 
