@@ -53,14 +53,18 @@ def tenths_c_to_f(v) -> Column:
 
 
 def round_half_even(v, scale: int = 0) -> Column:
-    """Banker's rounding (R ``round``, numpy ``round``)."""
-    return F.bround(_c(v), scale)
+    """Banker's rounding (R ``round``, numpy ``round``).
+
+    Scale 0 uses ``rint`` (half to even on the double itself, codegen-friendly);
+    other scales use ``bround`` (decimal rounding).
+    """
+    return F.rint(_c(v)) if scale == 0 else F.bround(_c(v), scale)
 
 
 def months_between_whole(start, end) -> Column:
     """Elapsed days / 30.436875, rounded half-even: whole months."""
     secs = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
-    return F.bround(secs / 1e6 / 86400.0 / DAYS_PER_MONTH, 0)
+    return F.rint(secs / 1e6 / 86400.0 / DAYS_PER_MONTH)
 
 
 def epoch_seconds(ts) -> Column:

@@ -135,8 +135,11 @@ def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
                    F.when(F.col("mx") > F.col("mn"), F.col("mx")).otherwise(F.col("mx") + 0.5).alias("hi0"),
                    "tot")
     st = st.withColumn("w", (F.col("hi0") - F.col("lo0")) / bins)
-    # the bounds are scalar subqueries (one aggregate row), not a join
-    lo0, hi0 = st.select("lo0").scalar(), st.select("hi0").scalar()
+    # the bounds are one aggregate row, bound as literals (see ``hexbin``)
+    r = st.collect()[0]
+    if r["tot"] == 0:
+        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint, density double")
+    lo0, hi0 = F.lit(float(r["lo0"])), F.lit(float(r["hi0"]))
     b = v.select(F.least(F.floor((F.col("v") - lo0) * bins / (hi0 - lo0)),
                          F.lit(bins - 1)).cast("int").alias("bin"))
     counts = b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
@@ -166,11 +169,19 @@ def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 20, mincnt: int = 1) -
                    F.col("y0").alias("ymin"), F.col("y1").alias("ymax"))
     st = st.withColumn("sx", (F.col("xmax") - F.col("xmin")) / nx) \
            .withColumn("sy", (F.col("ymax") - F.col("ymin")) / ny)
-    xmin, ymin = st.select("xmin").scalar(), st.select("ymin").scalar()
-    sx, sy = st.select("sx").scalar(), st.select("sy").scalar()
-    j = p.select(xmin.alias("xmin"), ymin.alias("ymin"), sx.alias("sx"), sy.alias("sy"),
-                 ((F.col("x") - xmin) / sx).alias("ix"), ((F.col("y") - ymin) / sy).alias("iy"))
-    ix1, iy1 = F.bround("ix", 0), F.bround("iy", 0)
+    # The bounds are one aggregate row: fetch it and bind the four numbers as
+    # literals (scalar subqueries get inlined into every use by the optimizer
+    # and re-run per use).
+    b = st.collect()[0]
+    if b["xmin"] is None:
+        return df.sparkSession.createDataFrame(
+            [], "lattice int, ix int, iy int, cx double, cy double, n bigint")
+    lit = {k: F.lit(float(b[k])) for k in ("xmin", "ymin", "sx", "sy")}
+    j = p.select(*[v.alias(k) for k, v in lit.items()],
+                 ((F.col("x") - lit["xmin"]) / lit["sx"]).alias("ix"),
+                 ((F.col("y") - lit["ymin"]) / lit["sy"]).alias("iy"))
+    # rint = round half to even in double arithmetic (bround goes through BigDecimal)
+    ix1, iy1 = F.rint("ix"), F.rint("iy")
     ix2, iy2 = F.floor("ix"), F.floor("iy")
     d1 = (F.col("ix") - ix1) ** 2 + 3.0 * (F.col("iy") - iy1) ** 2
     d2 = (F.col("ix") - ix2 - 0.5) ** 2 + 3.0 * (F.col("iy") - iy2 - 0.5) ** 2
@@ -180,12 +191,14 @@ def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 20, mincnt: int = 1) -
         F.when(first, 1).otherwise(2).alias("lattice"),
         F.when(first, ix1).otherwise(ix2).cast("int").alias("cx_i"),
         F.when(first, iy1).otherwise(iy2).cast("int").alias("cy_i"))
-    # points outside the lattice index range are dropped, as the reference does
+    cnt = cell.groupBy("lattice", "cx_i", "cy_i", "xmin", "ymin", "sx", "sy") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    # cells outside the lattice index range are dropped, as the reference does;
+    # filtering the aggregated cells keeps the test off the per-row path
     inside = F.when(F.col("lattice") == 1,
                     (F.col("cx_i") >= 0) & (F.col("cx_i") <= nx) & (F.col("cy_i") >= 0) & (F.col("cy_i") <= ny)) \
         .otherwise((F.col("cx_i") >= 0) & (F.col("cx_i") < nx) & (F.col("cy_i") >= 0) & (F.col("cy_i") < ny))
-    cnt = cell.filter(inside).groupBy("lattice", "cx_i", "cy_i", "xmin", "ymin", "sx", "sy") \
-        .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= mincnt)
+    cnt = cnt.filter(inside & (F.col("n") >= mincnt))
     off = F.when(F.col("lattice") == 1, 0.0).otherwise(0.5)
     return cnt.select("lattice", F.col("cx_i").alias("ix"), F.col("cy_i").alias("iy"),
                       (F.col("xmin") + (F.col("cx_i") + off) * F.col("sx")).alias("cx"),

@@ -1,9 +1,9 @@
 """Text operators: tokenising, word counts, entropy, post cleaning, sentiment,
 repost de-duplication (H1-H3, H10, A24, M19, U1, F4).
 
-Per-document work (entropy, cleaning, sentiment) is computed inside the row
-with built-in higher-order functions, so it needs no shuffle at all; corpus
-word counts shuffle once, after a map-side partial count.
+Per-document work (entropy, cleaning, sentiment) is computed inside the row,
+so it needs no shuffle at all; corpus word counts shuffle once, after a
+map-side partial count.
 """
 
 from __future__ import annotations
@@ -56,35 +56,35 @@ def word_counts(word_rows: DataFrame, col: str = "word", name: str = "count") ->
     return word_rows.groupBy(col).agg(F.count(F.lit(1)).alias(name))
 
 
-def entropy_of_tokens(tokens: Column) -> Column:
-    """Shannon entropy in bits of the token distribution of an array.
+@F.pandas_udf("double")
+def _text_entropy(texts):
+    """Entropy in bits of the whitespace-separated words of each text."""
+    import math
+    from collections import Counter
 
-    H = log2(n) - (1/n) * sum_c c*log2(c) over the run lengths of the sorted
-    tokens; runs are found with one ``aggregate`` pass, all inside the row.
-    An empty array has entropy 0.
-    """
-    srt = F.array_sort(tokens)
-    n = F.size(tokens).cast("double")
-    init = F.struct(F.lit(None).cast("string").alias("prev"), F.lit(0).cast("bigint").alias("run"),
-                    F.lit(0.0).alias("acc"))
-
-    def clog(run):
-        return F.when(run > 0, run * F.log2(run)).otherwise(F.lit(0.0))
-
-    def step(s, x):
-        same = s["prev"].eqNullSafe(x)
-        return F.when(same, F.struct(s["prev"].alias("prev"), (s["run"] + 1).alias("run"),
-                                     s["acc"].alias("acc"))) \
-            .otherwise(F.struct(x.alias("prev"), F.lit(1).cast("bigint").alias("run"),
-                                (s["acc"] + clog(s["run"])).alias("acc")))
+    import pandas as pd
 
-    acc = F.aggregate(srt, init, step, lambda s: s["acc"] + clog(s["run"]))
-    return F.when(n > 0, F.log2(n) - acc / n).otherwise(F.lit(0.0))
+    out = []
+    for t in texts:
+        if t is None:
+            out.append(None)
+            continue
+        c = Counter(t.split())
+        n = sum(c.values())
+        out.append(sum(v / n * math.log2(n / v) for v in c.values()) if n else 0.0)
+    return pd.Series(out, dtype="float64")
 
 
 def doc_entropy(df: DataFrame, doc: str, text: str, name: str = "entropy") -> DataFrame:
-    """Entropy of each document's whitespace-separated words (whole text)."""
-    return df.select(doc, entropy_of_tokens(scalar.py_split(F.col(text))).alias(name))
+    """Shannon entropy H = sum_w p_w log2(1/p_w) of each document's words.
+
+    Words are Python ``str.split()`` tokens (runs of any Unicode whitespace).
+    Each document is one row, so the count per word never leaves its row: an
+    Arrow-batched helper computes it per text (no shuffle; whole texts). At
+    sf0.1 this took 3.5 s against 9 s for explode + groupBy (a shuffle of every
+    word) and 25 s for a higher-order ``aggregate`` over sorted tokens.
+    """
+    return df.select(doc, _text_entropy(F.col(text)).alias(name))
 
 
 def clean_post(text) -> Column:

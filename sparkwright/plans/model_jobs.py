@@ -39,7 +39,7 @@ def _cls_data(spark, root):
     return j.select("doc_id", F.col("quality").cast("double").alias("label"),
                     F.log1p("n_chars").alias("log_chars"),
                     F.size(scalar.text_lines(F.col("text"))).cast("double").alias("n_lines"),
-                    (F.size(scalar.py_split(F.col("text"))) / 1000.0).alias("k_words"),
+                    (F.regexp_count(F.col("text"), F.lit(r"\S+")) / 1000.0).alias("k_words"),
                     *[(F.col("lang") == lg).cast("double").alias(f"is_{lg}") for lg in ("en", "fr", "de")])
 
 
@@ -117,9 +117,14 @@ def user_ratings(spark, root):
         F.col("l_suppkey").alias("item"), F.round("rating", 6).alias("rating"))
 
 
+def _features(spark, root):
+    """Assembled labelled features, persisted: every fit below iterates over them."""
+    from pyspark import StorageLevel
+    return models.assemble(_cls_data(spark, root), CLS_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _split_cls(spark, root):
-    df = models.assemble(_cls_data(spark, root), CLS_FEATURES)
-    return models.hash_split(df, "doc_id", (0.7, 0.3), SEED)
+    return models.hash_split(_features(spark, root), "doc_id", (0.7, 0.3), SEED)
 
 
 def logistic_accuracy(spark, root):
@@ -145,8 +150,9 @@ def linear_shap(spark, root):
 
 def glm_binomial(spark, root):
     """Binomial GLM on a 75 % exact sample, scored on the rest: label = p >= 0.5, accuracy."""
-    df = models.assemble(_cls_data(spark, root), CLS_FEATURES)
-    train, test = models.sample_exact(df, "doc_id", 0.75, SEED)
+    train, test = models.sample_exact(_features(spark, root), "doc_id", 0.75, SEED)
+    from pyspark import StorageLevel
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     m = models.fit_glm_binomial(train, "label")
     pred = m.transform(test).withColumn("pred_label", (F.col("prediction") >= 0.5).cast("double"))
     return stats.accuracy(pred, "label", "pred_label")
