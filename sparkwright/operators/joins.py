@@ -22,6 +22,9 @@ def with_names(df: DataFrame, dim: DataFrame, on: str, name_cols, missing: str =
     names = [name_cols] if isinstance(name_cols, str) else list(name_cols)
     d = dim.select(on, *names)
     if small_left:
+        # the small side is used twice (key filter and final join): persist it
+        # so the top-k (or whatever produced it) runs once
+        df = df.persist()
         d = d.join(F.broadcast(df.select(on).distinct()), on, "left_semi")
     how = "inner" if missing == "drop" else "left"
     out = df.join(d, on, how)

@@ -73,53 +73,77 @@ def prepare(tenancies: DataFrame, transactions: DataFrame, occ_lo, occ_hi, txn_l
              .withColumn("P_ID_B", joins.agree_flag(F.col("PropertyID_x"), F.col("PropertyID_y"))))
 
 
-def evaluate(matched: DataFrame) -> DataFrame:
-    """Add tenancy length, monthly rent, expected cost, interest and error flags."""
+def evaluate(joined: DataFrame) -> DataFrame:
+    """Add ``Matched`` (the right owner is not null), tenancy length, monthly
+    rent, expected cost, interest and error flags.
+
+    The flags are meaningful for matched rows; missing rows keep them null.
+    """
+    matched = F.col("OwnerID_y").isNotNull()
     length = scalar.months_between_whole("dteOccupiedDate", "dteVacatingDate")
-    m = matched.withColumn("Tenancy Length", length)
-    m = m.withColumn("Monthly Rent", monthly_rent(F.col("strRentalFrequency"), F.col("dblRentalAmount")))
-    m = m.withColumn("Cost", expected_fee(F.col("strServiceProvided"), F.col("Tenancy Length"),
-                                          F.col("dblRentalAmount")))
+    m = joined.withColumn("Matched", matched)
+    m = m.withColumn("Tenancy Length", F.when(matched, length))
+    m = m.withColumn("Monthly Rent", F.when(matched, monthly_rent(F.col("strRentalFrequency"),
+                                                                  F.col("dblRentalAmount"))))
+    m = m.withColumn("Cost", F.when(matched, expected_fee(F.col("strServiceProvided"),
+                                                          F.col("Tenancy Length"), F.col("dblRentalAmount"))))
     # null description or cost counts as "different" (pandas NaN comparisons)
-    m = m.withColumn("Potential Interest",
-                     F.when(F.col("Description") == STANDARD_DESCRIPTION, 0).otherwise(1))
-    return m.withColumn("Error", F.when(F.col("Cost") == F.col("Net"), 0).otherwise(1))
+    m = m.withColumn("Potential Interest", F.when(matched, F.when(
+        F.col("Description") == STANDARD_DESCRIPTION, 0).otherwise(1)))
+    return m.withColumn("Error", F.when(matched, F.when(F.col("Cost") == F.col("Net"), 0).otherwise(1)))
+
+
+def reconcile_frame(tenancies, transactions, occ_lo, occ_hi, txn_lo, txn_hi) -> DataFrame:
+    """One evaluated frame holding matched and missing rows (``Matched`` flag)."""
+    return evaluate(prepare(tenancies, transactions, occ_lo, occ_hi, txn_lo, txn_hi))
 
 
 def reconcile(tenancies, transactions, occ_lo, occ_hi, txn_lo, txn_hi) -> tuple[DataFrame, DataFrame]:
-    """(matched-and-evaluated, missing) frames of one run."""
-    joined = prepare(tenancies, transactions, occ_lo, occ_hi, txn_lo, txn_hi)
-    matched, missing = joins.split_matched(joined, "OwnerID_y")
-    return evaluate(matched), missing
-
-
-def report_tables(matched: DataFrame, missing: DataFrame) -> dict[str, DataFrame]:
-    """The four report tables (K4)."""
-    err = F.col("Error") == 1
-    return {
-        "fee_errors": matched.filter(err & (F.col("Potential Interest") == 0)).select(
-            "dteOccupiedDate", "TenancyID", "strServiceProvided", "Monthly Rent", "Tenancy Length",
-            "Net", "Cost"),
-        "other_errors": matched.filter(err & (F.col("Potential Interest") == 1)).select(
-            "dteOccupiedDate", "TenancyID", "strServiceProvided", "Monthly Rent", "Tenancy Length",
-            "Net", "Cost", "Description"),
-        "missing_active": missing.filter(F.col("Tenancy Status") == ACTIVE).select(
-            "dteOccupiedDate", "TenancyID", "strServiceProvided", "dblRentalAmount", "Tenancy Status"),
-        "missing_other": missing.filter(scalar.not_equal_null_safe(F.col("Tenancy Status"), F.lit(ACTIVE)))
-        .select("dteOccupiedDate", "TenancyID", "strServiceProvided", "dblRentalAmount", "Tenancy Status"),
-    }
-
-
-def stats(matched: DataFrame, missing: DataFrame, by=None) -> DataFrame:
-    """total / correct / incorrect / missing counts (A14), optionally per ``by`` (U4)."""
+    """(matched-and-evaluated, missing) frames of one run (J6 split of one frame)."""
+    f = reconcile_frame(tenancies, transactions, occ_lo, occ_hi, txn_lo, txn_hi)
+    return f.filter(F.col("Matched")), f.filter(~F.col("Matched"))
+
+
+_TABLE_COLS = {
+    "fee_errors": ["dteOccupiedDate", "TenancyID", "strServiceProvided", "Monthly Rent", "Tenancy Length",
+                   "Net", "Cost"],
+    "other_errors": ["dteOccupiedDate", "TenancyID", "strServiceProvided", "Monthly Rent", "Tenancy Length",
+                     "Net", "Cost", "Description"],
+    "missing_active": ["dteOccupiedDate", "TenancyID", "strServiceProvided", "dblRentalAmount", "Tenancy Status"],
+    "missing_other": ["dteOccupiedDate", "TenancyID", "strServiceProvided", "dblRentalAmount", "Tenancy Status"],
+}
+
+
+def table_number():
+    """Report table of each row (K4): 1 fee errors, 2 other errors, 3 missing
+    and active, 4 missing and not active (null status counts as not active)."""
+    matched, err, pi = F.col("Matched"), F.col("Error") == 1, F.col("Potential Interest")
+    return (F.when(matched & err & (pi == 0), 1).when(matched & err & (pi == 1), 2)
+             .when(~matched & (F.col("Tenancy Status") == ACTIVE), 3)
+             .when(~matched & scalar.not_equal_null_safe(F.col("Tenancy Status"), F.lit(ACTIVE)), 4))
+
+
+def report_rows(frame: DataFrame) -> DataFrame:
+    """All four report tables in one pass: rows with their ``table_no``."""
+    return frame.withColumn("table_no", table_number()).filter(F.col("table_no").isNotNull())
+
+
+def report_tables(frame: DataFrame) -> dict[str, DataFrame]:
+    """The four report tables (K4) as separate frames with their own columns."""
+    rows = report_rows(frame)
+    return {name: rows.filter(F.col("table_no") == i).select(*cols)
+            for i, (name, cols) in enumerate(_TABLE_COLS.items(), 1)}
+
+
+def stats(frame: DataFrame, by=None) -> DataFrame:
+    """total / correct / incorrect / missing counts (A14), optionally per ``by`` (U4); one pass."""
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
-    rows = (matched.select(*by, F.col("Error").alias("_e"))
-            .unionByName(missing.select(*by, F.lit(None).cast("int").alias("_e"))))
-    g = rows.groupBy(*by) if by else rows.groupBy()
+    g = frame.groupBy(*by) if by else frame.groupBy()
+    m = F.col("Matched")
     return g.agg(F.count(F.lit(1)).alias("total"),
-                 agg.count_if(F.col("_e") == 0).alias("correct"),
-                 agg.count_if(F.col("_e") == 1).alias("incorrect"),
-                 agg.count_if(F.col("_e").isNull()).alias("missing"))
+                 agg.count_if(m & (F.col("Error") == 0)).alias("correct"),
+                 agg.count_if(m & (F.col("Error") == 1)).alias("incorrect"),
+                 agg.count_if(~m).alias("missing"))
 
 
 def shares(stats_row: DataFrame) -> DataFrame:

@@ -7,10 +7,16 @@ cut a hot key into many partitions. Each (key, partition) piece is scanned
 with an ordinary window, and a small summary table (one row per key and
 partition, so at most keys + partitions rows) carries the state across piece
 boundaries: the last timestamp for ``lag``, the running total for sums.
+
+The piece-scanned frame feeds both the summary and the final join, so it is
+persisted: both read one materialisation of one range partitioning. (Two
+separately planned range exchanges would sample their bounds separately, and
+piece ids would only agree when the input order is deterministic.)
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +52,8 @@ def sessionize(df: DataFrame, keys, ts: str, tie: str, gap_seconds: float,
     r = (r.withColumn("_prev", F.lag("_t").over(w))
           .withColumn("_f", F.when(F.col("_prev").isNull()
                                    | (F.col("_t") - F.col("_prev") > gap), 1).otherwise(0))
-          .withColumn("_loc", F.sum("_f").over(w.rowsBetween(_UNB, Window.currentRow))))
+          .withColumn("_loc", F.sum("_f").over(w.rowsBetween(_UNB, Window.currentRow)))
+          .persist(StorageLevel.MEMORY_AND_DISK))
     b = r.groupBy(*keys, "_pid").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"),
                                      F.sum("_f").alias("_nf"))
     wb = Window.partitionBy(*keys).orderBy("_pid")
@@ -70,7 +77,8 @@ def running_sum(df: DataFrame, keys, order, value: str, name: str = "running",
     keys, order = _list(keys), _list(order)
     r = _ranged(df, keys, order, partitions)
     w = Window.partitionBy(*keys, "_pid").orderBy(*order)
-    r = r.withColumn("_loc", F.sum(value).over(w.rowsBetween(_UNB, Window.currentRow)))
+    r = r.withColumn("_loc", F.sum(value).over(w.rowsBetween(_UNB, Window.currentRow))) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     b = r.groupBy(*keys, "_pid").agg(F.sum(value).alias("_tot"))
     wb = Window.partitionBy(*keys).orderBy("_pid")
     b = b.withColumn("_base", F.coalesce(F.sum("_tot").over(wb.rowsBetween(_UNB, -1)),

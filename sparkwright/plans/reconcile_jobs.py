@@ -71,8 +71,13 @@ def transactions(spark, root):
         (F.col("l_discount") >= 0.09).alias("blnDeleted"))
 
 
+def _frame(spark, root, lo=OCC_LO, hi=OCC_HI):
+    return R.reconcile_frame(tenancies(spark, root), transactions(spark, root), lo, hi, TXN_LO, TXN_HI)
+
+
 def _run(spark, root, lo=OCC_LO, hi=OCC_HI):
-    return R.reconcile(tenancies(spark, root), transactions(spark, root), lo, hi, TXN_LO, TXN_HI)
+    f = _frame(spark, root, lo, hi)
+    return f.filter(F.col("Matched")), f.filter(~F.col("Matched"))
 
 
 def reconcile(spark, root):
@@ -95,35 +100,27 @@ def reconcile_missing(spark, root):
 
 def reconcile_tables(spark, root):
     """The four report tables of one month, stacked with their table number."""
-    m, miss = _run(spark, root)
-    t = R.report_tables(m, miss)
-    out = None
-    for i, name in enumerate(["fee_errors", "other_errors", "missing_active", "missing_other"], 1):
-        d = t[name].select(F.lit(i).alias("table_no"), F.col("TenancyID").alias("tenancy_id"),
-                           F.col("strServiceProvided").alias("service"))
-        out = d if out is None else out.unionByName(d)
-    return out
+    rows = R.report_rows(_frame(spark, root))
+    return rows.select("table_no", F.col("TenancyID").alias("tenancy_id"),
+                       F.col("strServiceProvided").alias("service"))
 
 
 def reconcile_stats(spark, root):
     """total, correct, incorrect, missing for one month."""
-    m, miss = _run(spark, root)
-    return R.stats(m, miss)
+    return R.stats(_frame(spark, root))
 
 
 def reconcile_shares(spark, root):
     """Share of each outcome with cumulative pie-slice angles."""
-    m, miss = _run(spark, root)
-    s = R.shares(R.stats(m, miss))
+    s = R.shares(R.stats(_frame(spark, root)))
     return s.select("outcome", "n", F.round("share", 6).alias("share"),
                     F.round("angle_start", 6).alias("angle_start"), F.round("angle_end", 6).alias("angle_end"))
 
 
 def reconcile_monthly(spark, root):
     """Counts for every month of the period from one join (not one run per month)."""
-    m, miss = _run(spark, root, MONTHS_LO, MONTHS_HI)
-    month = F.date_format("dteOccupiedDate", "yyyy-MM").alias("month")
-    return R.stats(m.withColumn("month", month), miss.withColumn("month", month), "month")
+    f = _frame(spark, root, MONTHS_LO, MONTHS_HI)
+    return R.stats(f.withColumn("month", F.date_format("dteOccupiedDate", "yyyy-MM")), "month")
 
 
 JOBS = {

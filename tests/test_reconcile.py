@@ -38,6 +38,7 @@ def test_rules_and_split(spark):
     ]
     t = spark.createDataFrame(ten, T_SCHEMA)
     x = spark.createDataFrame(txn, X_SCHEMA)
+    frame = R.reconcile_frame(t, x, "2017-11-01", "2017-12-01", "2017-01-01", "2018-02-01")
     m, miss = R.reconcile(t, x, "2017-11-01", "2017-12-01", "2017-01-01", "2018-02-01")
     got = {r["TenancyID"]: (r["Tenancy Length"], r["Cost"], r["Error"], r["Potential Interest"],
                             r["O_ID_B"], r["P_ID_B"], r["Monthly Rent"]) for r in m.collect()}
@@ -48,14 +49,14 @@ def test_rules_and_split(spark):
         "A - 4": (0.0, 295.0, 0, 0, 1, 1, None),
     }
     assert sorted(r["TenancyID"] for r in miss.collect()) == ["A - 5", "A - 7"]
-    tables = R.report_tables(m, miss)
+    tables = R.report_tables(frame)
     assert [r["TenancyID"] for r in tables["other_errors"].collect()] == ["A - 3"]
     assert tables["fee_errors"].count() == 0
     assert [r["TenancyID"] for r in tables["missing_active"].collect()] == ["A - 5"]
     assert [r["TenancyID"] for r in tables["missing_other"].collect()] == ["A - 7"]
-    s = R.stats(m, miss).collect()[0]
+    s = R.stats(frame).collect()[0]
     assert (s["total"], s["correct"], s["incorrect"], s["missing"]) == (6, 3, 1, 2)
     assert s["total"] == s["correct"] + s["incorrect"] + s["missing"]
-    sh = {r["outcome"]: r for r in R.shares(R.stats(m, miss)).collect()}
+    sh = {r["outcome"]: r for r in R.shares(R.stats(frame)).collect()}
     assert abs(sum(r["share"] for r in sh.values()) - 100.0) < 1e-9
     assert abs(sh["missing"]["angle_end"] - 2 * 3.141592653589793) < 1e-9
