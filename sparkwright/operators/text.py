@@ -115,10 +115,13 @@ def dedupe_reposts(df: DataFrame, text: str, count: str, seq: str) -> DataFrame:
     """Keep every row with ``count == 0``; of the others keep a row only if it
     is the first occurrence (by ``seq``) of its text (U1).
 
-    The first ``seq`` per text is an algebraic min (partial aggregation, so a
-    text repeated a billion times costs one row per task); it is matched back
-    on (text, seq), a key that is unique, so no hot key reaches the join.
+    Texts are grouped by their SHA-256 digest, so the shuffle carries 32-byte
+    keys instead of whole documents (a digest collision would need 2^128
+    work). The first ``seq`` per digest is an algebraic min (partial
+    aggregation: a text repeated a billion times costs one row per task); it is
+    matched back on (digest, seq), a unique key, so no hot key reaches the join.
     """
-    firsts = df.groupBy(text).agg(F.min(seq).alias(seq)).withColumn("_first", F.lit(True))
-    j = df.join(firsts, [text, seq], "left")
-    return j.filter((F.col(count) == 0) | F.col("_first").isNotNull()).drop("_first")
+    d = df.withColumn("_h", F.sha2(F.col(text), 256))
+    firsts = d.groupBy("_h").agg(F.min(seq).alias(seq)).withColumn("_first", F.lit(True))
+    j = d.join(firsts, ["_h", seq], "left")
+    return j.filter((F.col(count) == 0) | F.col("_first").isNotNull()).drop("_first", "_h")
