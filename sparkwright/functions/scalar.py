@@ -32,6 +32,30 @@ def java_split(s, sep_regex: str) -> Column:
             .otherwise(F.split(stripped, sep_regex)))
 
 
+def java_split_fast(line: Column, parts: Column, sep_regex: str) -> Column:
+    """``java_split`` for the two separator shapes the word counts use, given
+    ``parts = split(line, sep)`` computed once, without a second regex pass:
+
+    * a single space: trailing spaces are exactly the trailing separators
+      (``rtrim``), middle empties are kept;
+    * a run pattern ending in '+' (e.g. ``\\W+``): empty parts can only be
+      first or last, so drop one trailing empty, and a line of separators
+      only has no words.
+    """
+    if sep_regex == " ":
+        stripped = F.rtrim(line)
+        return (F.when(line == "", F.array(F.lit("")))
+                .when(stripped == "", F.array().cast("array<string>"))
+                .otherwise(F.split(stripped, " ")))
+    if not sep_regex.endswith("+"):
+        return java_split(line, sep_regex)
+    n = F.size(parts)
+    dropped = F.when((n > 1) & (F.element_at(parts, -1) == ""), F.slice(parts, 1, n - 1)).otherwise(parts)
+    return (F.when(line == "", F.array(F.lit("")))
+            .when((F.size(dropped) == 1) & (F.element_at(dropped, 1) == ""), F.array().cast("array<string>"))
+            .otherwise(dropped))
+
+
 def text_lines(text) -> Column:
     """Lines of a text as a line reader sees them: split on '\\n', one final
     line break does not start another line, an empty text has no lines."""

@@ -40,7 +40,9 @@ def words(df: DataFrame, text: str, sep_regex: str = " ", lower: bool = False,
     ``keep`` names columns carried along.
     """
     lines = df.select(*keep, F.explode(scalar.text_lines(F.col(text))).alias("_line"))
-    w = lines.select(*keep, F.explode(scalar.java_split(F.col("_line"), sep_regex)).alias("word"))
+    parts = lines.select(*keep, "_line", F.split("_line", sep_regex).alias("_parts"))
+    w = parts.select(*keep, F.explode(scalar.java_split_fast(F.col("_line"), F.col("_parts"),
+                                                             sep_regex)).alias("word"))
     if lower:
         w = w.withColumn("word", F.lower("word"))
     return w

@@ -20,6 +20,7 @@ MAX_ENTRY_TYPE = "purchase"   # plays the role of the 'TMAX' rows
 RANGE_LO, RANGE_HI = 1000.0, 2000.0   # inclusive balance band for the SQL view job
 LT_LIMIT = 0.0                        # strict less-than filter of df_filter_lt
 TOP_K = 10
+FIRST_N = 5
 
 
 def _temps(spark, root, entry_type, fn, name):
@@ -42,9 +43,15 @@ def max_by_station(spark, root):
 
 
 def value_histogram(spark, root):
-    """Count of each rating value (here: line number), ordered by value."""
+    """Count of each rating value (here: line number), ordered by the value as text."""
     li = table(spark, root, "lineitem")
-    return agg.count_values(li, "l_linenumber", "n").orderBy("l_linenumber")
+    return agg.count_values(li, "l_linenumber", "n").orderBy(F.col("l_linenumber").cast("string"))
+
+
+def first_rows(spark, root):
+    """The first n documents by id (deterministic first-n)."""
+    d = table(spark, root, "documents").select("doc_id", "lang", "source", "n_chars")
+    return topk.top_k(d, ["doc_id"], FIRST_N, descending=False)
 
 
 def popular_items(spark, root):
@@ -128,6 +135,7 @@ JOBS = {
     "min_by_station": min_by_station,
     "max_by_station": max_by_station,
     "value_histogram": value_histogram,
+    "first_rows": first_rows,
     "popular_items": popular_items,
     "popular_items_named": popular_items_named,
     "top10_items": top10_items,
@@ -149,6 +157,7 @@ ORACLE = {
         SELECT user_id AS station, max(value * 0.1 * 9 / 5 + 32) AS max_temp_f
         FROM events WHERE event_type = '{MAX_ENTRY_TYPE}' GROUP BY user_id""",
     "value_histogram": "SELECT l_linenumber, count(*) AS n FROM lineitem GROUP BY 1",
+    "first_rows": f"SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT {FIRST_N}",
     "popular_items": "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1",
     "popular_items_named": """
         SELECT c.l_partkey, p.p_name, c.n

@@ -36,6 +36,11 @@ def ratings(spark, root):
         .agg(F.avg("l_quantity").alias("rating"))
 
 
+def node_degree(spark, root):
+    """Number of neighbour entries of every node (connections over all its lines)."""
+    return graph.degree(order_graph(spark, root))
+
+
 def most_connected(spark, root):
     """The node with most connections (ties to the larger id), with its name."""
     d = graph.degree(order_graph(spark, root))
@@ -81,6 +86,7 @@ def similar_to_item(spark, root):
 
 
 JOBS = {
+    "node_degree": node_degree,
     "most_connected": most_connected,
     "top10_connected": top10_connected,
     "degrees_of_separation": degrees_of_separation,
@@ -107,6 +113,7 @@ _SCORE = ("CASE WHEN sqrt(sum(x * x)) * sqrt(sum(y * y)) <> 0 "
           "THEN sum(x * y) / (sqrt(sum(x * x)) * sqrt(sum(y * y))) ELSE 0 END")
 
 ORACLE = {
+    "node_degree": f"{_DEG} SELECT id, degree FROM deg",
     "most_connected": f"""{_DEG}
         SELECT d.id, p.p_name, d.degree FROM deg d JOIN part p ON p.p_partkey = d.id
         ORDER BY d.degree DESC, d.id DESC LIMIT 1""",

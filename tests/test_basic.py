@@ -61,6 +61,12 @@ def test_java_split_semantics(spark):
     assert sp == [["a", "b"], ["hi,", "you!"], [""], [",,,"], ["", "x"]]
     w = [r[0] for r in df.select(scalar.java_split("s", r"\W+")).collect()]
     assert w == [["a", "b"], ["hi", "you"], [""], [], ["", "x"]]
+    more = spark.createDataFrame([(x,) for x in ["a b  ", "hi, you!", "", ",,,", " x", ",x,", "  ", "a  b"]],
+                                 "s string")
+    for sep in (" ", r"\W+"):
+        slow = [r[0] for r in more.select(scalar.java_split("s", sep)).collect()]
+        fast = [r[0] for r in more.select(scalar.java_split_fast(F.col("s"), F.split("s", sep), sep)).collect()]
+        assert fast == slow, sep
 
 
 def test_null_safe_helpers(spark):
