@@ -57,7 +57,7 @@ def top10_connected(spark, root):
     part = table(spark, root, "part").select(F.col("p_partkey").alias("id"), "p_name")
     named = joins.with_names(best, part, "id", "p_name", missing="error", small_left=True)
     return topk.with_rank(named, [F.col("degree").desc(), F.col("id")], "rank") \
-        .select("rank", "id", "p_name", "degree")
+        .select(F.col("rank").cast("bigint").alias("rank"), "id", "p_name", "degree")
 
 
 def degrees_of_separation(spark, root):

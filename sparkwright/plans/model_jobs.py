@@ -197,7 +197,7 @@ ORACLE = {
     "linear_ols": """SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
         round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept,
         round(regr_r2(l_extendedprice, l_quantity), 6) AS r2,
-        regr_count(l_extendedprice, l_quantity) AS n FROM lineitem""",
+        CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n FROM lineitem""",
     "user_ratings": f"""SELECT l_suppkey AS item, round(avg(l_quantity), 6) AS rating
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey = {ALS_USER} GROUP BY 1""",
     "label_encode": """SELECT doc_id, lang, CAST(CASE WHEN lang IS NULL THEN -1

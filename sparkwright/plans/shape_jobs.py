@@ -81,12 +81,12 @@ def array_ops(spark, root):
     return li.select(
         "l_orderkey", "l_linenumber",
         F.round(C.array_sum(F.transform(arr, lambda x: x * 2)), 6).alias("doubled_sum"),
-        F.size(F.filter(arr, lambda x: x > 5)).alias("n_over_5"),
+        F.size(F.filter(arr, lambda x: x > 5)).cast("bigint").alias("n_over_5"),
         F.array_max(arr).alias("arr_max"),
         F.array_contains(arr, 5.0).alias("has_5"),
         F.element_at(F.array_sort(arr), 1).alias("arr_min"),
-        F.size(F.array_distinct(arr)).alias("n_distinct"),
-        F.size(F.concat(arr, F.array(F.col("l_linenumber").cast("double")))).alias("n_concat"),
+        F.size(F.array_distinct(arr)).cast("bigint").alias("n_distinct"),
+        F.size(F.concat(arr, F.array(F.col("l_linenumber").cast("double")))).cast("bigint").alias("n_concat"),
         F.element_at(arr, -1).alias("last"),
         F.round(C.array_sum(F.slice(arr, 2, 2)), 6).alias("mid_sum"),
         C.squares_sum(F.col("l_linenumber")).cast("bigint").alias("sq_sum"),
@@ -103,7 +103,7 @@ def map_ops(spark, root):
         F.element_at(m, F.lit("tax")).alias("tax"),
         F.map_contains_key(m, F.lit("price")).alias("has_price"),
         C.map_get_or(m, "price", -1.0).alias("price_or_default"),
-        F.size(F.map_keys(m)).alias("n_keys"),
+        F.size(F.map_keys(m)).cast("bigint").alias("n_keys"),
         F.array_join(F.array_sort(F.map_keys(m)), ",").alias("keys_joined"),
         F.round(C.array_sum(F.map_values(m)), 6).alias("value_sum"),
     )
@@ -124,9 +124,9 @@ def string_ops(spark, root):
         F.col("p_name").contains("red").alias("has_red"),
         F.regexp_extract("p_brand", r"Brand#([0-9]+)", 1).cast("int").alias("brand_no"),
         F.format_string("%s-%05d", "p_brand", "p_size").alias("label"),
-        F.length("p_name").alias("name_len"),
+        F.length("p_name").cast("bigint").alias("name_len"),
         F.element_at(words, 1).alias("first_word"),
-        F.size(words).alias("n_words"),
+        F.size(words).cast("bigint").alias("n_words"),
         F.repeat(F.substring("p_type", 1, 3), 2).alias("rep"),
         F.array_join(F.array_sort(words), "|").alias("sorted_words"),
         F.regexp_replace("p_name", "red", "Red").alias("name_cap"),

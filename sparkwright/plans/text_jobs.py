@@ -65,7 +65,7 @@ def sentiment_share(spark, root):
 def dedupe_reposts(spark, root):
     """Rows kept by the repost rule: no reposts, or first copy of the text."""
     docs = table(spark, root, "documents").select(
-        "doc_id", "text", (F.size(F.split("text", "\n", -1)) - 1).alias("reposts"))
+        "doc_id", "text", (F.size(F.split("text", "\n", -1)) - 1).cast("bigint").alias("reposts"))
     return text.dedupe_reposts(docs, "text", "reposts", "doc_id").select("doc_id", "reposts")
 
 
