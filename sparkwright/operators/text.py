@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkwright.functions import scalar
 
@@ -58,7 +59,7 @@ def word_counts(word_rows: DataFrame, col: str = "word", name: str = "count") ->
     return word_rows.groupBy(col).agg(F.count(F.lit(1)).alias(name))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())   # a type object: declaring it needs no session
 def _text_entropy(texts):
     """Entropy in bits of the whitespace-separated words of each text."""
     import math

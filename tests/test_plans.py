@@ -52,3 +52,12 @@ def test_range_filters_reach_the_scan(plans):
 def test_aggregates_are_partial_before_the_shuffle(plans):
     for n in ("popular_items", "word_count", "spend_by_customer", "most_connected"):
         assert "partial_count" in plans[n] or "partial_sum" in plans[n], n
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, %r); import __spark_entry__ as E; "
+            "q = E.queries(); o = E.oracle_sql(); assert set(o) <= set(q); print(len(q), len(o))") % E.__file__.rsplit("/", 1)[0]
+    r = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert r.returncode == 0, r.stderr[-2000:]
