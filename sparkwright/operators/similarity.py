@@ -11,7 +11,8 @@ four sums are one sparse Gram product, computed block by block:
 * each rating goes to the tiles (user block, item block A, item block B)
   with A <= B it can take part in (about item_blocks + 1 copies);
 * a grouped pandas task multiplies one tile and emits one row of partial
-  sums per item pair it saw: never more rows than item pairs of the tile;
+  sums per item pair it saw: never more rows than item pairs of the tile,
+  and its accumulators are sparse (sized by the pairs that occur);
 * one aggregate adds the partial sums over user blocks.
 
 A hot user is split over item_blocks^2 / 2 tiles, and each tile's pair
@@ -39,17 +40,14 @@ def _tile_sums(pdf):
 
     a = pdf[pdf["_side"] != 1]          # side 0: A only, 2: both
     b = pdf[pdf["_side"] != 0]          # side 1: B only, 2: both
-    diag = bool((pdf["_side"] == 2).any()) or pdf["_ba"].iloc[0] == pdf["_bb"].iloc[0]
+    diag = pdf["_ba"].iloc[0] == pdf["_bb"].iloc[0]
+    empty = pd.DataFrame({f.name: pd.Series(dtype="int64" if f.dataType == T.LongType() else "float64")
+                          for f in _PARTIAL.fields})
     if a.empty or b.empty:
-        return pd.DataFrame({f.name: pd.Series(dtype="int64" if f.dataType == T.LongType()
-                                               else "float64") for f in _PARTIAL.fields})
+        return empty
     ia, items_a = pd.factorize(a["item"], sort=True)
     ib, items_b = pd.factorize(b["item"], sort=True)
-    na, nb = len(items_a), len(items_b)
-    sxy = np.zeros(na * nb)
-    sxx = np.zeros(na * nb)
-    syy = np.zeros(na * nb)
-    cnt = np.zeros(na * nb, dtype=np.int64)
+    nb = len(items_b)
     A = pd.DataFrame({"u": a["user"].to_numpy(), "i": ia, "x": a["rating"].to_numpy()})
     B = pd.DataFrame({"u": b["user"].to_numpy(), "j": ib, "y": b["rating"].to_numpy()})
     # chunk users so that the pairs materialised at once stay bounded
@@ -58,19 +56,23 @@ def _tile_sums(pdf):
     chunk_id = (per_user.cumsum() // _PAIRS_PER_CHUNK).rename("c")
     A = A.join(chunk_id, on="u", how="inner")
     B = B.join(chunk_id, on="u", how="inner")
+    # sparse accumulation: memory follows the item pairs that occur, not |A| x |B|
+    parts = []
     for c in np.unique(chunk_id.to_numpy()):
         m = A[A["c"] == c].merge(B[B["c"] == c], on="u")
-        k = m["i"].to_numpy() * nb + m["j"].to_numpy()
+        k = m["i"].to_numpy().astype(np.int64) * nb + m["j"].to_numpy()
         x, y = m["x"].to_numpy(), m["y"].to_numpy()
-        sxy += np.bincount(k, weights=x * y, minlength=na * nb)
-        sxx += np.bincount(k, weights=x * x, minlength=na * nb)
-        syy += np.bincount(k, weights=y * y, minlength=na * nb)
-        cnt += np.bincount(k, minlength=na * nb)
-    nz = np.nonzero(cnt)[0]
-    ga = np.asarray(items_a)[nz // nb]
-    gb = np.asarray(items_b)[nz % nb]
-    out = pd.DataFrame({"item_a": ga, "item_b": gb, "sxy": sxy[nz], "sxx": sxx[nz],
-                        "syy": syy[nz], "n": cnt[nz]})
+        uk, inv = np.unique(k, return_inverse=True)
+        parts.append(pd.DataFrame({
+            "k": uk, "sxy": np.bincount(inv, weights=x * y), "sxx": np.bincount(inv, weights=x * x),
+            "syy": np.bincount(inv, weights=y * y), "n": np.bincount(inv)}))
+    if not parts:
+        return empty
+    acc = pd.concat(parts).groupby("k", sort=False).sum() if len(parts) > 1 else parts[0].set_index("k")
+    kk = acc.index.to_numpy()
+    sxy, sxx, syy, cnt = (acc[c].to_numpy() for c in ("sxy", "sxx", "syy", "n"))
+    out = pd.DataFrame({"item_a": np.asarray(items_a)[kk // nb], "item_b": np.asarray(items_b)[kk % nb],
+                        "sxy": sxy, "sxx": sxx, "syy": syy, "n": cnt})
     if diag:
         out = out[out["item_a"] < out["item_b"]]
     else:
