@@ -78,15 +78,29 @@ def _pick(ri: DataFrame, groups, value: str, probs) -> DataFrame:
 
 
 def quantiles(df: DataFrame, groups, value: str, probs, weight: str | None = None,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, approx: bool = False,
+              accuracy: int = 10000) -> DataFrame:
     """Linear-interpolated quantiles (same definition as numpy ``percentile``
     and SQL ``quantile_cont``) per group: one row per group with ``n`` (the
     group's count) and columns ``q0, q1, ...`` in the order of ``probs``.
 
     ``weight`` (a non-negative integer column) repeats each row that many
     times, as the bootstrap needs.
+
+    ``approx=True`` uses ``percentile_approx`` instead: one partial-aggregated
+    sketch per group and task (bounded memory, relative rank error about
+    1/accuracy), no range partitioning; for very large inputs where exact
+    interpolated quantiles are not required. Unweighted only.
     """
     groups = _list(groups)
+    if approx:
+        if weight:
+            raise ValueError("approx quantiles are unweighted")
+        q = F.percentile_approx(F.col(value), [float(p) for p in probs], accuracy)
+        g = df.filter(F.col(value).isNotNull()).groupBy(*groups)
+        r = g.agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
+        return r.select(*groups, "n", *[F.col("_q")[i].cast("double").alias(f"q{i}")
+                                        for i in range(len(probs))])
     vc = value_counts(df, groups, value, weight).filter(F.col("_w") > 0)
     return _pick(rank_intervals(vc, groups, value, "_w", partitions), groups, value, probs)
 

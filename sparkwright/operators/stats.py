@@ -28,14 +28,16 @@ def long_values(df: DataFrame, cols, name: str = "column_name", value: str = "va
         .unpivot([], list(cols), name, value)
 
 
-def describe(df: DataFrame, cols) -> DataFrame:
-    """count, mean, sample sd, min, q1, median, q3, max per column (A17), long form."""
+def describe(df: DataFrame, cols, approx: bool = False) -> DataFrame:
+    """count, mean, sample sd, min, q1, median, q3, max per column (A17), long form.
+
+    ``approx=True`` takes the quartiles from sketches (see ``quantiles``)."""
     lv = long_values(df, cols)
     mom = lv.groupBy("column_name").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("stddev"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = Q.quantiles(lv, ["column_name"], "value", [0.25, 0.5, 0.75]) \
+    q = Q.quantiles(lv, ["column_name"], "value", [0.25, 0.5, 0.75], approx=approx) \
         .select("column_name", F.col("q0").alias("q1"), F.col("q1").alias("median"),
                 F.col("q2").alias("q3"))
     return mom.join(q, "column_name", "left")
@@ -58,14 +60,15 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
     return long.select(F.element_at(parts, 1).alias("col_a"), F.element_at(parts, 2).alias("col_b"), "r")
 
 
-def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
+def boxplot_stats(df: DataFrame, group: str, value: str, approx: bool = False) -> DataFrame:
     """Per group: n, mean, q1, med, q3, iqr, whislo, whishi, cilo, cihi.
 
     Whiskers: the lowest value >= q1 - 1.5 IQR and the highest <= q3 + 1.5 IQR
     (q1 / q3 themselves when no value qualifies beyond them); the median
-    confidence interval is the notch med -/+ 1.57 IQR / sqrt(n).
+    confidence interval is the notch med -/+ 1.57 IQR / sqrt(n). ``approx=True``
+    takes the quartiles from sketches (see ``quantiles``).
     """
-    q = Q.quantiles(df, [group], value, [0.25, 0.5, 0.75]).select(
+    q = Q.quantiles(df, [group], value, [0.25, 0.5, 0.75], approx=approx).select(
         group, "n", F.col("q0").alias("q1"), F.col("q1").alias("med"), F.col("q2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     m = df.groupBy(group).agg(F.avg(value).alias("mean"))

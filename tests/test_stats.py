@@ -77,3 +77,11 @@ def test_bootstrap_is_reproducible_and_brackets_median(spark):
     assert (a["cilo"], a["cihi"]) == (b["cilo"], b["cihi"])
     med = float(np.median([r["v"] for r in df.collect()]))
     assert a["cilo"] <= med <= a["cihi"] and a["replicates"] == 50
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    df = spark.range(20000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1000).cast("double").alias("v"))
+    ex = {r["g"]: (r["q0"], r["q1"]) for r in Q.quantiles(df, ["g"], "v", [0.25, 0.5]).collect()}
+    ap = {r["g"]: (r["q0"], r["q1"]) for r in Q.quantiles(df, ["g"], "v", [0.25, 0.5], approx=True).collect()}
+    for g in ex:
+        assert all(abs(a - e) <= 2.0 for a, e in zip(ap[g], ex[g]))
