@@ -43,7 +43,8 @@ def rank_intervals(vc: DataFrame, groups, value: str, weight: str,
     b = (b.withColumn("_base", F.coalesce(F.sum("_tot").over(wb.rowsBetween(_UNB, -1)), F.lit(0)))
           .withColumn("_n", F.sum("_tot").over(Window.partitionBy(*groups)))
           .select(*groups, "_pid", "_base", "_n"))
-    return (r.join(b, [*groups, "_pid"])
+    from sparkwright.operators.windows import join_back
+    return (join_back(r, b, [*groups, "_pid"])
              .withColumn("_lo", F.col("_base") + F.col("_loc"))
              .withColumn("_hi", F.col("_lo") + F.col(weight))
              .drop("_pid", "_loc", "_base"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.operators import quantiles as Q
+from sparkwright.operators.windows import join_back
 
 # Fixed values --------------------------------------------------------------
 WHISKER = 1.5          # whiskers reach the furthest point within 1.5 IQR
@@ -74,10 +75,10 @@ def boxplot_stats(df: DataFrame, group: str, value: str, approx: bool = False) -
     m = df.groupBy(group).agg(F.avg(value).alias("mean"))
     # whiskers from the distinct values (already far fewer rows than the data)
     vc = Q.value_counts(df, [group], value)
-    wk = vc.join(q.select(group, "q1", "q3", "iqr"), group).groupBy(group).agg(
+    wk = join_back(vc, q.select(group, "q1", "q3", "iqr"), [group]).groupBy(group).agg(
         F.min(F.when(F.col(value) >= F.col("q1") - WHISKER * F.col("iqr"), F.col(value))).alias("_lo"),
         F.max(F.when(F.col(value) <= F.col("q3") + WHISKER * F.col("iqr"), F.col(value))).alias("_hi"))
-    out = q.join(m, group).join(wk, group)
+    out = join_back(join_back(q, m, [group]), wk, [group])
     half = NOTCH * F.col("iqr") / F.sqrt(F.col("n").cast("double"))
     return out.select(
         group, "n", "mean", "q1", "med", "q3", "iqr",
@@ -91,7 +92,7 @@ def boxplot_stats(df: DataFrame, group: str, value: str, approx: bool = False) -
 def boxplot_outliers(df: DataFrame, group: str, value: str, stats: DataFrame | None = None) -> DataFrame:
     """Rows outside the whiskers (the fliers), as rows rather than one array."""
     s = stats if stats is not None else boxplot_stats(df, group, value)
-    return df.join(s.select(group, "whislo", "whishi"), group) \
+    return join_back(df, s.select(group, "whislo", "whishi"), [group]) \
         .filter((F.col(value) < F.col("whislo")) | (F.col(value) > F.col("whishi"))) \
         .drop("whislo", "whishi")
 

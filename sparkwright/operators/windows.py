@@ -28,6 +28,18 @@ def _list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
+def join_back(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Equi-join on ``keys`` where null matches null (a null key is a group of
+    its own, as in ``Window.partitionBy``); keeps the left key columns."""
+    ren = {k: f"_r_{k}" for k in keys}
+    r = right.select(*[F.col(c).alias(ren.get(c, c)) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[ren[k]])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "inner").drop(*ren.values())
+
+
 def _ranged(df: DataFrame, keys, order, partitions: int | None) -> DataFrame:
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id())
@@ -63,7 +75,7 @@ def sessionize(df: DataFrame, keys, ts: str, tie: str, gap_seconds: float,
           .withColumn("_base", F.coalesce(
               F.sum(F.col("_nf") - F.col("_cont")).over(wb.rowsBetween(_UNB, -1)), F.lit(0)))
           .select(*keys, "_pid", "_prev_last", "_cont", "_base"))
-    out = r.join(b, [*keys, "_pid"])
+    out = join_back(r, b, [*keys, "_pid"])
     first = F.col("_prev").isNull()
     return (out.withColumn(prev, F.coalesce("_prev", "_prev_last"))
                .withColumn(flag, F.when(first, 1 - F.col("_cont")).otherwise(F.col("_f")))
@@ -84,7 +96,7 @@ def running_sum(df: DataFrame, keys, order, value: str, name: str = "running",
     b = b.withColumn("_base", F.coalesce(F.sum("_tot").over(wb.rowsBetween(_UNB, -1)),
                                          F.lit(0).cast(b.schema["_tot"].dataType))) \
         .select(*keys, "_pid", "_base")
-    return r.join(b, [*keys, "_pid"]).withColumn(name, F.col("_base") + F.col("_loc")) \
+    return join_back(r, b, [*keys, "_pid"]).withColumn(name, F.col("_base") + F.col("_loc")) \
         .drop("_pid", "_loc", "_base")
 
 

@@ -85,3 +85,9 @@ def test_approx_quantiles_close_to_exact(spark):
     ap = {r["g"]: (r["q0"], r["q1"]) for r in Q.quantiles(df, ["g"], "v", [0.25, 0.5], approx=True).collect()}
     for g in ex:
         assert all(abs(a - e) <= 2.0 for a, e in zip(ap[g], ex[g]))
+
+
+def test_quantiles_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("x", 2.0)], "g string, v double")
+    got = {r["g"]: r["q0"] for r in Q.quantiles(df, ["g"], "v", [0.5], partitions=2).collect()}
+    assert got == {None: 2.0, "x": 2.0}

@@ -63,3 +63,13 @@ def test_replay_ledger_minimum_matches_python(spark):
             b += amt
         bal[a] = b
         assert got[i] == (b, ok)
+
+
+def test_null_key_is_a_group_of_its_own(spark):
+    rows = [(1, None, 0.0), (2, None, 100.0), (3, None, 5000.0), (4, "a", 0.0), (5, "a", 10.0)]
+    df = spark.createDataFrame(rows, "id long, k string, tsd double").withColumn("ts", F.timestamp_seconds("tsd"))
+    s = {r["id"]: (r["session_start_flag"], r["session_no"])
+         for r in windows.sessionize(df, ["k"], "ts", "id", 900, partitions=3).collect()}
+    assert s == {1: (1, 1), 2: (0, 1), 3: (1, 2), 4: (1, 1), 5: (0, 1)}
+    rs = {r["id"]: r["run"] for r in windows.running_sum(df, ["k"], ["id"], "tsd", "run", partitions=3).collect()}
+    assert rs == {1: 0.0, 2: 100.0, 3: 5100.0, 4: 0.0, 5: 10.0}
