@@ -51,3 +51,16 @@ def test_formats_and_regex_capture(spark):
                   F.regexp_extract("s", r".* ([\d]+).*", 1).cast("int").alias("answer")).collect()[0]
     assert r["a"] == "Pi is about 3.142" and r["b"] == "Zero padding on the left: 00001"
     assert r["c"] == "Two x Pi is about 6.283" and r["answer"] == 42
+
+
+def test_ledger_examples(spark):
+    from sparkwright.operators import windows
+    df = spark.createDataFrame([(1, "scott", 1000.0), (2, "scott", -600.0), (1, "dave", 1000.0),
+                                (2, "dave", -600.0)], "seq long, acct string, amount double")
+    plain = {(r["acct"], r["seq"]): r["balance"]
+             for r in windows.replay_ledger(df.filter("acct = 'scott'"), "acct", ["seq"], "amount").collect()}
+    assert plain == {("scott", 1): 1000.0, ("scott", 2): 400.0}
+    minimum = {(r["acct"], r["seq"]): (r["balance"], r["accepted"])
+               for r in windows.replay_ledger(df.filter("acct = 'dave'"), "acct", ["seq"], "amount",
+                                              minimum=500.0).collect()}
+    assert minimum == {("dave", 1): (1000.0, True), ("dave", 2): (1000.0, False)}
