@@ -86,14 +86,34 @@ def round_half_even(v, scale: int = 0) -> Column:
 
 
 def months_between_whole(start, end) -> Column:
-    """Elapsed days / 30.436875, rounded half-even: whole months."""
-    secs = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
-    return F.rint(secs / 1e6 / 86400.0 / DAYS_PER_MONTH)
+    """Elapsed days / 30.436875, rounded half-even: whole months.
 
+    ``timestamp_diff`` works on wall-clock (NTZ) and zoned timestamps alike,
+    without a session time-zone conversion."""
+    micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    return F.rint(micros / 1e6 / 86400.0 / DAYS_PER_MONTH)
 
-def epoch_seconds(ts) -> Column:
+
+def epoch_micros(ts, dtype=None) -> Column:
+    """Microseconds since 1970-01-01 for a timestamp column.
+
+    TIMESTAMP_NTZ is read as UTC wall-clock time (no session time-zone shift),
+    TIMESTAMP is an instant, and a numeric column is taken as epoch seconds
+    (as journals store them)."""
+    from pyspark.sql import types as T
+    c = _c(ts)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.NumericType):
+        return (c.cast("double") * 1e6).cast("bigint")
+    return F.unix_micros(c.cast("timestamp"))
+
+
+def epoch_seconds(ts, dtype=None) -> Column:
     """Seconds since the epoch as DOUBLE (microsecond precision)."""
-    return F.unix_micros(_c(ts).cast("timestamp")) / 1e6
+    return epoch_micros(ts, dtype) / 1e6
 
 
 def greatest_strict(x, floor) -> Column:

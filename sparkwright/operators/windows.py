@@ -54,11 +54,13 @@ def sessionize(df: DataFrame, keys, ts: str, tie: str, gap_seconds: float,
     the gap to the previous row (ordered by ts, then ``tie``) is strictly
     greater than ``gap_seconds``. ``number`` is the running count of starts
     (ROWS UNBOUNDED PRECEDING .. CURRENT ROW). ``prev`` is the previous row's
-    time in epoch microseconds.
+    time in epoch microseconds. ``ts`` may be a timestamp (with or without
+    zone) or epoch seconds.
     """
+    from sparkwright.functions.scalar import epoch_micros
     keys = _list(keys)
     gap = int(round(gap_seconds * 1_000_000))
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    t = epoch_micros(ts, df.schema[ts].dataType)
     r = _ranged(df.withColumn("_t", t), keys, ["_t", tie], partitions)
     w = Window.partitionBy(*keys, "_pid").orderBy("_t", tie)
     r = (r.withColumn("_prev", F.lag("_t").over(w))

@@ -73,3 +73,20 @@ def test_null_key_is_a_group_of_its_own(spark):
     assert s == {1: (1, 1), 2: (0, 1), 3: (1, 2), 4: (1, 1), 5: (0, 1)}
     rs = {r["id"]: r["run"] for r in windows.running_sum(df, ["k"], ["id"], "tsd", "run", partitions=3).collect()}
     assert rs == {1: 0.0, 2: 100.0, 3: 5100.0, 4: 0.0, 5: 10.0}
+
+
+def test_sessionize_epoch_seconds_column_and_zone_independence(spark):
+    rows = [(1, "k", 1000), (2, "k", 1900), (3, "k", 2801), (4, "k", 2801)]
+    df = spark.createDataFrame(rows, "id long, k string, t long")
+    s = {r["id"]: (r["session_start_flag"], r["session_no"])
+         for r in windows.sessionize(df, ["k"], "t", "id", 900, partitions=2).collect()}
+    assert s == {1: (1, 1), 2: (0, 1), 3: (1, 2), 4: (0, 2)}
+    ev = spark.read.parquet(f"{SF01}/events.parquet").limit(50)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        ny = {r["event_id"]: r["prev_ts_us"] for r in windows.sessionize(ev, ["user_id"], "ts", "event_id", 900).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    utc = {r["event_id"]: r["prev_ts_us"] for r in windows.sessionize(ev, ["user_id"], "ts", "event_id", 900).collect()}
+    assert ny == utc
