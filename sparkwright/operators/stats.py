@@ -44,6 +44,25 @@ def describe(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     return mom.join(q, "column_name", "left")
 
 
+def describe_strings(df: DataFrame, cols) -> DataFrame:
+    """count, unique, top, freq per string column (A17 for strings), long form.
+
+    ``top`` is the most frequent value (ties: the smallest), found with two
+    partial aggregates (max count, then min value with that count) instead of
+    a window that would hold a column's distinct values in one task.
+    """
+    lv = df.select(*[F.col(c).cast("string").alias(c) for c in cols]) \
+        .unpivot([], list(cols), "column_name", "value")
+    base = lv.groupBy("column_name").agg(F.count("value").alias("count"),
+                                         F.count_distinct("value").alias("unique"))
+    vc = lv.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("freq"))
+    best = vc.groupBy("column_name").agg(F.max("freq").alias("freq"))
+    top = vc.join(best, ["column_name", "freq"]).groupBy("column_name", "freq").agg(
+        F.min("value").alias("top"))
+    return base.join(top, "column_name", "left").select("column_name", "count", "unique", "top", "freq")
+
+
 def corr_with(df: DataFrame, cols, target: str) -> DataFrame:
     """Pearson correlation of each column with ``target``, one aggregate."""
     row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c)

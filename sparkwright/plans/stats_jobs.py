@@ -16,6 +16,7 @@ from sparkwright.sources.tables import table
 
 NUM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 TARGET = "l_extendedprice"
+STR_COLS = ["l_returnflag", "l_linestatus"]
 BINS = 100
 GRIDSIZE, MINCNT = 20, 7
 GRID_STEP = 0.25
@@ -33,6 +34,11 @@ def describe(spark, root):
                     _r6("q1"), _r6("median"), _r6("q3"))
 
 
+def describe_strings(spark, root):
+    """count, unique, most frequent value and its count of every string column."""
+    return stats.describe_strings(table(spark, root, "lineitem"), STR_COLS)
+
+
 def corr_with_target(spark, root):
     """Pearson correlation of each feature with the price, one aggregate."""
     cols = [c for c in NUM_COLS if c != TARGET]
@@ -103,6 +109,7 @@ def interpolate_cubic(spark, root):
 
 JOBS = {
     "describe": describe,
+    "describe_strings": describe_strings,
     "corr_with_target": corr_with_target,
     "corr_matrix": corr_matrix,
     "boxplot_stats": boxplot_stats,
@@ -143,6 +150,12 @@ _KNOTS = """k AS (SELECT user_id, CAST(date_diff('day', DATE '1970-01-01', CAST(
 
 ORACLE = {
     "describe": _describe_sql(),
+    "describe_strings": "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, (SELECT count({c}) FROM lineitem) AS count,
+              (SELECT count(DISTINCT {c}) FROM lineitem) AS unique,
+              min(v) AS top, max(n) AS freq
+            FROM (SELECT {c} AS v, count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY 1
+                  QUALIFY n = max(n) OVER ())""" for c in STR_COLS),
     "corr_with_target": "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, round(corr({c}, {TARGET}), 6) AS corr FROM lineitem"
         for c in NUM_COLS if c != TARGET),
