@@ -26,15 +26,17 @@ def with_names(df: DataFrame, dim: DataFrame, on: str, name_cols, missing: str =
         # so the top-k (or whatever produced it) runs once
         df = df.persist()
         d = d.join(F.broadcast(df.select(on).distinct()), on, "left_semi")
-    how = "inner" if missing == "drop" else "left"
-    out = df.join(d, on, how)
-    if missing == "error":
-        check = F.when(F.col(names[0]).isNull(),
-                       F.raise_error(F.concat(F.lit(f"no {names[0]} for {on}="),
-                                              F.col(on).cast("string"))))
-        out = out.withColumn(names[0], F.coalesce(F.col(names[0]), check.cast(
-            out.schema[names[0]].dataType)))
-    return out
+    if missing == "drop":
+        return df.join(d, on, "inner")
+    if missing != "error":
+        return df.join(d, on, "left")
+    # a key absent from the dimension fails the job; a present key whose name
+    # is null does not (the marker tells the two apart)
+    out = df.join(d.withColumn("_found", F.lit(True)), on, "left")
+    fail = F.raise_error(F.concat(F.lit(f"no {names[0]} for {on}="), F.col(on).cast("string")))
+    # the check sits in an output column so that column pruning cannot drop it
+    return out.withColumn(names[0], F.when(F.col("_found").isNull(), fail).otherwise(F.col(names[0]))) \
+        .drop("_found")
 
 
 def left_join_suffixed(left: DataFrame, right: DataFrame, on, suffixes=("_x", "_y")) -> DataFrame:

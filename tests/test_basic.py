@@ -35,9 +35,12 @@ def test_top_k_is_take_ordered(spark):
 
 def test_with_names_missing_modes(spark):
     df = spark.createDataFrame([(1,), (2,)], "k int")
-    dim = spark.createDataFrame([(1, "one")], "k int, name string")
+    dim = spark.createDataFrame([(1, "one"), (3, None)], "k int, name string")
     assert sorted(r["name"] or "" for r in joins.with_names(df, dim, "k", "name").collect()) == ["", "one"]
     assert joins.with_names(df, dim, "k", "name", missing="drop").count() == 1
+    ok = spark.createDataFrame([(1,), (3,)], "k int")
+    assert sorted((r["k"], r["name"]) for r in joins.with_names(ok, dim, "k", "name", missing="error").collect()) \
+        == [(1, "one"), (3, None)]
     try:
         joins.with_names(df, dim, "k", "name", missing="error").collect()
         raise AssertionError("expected failure")
