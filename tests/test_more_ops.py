@@ -71,3 +71,20 @@ def test_describe_strings_top_ties_to_smallest(spark):
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     r = stats.describe_strings(df, ["s"]).collect()[0]
     assert (r["count"], r["unique"], r["top"], r["freq"]) == (12, 3, "a", 5)
+
+
+def test_schema_helpers_and_small_functions(spark):
+    from sparkwright.operators import joins, types
+    df = spark.createDataFrame([(20180102, True, 1.5, "x")], "`Game Date` int, alone boolean, f double, s string")
+    clean = scalar.clean_names(df)
+    assert clean.columns == ["game_date", "alone", "f", "s"]
+    assert scalar.select_by_type(clean, ["int", "double"]) == ["game_date", "f"]
+    r = clean.select(scalar.int_date("game_date").alias("d"), scalar.recode_bool("alone").alias("a")).collect()[0]
+    assert str(r["d"]) == "2018-01-02" and r["a"] == 1
+    st = {row["column_name"]: row["data_type"] for row in joins.schema_table(clean).collect()}
+    assert st == {"game_date": "int", "alone": "boolean", "f": "double", "s": "string"}
+    after = clean.withColumn("f", F.col("f").cast("float"))
+    cmp = {row["column_name"]: (row["before"], row["after"]) for row in joins.compare_types(clean, after).collect()}
+    assert cmp["f"] == ("double", "float") and cmp["s"] == ("string", "string")
+    tc = {row["data_type"]: row["count"] for row in types.type_counts(clean).collect()}
+    assert tc == {"int": 1, "boolean": 1, "double": 1, "string": 1}
