@@ -80,7 +80,7 @@ def _pick(ri: DataFrame, groups, value: str, probs) -> DataFrame:
 
 def quantiles(df: DataFrame, groups, value: str, probs, weight: str | None = None,
               partitions: int | None = None, approx: bool = False,
-              accuracy: int = 10000) -> DataFrame:
+              accuracy: int = 10000, preaggregate: bool = True) -> DataFrame:
     """Linear-interpolated quantiles (same definition as numpy ``percentile``
     and SQL ``quantile_cont``) per group: one row per group with ``n`` (the
     group's count) and columns ``q0, q1, ...`` in the order of ``probs``.
@@ -88,6 +88,11 @@ def quantiles(df: DataFrame, groups, value: str, probs, weight: str | None = Non
     ``weight`` (a non-negative integer column) repeats each row that many
     times, as the bootstrap needs.
 
+    ``preaggregate=False`` skips counting rows per (group, value) first: rank
+    intervals are exact with repeated values too (each copy gets its own
+    consecutive interval), and for nearly unique values the count is an
+    expensive aggregate that removes nothing.
+
     ``approx=True`` uses ``percentile_approx`` instead: one partial-aggregated
     sketch per group and task (bounded memory, relative rank error about
     1/accuracy), no range partitioning; for very large inputs where exact
@@ -102,7 +107,12 @@ def quantiles(df: DataFrame, groups, value: str, probs, weight: str | None = Non
         r = g.agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
         return r.select(*groups, "n", *[F.col("_q")[i].cast("double").alias(f"q{i}")
                                         for i in range(len(probs))])
-    vc = value_counts(df, groups, value, weight).filter(F.col("_w") > 0)
+    if preaggregate:
+        vc = value_counts(df, groups, value, weight)
+    else:
+        w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+        vc = df.filter(F.col(value).isNotNull()).select(*groups, value, w.alias("_w"))
+    vc = vc.filter(F.col("_w") > 0)
     return _pick(rank_intervals(vc, groups, value, "_w", partitions), groups, value, probs)
 
 
@@ -110,7 +120,8 @@ def positions(df: DataFrame, order_cols, groups=None, name: str = "pos",
               partitions: int | None = None) -> DataFrame:
     """0-based position of every row in ``order_cols`` order within its group,
     computed piecewise (no group in one task). ``order_cols`` must make rows
-    unique within a group for positions to be deterministic."""
+    unique within a group for positions to be deterministic. ``name`` must not
+    be one of the helper columns ``_k``, ``_one``, ``_hi``, ``_n``."""
     groups = _list(groups)
     key = F.struct(*[F.col(c) for c in order_cols])
     t = df.withColumn("_k", key).withColumn("_one", F.lit(1).cast("bigint"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwright.operators import quantiles as Q
@@ -124,23 +124,72 @@ def poisson1(u):
     return k
 
 
-def bootstrap_median_ci(df: DataFrame, group: str, value: str, row_id: str,
-                        replicates: int = 200, seed: int = 42, level: float = 0.95) -> DataFrame:
-    """Percentile bootstrap CI of the median per group.
+def replicate_quantiles(df: DataFrame, group: str, value: str, row_id: str, probs, replicates: int = 200,
+                        seed: int = 42, block: int = 1024) -> DataFrame:
+    """Exact quantiles of every Poisson-bootstrap replicate of every group:
+    (group, rep, q0, q1, ...).
 
-    Poisson bootstrap: replicate r gives row i the weight Poisson(1) drawn
-    from a hash of (row id, r, seed), so every replicate is reproducible under
-    any partitioning and retries. Replicate medians are exact weighted
-    quantiles per (group, replicate); the CI is their (1-level)/2 and
-    (1+level)/2 quantiles.
+    Replicate r gives row i the weight Poisson(1) drawn from a hash of
+    (row id, r, seed): reproducible under any partitioning and retries. All
+    replicates of a group share its value set, so the values are ranked once
+    per group (``quantiles.positions`` on the distinct values). The weighted
+    rows are then totalled per (group, replicate, rank block of ``block``
+    values): a partial aggregate with a tiny output. The blocks give the
+    block holding each target rank, and only the rows of those blocks are
+    ordered, so windows stay bounded by the block size.
     """
+    from sparkwright.operators.windows import join_back
+    base = df.select(group, value, row_id).filter(F.col(value).isNotNull())
+    ranks = Q.positions(base.select(group, value).distinct(), [value], [group], "_rank")
+    rows = join_back(base, ranks.select(group, value, "_rank"), [group, value])
     reps = F.sequence(F.lit(0), F.lit(replicates - 1))
-    r = df.select(group, value, row_id, F.explode(reps).alias("rep"))
+    r = rows.select(group, value, row_id, "_rank", F.explode(reps).alias("rep"))
     u = (F.pmod(F.xxhash64(F.col(row_id), F.col("rep"), F.lit(seed)), F.lit(1 << 53))
          .cast("double") / float(1 << 53))
-    r = r.withColumn("_w", poisson1(u)).filter(F.col("_w") > 0)
-    med = Q.quantiles(r, [group, "rep"], value, [0.5], weight="_w").select(group, "rep",
-                                                                          F.col("q0").alias("m"))
+    r = r.withColumn("_w", poisson1(u).cast("bigint")).filter(F.col("_w") > 0) \
+        .withColumn("_b", F.floor(F.col("_rank") / block).cast("bigint")).select(group, "rep", "_b", "_rank", value, "_w")
+    keys = [group, "rep"]
+    blocks = r.groupBy(*keys, "_b").agg(F.sum("_w").alias("_bw"))
+    wk = Window.partitionBy(*keys).orderBy("_b")
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_bw").over(
+        wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
+        .withColumn("_n", F.sum("_bw").over(Window.partitionBy(*keys)))
+    # target ranks (0-based, in the weight-expanded sample) of every quantile
+    tg = []
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        for kind, pos in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            tg.append(F.struct(F.lit(i).alias("qi"), F.lit(kind).alias("kind"), pos.cast("bigint").alias("t"),
+                               (h - F.floor(h)).alias("frac")))
+    inside = lambda c: (c["t"] >= F.col("_before")) & (c["t"] < F.col("_before") + F.col("_bw"))
+    targets = blocks.select(*keys, "_b", "_before", F.explode(F.filter(F.array(*tg), inside)).alias("c")) \
+        .select(*keys, "_b", (F.col("c.t") - F.col("_before")).alias("_t"), F.col("c.qi").alias("qi"),
+                F.col("c.kind").alias("kind"), F.col("c.frac").alias("frac"))
+    # order only the rows of the target blocks
+    hit = join_back(r, targets.select(*keys, "_b").distinct(), [*keys, "_b"])
+    wb = Window.partitionBy(*keys, "_b").orderBy("_rank")
+    hit = hit.withColumn("_lo", F.coalesce(F.sum("_w").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                           F.lit(0)))
+    m = join_back(hit, targets, [*keys, "_b"]).filter(
+        (F.col("_t") >= F.col("_lo")) & (F.col("_t") < F.col("_lo") + F.col("_w")))
+    per_q = m.groupBy(*keys, "qi").agg(
+        F.max(F.when(F.col("kind") == "lo", F.col(value))).alias("vlo"),
+        F.max(F.when(F.col("kind") == "hi", F.col(value))).alias("vhi"), F.max("frac").alias("frac"))
+    q = F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")
+    return per_q.groupBy(*keys).agg(*[F.max(F.when(F.col("qi") == i, q)).alias(f"q{i}")
+                                      for i in range(len(probs))])
+
+
+def bootstrap_median_ci(df: DataFrame, group: str, value: str, row_id: str,
+                        replicates: int = 200, seed: int = 42, level: float = 0.95) -> DataFrame:
+    """Percentile bootstrap CI of the median per group.
+
+    Replicate medians are exact weighted medians of Poisson(1)-weighted rows
+    (``replicate_quantiles``); the CI is their (1-level)/2 and (1+level)/2
+    quantiles.
+    """
+    med = replicate_quantiles(df, group, value, row_id, [0.5], replicates, seed) \
+        .select(group, "rep", F.col("q0").alias("m"))
     a = (1.0 - level) / 2.0
     ci = Q.quantiles(med, [group], "m", [a, 1.0 - a])
     return ci.select(group, F.col("q0").alias("cilo"), F.col("q1").alias("cihi"),

@@ -91,3 +91,29 @@ def test_quantiles_null_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("x", 2.0)], "g string, v double")
     got = {r["g"]: r["q0"] for r in Q.quantiles(df, ["g"], "v", [0.5], partitions=2).collect()}
     assert got == {None: 2.0, "x": 2.0}
+
+
+def test_quantiles_without_preaggregation_handle_repeats(spark):
+    rows = [("a", float(v), w) for v, w in [(1, 1), (1, 2), (2, 1), (3, 0), (3, 1), (5, 3), (5, 1)]]
+    df = spark.createDataFrame(rows, "g string, v double, w long")
+    a = Q.quantiles(df, ["g"], "v", [0.1, 0.5, 0.9], weight="w", partitions=3).collect()[0]
+    b = Q.quantiles(df, ["g"], "v", [0.1, 0.5, 0.9], weight="w", partitions=3, preaggregate=False).collect()[0]
+    exp = np.percentile([1, 1, 1, 2, 3, 5, 5, 5, 5], [10, 50, 90])
+    assert np.allclose([a["q0"], a["q1"], a["q2"]], exp) and np.allclose([b["q0"], b["q1"], b["q2"]], exp)
+
+
+def test_replicate_quantiles_match_direct_weighted_quantiles(spark):
+    rnd = random.Random(9)
+    rows = [(i, ["a", "b", None][i % 3], float(rnd.randint(0, 60))) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, g string, v double")
+    got = {(r["g"], r["rep"]): (r["q0"], r["q1"])
+           for r in stats.replicate_quantiles(df, "g", "v", "id", [0.5, 0.9], replicates=7, block=8).collect()}
+    reps = F.sequence(F.lit(0), F.lit(6))
+    x = df.select("g", "v", "id", F.explode(reps).alias("rep"))
+    u = (F.pmod(F.xxhash64(F.col("id"), F.col("rep"), F.lit(42)), F.lit(1 << 53)).cast("double") / float(1 << 53))
+    x = x.withColumn("w", stats.poisson1(u)).filter(F.col("w") > 0)
+    exp = {(r["g"], r["rep"]): (r["q0"], r["q1"])
+           for r in Q.quantiles(x, ["g", "rep"], "v", [0.5, 0.9], weight="w", partitions=5).collect()}
+    assert got.keys() == exp.keys()
+    for k in exp:
+        assert np.allclose(got[k], exp[k]), k
