@@ -1,7 +1,9 @@
 """Type profiling and optimisation.
 
-All statistics of all columns come from ONE aggregate pass; the rewritten
-table is a ``select`` of casts, and category codes are a dictionary join.
+All statistics of all columns come from two aggregate passes over the
+table (plain aggregates, distinct counts), each covering every column; the
+rewritten table is a ``select`` of casts, and category codes are a
+dictionary join.
 """
 
 from __future__ import annotations
@@ -39,15 +41,18 @@ def column_stats(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """One row per column: column_name, data_type, n_rows, n_nulls, min_value,
     max_value (numeric only), n_distinct (non-null), bytes, f32_exact.
 
-    Computed by one aggregate over the table, then unpivoted.
+    Two aggregate passes, each over all columns at once: the plain aggregates,
+    and the distinct counts. Mixed in one ``agg``, Spark's distinct rewrite
+    expands every plain aggregate input once per distinct column too (2.4x
+    slower at sf0.1). The two one-row results are unpivoted and joined on the
+    column name.
     """
-    aggs, names = [F.count(F.lit(1)).alias("_rows")], []
+    aggs, dis, names = [F.count(F.lit(1)).alias("_rows")], [], []
     for i, f in enumerate(df.schema.fields):
         c, k = F.col(f"`{f.name}`"), _kind(f.dataType)
         names.append((i, f))
         aggs.append(F.count(c).alias(f"nn{i}"))
-        d = F.approx_count_distinct(c) if approx_distinct else F.count_distinct(c)
-        aggs.append(d.alias(f"nd{i}"))
+        dis.append((F.approx_count_distinct(c) if approx_distinct else F.count_distinct(c)).alias(f"nd{i}"))
         if k in ("int", "float"):
             aggs += [F.min(c).cast("double").alias(f"mn{i}"), F.max(c).cast("double").alias(f"mx{i}")]
         if k == "float":
@@ -66,9 +71,16 @@ def column_stats(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
             F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"nn{i}")).alias("n_nulls"),
             (F.col(f"mn{i}") if k in ("int", "float") else F.lit(None).cast("double")).alias("min_value"),
             (F.col(f"mx{i}") if k in ("int", "float") else F.lit(None).cast("double")).alias("max_value"),
-            F.col(f"nd{i}").alias("n_distinct"), b.cast("bigint").alias("bytes"),
+            b.cast("bigint").alias("bytes"),
             (F.col(f"fx{i}") if k == "float" else F.lit(None).cast("boolean")).alias("f32_exact")))
-    return row.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    plain = row.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    drow = df.agg(*dis)
+    distinct = drow.select(F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f"nd{i}").cast("bigint").alias("n_distinct"))
+        for i, f in names])).alias("s")).select("s.*")
+    return plain.join(distinct, "column_name").select(
+        "column_name", "data_type", "n_rows", "n_nulls", "min_value", "max_value", "n_distinct", "bytes",
+        "f32_exact")
 
 
 def _after_type(kind: str):
