@@ -56,10 +56,11 @@ def bfs(edges: DataFrame, start, max_iter: int = 10, target=None) -> DataFrame:
                                      F.lit(0).alias("distance")).checkpoint()
     visited = [frontier]
     for d in range(1, max_iter + 1):
-        n_front = frontier.count()
-        if n_front == 0:
-            break
-        if target is not None and frontier.filter(F.col("id") == target).limit(1).count() > 0:
+        # one small job per round: frontier size and whether the target is in it
+        hit = F.max((F.col("id") == F.lit(target)).cast("int")) if target is not None else F.lit(0)
+        st = frontier.agg(F.count(F.lit(1)).alias("n"), hit.alias("hit")).collect()[0]
+        n_front = st["n"]
+        if n_front == 0 or (st["hit"] or 0) > 0:
             break
         f = frontier.select(F.col("id").alias("src"))
         if n_front <= BROADCAST_FRONTIER_ROWS:
