@@ -99,10 +99,23 @@ def reconcile_missing(spark, root):
 
 
 def reconcile_tables(spark, root):
-    """The four report tables of one month, stacked with their table number."""
+    """The four report tables of one month in one pass, stacked with their
+    table number; each table's own columns are filled, the others are null."""
     rows = R.report_rows(_frame(spark, root))
-    return rows.select("table_no", F.col("TenancyID").alias("tenancy_id"),
-                       F.col("strServiceProvided").alias("service"))
+    t = F.col("table_no")
+
+    def only(col, tables, alias):
+        return F.when(t.isin(*tables), col).alias(alias)
+
+    return rows.select(
+        "table_no", F.to_date("dteOccupiedDate").alias("occupied"), F.col("TenancyID").alias("tenancy_id"),
+        F.col("strServiceProvided").alias("service"),
+        only(F.round("Monthly Rent", 6), (1, 2), "monthly_rent"),
+        only(F.col("Tenancy Length"), (1, 2), "tenancy_length"),
+        only(F.col("Net"), (1, 2), "net"), only(F.round("Cost", 6), (1, 2), "cost"),
+        only(F.col("Description"), (2,), "description"),
+        only(F.col("dblRentalAmount"), (3, 4), "rental_amount"),
+        only(F.col("Tenancy Status"), (3, 4), "status"))
 
 
 def reconcile_stats(spark, root):
@@ -186,11 +199,22 @@ ORACLE = {
     "reconcile_missing": f"""WITH {_base(OCC_LO, OCC_HI)}
         SELECT replace(CAST(tid AS VARCHAR), '-', ' - ') AS tenancy_id, svc AS service,
           amount AS rental_amount, status FROM miss""",
-    "reconcile_tables": f"""WITH {_base(OCC_LO, OCC_HI)}
-        SELECT 1 AS table_no, CAST(tid AS VARCHAR) AS tenancy_id, svc AS service FROM f WHERE err = 1 AND pi = 0
-        UNION ALL SELECT 2, CAST(tid AS VARCHAR), svc FROM f WHERE err = 1 AND pi = 1
-        UNION ALL SELECT 3, CAST(tid AS VARCHAR), svc FROM miss WHERE status = 'Active'
-        UNION ALL SELECT 4, CAST(tid AS VARCHAR), svc FROM miss WHERE status IS DISTINCT FROM 'Active'""",
+    "reconcile_tables": f"""WITH {_base(OCC_LO, OCC_HI)},
+        rows AS (
+          SELECT CASE WHEN pi = 0 THEN 1 ELSE 2 END AS table_no, occ, tid, svc, rent, len, net, cost, descr,
+                 NULL::DOUBLE AS amount, NULL::VARCHAR AS status FROM f WHERE err = 1
+          UNION ALL
+          SELECT CASE WHEN status = 'Active' THEN 3 ELSE 4 END, occ, tid, svc, NULL, NULL, NULL, NULL, NULL,
+                 amount, status FROM miss)
+        SELECT table_no, CAST(occ AS DATE) AS occupied, replace(CAST(tid AS VARCHAR), '-', ' - ') AS tenancy_id,
+          svc AS service,
+          CASE WHEN table_no IN (1, 2) THEN round(rent, 6) END AS monthly_rent,
+          CASE WHEN table_no IN (1, 2) THEN len END AS tenancy_length,
+          CASE WHEN table_no IN (1, 2) THEN net END AS net,
+          CASE WHEN table_no IN (1, 2) THEN round(cost, 6) END AS cost,
+          CASE WHEN table_no = 2 THEN descr END AS description,
+          CASE WHEN table_no IN (3, 4) THEN amount END AS rental_amount,
+          CASE WHEN table_no IN (3, 4) THEN status END AS status FROM rows""",
     "reconcile_stats": f"WITH {_base(OCC_LO, OCC_HI)} " + _STATS.format(by="", sel="", group=""),
     "reconcile_shares": f"""WITH {_base(OCC_LO, OCC_HI)},
         s AS ({_STATS.format(by="", sel="", group="")}),
