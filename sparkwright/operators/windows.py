@@ -119,7 +119,8 @@ def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: floa
     sequential per account, so rows are hash-partitioned by account, sorted
     by (account, order) and folded in a stream of Arrow batches, carrying the
     balance from batch to batch: memory stays at one batch however large an
-    account is (its time does not: one account is one sequence).
+    account is (its time does not: one account is one sequence). Within a
+    batch the fold is vectorised (cumulative sums) between refusals.
     """
     order = _list(order)
     if minimum is None:
@@ -133,22 +134,44 @@ def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: floa
 
     def fold(batches):
         import numpy as np
+
+        def replay(a, start, bal_out, ok_out):
+            """Balances of one account segment; vectorised up to each refusal,
+            plain loop after a few refusals (keeps the worst case linear)."""
+            i, n, bal, refusals = 0, len(a), start, 0
+            while i < n and refusals < 8:
+                cs = bal + np.cumsum(a[i:])
+                bad = np.flatnonzero((a[i:] < 0) & (cs < lo))
+                if len(bad) == 0:
+                    bal_out[i:], ok_out[i:] = cs, True
+                    return cs[-1]
+                j = bad[0]
+                bal_out[i:i + j], ok_out[i:i + j] = cs[:j], True
+                bal = cs[j - 1] if j > 0 else bal
+                bal_out[i + j], ok_out[i + j] = bal, False
+                i, refusals = i + j + 1, refusals + 1
+            for k in range(i, n):
+                x = a[k]
+                if x >= 0 or bal + x >= lo:
+                    bal += x
+                    ok_out[k] = True
+                else:
+                    ok_out[k] = False
+                bal_out[k] = bal
+            return bal
+
         cur_acct, bal = None, 0.0
         for pdf in batches:
             accts = pdf[account].to_numpy()
             amts = pdf[amount].to_numpy(dtype="float64")
             out_bal = np.empty(len(pdf))
             ok = np.empty(len(pdf), dtype=bool)
-            for i in range(len(pdf)):
-                if accts[i] != cur_acct:
-                    cur_acct, bal = accts[i], 0.0
-                a = amts[i]
-                if a >= 0 or bal + a >= lo:
-                    bal += a
-                    ok[i] = True
-                else:
-                    ok[i] = False
-                out_bal[i] = bal
+            starts = np.flatnonzero(np.r_[True, accts[1:] != accts[:-1]]) if len(pdf) else []
+            bounds = list(starts) + [len(pdf)]
+            for s0, s1 in zip(bounds[:-1], bounds[1:]):
+                start = bal if accts[s0] == cur_acct else 0.0
+                bal = replay(amts[s0:s1], start, out_bal[s0:s1], ok[s0:s1])
+                cur_acct = accts[s0]
             pdf[balance] = out_bal
             pdf[accepted] = ok
             yield pdf

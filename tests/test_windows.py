@@ -90,3 +90,27 @@ def test_sessionize_epoch_seconds_column_and_zone_independence(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     utc = {r["event_id"]: r["prev_ts_us"] for r in windows.sessionize(ev, ["user_id"], "ts", "event_id", 900).collect()}
     assert ny == utc
+
+
+def test_replay_ledger_minimum_across_small_batches(spark):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(600):
+        acct = rnd.choice(["rich", "poor", "mid"])
+        amt = {"rich": rnd.randint(-50, 200), "poor": rnd.randint(-60, 40), "mid": rnd.randint(-80, 80)}[acct]
+        rows.append((i, acct, float(amt)))
+    df = spark.createDataFrame(rows, "id long, acct string, amount double")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        got = {r["id"]: (r["balance"], r["accepted"])
+               for r in windows.replay_ledger(df, "acct", ["id"], "amount", minimum=10.0, partitions=2).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    bal = {}
+    for i, a, amt in rows:
+        b = bal.get(a, 0.0)
+        ok = amt >= 0 or b + amt >= 10.0
+        b = b + amt if ok else b
+        bal[a] = b
+        assert got[i] == (b, ok), i
