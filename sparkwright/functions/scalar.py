@@ -85,6 +85,19 @@ def round_half_even(v, scale: int = 0) -> Column:
     return F.rint(_c(v)) if scale == 0 else F.bround(_c(v), scale)
 
 
+def round_half_away(v, scale: int = 0) -> Column:
+    """Round to ``scale`` decimals, half away from zero, on the binary value:
+    round(x * 10^scale) / 10^scale, the rounding SQL engines apply to DOUBLE.
+
+    ``F.round(x, d)`` rounds the shortest decimal form instead, so a double
+    just below a tie (1178.7349999...) whose form reads 1178.735 goes up there
+    and down here. Rounding at scale 0 sees the exact double, so the two
+    agree once the value is scaled.
+    """
+    f = float(10 ** scale)
+    return F.round(_c(v) * f, 0) / f
+
+
 def months_between_whole(start, end) -> Column:
     """Elapsed days / 30.436875, rounded half-even: whole months.
 

@@ -89,14 +89,14 @@ def spend_by_customer(spark, root):
     """Total spent per customer (rounded to cents)."""
     o = table(spark, root, "orders")
     s = agg.sum_by_key(o, "o_custkey", "o_totalprice", "total_spent")
-    return s.select("o_custkey", F.round("total_spent", 2).alias("total_spent"))
+    return s.select("o_custkey", scalar.round_half_away("total_spent", 2).alias("total_spent"))
 
 
 def spend_sorted(spark, root):
     """Total spent and order count per customer, sorted by (amount, customer)."""
     o = table(spark, root, "orders")
     s = agg.sum_by_key(o, "o_custkey", "o_totalprice", "total_spent", count_name="n_orders")
-    return s.select("o_custkey", F.round("total_spent", 2).alias("total_spent"), "n_orders") \
+    return s.select("o_custkey", scalar.round_half_away("total_spent", 2).alias("total_spent"), "n_orders") \
         .orderBy("total_spent", "o_custkey")
 
 

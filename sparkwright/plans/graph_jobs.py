@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkwright.functions import scalar
 from sparkwright.operators import agg, graph, joins, similarity, topk
 from sparkwright.sources.tables import table
 
@@ -75,14 +76,14 @@ def degrees_hit(spark, root):
 def item_similarity(spark, root):
     """Cosine similarity and strength of every co-rated item pair (blocked Gram product)."""
     s = similarity.cosine_pairs(ratings(spark, root), "o_custkey", "l_suppkey", "rating")
-    return s.select("item_a", "item_b", F.round("score", 6).alias("score"), "strength")
+    return s.select("item_a", "item_b", scalar.round_half_away("score", 6).alias("score"), "strength")
 
 
 def similar_to_item(spark, root):
     """Top items similar to one item, above score and strength thresholds."""
     s = similarity.similar_to(ratings(spark, root), "o_custkey", "l_suppkey", "rating",
                               SIM_TARGET, MIN_SCORE, MIN_STRENGTH, TOP_K)
-    return s.select("other", F.round("score", 6).alias("score"), "strength")
+    return s.select("other", scalar.round_half_away("score", 6).alias("score"), "strength")
 
 
 JOBS = {

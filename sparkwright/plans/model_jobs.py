@@ -59,9 +59,9 @@ def linear_ols(spark, root):
     """Unregularised simple regression of price on quantity (slope, intercept, r2)."""
     li = table(spark, root, "lineitem")
     y, x = F.col("l_extendedprice"), F.col("l_quantity")
-    return li.agg(F.round(F.regr_slope(y, x), 6).alias("slope"),
-                  F.round(F.regr_intercept(y, x), 6).alias("intercept"),
-                  F.round(F.regr_r2(y, x), 6).alias("r2"), F.regr_count(y, x).alias("n"))
+    return li.agg(scalar.round_half_away(F.regr_slope(y, x), 6).alias("slope"),
+                  scalar.round_half_away(F.regr_intercept(y, x), 6).alias("intercept"),
+                  scalar.round_half_away(F.regr_r2(y, x), 6).alias("r2"), F.regr_count(y, x).alias("n"))
 
 
 def _split_reg(spark, root):
@@ -114,7 +114,7 @@ def user_ratings(spark, root):
     """The ratings the recommended-for customer gave (listed beside the recommendations)."""
     r = ratings(spark, root)
     return r.filter(F.col("o_custkey") == ALS_USER).select(
-        F.col("l_suppkey").alias("item"), F.round("rating", 6).alias("rating"))
+        F.col("l_suppkey").alias("item"), scalar.round_half_away("rating", 6).alias("rating"))
 
 
 def _features(spark, root):

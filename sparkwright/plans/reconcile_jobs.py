@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkwright.functions import scalar
 from sparkwright.operators import reconcile as R
 from sparkwright.sources.tables import table
 
@@ -47,7 +48,7 @@ def tenancies(spark, root):
         F.timestamp_add("DAY", F.pmod(F.floor("o_totalprice"), F.lit(730)).cast("int"),
                         F.col("o_orderdate").cast("timestamp")).alias("dteVacatingDate"),
         freq.alias("strRentalFrequency"), svc.alias("strServiceProvided"),
-        F.round(F.col("o_totalprice") / 100.0, 2).alias("dblRentalAmount"),
+        (F.col("o_totalprice") / 100.0).alias("dblRentalAmount"),
         F.when(F.col("o_orderstatus") == "O", "Active").otherwise("Ended").alias("Tenancy Status"))
 
 
@@ -66,7 +67,7 @@ def transactions(spark, root):
          .otherwise(prop).alias("PropertyID"),
         F.col("l_shipdate").cast("timestamp").alias("Date"), desc.alias("Description"),
         F.when(F.col("l_linenumber") <= 2, "PLI").otherwise("PLX").alias("Type"),
-        F.when(F.col("l_tax") < 0.04, F.lit(295.0)).otherwise(F.round(F.col("l_extendedprice") / 100.0, 2))
+        F.when(F.col("l_tax") < 0.04, F.lit(295.0)).otherwise(F.col("l_extendedprice") / 100.0)
          .alias("Net"),
         (F.col("l_discount") >= 0.09).alias("blnDeleted"))
 
@@ -85,7 +86,7 @@ def reconcile(spark, root):
     m, _ = _run(spark, root)
     return m.select(F.col("TenancyID").alias("tenancy_id"), F.col("O_ID_B").alias("o_id_b"),
                     F.col("P_ID_B").alias("p_id_b"), F.col("Tenancy Length").alias("tenancy_length"),
-                    F.round("Monthly Rent", 6).alias("monthly_rent"), F.round("Cost", 6).alias("cost"),
+                    scalar.round_half_away("Monthly Rent", 6).alias("monthly_rent"), scalar.round_half_away("Cost", 6).alias("cost"),
                     F.col("Net").alias("net"), F.col("Description").alias("description"),
                     F.col("Potential Interest").alias("potential_interest"), F.col("Error").alias("error"))
 
@@ -110,9 +111,9 @@ def reconcile_tables(spark, root):
     return rows.select(
         "table_no", F.to_date("dteOccupiedDate").alias("occupied"), F.col("TenancyID").alias("tenancy_id"),
         F.col("strServiceProvided").alias("service"),
-        only(F.round("Monthly Rent", 6), (1, 2), "monthly_rent"),
+        only(scalar.round_half_away("Monthly Rent", 6), (1, 2), "monthly_rent"),
         only(F.col("Tenancy Length"), (1, 2), "tenancy_length"),
-        only(F.col("Net"), (1, 2), "net"), only(F.round("Cost", 6), (1, 2), "cost"),
+        only(F.col("Net"), (1, 2), "net"), only(scalar.round_half_away("Cost", 6), (1, 2), "cost"),
         only(F.col("Description"), (2,), "description"),
         only(F.col("dblRentalAmount"), (3, 4), "rental_amount"),
         only(F.col("Tenancy Status"), (3, 4), "status"))
@@ -126,8 +127,8 @@ def reconcile_stats(spark, root):
 def reconcile_shares(spark, root):
     """Share of each outcome with cumulative pie-slice angles."""
     s = R.shares(R.stats(_frame(spark, root)))
-    return s.select("outcome", "n", F.round("share", 6).alias("share"),
-                    F.round("angle_start", 6).alias("angle_start"), F.round("angle_end", 6).alias("angle_end"))
+    return s.select("outcome", "n", scalar.round_half_away("share", 6).alias("share"),
+                    scalar.round_half_away("angle_start", 6).alias("angle_start"), scalar.round_half_away("angle_end", 6).alias("angle_end"))
 
 
 def reconcile_monthly(spark, root):
@@ -155,7 +156,7 @@ def _base(lo, hi):
     return f"""t AS (
       SELECT o_orderkey AS tid, o_custkey AS owner_x, 'P' || CAST(o_custkey AS VARCHAR) AS prop_x,
         o_orderdate AS occ, o_orderdate + to_days(CAST(floor(o_totalprice) AS BIGINT) % 730) AS vac,
-        {_FREQ_SQL} AS freq, {_SVC_SQL} AS svc, round(o_totalprice / 100.0, 2) AS amount,
+        {_FREQ_SQL} AS freq, {_SVC_SQL} AS svc, o_totalprice / 100.0 AS amount,
         CASE WHEN o_orderstatus = 'O' THEN 'Active' ELSE 'Ended' END AS status
       FROM orders WHERE o_orderdate >= TIMESTAMP '{lo}' AND o_orderdate < TIMESTAMP '{hi}'
         AND o_orderstatus <> 'P'),
@@ -164,7 +165,7 @@ def _base(lo, hi):
         CASE WHEN l_suppkey % 5 = 0 THEN 'P' || CAST(o_custkey AS VARCHAR) || CAST(l_suppkey AS VARCHAR)
              ELSE 'P' || CAST(o_custkey AS VARCHAR) END AS prop_y,
         lower({_DESC_SQL}) AS descr,
-        CASE WHEN l_tax < 0.04 THEN 295.0 ELSE round(l_extendedprice / 100.0, 2) END AS net
+        CASE WHEN l_tax < 0.04 THEN 295.0 ELSE l_extendedprice / 100.0 END AS net
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
       WHERE l_shipdate >= TIMESTAMP '{TXN_LO}' AND l_shipdate < TIMESTAMP '{TXN_HI}'
         AND l_discount < 0.09 AND l_linenumber <= 2 AND contains(lower({_DESC_SQL}), 'letting')),

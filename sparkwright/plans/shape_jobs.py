@@ -50,8 +50,8 @@ def _win_rate(spark, root):
 def win_rate(spark, root):
     """Observed win rate per rounded odds (half-even) next to the implied rate 1/odds."""
     r = _win_rate(spark, root)
-    return r.select("odds_rnd", F.round("win_rate", 6).alias("win_rate"),
-                    F.round("implied_win_rate", 6).alias("implied_win_rate"))
+    return r.select("odds_rnd", scalar.round_half_away("win_rate", 6).alias("win_rate"),
+                    scalar.round_half_away("implied_win_rate", 6).alias("implied_win_rate"))
 
 
 def win_rate_long(spark, root):
@@ -80,7 +80,7 @@ def array_ops(spark, root):
                   F.col("l_linenumber").cast("double"))
     return li.select(
         "l_orderkey", "l_linenumber",
-        F.round(C.array_sum(F.transform(arr, lambda x: x * 2)), 6).alias("doubled_sum"),
+        scalar.round_half_away(C.array_sum(F.transform(arr, lambda x: x * 2)), 6).alias("doubled_sum"),
         F.size(F.filter(arr, lambda x: x > 5)).cast("bigint").alias("n_over_5"),
         F.array_max(arr).alias("arr_max"),
         F.array_contains(arr, 5.0).alias("has_5"),
@@ -88,7 +88,7 @@ def array_ops(spark, root):
         F.size(F.array_distinct(arr)).cast("bigint").alias("n_distinct"),
         F.size(F.concat(arr, F.array(F.col("l_linenumber").cast("double")))).cast("bigint").alias("n_concat"),
         F.element_at(arr, -1).alias("last"),
-        F.round(C.array_sum(F.slice(arr, 2, 2)), 6).alias("mid_sum"),
+        scalar.round_half_away(C.array_sum(F.slice(arr, 2, 2)), 6).alias("mid_sum"),
         C.squares_sum(F.col("l_linenumber")).cast("bigint").alias("sq_sum"),
     )
 
@@ -105,7 +105,7 @@ def map_ops(spark, root):
         C.map_get_or(m, "price", -1.0).alias("price_or_default"),
         F.size(F.map_keys(m)).cast("bigint").alias("n_keys"),
         F.array_join(F.array_sort(F.map_keys(m)), ",").alias("keys_joined"),
-        F.round(C.array_sum(F.map_values(m)), 6).alias("value_sum"),
+        scalar.round_half_away(C.array_sum(F.map_values(m)), 6).alias("value_sum"),
     )
 
 
@@ -142,14 +142,14 @@ def _ledger_input(spark, root):
 def replay_ledger(spark, root):
     """Running balance per user (every entry accepted), ordered by (ts, id)."""
     led = windows.replay_ledger(_ledger_input(spark, root), "user_id", ["ts", "event_id"], "amount")
-    return led.select("event_id", "user_id", F.round("balance", 6).alias("balance"))
+    return led.select("event_id", "user_id", scalar.round_half_away("balance", 6).alias("balance"))
 
 
 def replay_ledger_min(spark, root):
     """Running balance per user where a withdrawal below the minimum is refused."""
     led = windows.replay_ledger(_ledger_input(spark, root), "user_id", ["ts", "event_id"], "amount",
                                 minimum=LEDGER_MIN)
-    return led.select("event_id", "user_id", F.round("balance", 6).alias("balance"), "accepted")
+    return led.select("event_id", "user_id", scalar.round_half_away("balance", 6).alias("balance"), "accepted")
 
 
 JOBS = {

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkwright.functions import scalar
 from sparkwright.operators import interpolate, stats
 from sparkwright.sources.tables import table
 
@@ -24,7 +25,7 @@ BOOT_REPLICATES = 200
 
 
 def _r6(c):
-    return F.round(F.col(c), 6).alias(c)
+    return scalar.round_half_away(F.col(c), 6).alias(c)
 
 
 def describe(spark, root):
@@ -90,7 +91,7 @@ def _knots(spark, root):
     # knots rounded to 9 decimals: engines sum a mean in different orders,
     # and equal knots make the interpolated values equal to the last bit
     return ev.groupBy("user_id", F.unix_date(F.to_date("ts")).cast("double").alias("x")) \
-        .agg(F.round(F.avg("value"), 9).alias("y"))
+        .agg(scalar.round_half_away(F.avg("value"), 9).alias("y"))
 
 
 def interpolate_linear(spark, root):

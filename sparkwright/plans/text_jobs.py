@@ -37,7 +37,7 @@ def doc_entropy(spark, root):
     """Shannon entropy (bits) of each document's whitespace-separated words."""
     docs = table(spark, root, "documents")
     return text.doc_entropy(docs, "doc_id", "text", "entropy") \
-        .select("doc_id", F.round("entropy", 6).alias("entropy"))
+        .select("doc_id", scalar.round_half_away("entropy", 6).alias("entropy"))
 
 
 def clean_text(spark, root):
@@ -50,7 +50,7 @@ def sentiment(spark, root):
     """Polarity and class of every post (lexicon mean over cleaned words)."""
     conv = table(spark, root, "conversations")
     p = text.polarity(text.clean_post("text"))
-    return conv.select("conv_id", "turn", F.round(p, 6).alias("polarity"),
+    return conv.select("conv_id", "turn", scalar.round_half_away(p, 6).alias("polarity"),
                        text.sentiment_class(p).alias("sentiment"))
 
 
@@ -59,7 +59,7 @@ def sentiment_share(spark, root):
     s = sentiment(spark, root)
     counts = agg.count_values(s, "sentiment", "n")
     return agg.share(counts, "n", "share").select(
-        "sentiment", "n", F.round("share", 6).alias("share"))
+        "sentiment", "n", scalar.round_half_away("share", 6).alias("share"))
 
 
 def dedupe_reposts(spark, root):

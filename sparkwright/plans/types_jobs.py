@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkwright.functions import scalar
 from sparkwright.operators import stats, types
 from sparkwright.sources.tables import table
 
@@ -56,9 +57,9 @@ def profile_table(spark, root):
     st = types.column_stats(c).select("column_name", "data_type", "n_rows", "n_nulls", "n_distinct",
                                       "min_value", "max_value")
     num = [n for n, t in CUSTOMER_COLS if t in ("bigint", "int", "double")]
-    d = stats.describe(c, num).select("column_name", F.round("mean", 6).alias("mean"),
-                                      F.round("stddev", 6).alias("stddev"), F.round("q1", 6).alias("q1"),
-                                      F.round("median", 6).alias("median"), F.round("q3", 6).alias("q3"))
+    d = stats.describe(c, num).select("column_name", scalar.round_half_away("mean", 6).alias("mean"),
+                                      scalar.round_half_away("stddev", 6).alias("stddev"), scalar.round_half_away("q1", 6).alias("q1"),
+                                      scalar.round_half_away("median", 6).alias("median"), scalar.round_half_away("q3", 6).alias("q3"))
     return st.join(d, "column_name", "left")
 
 
