@@ -114,6 +114,13 @@ def sql_range_view(spark, root):
         f"WHERE c_acctbal BETWEEN {RANGE_LO} AND {RANGE_HI}")
 
 
+def df_basics(spark, root):
+    """Select, strict less-than filter and column arithmetic in one DataFrame query."""
+    c = table(spark, root, "customer")
+    return c.filter(F.col("c_acctbal") < LT_LIMIT) \
+        .select("c_name", "c_acctbal", (F.col("c_nationkey") + 10).alias("nation_plus_10"))
+
+
 def df_filter_lt(spark, root):
     """Strict less-than filter with a projection."""
     c = table(spark, root, "customer")
@@ -144,6 +151,7 @@ JOBS = {
     "spend_sorted": spend_sorted,
     "count_by_category": count_by_category,
     "sql_range_view": sql_range_view,
+    "df_basics": df_basics,
     "df_filter_lt": df_filter_lt,
     "df_count_by": df_count_by,
     "df_plus_ten": df_plus_ten,
@@ -180,6 +188,8 @@ ORACLE = {
     "sql_range_view": f"""
         SELECT c_custkey, c_name, c_acctbal FROM customer
         WHERE c_acctbal BETWEEN {RANGE_LO} AND {RANGE_HI}""",
+    "df_basics": f"""SELECT c_name, c_acctbal, c_nationkey + 10 AS nation_plus_10 FROM customer
+        WHERE c_acctbal < {LT_LIMIT}""",
     "df_filter_lt": f"SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal < {LT_LIMIT}",
     "df_count_by": "SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1",
     "df_plus_ten": "SELECT c_name, c_nationkey + 10 AS nation_plus_10 FROM customer",

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # delete reliable checkpoint files once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
