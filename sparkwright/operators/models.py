@@ -78,8 +78,9 @@ def fit_linear_gd(df: DataFrame, label: str, features, iters: int = 100, step: f
 
     Update (the classic SGD recipe with mini-batch fraction 1): step_t =
     step / sqrt(t); w <- w (1 - step_t reg) - step_t grad, grad = (X'X w - X'y)/n;
-    stops when the change is below tol * max(|w|, 1). Returns (weights,
-    [1 - MSE after each iteration]).
+    from the second iteration on, stops when the change between the last two
+    iterates is below tol * max(|w|, 1). Returns (weights, [1 - MSE after
+    each iteration]).
     """
     import numpy as np
     g, b, yy, n = gram_stats(df, label, features)
@@ -93,7 +94,7 @@ def fit_linear_gd(df: DataFrame, label: str, features, iters: int = 100, step: f
         new = w * (1.0 - eta * reg) - eta * grad
         mse = (new @ g @ new - 2 * new @ b + yy) / n
         hist.append(1.0 - mse)
-        done = np.linalg.norm(new - w) < tol * max(np.linalg.norm(new), 1.0)
+        done = t > 1 and np.linalg.norm(new - w) < tol * max(np.linalg.norm(new), 1.0)
         w = new
         if done:
             break
