@@ -57,11 +57,14 @@ def java_split_fast(line: Column, parts: Column, sep_regex: str) -> Column:
 
 
 def text_lines(text) -> Column:
-    """Lines of a text as a line reader sees them: split on '\\n', one final
-    line break does not start another line, an empty text has no lines."""
+    """Lines of a text as a line reader sees them: lines end at '\\n', '\\r\\n'
+    or '\\r'; one final terminator does not start another line; an empty text
+    has no lines. Texts without '\\r' take the plain '\\n' split."""
     t = _c(text)
-    body = F.regexp_replace(t, "\n\\z", "")
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n"))
+    nl = F.split(F.regexp_replace(t, "\n\\z", ""), "\n")
+    cr = F.split(F.regexp_replace(t, "(?:\r\n|\r|\n)\\z", ""), "\r\n|\r|\n")
+    return (F.when(t == "", F.array().cast("array<string>"))
+            .when(F.instr(t, "\r") > 0, cr).otherwise(nl))
 
 
 def py_split(text) -> Column:

@@ -82,6 +82,8 @@ JOBS = {
 
 _LINES = r"""lines AS (
   SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[]
+                     WHEN contains(text, chr(13))
+                       THEN regexp_split_to_array(regexp_replace(text, '(?:\r\n|\r|\n)\z', ''), '\r\n|\r|\n')
                      ELSE string_split(regexp_replace(text, '\n\z', ''), chr(10)) END) AS line
   FROM documents)"""
 

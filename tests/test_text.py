@@ -59,3 +59,11 @@ def test_polarity_and_class(spark):
     df = spark.createDataFrame([("good day",), ("bad bad good",), ("nothing here",)], "t string")
     r = df.select(text.polarity(F.col("t")).alias("p")).collect()
     assert [round(x["p"], 6) for x in r] == [0.7, round((-0.7 - 0.7 + 0.7) / 3, 6), 0.0]
+
+
+def test_lines_end_at_any_terminator(spark):
+    from sparkwright.functions import scalar
+    texts = ["a\r\nb\rc\nd\r\n", "x\n\ny\n", "", "no terminator", "\r\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(scalar.text_lines(F.col("t"))).collect()]
+    assert got == [["a", "b", "c", "d"], ["x", "", "y"], [], ["no terminator"], [""]]
