@@ -1,8 +1,10 @@
 """Interpolation of series at new x.
 
-Series are keyed; the windows / groups here are per series, so a series must
-be of bounded length (a daily series is bounded by its number of days, not
-by the data volume: build knots with an aggregate first).
+Linear interpolation works in range pieces, so a series of any length is
+split over tasks. The cubic spline solves one linear system per series in a
+grouped task, so its series must be of bounded length (a daily series is
+bounded by its number of days, not by the data volume: build knots with an
+aggregate first).
 """
 
 from __future__ import annotations
@@ -20,33 +22,46 @@ def regular_grid(knots: DataFrame, series: str, x: str, step: float) -> DataFram
     return g.select(series, (F.col("_lo") + F.col("_k") * step).alias(x))
 
 
-def interpolate_linear(knots: DataFrame, queries: DataFrame, series: str, x: str, y: str) -> DataFrame:
+def interpolate_linear(knots: DataFrame, queries: DataFrame, series: str, x: str, y: str,
+                       partitions: int | None = None) -> DataFrame:
     """Piecewise-linear value at every query x inside its series' knot range.
 
-    Knots and queries are merged per series ordered by (x, knots first); the
-    last knot at or before and the first knot at or after a query come from
-    ``last``/``first`` ignoring nulls. A query on a knot returns that knot's
-    y; outside the range the result is null.
+    Knots and queries are merged per series and ordered by (x, knots first).
+    The merged rows are range-partitioned on (series, x), so a long series is
+    cut into pieces; inside a piece, ``last``/``first`` ignoring nulls give the
+    knot at or before and at or after each query. A summary with one row per
+    (series, piece) supplies the nearest knot from earlier and later pieces
+    when a piece has none. A query on a knot returns that knot's y; outside
+    the knot range the result is null.
     """
+    from pyspark import StorageLevel
+
+    from sparkwright.operators.windows import _ranged, join_back
     k = knots.select(series, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
                      F.lit(0).alias("_q"))
     q = queries.select(series, F.col(x).cast("double").alias("_x"), F.lit(None).cast("double").alias("_y"),
                        F.lit(1).alias("_q"))
-    u = k.unionByName(q)
-    w = Window.partitionBy(series).orderBy("_x", "_q")
+    u = _ranged(k.unionByName(q), [series], ["_x", "_q"], partitions)
+    w = Window.partitionBy(series, "_pid").orderBy("_x", "_q")
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    kx = F.when(F.col("_q") == 0, F.col("_x"))
-    ky = F.when(F.col("_q") == 0, F.col("_y"))
-    u = u.select(series, "_x", "_q",
-                 F.last(kx, ignorenulls=True).over(before).alias("x0"),
-                 F.last(ky, ignorenulls=True).over(before).alias("y0"),
-                 F.first(kx, ignorenulls=True).over(after).alias("x1"),
-                 F.first(ky, ignorenulls=True).over(after).alias("y1"))
-    val = (F.when(F.col("x0") == F.col("_x"), F.col("y0"))
-            .otherwise(F.col("y0") + (F.col("y1") - F.col("y0")) * (F.col("_x") - F.col("x0"))
-                       / (F.col("x1") - F.col("x0"))))
-    return u.filter(F.col("_q") == 1).select(series, F.col("_x").alias(x), val.alias(y))
+    knot = F.when(F.col("_q") == 0, F.struct(F.col("_x").alias("x"), F.col("_y").alias("y")))
+    u = u.select(series, "_pid", "_x", "_y", "_q", F.last(knot, ignorenulls=True).over(before).alias("_k0"),
+                 F.first(knot, ignorenulls=True).over(after).alias("_k1")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    # per piece its last and first knot (struct order: by x), then for every
+    # piece the nearest knot of the earlier and of the later pieces
+    b = u.groupBy(series, "_pid").agg(F.max(knot).alias("_last"), F.min(knot).alias("_first"))
+    wb = Window.partitionBy(series).orderBy("_pid")
+    b = b.select(series, "_pid",
+                 F.last("_last", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_pk"),
+                 F.first("_first", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("_nk"))
+    j = join_back(u.filter(F.col("_q") == 1), b, [series, "_pid"])
+    k0, k1 = F.coalesce("_k0", "_pk"), F.coalesce("_k1", "_nk")
+    x0, y0, x1, y1 = k0["x"], k0["y"], k1["x"], k1["y"]
+    val = (F.when(x0 == F.col("_x"), y0)
+            .otherwise(y0 + (y1 - y0) * (F.col("_x") - x0) / (x1 - x0)))
+    return j.select(series, F.col("_x").alias(x), val.alias(y))
 
 
 def _spline_eval(xk, yk, xq):

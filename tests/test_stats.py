@@ -117,3 +117,27 @@ def test_replicate_quantiles_match_direct_weighted_quantiles(spark):
     assert got.keys() == exp.keys()
     for k in exp:
         assert np.allclose(got[k], exp[k]), k
+
+
+def test_linear_interpolation_pieces_match_single_window(spark):
+    from pyspark.sql import Window
+    rnd = random.Random(12)
+    knots = [("hot", float(x), rnd.uniform(-5, 5)) for x in range(0, 400, 3)]
+    knots += [("s2", float(x), rnd.uniform(-5, 5)) for x in (10, 20, 40)]
+    queries = [("hot", rnd.uniform(-5, 405)) for _ in range(500)] + [("s2", q) for q in (5.0, 10.0, 15.0, 39.0, 50.0)]
+    queries += [("hot", 0.0), ("hot", 399.0), ("empty", 1.0)]
+    k = spark.createDataFrame(knots, "s string, x double, y double")
+    q = spark.createDataFrame(queries, "s string, x double")
+    got = {(r["s"], r["x"]): r["y"] for r in interpolate.interpolate_linear(k, q, "s", "x", "y", partitions=9).collect()}
+    u = k.withColumn("_q", F.lit(0)).unionByName(q.withColumn("y", F.lit(None).cast("double")).withColumn("_q", F.lit(1)))
+    w = Window.partitionBy("s").orderBy("x", "_q")
+    kx, ky = F.when(F.col("_q") == 0, F.col("x")), F.when(F.col("_q") == 0, F.col("y"))
+    e = u.select("s", "x", "_q",
+                 F.last(kx, True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("x0"),
+                 F.last(ky, True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("y0"),
+                 F.first(kx, True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("x1"),
+                 F.first(ky, True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("y1")).filter("_q = 1")
+    val = F.when(F.col("x0") == F.col("x"), F.col("y0")).otherwise(
+        F.col("y0") + (F.col("y1") - F.col("y0")) * (F.col("x") - F.col("x0")) / (F.col("x1") - F.col("x0")))
+    exp = {(r["s"], r["x"]): r["v"] for r in e.select("s", "x", val.alias("v")).collect()}
+    assert got == exp
