@@ -79,9 +79,18 @@ def linear_elastic(spark, root):
              ("train_r2", m.summary.r2), ("iterations", m.summary.totalIterations),
              ("test_rmse", models.evaluate(pred, "label", "rmse")),
              ("test_r2", models.evaluate(pred, "label", "r2"))]
+    rows += [(f"objective_{i}", v) for i, v in enumerate(m.summary.objectiveHistory)]
     return _report(spark, rows)
 
 
+def linear_scored(spark, root):
+    """Every test row scored by the elastic-net model: label, prediction and residual."""
+    train, test = _split_reg(spark, root)
+    m = models.fit_linear(train, "label", max_iter=100)
+    return m.transform(test).select("row_id", "label", "prediction",
+                                    (F.col("label") - F.col("prediction")).alias("residual"))
+
+
 def tree_regression(spark, root):
     """Decision-tree regression: feature importances and test RMSE / r2."""
     train, test = _split_reg(spark, root)
@@ -145,7 +154,17 @@ def linear_shap(spark, root):
     means = {f: float(means_row[f]) for f in CLS_FEATURES}
     sh = models.linear_shap(test.select("doc_id", *CLS_FEATURES), list(m.coefficients), m.intercept,
                             CLS_FEATURES, means)
-    return sh.select("doc_id", "base", *[f"phi_{f}" for f in CLS_FEATURES])
+    return sh.select("doc_id", "base", F.exp("base").alias("exp_base"), *[f"phi_{f}" for f in CLS_FEATURES])
+
+
+def shap_ranking(spark, root):
+    """Features ranked by mean absolute SHAP value over the test documents."""
+    sh = linear_shap(spark, root)
+    long = sh.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.abs(f"phi_{f}").alias("a"))
+                                        for f in CLS_FEATURES])).alias("s")).select("s.*")
+    imp = long.groupBy("feature").agg(F.avg("a").alias("mean_abs_phi"))
+    from pyspark.sql import Window
+    return imp.withColumn("rank", F.row_number().over(Window.orderBy(F.col("mean_abs_phi").desc(), "feature")))
 
 
 def glm_binomial(spark, root):
@@ -181,12 +200,14 @@ JOBS = {
     "linear_sgd": linear_sgd,
     "linear_ols": linear_ols,
     "linear_elastic": linear_elastic,
+    "linear_scored": linear_scored,
     "tree_regression": tree_regression,
     "gbt_regression": gbt_regression,
     "recommend_als": recommend_als,
     "user_ratings": user_ratings,
     "logistic_accuracy": logistic_accuracy,
     "linear_shap": linear_shap,
+    "shap_ranking": shap_ranking,
     "glm_binomial": glm_binomial,
     "label_encode": label_encode,
     "sample_exact": sample_exact,

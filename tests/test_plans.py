@@ -8,7 +8,7 @@ from tests.conftest import SF001
 PANDAS_OK = {"doc_entropy", "item_similarity", "interpolate_cubic", "replay_ledger_min"}
 # model jobs return small report frames built from fitted models: nothing to plan-check
 SKIP = {"linear_sgd", "linear_elastic", "tree_regression", "gbt_regression", "logistic_accuracy",
-        "linear_shap", "glm_binomial", "recommend_als"}
+        "linear_shap", "glm_binomial", "recommend_als", "linear_scored", "shap_ranking"}
 
 
 def _plan(df):
