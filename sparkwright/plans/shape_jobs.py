@@ -133,6 +133,22 @@ def string_ops(spark, root):
     )
 
 
+def math_ops(spark, root):
+    """sqrt, log2, exp, cos, power, square, cube, reciprocal (1/0 -> null) and a row sum of columns."""
+    li = table(spark, root, "lineitem")
+    q, d, t = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
+
+    def r9(c, name):
+        return scalar.round_half_away(c, 9).alias(name)
+
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.sqrt(q).alias("sqrt_qty"), r9(F.log2(q), "log2_qty"), r9(F.exp(d), "exp_disc"),
+        r9(F.cos(t), "cos_tax"), r9(F.pow(d, 2.0), "disc_sq"), (q * q * q).alias("qty_cube"),
+        F.try_divide(F.lit(1.0), F.col("l_linenumber") - 1).alias("recip"),
+        (q + d + t).alias("row_sum"))
+
+
 def _ledger_input(spark, root):
     ev = table(spark, root, "events")
     amt = F.when(F.col("event_type").isin(*_WITHDRAWALS), -F.col("value")).otherwise(F.col("value"))
@@ -162,6 +178,7 @@ JOBS = {
     "array_ops": array_ops,
     "map_ops": map_ops,
     "string_ops": string_ops,
+    "math_ops": math_ops,
     "replay_ledger": replay_ledger,
     "replay_ledger_min": replay_ledger_min,
 }
@@ -222,6 +239,12 @@ ORACLE = {
         repeat(substr(p_type, 1, 3), 2) AS rep,
         array_to_string(list_sort(string_split(p_name, ' ')), '|') AS sorted_words,
         regexp_replace(p_name, 'red', 'Red', 'g') AS name_cap FROM part""",
+    "math_ops": """SELECT l_orderkey, l_linenumber, sqrt(l_quantity) AS sqrt_qty,
+        round(log2(l_quantity), 9) AS log2_qty, round(exp(l_discount), 9) AS exp_disc,
+        round(cos(l_tax), 9) AS cos_tax, round(pow(l_discount, 2.0), 9) AS disc_sq,
+        l_quantity * l_quantity * l_quantity AS qty_cube,
+        CASE WHEN l_linenumber - 1 = 0 THEN NULL ELSE 1.0 / (l_linenumber - 1) END AS recip,
+        l_quantity + l_discount + l_tax AS row_sum FROM lineitem""",
     "replay_ledger": f"""SELECT event_id, user_id, round(sum(amount) OVER (PARTITION BY user_id
           ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS balance
         FROM (SELECT event_id, user_id, ts,
