@@ -197,7 +197,10 @@ def bootstrap_median_ci(df: DataFrame, group: str, value: str, row_id: str,
 
 
 def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
-    """Equal-width histogram over [min, max] (last bin closed) with density.
+    """Equal-width histogram over [min, max] with density, binned exactly as
+    numpy does (A22): edges lo + i * step (the last edge is max itself), index
+    floor((v - lo) * (bins / (max - min))) corrected against those edges, the
+    last bin closed; density n / (total * edge width).
 
     Returns every bin, empty ones included: (bin, lo, hi, n, density).
     """
@@ -206,20 +209,28 @@ def histogram(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
     st = st.select(F.when(F.col("mx") > F.col("mn"), F.col("mn")).otherwise(F.col("mn") - 0.5).alias("lo0"),
                    F.when(F.col("mx") > F.col("mn"), F.col("mx")).otherwise(F.col("mx") + 0.5).alias("hi0"),
                    "tot")
-    st = st.withColumn("w", (F.col("hi0") - F.col("lo0")) / bins)
     # the bounds are one aggregate row, bound as literals (see ``hexbin``)
     r = st.collect()[0]
     if r["tot"] == 0:
         return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint, density double")
-    lo0, hi0 = F.lit(float(r["lo0"])), F.lit(float(r["hi0"]))
-    b = v.select(F.least(F.floor((F.col("v") - lo0) * bins / (hi0 - lo0)),
-                         F.lit(bins - 1)).cast("int").alias("bin"))
+    lo0, hi0, tot = float(r["lo0"]), float(r["hi0"]), int(r["tot"])
+    step, norm = (hi0 - lo0) / bins, bins / (hi0 - lo0)
+
+    def edge(i):
+        return F.when(i >= bins, F.lit(hi0)).otherwise(i.cast("double") * step + lo0)
+
+    i0 = F.floor((F.col("v") - lo0) * norm).cast("int")
+    i1 = F.when(i0 >= bins, F.lit(bins - 1)).otherwise(i0)
+    b = v.select("v", i1.alias("_i1"))
+    b = b.select("v", F.when(F.col("v") < edge(F.col("_i1")), F.col("_i1") - 1).otherwise(F.col("_i1")).alias("_i2"))
+    b = b.select(F.when((F.col("v") >= edge(F.col("_i2") + 1)) & (F.col("_i2") != bins - 1), F.col("_i2") + 1)
+                 .otherwise(F.col("_i2")).alias("bin"))
     counts = b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    allb = st.select("lo0", "w", "tot", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    allb = v.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     out = allb.join(counts, "bin", "left").fillna(0, ["n"])
-    return out.select("bin", (F.col("lo0") + F.col("bin") * F.col("w")).alias("lo"),
-                      (F.col("lo0") + (F.col("bin") + 1) * F.col("w")).alias("hi"), "n",
-                      (F.col("n") / (F.col("tot") * F.col("w"))).alias("density"))
+    lo_e, hi_e = edge(F.col("bin")), edge(F.col("bin") + 1)
+    return out.select("bin", lo_e.alias("lo"), hi_e.alias("hi"), "n",
+                      (F.col("n") / (F.lit(float(tot)) * (hi_e - lo_e))).alias("density"))
 
 
 def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 20, mincnt: int = 1) -> DataFrame:

@@ -174,13 +174,21 @@ ORACLE = {
         st0 AS (SELECT CASE WHEN max(v) > min(v) THEN min(v) ELSE min(v) - 0.5 END AS lo0,
                        CASE WHEN max(v) > min(v) THEN max(v) ELSE max(v) + 0.5 END AS hi0,
                        count(*) AS tot FROM v),
-        st AS (SELECT *, (hi0 - lo0) / {BINS} AS w FROM st0),
-        c AS (SELECT CAST(least(floor((v - lo0) * {BINS} / (hi0 - lo0)), {BINS - 1}) AS INTEGER) AS bin,
-                     count(*) AS n FROM v, st GROUP BY 1),
-        g AS (SELECT CAST(unnest(range(0, {BINS})) AS INTEGER) AS bin)
-        SELECT g.bin, round(lo0 + g.bin * w, 6) AS lo, round(lo0 + (g.bin + 1) * w, 6) AS hi,
-          coalesce(c.n, 0) AS n, round(coalesce(c.n, 0) / (tot * w), 6) AS density
-        FROM g CROSS JOIN st LEFT JOIN c USING (bin)""",
+        st AS (SELECT *, (hi0 - lo0) / {BINS} AS step, {BINS} / (hi0 - lo0) AS norm FROM st0),
+        i1 AS (SELECT v, least(CAST(floor((v - lo0) * norm) AS INTEGER), {BINS - 1}) AS i, lo0, hi0, step
+               FROM v, st),
+        i2 AS (SELECT v, CASE WHEN v < (CASE WHEN i >= {BINS} THEN hi0 ELSE CAST(i AS DOUBLE) * step + lo0 END)
+                         THEN i - 1 ELSE i END AS i, lo0, hi0, step FROM i1),
+        i3 AS (SELECT CASE WHEN v >= (CASE WHEN i + 1 >= {BINS} THEN hi0 ELSE CAST(i + 1 AS DOUBLE) * step + lo0 END)
+                            AND i <> {BINS - 1} THEN i + 1 ELSE i END AS bin FROM i2),
+        c AS (SELECT bin, count(*) AS n FROM i3 GROUP BY bin),
+        g AS (SELECT CAST(unnest(range(0, {BINS})) AS INTEGER) AS bin),
+        e AS (SELECT g.bin, CASE WHEN g.bin >= {BINS} THEN hi0 ELSE CAST(g.bin AS DOUBLE) * step + lo0 END AS lo,
+                     CASE WHEN g.bin + 1 >= {BINS} THEN hi0 ELSE CAST(g.bin + 1 AS DOUBLE) * step + lo0 END AS hi,
+                     tot FROM g CROSS JOIN st)
+        SELECT e.bin, round(lo, 6) AS lo, round(hi, 6) AS hi, coalesce(c.n, 0) AS n,
+          round(coalesce(c.n, 0) / (tot * (hi - lo)), 6) AS density
+        FROM e LEFT JOIN c USING (bin)""",
     "hexbin": f"""WITH p AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem
                         WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
         st AS (SELECT min(x) - 1e-9 * (max(x) - min(x)) AS xmin, max(x) + 1e-9 * (max(x) - min(x)) AS xmax,

@@ -141,3 +141,15 @@ def test_linear_interpolation_pieces_match_single_window(spark):
         F.col("y0") + (F.col("y1") - F.col("y0")) * (F.col("x") - F.col("x0")) / (F.col("x1") - F.col("x0")))
     exp = {(r["s"], r["x"]): r["v"] for r in e.select("s", "x", val.alias("v")).collect()}
     assert got == exp
+
+
+def test_histogram_matches_numpy(spark):
+    rng = np.random.default_rng(4)
+    vals = np.round(rng.lognormal(1.5, 1.0, 3000), 2)
+    df = spark.createDataFrame([(float(x),) for x in vals], "v double")
+    h = stats.histogram(df, "v", 100).orderBy("bin").collect()
+    counts, edges = np.histogram(vals, bins=100)
+    dens, _ = np.histogram(vals, bins=100, density=True)
+    assert [r["n"] for r in h] == list(counts)
+    assert [r["lo"] for r in h] == list(edges[:-1]) and [r["hi"] for r in h] == list(edges[1:])
+    assert np.allclose([r["density"] for r in h], dens, rtol=1e-12)
