@@ -108,36 +108,15 @@ def previous(df: DataFrame, keys, order, col: str, name: str) -> DataFrame:
     return df.withColumn(name, F.lag(col).over(w))
 
 
-def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: float | None = None,
-                  balance: str = "balance", accepted: str = "accepted",
-                  partitions: int | None = None) -> DataFrame:
-    """Replay deposits (amount > 0) and withdrawals (amount < 0) per account.
-
-    Without a minimum every entry is accepted and the balance is a running
-    sum (split-safe, see ``running_sum``). With a minimum a withdrawal is
-    refused when it would take the balance below it; that recurrence is
-    sequential per account, so rows are hash-partitioned by account, sorted
-    by (account, order) and folded in a stream of Arrow batches, carrying the
-    balance from batch to batch: memory stays at one batch however large an
-    account is (its time does not: one account is one sequence). Within a
-    batch the fold is vectorised (cumulative sums) between refusals.
-    """
-    order = _list(order)
-    if minimum is None:
-        out = running_sum(df, [account], order, amount, balance, partitions)
-        return out.withColumn(accepted, F.lit(True))
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    srt = df.repartition(n, account).sortWithinPartitions(account, *order)
-    schema = T.StructType(srt.schema.fields + [T.StructField(balance, T.DoubleType()),
-                                               T.StructField(accepted, T.BooleanType())])
-    lo = float(minimum)
+def _fold_fn(seg_keys, amount: str, start_col: str | None, lo: float, balance: str, accepted: str):
+    """mapInPandas body: fold sorted rows segment by segment (segments = runs of
+    equal ``seg_keys``), starting each segment at ``start_col`` (or 0), and
+    carry the balance across Arrow batches. Vectorised between refusals."""
 
     def fold(batches):
         import numpy as np
 
         def replay(a, start, bal_out, ok_out):
-            """Balances of one account segment; vectorised up to each refusal,
-            plain loop after a few refusals (keeps the worst case linear)."""
             i, n, bal, refusals = 0, len(a), start, 0
             while i < n and refusals < 8:
                 cs = bal + np.cumsum(a[i:])
@@ -150,7 +129,7 @@ def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: floa
                 bal = cs[j - 1] if j > 0 else bal
                 bal_out[i + j], ok_out[i + j] = bal, False
                 i, refusals = i + j + 1, refusals + 1
-            for k in range(i, n):
+            for k in range(i, n):        # many refusals: plain loop, linear
                 x = a[k]
                 if x >= 0 or bal + x >= lo:
                     bal += x
@@ -160,23 +139,130 @@ def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: floa
                 bal_out[k] = bal
             return bal
 
-        cur_acct, bal = None, 0.0
+        cur, bal = None, 0.0
         for pdf in batches:
-            accts = pdf[account].to_numpy()
+            n = len(pdf)
+            keys = list(zip(*[pdf[k].tolist() for k in seg_keys])) if n else []
             amts = pdf[amount].to_numpy(dtype="float64")
-            out_bal = np.empty(len(pdf))
-            ok = np.empty(len(pdf), dtype=bool)
-            starts = np.flatnonzero(np.r_[True, accts[1:] != accts[:-1]]) if len(pdf) else []
-            bounds = list(starts) + [len(pdf)]
-            for s0, s1 in zip(bounds[:-1], bounds[1:]):
-                start = bal if accts[s0] == cur_acct else 0.0
-                bal = replay(amts[s0:s1], start, out_bal[s0:s1], ok[s0:s1])
-                cur_acct = accts[s0]
+            starts = pdf[start_col].to_numpy(dtype="float64") if start_col else None
+            out_bal, ok = np.empty(n), np.empty(n, dtype=bool)
+            i = 0
+            while i < n:
+                j = i + 1
+                while j < n and keys[j] == keys[i]:
+                    j += 1
+                start = bal if keys[i] == cur else (float(starts[i]) if start_col else 0.0)
+                bal = replay(amts[i:j], start, out_bal[i:j], ok[i:j])
+                cur, i = keys[i], j
             pdf[balance] = out_bal
             pdf[accepted] = ok
             yield pdf
 
-    return srt.mapInPandas(fold, schema)
+    return fold
+
+
+def _fold(df: DataFrame, seg_keys, order, amount, start_col, lo, balance, accepted, n) -> DataFrame:
+    srt = df.repartition(n, *seg_keys).sortWithinPartitions(*seg_keys, *order)
+    schema = T.StructType(srt.schema.fields + [T.StructField(balance, T.DoubleType()),
+                                               T.StructField(accepted, T.BooleanType())])
+    return srt.mapInPandas(_fold_fn(seg_keys, amount, start_col, lo, balance, accepted), schema)
+
+
+def _propagate(s: DataFrame, account: str, lo: float) -> DataFrame:
+    """Resolve piece start / end balances from each account's frontier (the
+    first piece whose end is unknown) through every piece that cannot refuse
+    a withdrawal: a piece starting at >= minimum + its withdrawals accepts
+    them all, so its end is start + net. Stops at the first piece that might
+    refuse (its start is set, its end is left for an exact replay)."""
+    wa, whole = Window.partitionBy(account).orderBy("_pid"), Window.partitionBy(account)
+    s = s.withColumn("_s0", F.coalesce("_start", F.lag("_end").over(wa)))
+    s = s.withColumn("_f", F.min(F.when(F.col("_end").isNull(), F.col("_pid"))).over(whole))
+    s = s.withColumn("_sf", F.max(F.when(F.col("_pid") == F.col("_f"), F.col("_s0"))).over(whole))
+    after = F.col("_pid") >= F.col("_f")
+    s = s.withColumn("_cum", F.coalesce(F.sum(F.when(after, F.col("_net"))).over(
+        wa.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    st = F.col("_sf") + F.col("_cum")
+    fast = (F.col("_wd") == 0) | (st >= lo + F.col("_wd"))
+    s = s.withColumn("_st", st).withColumn("_g", F.min(F.when(after & ~fast, F.col("_pid"))).over(whole))
+    upto_g = after & (F.col("_g").isNull() | (F.col("_pid") <= F.col("_g")))
+    before_g = after & (F.col("_g").isNull() | (F.col("_pid") < F.col("_g")))
+    return s.select(account, "_pid", "_net", "_wd",
+                    F.when(upto_g, F.col("_st")).otherwise(F.col("_s0")).alias("_start"),
+                    F.when(before_g, F.col("_st") + F.col("_net")).otherwise(F.col("_end")).alias("_end"))
+
+
+def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: float | None = None,
+                  balance: str = "balance", accepted: str = "accepted",
+                  partitions: int | None = None, method: str = "stream", max_rounds: int = 4) -> DataFrame:
+    """Replay deposits (amount > 0) and withdrawals (amount < 0) per account.
+
+    Without a minimum every entry is accepted and the balance is a running
+    sum (split-safe, see ``running_sum``). With a minimum a withdrawal is
+    refused when it would take the balance below it: a sequential rule.
+
+    ``method="stream"`` (default) folds every account in one sorted stream:
+    rows are hash-partitioned by account, sorted and folded in Arrow batches
+    with the balance carried between batches (memory of one batch, time of
+    the whole account). It adds amounts one by one, exactly as the sequential
+    rule does.
+
+    ``method="pieces"`` is for accounts too large for one task. It cuts each
+    account into range pieces and
+    resolves the pieces' start balances in rounds. A piece that starts at or
+    above minimum + its withdrawals can refuse nothing (its end is start +
+    net), so a window over the small piece summary carries the balance
+    through such pieces, and only the first piece that might refuse is
+    replayed exactly in each round. Then every piece is replayed in parallel
+    from its start. Accounts still unresolved after ``max_rounds`` (balances
+    hovering at the minimum) fold their remaining pieces in one sorted
+    stream. Piece starts are sums of piece totals, so balances equal the
+    sequential fold up to floating-point association (last bits), and a
+    balance landing exactly on the minimum can be decided differently.
+    Integer amounts (e.g. cents) are exact either way.
+    """
+    from pyspark import StorageLevel
+
+    from sparkwright.session import ensure_checkpoint_dir
+    order = _list(order)
+    if minimum is None:
+        out = running_sum(df, [account], order, amount, balance, partitions)
+        return out.withColumn(accepted, F.lit(True))
+    lo = float(minimum)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if method == "stream":
+        return _fold(df, [account], order, amount, None, lo, balance, accepted, n)
+    ensure_checkpoint_dir(df.sparkSession)
+    cols = df.columns
+    r = _ranged(df, [account], order, n).persist(StorageLevel.MEMORY_AND_DISK)
+    s = r.groupBy(account, "_pid").agg(
+        F.sum(F.col(amount).cast("double")).alias("_net"),
+        F.sum(F.when(F.col(amount) < 0, -F.col(amount)).otherwise(F.lit(0.0)).cast("double")).alias("_wd"))
+    first = F.row_number().over(Window.partitionBy(account).orderBy("_pid")) == 1
+    s = s.select(account, "_pid", "_net", "_wd", F.when(first, F.lit(0.0)).alias("_start"),
+                 F.lit(None).cast("double").alias("_end")).checkpoint()
+    for _ in range(max_rounds):
+        s = _propagate(s, account, lo).checkpoint()
+        slow = s.filter(F.col("_start").isNotNull() & F.col("_end").isNull()).select(account, "_pid", "_start")
+        if slow.limit(1).count() == 0:
+            break
+        rows = join_back(r.select(*cols, "_pid"), slow, [account, "_pid"])
+        done = _fold(rows, [account, "_pid"], order, amount, "_start", lo, balance, accepted, n)
+        ends = done.groupBy(account, "_pid").agg(F.max_by(balance, F.struct(*order)).alias("_e"))
+        ends = ends.withColumnRenamed(account, "_acct_e").withColumnRenamed("_pid", "_pid_e")
+        j = s.join(ends, s[account].eqNullSafe(ends["_acct_e"]) & (s["_pid"] == ends["_pid_e"]), "left")
+        s = j.select(account, "_pid", "_net", "_wd", "_start",
+                     F.coalesce("_end", "_e").alias("_end")).checkpoint()
+    s = _propagate(s, account, lo)
+    whole = Window.partitionBy(account)
+    s = s.withColumn("_f", F.min(F.when(F.col("_end").isNull(), F.col("_pid"))).over(whole)).checkpoint()
+    par = s.filter(F.col("_f").isNull() | (F.col("_pid") < F.col("_f"))).select(account, "_pid", "_start")
+    fb = s.filter(F.col("_pid") == F.col("_f")).select(account, F.col("_pid").alias("_fpid"),
+                                                       F.col("_start").alias("_fstart"))
+    rp = join_back(r.select(*cols, "_pid"), par, [account, "_pid"])
+    out_par = _fold(rp, [account, "_pid"], order, amount, "_start", lo, balance, accepted, n)
+    rf = join_back(r.select(*cols, "_pid"), fb, [account]).filter(F.col("_pid") >= F.col("_fpid"))
+    out_fb = _fold(rf, [account], order, amount, "_fstart", lo, balance, accepted, n)
+    return out_par.select(*cols, balance, accepted).unionByName(out_fb.select(*cols, balance, accepted))
 
 
 def first_by_order(value: str, order: list[str]) -> Column:
