@@ -28,7 +28,7 @@ def _list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def join_back(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+def join_back(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null matches null (a null key is a group of
     its own, as in ``Window.partitionBy``); keeps the left key columns."""
     ren = {k: f"_r_{k}" for k in keys}
@@ -37,7 +37,7 @@ def join_back(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     for k in keys:
         c = left[k].eqNullSafe(r[ren[k]])
         cond = c if cond is None else cond & c
-    return left.join(r, cond, "inner").drop(*ren.values())
+    return left.join(r, cond, how).drop(*ren.values())
 
 
 def _ranged(df: DataFrame, keys, order, partitions: int | None) -> DataFrame:
@@ -248,10 +248,8 @@ def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: floa
         rows = join_back(r.select(*cols, "_pid"), slow, [account, "_pid"])
         done = _fold(rows, [account, "_pid"], order, amount, "_start", lo, balance, accepted, n)
         ends = done.groupBy(account, "_pid").agg(F.max_by(balance, F.struct(*order)).alias("_e"))
-        ends = ends.withColumnRenamed(account, "_acct_e").withColumnRenamed("_pid", "_pid_e")
-        j = s.join(ends, s[account].eqNullSafe(ends["_acct_e"]) & (s["_pid"] == ends["_pid_e"]), "left")
-        s = j.select(account, "_pid", "_net", "_wd", "_start",
-                     F.coalesce("_end", "_e").alias("_end")).checkpoint()
+        s = join_back(s, ends, [account, "_pid"], how="left").select(
+            account, "_pid", "_net", "_wd", "_start", F.coalesce("_end", "_e").alias("_end")).checkpoint()
     s = _propagate(s, account, lo)
     whole = Window.partitionBy(account)
     s = s.withColumn("_f", F.min(F.when(F.col("_end").isNull(), F.col("_pid"))).over(whole)).checkpoint()
