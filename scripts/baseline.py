@@ -20,7 +20,7 @@ def main():
              f"`bench.py` at sf{d['sf']} (`/root/testdata/sf{d['sf']}`), local[{d['cpus']}], Spark {d['spark']}, one JVM",
              "(32 GiB host). Each job runs in full into the no-op sink; the cache is cleared between jobs. The",
              f"reference publishes no timings, so these are our own baseline. Total over {len(q)} jobs: "
-             f"**{d['value']:.1f} s** (run-to-run noise on this host is about 10 %).", "",
+             f"**{d['value']:.1f} s** (see the run-to-run range below).", "",
              "| Job | sec | Job | sec | Job | sec |", "|---|---|---|---|---|---|"]
     items = sorted(q.items())
     for i in range(0, len(items), 3):
