@@ -13,6 +13,7 @@ _MODULES = [
     "sparkwright.plans.reconcile_jobs",
     "sparkwright.plans.types_jobs",
     "sparkwright.plans.model_jobs",
+    "sparkwright.plans.format_jobs",
 ]
 
 

@@ -41,6 +41,19 @@ def read_delimited(spark: SparkSession, path: str, fields, sep: str = ",",
     return df
 
 
+def parse_dimension(lines: DataFrame, order_cols, col: str = "value", sep: str = "|", key: str = "id",
+                    name: str = "name") -> DataFrame:
+    """id -> name from delimited lines (S4): lines with at most one field or a
+    non-integer id are dropped; of a duplicated id the last line by
+    ``order_cols`` wins (an algebraic ``max_by``, partial per task)."""
+    import re
+    parts = F.split(F.col(col), re.escape(sep))
+    rows = lines.filter(F.size(parts) > 1).select(
+        F.get(parts, 0).try_cast("int").alias(key), F.get(parts, 1).alias(name), *order_cols)
+    rows = rows.filter(F.col(key).isNotNull())
+    return rows.groupBy(key).agg(F.max_by(name, F.struct(*order_cols)).alias(name))
+
+
 def read_dimension(spark: SparkSession, path: str, sep: str = "|", key: str = "id",
                    name: str = "name") -> DataFrame:
     """id -> name lookup file (S4): invalid UTF-8 reads as U+FFFD, lines with
@@ -48,14 +61,9 @@ def read_dimension(spark: SparkSession, path: str, sep: str = "|", key: str = "i
 
     "Last" is by position in the file: file name, then offset within it.
     """
-    import re
     raw = spark.read.text(path).select(
         "value", F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_pos"))
-    parts = F.split(F.col("value"), re.escape(sep))
-    rows = raw.filter(F.size(parts) > 1).select(
-        F.get(parts, 0).try_cast("int").alias(key), F.get(parts, 1).alias(name), "_f", "_pos")
-    rows = rows.filter(F.col(key).isNotNull())
-    return rows.groupBy(key).agg(F.max_by(name, F.struct("_f", "_pos")).alias(name))
+    return parse_dimension(raw, ["_f", "_pos"], "value", sep, key, name)
 
 
 def parse_quoted_names(lines: DataFrame, col: str = "value", key: str = "id",
