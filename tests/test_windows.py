@@ -155,3 +155,14 @@ def test_replay_ledger_methods_agree_on_events(spark):
     assert a.keys() == b.keys()
     # same decisions; balances equal up to floating-point association
     assert all(a[k][1] == b[k][1] and abs(a[k][0] - b[k][0]) < 1e-9 for k in b)
+
+
+def test_replay_ledger_null_account_is_its_own_account(spark):
+    rows = [(1, None, 10.0), (2, None, -7.0), (3, None, -7.0), (4, "a", -1.0), (5, "a", 3.0), (6, "a", -2.0)]
+    df = spark.createDataFrame(rows, "id long, acct string, amount double")
+    exp = {1: (10.0, True), 2: (3.0, True), 3: (3.0, False), 4: (0.0, False), 5: (3.0, True), 6: (1.0, True)}
+    for method in ("stream", "pieces"):
+        got = {r["id"]: (r["balance"], r["accepted"])
+               for r in windows.replay_ledger(df, "acct", ["id"], "amount", minimum=0.0, partitions=3,
+                                              method=method).collect()}
+        assert got == exp, method
