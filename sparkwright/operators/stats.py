@@ -165,8 +165,10 @@ def replicate_quantiles(df: DataFrame, group: str, value: str, row_id: str, prob
     targets = blocks.select(*keys, "_b", "_before", F.explode(F.filter(F.array(*tg), inside)).alias("c")) \
         .select(*keys, "_b", (F.col("c.t") - F.col("_before")).alias("_t"), F.col("c.qi").alias("qi"),
                 F.col("c.kind").alias("kind"), F.col("c.frac").alias("frac"))
-    # order only the rows of the target blocks
-    hit = join_back(r, targets.select(*keys, "_b").distinct(), [*keys, "_b"])
+    # order only the rows of the target blocks, one row per rank (a value
+    # repeated in many rows is totalled first, so a window holds <= block ranks)
+    hit = join_back(r, targets.select(*keys, "_b").distinct(), [*keys, "_b"]) \
+        .groupBy(*keys, "_b", "_rank", value).agg(F.sum("_w").alias("_w"))
     wb = Window.partitionBy(*keys, "_b").orderBy("_rank")
     hit = hit.withColumn("_lo", F.coalesce(F.sum("_w").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                                            F.lit(0)))
