@@ -91,7 +91,9 @@ def quantiles(df: DataFrame, groups, value: str, probs, weight: str | None = Non
     ``preaggregate=False`` skips counting rows per (group, value) first: rank
     intervals are exact with repeated values too (each copy gets its own
     consecutive interval), and for nearly unique values the count is an
-    expensive aggregate that removes nothing.
+    expensive aggregate that removes nothing. Only for nearly unique values:
+    range bounds cannot split rows with equal keys, so one value repeated in
+    a third of the rows would land in one piece.
 
     ``approx=True`` uses ``percentile_approx`` instead: one partial-aggregated
     sketch per group and task (bounded memory, relative rank error about

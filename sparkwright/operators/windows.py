@@ -87,7 +87,11 @@ def sessionize(df: DataFrame, keys, ts: str, tie: str, gap_seconds: float,
 
 def running_sum(df: DataFrame, keys, order, value: str, name: str = "running",
                 partitions: int | None = None) -> DataFrame:
-    """Running sum of ``value`` per key in ``order`` (rows frame), split-safe."""
+    """Running sum of ``value`` per key in ``order`` (rows frame), split-safe.
+
+    ``order`` should make rows unique within a key (add a tie-break column):
+    range bounds cannot split rows with equal (key, order), and ties would
+    also make a rows frame order-dependent."""
     keys, order = _list(keys), _list(order)
     r = _ranged(df, keys, order, partitions)
     w = Window.partitionBy(*keys, "_pid").orderBy(*order)
