@@ -33,8 +33,9 @@ _PARTIAL = T.StructType([
 _PAIRS_PER_CHUNK = 4_000_000
 
 
-def _tile_sums(pdf):
-    """Partial co-rating sums of one tile (pandas in, pandas out)."""
+def _tile_sums(pdf, limit: int = _PAIRS_PER_CHUNK):
+    """Partial co-rating sums of one tile (pandas in, pandas out); at most
+    ``limit`` user pairs are materialised at once."""
     import numpy as np
     import pandas as pd
 
@@ -50,22 +51,32 @@ def _tile_sums(pdf):
     nb = len(items_b)
     A = pd.DataFrame({"u": a["user"].to_numpy(), "i": ia, "x": a["rating"].to_numpy()})
     B = pd.DataFrame({"u": b["user"].to_numpy(), "j": ib, "y": b["rating"].to_numpy()})
-    # chunk users so that the pairs materialised at once stay bounded
+    # chunk users so that the pairs materialised at once stay bounded; a user
+    # with more pairs than a chunk is sliced on its A side instead
     per_user = A.groupby("u").size().mul(B.groupby("u").size(), fill_value=0)
     per_user = per_user[per_user > 0]
-    chunk_id = (per_user.cumsum() // _PAIRS_PER_CHUNK).rename("c")
-    A = A.join(chunk_id, on="u", how="inner")
-    B = B.join(chunk_id, on="u", how="inner")
-    # sparse accumulation: memory follows the item pairs that occur, not |A| x |B|
+    heavy = per_user[per_user > limit].index
+    light = per_user[per_user <= limit]
     parts = []
-    for c in np.unique(chunk_id.to_numpy()):
-        m = A[A["c"] == c].merge(B[B["c"] == c], on="u")
+
+    def accumulate(m):
         k = m["i"].to_numpy().astype(np.int64) * nb + m["j"].to_numpy()
         x, y = m["x"].to_numpy(), m["y"].to_numpy()
         uk, inv = np.unique(k, return_inverse=True)
         parts.append(pd.DataFrame({
             "k": uk, "sxy": np.bincount(inv, weights=x * y), "sxx": np.bincount(inv, weights=x * x),
             "syy": np.bincount(inv, weights=y * y), "n": np.bincount(inv)}))
+
+    chunk_id = (light.cumsum() // limit).rename("c")
+    Al = A.join(chunk_id, on="u", how="inner")
+    Bl = B.join(chunk_id, on="u", how="inner")
+    for c in np.unique(chunk_id.to_numpy()):
+        accumulate(Al[Al["c"] == c].merge(Bl[Bl["c"] == c], on="u"))
+    for u in heavy:
+        au, bu = A[A["u"] == u], B[B["u"] == u]
+        step = max(1, limit // max(1, len(bu)))
+        for s0 in range(0, len(au), step):
+            accumulate(au.iloc[s0:s0 + step].merge(bu, on="u"))
     if not parts:
         return empty
     acc = pd.concat(parts).groupby("k", sort=False).sum() if len(parts) > 1 else parts[0].set_index("k")
@@ -84,7 +95,8 @@ def _tile_sums(pdf):
 
 
 def cosine_pairs(ratings: DataFrame, user: str, item: str, rating: str,
-                 item_blocks: int = 4, user_blocks: int | None = None) -> DataFrame:
+                 item_blocks: int = 4, user_blocks: int | None = None,
+                 pairs_per_chunk: int = _PAIRS_PER_CHUNK) -> DataFrame:
     """(item_a, item_b, score, strength) for every item pair a < b with a common user.
 
     ``ratings`` must hold one row per (user, item).
@@ -106,7 +118,8 @@ def cosine_pairs(ratings: DataFrame, user: str, item: str, rating: str,
     rep = r.select("user", "item", "rating", "_ub", F.explode(tiles).alias("_t")) \
         .select("user", "item", "rating", "_ub", F.col("_t.ba").alias("_ba"),
                 F.col("_t.bb").alias("_bb"), F.col("_t.side").alias("_side"))
-    part = rep.groupBy("_ub", "_ba", "_bb").applyInPandas(_tile_sums, _PARTIAL)
+    from functools import partial
+    part = rep.groupBy("_ub", "_ba", "_bb").applyInPandas(partial(_tile_sums, limit=pairs_per_chunk), _PARTIAL)
     s = part.groupBy("item_a", "item_b").agg(
         F.sum("sxy").alias("sxy"), F.sum("sxx").alias("sxx"), F.sum("syy").alias("syy"),
         F.sum("n").alias("strength"))

@@ -76,3 +76,16 @@ def test_similar_to_matches_pairs(spark):
     exp = {row["other"]: (round(row["score"], 9), row["strength"]) for row in exp.collect()}
     got = similarity.similar_to(r, "o_custkey", "l_suppkey", "rating", t, -2.0, 0, k=1000).collect()
     assert {row["other"]: (round(row["score"], 9), row["strength"]) for row in got} == exp
+
+
+def test_cosine_pairs_slices_heavy_users(spark):
+    rnd = random.Random(5)
+    rows = {(0, i) for i in range(40)} | {(1, i) for i in range(0, 40, 2)}
+    for _ in range(200):
+        rows.add((rnd.randint(2, 30), rnd.randint(0, 39)))
+    data = [(u, i, float(rnd.randint(1, 5))) for u, i in sorted(rows)]
+    df = spark.createDataFrame(data, "u long, i long, r double")
+    got = {(r["item_a"], r["item_b"]): (round(r["score"], 9), r["strength"])
+           for r in similarity.cosine_pairs(df, "u", "i", "r", item_blocks=2, user_blocks=2,
+                                            pairs_per_chunk=50).collect()}
+    assert got == _brute(data)
