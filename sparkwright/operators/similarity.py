@@ -118,8 +118,10 @@ def cosine_pairs(ratings: DataFrame, user: str, item: str, rating: str,
     rep = r.select("user", "item", "rating", "_ub", F.explode(tiles).alias("_t")) \
         .select("user", "item", "rating", "_ub", F.col("_t.ba").alias("_ba"),
                 F.col("_t.bb").alias("_bb"), F.col("_t.side").alias("_side"))
-    from functools import partial
-    part = rep.groupBy("_ub", "_ba", "_bb").applyInPandas(partial(_tile_sums, limit=pairs_per_chunk), _PARTIAL)
+    def tile(pdf):
+        return _tile_sums(pdf, pairs_per_chunk)
+
+    part = rep.groupBy("_ub", "_ba", "_bb").applyInPandas(tile, _PARTIAL)
     s = part.groupBy("item_a", "item_b").agg(
         F.sum("sxy").alias("sxy"), F.sum("sxx").alias("sxx"), F.sum("syy").alias("syy"),
         F.sum("n").alias("strength"))
