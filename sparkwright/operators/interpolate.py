@@ -32,7 +32,8 @@ def interpolate_linear(knots: DataFrame, queries: DataFrame, series: str, x: str
     knot at or before and at or after each query. A summary with one row per
     (series, piece) supplies the nearest knot from earlier and later pieces
     when a piece has none. A query on a knot returns that knot's y; outside
-    the knot range the result is null.
+    the knot range the result is null. Rows with the same (series, x) cannot
+    be split by range bounds, so many queries at one x form one piece.
     """
     from pyspark import StorageLevel
 
