@@ -166,3 +166,13 @@ def test_replay_ledger_null_account_is_its_own_account(spark):
                for r in windows.replay_ledger(df, "acct", ["id"], "amount", minimum=0.0, partitions=3,
                                               method=method).collect()}
         assert got == exp, method
+
+
+def test_join_back_null_safe_inner_and_left(spark):
+    left = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, v int")
+    right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, w int")
+    inner = sorted((r["k"] or "", r["v"], r["w"]) for r in windows.join_back(left, right, ["k"]).collect())
+    assert inner == [("", 1, 10), ("a", 2, 20)]
+    lj = windows.join_back(left, right, ["k"], how="left")
+    assert lj.columns == ["k", "v", "w"]
+    assert sorted((r["k"] or "", r["v"], r["w"]) for r in lj.collect()) == [("", 1, 10), ("a", 2, 20), ("b", 3, None)]
