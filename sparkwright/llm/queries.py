@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwright.llm import quality_rules
 from sparkwright.llm.common import read_documents
 
 
@@ -16,7 +17,25 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the threshold table for every document."""
+    from sparkwright.llm.quality_rules import apply_rules
+    return apply_rules(read_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "failed_rules")
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    from sparkwright.llm.licenses import scan
+    return scan(read_documents(spark, sf_dir)).drop("detections")
+
+
 JOBS = {
+    "op3_license_scan": op3_license_scan,
+    "op7_quality_rules": op7_quality_rules,
     "op10_byte_shards": op10_byte_shards,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_quality_rules": quality_rules.oracle_sql(),
+}
