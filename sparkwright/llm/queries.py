@@ -31,8 +31,16 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read_documents(spark, sf_dir)).drop("detections")
 
 
+def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text decoded from them, as digests."""
+    import public_tokenizers
+    from sparkwright.llm.bpe import digests
+    return digests(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 JOBS = {
     "op3_license_scan": op3_license_scan,
+    "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
     "op10_byte_shards": op10_byte_shards,
 }
