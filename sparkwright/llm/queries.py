@@ -38,12 +38,36 @@ def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 13-word runs that start in a smaller document."""
+    from sparkwright.llm.substrings import remove_repeats
+    return remove_repeats(read_documents(spark, sf_dir), 13).select(
+        "doc_id", "n_words", "n_removed",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 JOBS = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_license_scan": op3_license_scan,
     "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
     "op10_byte_shards": op10_byte_shards,
 }
 ORACLE: dict[str, str] = {
+    "op1_substring_dedup": """
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id,
+                  coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents),
+p AS (SELECT rid, doc_id, i, list_aggregate(words[i:i + 12], 'string_agg', ' ') AS win
+      FROM (SELECT rid, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)),
+m AS (SELECT win, min(doc_id) AS least FROM p GROUP BY win),
+f AS (SELECT rid, i FROM p JOIN m USING (win) WHERE least < doc_id),
+c AS (SELECT DISTINCT rid, i + k AS j FROM f, range(13) r(k)),
+g AS (SELECT rid, count(*) AS n, list(j) AS gone FROM c GROUP BY rid),
+x AS (SELECT rid, doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM w),
+k AS (SELECT x.rid, string_agg(word, ' ' ORDER BY x.j) AS kept
+      FROM x LEFT JOIN c ON x.rid = c.rid AND x.j = c.j WHERE c.j IS NULL GROUP BY x.rid)
+SELECT doc_id, len(words)::bigint AS n_words, coalesce(g.n, 0)::bigint AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w LEFT JOIN g ON w.rid = g.rid LEFT JOIN k ON w.rid = k.rid""",
     "op7_quality_rules": quality_rules.oracle_sql(),
 }
