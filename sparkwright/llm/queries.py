@@ -46,8 +46,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    from sparkwright.llm.simhash import near_duplicates
+    return near_duplicates(read_documents(spark, sf_dir), 3, 3).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 JOBS = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_simhash_dedup": op2_simhash_dedup,
     "op3_license_scan": op3_license_scan,
     "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
