@@ -53,10 +53,26 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    from sparkwright.llm.neighbours import search
+    vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+    return search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from sparkwright.llm.style_tree import main_text
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 JOBS = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_license_scan": op3_license_scan,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_html_extraction": op5_html_extraction,
     "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
     "op10_byte_shards": op10_byte_shards,
