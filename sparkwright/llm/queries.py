@@ -67,6 +67,16 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from preference pairs of labelled rows."""
+    from sparkwright.llm.preference import CUT, held_out, score, train
+    docs = read_documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return score(docs, train(docs, labels)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= CUT).cast("int").alias("predicted"))
+
+
 JOBS = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -75,6 +85,7 @@ JOBS = {
     "op5_html_extraction": op5_html_extraction,
     "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_byte_shards": op10_byte_shards,
 }
 ORACLE: dict[str, str] = {
