@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.llm import quality_rules
+from sparkwright.llm import mixing, quality_rules
 from sparkwright.llm.common import read_documents
 
 
@@ -77,6 +77,14 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probability and draw of every document under raked source, language and topic weights."""
+    from sparkwright.llm.mixing import sample
+    return sample(read_documents(spark, sf_dir)).select(
+        "doc_id", "source", "lang", "topic", "n_tokens",
+        F.round("probability", 9).alias("probability"), "selected")
+
+
 JOBS = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -86,6 +94,7 @@ JOBS = {
     "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_source_mixing": op9_source_mixing,
     "op10_byte_shards": op10_byte_shards,
 }
 ORACLE: dict[str, str] = {
@@ -105,4 +114,5 @@ SELECT doc_id, len(words)::bigint AS n_words, coalesce(g.n, 0)::bigint AS n_remo
        sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM w LEFT JOIN g ON w.rid = g.rid LEFT JOIN k ON w.rid = k.rid""",
     "op7_quality_rules": quality_rules.oracle_sql(),
+    "op9_source_mixing": mixing.oracle_sql(),
 }

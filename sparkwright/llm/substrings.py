@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.llm.common import Words, ids_and_texts, mix64
+from sparkwright.llm.common import Words, mix64
 
 #: Suffixes in a group, bytes of text in a block, frequent prefixes of one length at most.
 GROUP, BLOCK, MOST_PREFIXES = 4_000_000, 12_000_000, 16_384
@@ -211,7 +211,8 @@ def _answers(rows: pa.Table) -> pa.Table:
 
 
 def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text",
+                   carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, n_removed, spans, text): words covered by a run of ``size`` words that
     also starts in a document with a smaller id are removed; judged on the input, not on what is
     left. ``spans`` lists the removed ranges (first word, number of words). ``text`` holds the kept
@@ -220,10 +221,12 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
 
     Null texts have no words. A document with a null id stays whole and removes nothing from
     others. Rows of one id do not remove words from one another. Copies of a row are judged alike.
-    An empty table gives no rows. Other columns are left behind.
+    An empty table gives no rows. Other columns are left behind, but for those in ``carry``.
     """
-    texts = ids_and_texts(docs, id_col, text_col)
-    table, n_suffixes, n_bytes = prefix_table(texts, size)
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+                        *[F.col(f"`{c}`").alias(f"carry_{k}") for k, c in enumerate(carry)])
+    table, n_suffixes, n_bytes = prefix_table(texts.select("doc_id", "text"), size)
     groups = max(1, -(-n_suffixes // GROUP))
     blocks = max(1, -(-n_bytes // BLOCK))
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
@@ -265,11 +268,14 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
                          "n_removed": pa.array(n_gone, pa.int64()),
                          "spans": pa.array(spans, pa.list_(pa.struct([("first_word", pa.int64()),
                                                                       ("words", pa.int64())]))),
-                         "text": pa.array(kept, pa.string())})
+                         "text": pa.array(kept, pa.string())}
+                        | {f"carry_{k}": rows.column(f"carry_{k}") for k in range(len(carry))})
 
-    asked = dealt.groupBy("block").applyInArrow(
+    asked = dealt.select("doc_id", "text", "block").groupBy("block").applyInArrow(
         ask, "block int, part int, documents binary, counts binary, paths binary")
     replies = asked.groupBy("part").applyInArrow(_answers, "block int, part int, bits binary")
-    return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+    kinds = "".join(f", carry_{k} {texts.schema[f'carry_{k}'].dataType.simpleString()}" for k in range(len(carry)))
+    out = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         cut, "doc_id long, n_words long, n_removed long, "
-             "spans array<struct<first_word: bigint, words: bigint>>, text string")
+             "spans array<struct<first_word: bigint, words: bigint>>, text string" + kinds)
+    return out.withColumnsRenamed({f"carry_{k}": c for k, c in enumerate(carry)})
