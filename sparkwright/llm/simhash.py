@@ -169,8 +169,8 @@ def _link_single_bits(value: np.ndarray, lo: np.ndarray, hi: np.ndarray, begin:
 
 def _join_task(batches: Iterator[pa.RecordBatch], begin: int, most: int) -> Iterator[pa.RecordBatch]:
     """Rows (node, side, value, rep) of whole node pairs; side 0 joins itself, or side 1 with 2."""
-    table = pa.Table.from_batches(list(batches))
-    if table.num_rows:
+    if held := [b for b in batches if b.num_rows]:
+        table = pa.Table.from_batches(held)
         node, side, value, rep = (table.column(c).to_numpy() for c in ("node", "side", "value", "rep"))
         value = value.view(np.uint64)
         order = np.lexsort((value, side, node))
