@@ -1,8 +1,8 @@
 """License scans by ordered signature rules, in built-in functions only.
 
-Hundreds of regular expressions, each with a label, a priority, a weight and a keyword. A text
-runs a rule only if its words hold the rule's keyword (one set intersection per text, so that
-texts without any keyword run none). Every rule gives word intervals. Overlaps are resolved per
+Hundreds of regular expressions, each with a label, a priority, a weight and keywords. A text
+runs a rule only if its words hold the rule's keywords (one set intersection per text, so that
+texts without keywords run none). Every rule gives word intervals. Overlaps are resolved per
 text: an interval inside another one goes; of one interval the better priority stays; where two
 overlap in part, the better priority stays.
 
@@ -49,9 +49,9 @@ NAMES = (
     ("python", "python software foundation", ("python",), ("2",)),
     ("unlicense", "the unlicense", ("unlicense",), ()),
     ("wtfpl", "wtfpl", ("wtfpl",), ("2",)),
-    ("cc-by-sa", "cc by sa", ("sa",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nc", "cc by nc", ("nc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nd", "cc by nd", ("nd",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-sa", "cc by sa", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc", "cc by nc", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nd", "cc by nd", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by", "cc by", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by", "creative commons attribution", ("creative",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by-sa", "creative commons attribution share ?alike", ("creative",), ("2 0", "3 0", "4 0")),
@@ -59,18 +59,18 @@ NAMES = (
     ("odbl", "open database", ("database",), ("1 0",)),
     ("ofl", "sil open font", ("sil",), ("1 0", "1 1")),
 )
-#: How a text names a license: words around the name, priority (smaller is better), weight.
-FRAMES = (
-    ("licensed under the {name} licen[sc]e", 1, 1.0),
-    ("licensed under {name}", 2, 0.95),
-    ("released under the {name} licen[sc]e", 1, 1.0),
-    ("distributed under the {name} licen[sc]e", 1, 1.0),
-    ("under the terms of the {name} licen[sc]e", 1, 1.0),
-    ("available under (?:the )?{name}", 2, 0.9),
-    ("subject to the {name} licen[sc]e", 1, 0.95),
-    ("licen[sc]e {name}", 3, 0.8),
-    ("{name} licen[sc]e", 3, 0.8),
-)
+#: How a text names a license: words around the name, the word of them that gates, priority
+#: (smaller is better), weight.
+FRAMES = tuple(
+    frame for spelling in ("license", "licence") for frame in (
+        (f"licensed under the {{name}} {spelling}", "licensed", 1, 1.0),
+        (f"released under the {{name}} {spelling}", "released", 1, 1.0),
+        (f"distributed under the {{name}} {spelling}", "distributed", 1, 1.0),
+        (f"under the terms of the {{name}} {spelling}", "terms", 1, 1.0),
+        (f"subject to the {{name}} {spelling}", "subject", 1, 0.95),
+        (f"{spelling} {{name}}", spelling, 3, 0.8),
+        (f"{{name}} {spelling}", spelling, 3, 0.8))
+) + (("licensed under {name}", "licensed", 2, 0.95), ("available under (?:the )?{name}", "available", 2, 0.9))
 #: Texts that stand for a license without its name: label, words, gating word, priority, weight.
 PHRASES = (
     ("mit", "permission is hereby granted free of charge to any person", "hereby", 1, 1.0),
@@ -93,19 +93,19 @@ PHRASES = (
 class Signature:
     label: str
     words: str  # a regular expression of words, one space between words
-    keyword: str
+    keywords: tuple[str, ...]  # words that a text must hold, all of them
     priority: int
     weight: float
 
 
 def signatures() -> list[Signature]:
     """The ordered rules: every frame of every name, with and without each version, and phrases."""
-    out = [Signature(*p) for p in PHRASES]
+    out = [Signature(label, words, (key,), p, w) for label, words, key, p, w in PHRASES]
     for label, name, keys, versions in NAMES:
         for key in keys:
-            out += [Signature(label, f.format(name=name), key, p, w) for f, p, w in FRAMES]
+            out += [Signature(label, f.format(name=name), (key, k), p, w) for f, k, p, w in FRAMES]
             for v in versions:
-                out.append(Signature(label, f"{name}(?: licen[sc]e)?(?: version| v)? {v}", key, 1, 1.0))
+                out.append(Signature(label, f"{name}(?: licen[sc]e)?(?: version| v)? {v}", (key,), 1, 1.0))
     return out
 
 
@@ -143,7 +143,7 @@ def placed_patterns(rules: list[Signature]) -> list[tuple[str, Signature]]:
                 body = rf"{parts[0]}@(?=(\d+))(\d+)"
             else:
                 body = " ".join([rf"{parts[0]}@(\d+)", *[rf"{p}@\d+" for p in parts[1:-1]], rf"{parts[-1]}@(\d+)"])
-            out.setdefault((rf"(?<![^ ]){body}", s.label, s.keyword), (s, len(parts)))
+            out.setdefault((rf"(?<![^ ]){body}", s.label, s.keywords), (s, len(parts)))
     return [(k[0], s) for k, (s, _) in out.items()]
 
 
@@ -162,7 +162,7 @@ def scan(docs: DataFrame, rules: list[Signature] | None = None, id_col: str = "d
     """
     rules = signatures() if rules is None else rules
     patterns, reach = placed_patterns(rules), longest(rules)
-    keys = sorted({s.keyword for s in rules} | {k for _, _, k in BASE})
+    keys = sorted({k for s in rules for k in s.keywords} | {k for _, _, k in BASE})
     text = F.translate(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), UPPER, LOWER)
     base = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                        F.array_remove(F.split(text, NOT_WORD), "").alias("words"))
@@ -175,15 +175,15 @@ def scan(docs: DataFrame, rules: list[Signature] | None = None, id_col: str = "d
         return F.expr(f"""if(array_contains(keys, '{key}') and n >= {len(words)},
             filter(sequence(0, n - {len(words)}), i -> {same}), cast(array() as array<int>))""")
 
-    found = gated.select(
-        "doc_id", "n", "keys",
-        *[places(w, k).alias(f"b{j}") for j, (w, _, k) in enumerate(BASE)],
-        F.when(F.size("keys") > 0, F.array_join(
-            F.transform("words", lambda w, i: F.concat(w, F.lit("@"), i.cast("string"))), " "))
-        .alias("placed"))
-    table = F.array(*[F.struct(F.lit(s.keyword).alias("keyword"), F.lit(p).alias("pattern"),
+    table = F.array(*[F.struct(F.array(*map(F.lit, s.keywords)).alias("keywords"), F.lit(p).alias("pattern"),
                                F.lit(s.priority).alias("priority"), F.lit(s.label).alias("label"),
                                F.lit(float(s.weight)).alias("weight")) for p, s in patterns])
+    found = gated.select(
+        "doc_id", "n", "words", *[places(w, k).alias(f"b{j}") for j, (w, _, k) in enumerate(BASE)],
+        F.when(F.size("keys") > 0, F.filter(table, lambda r: F.forall(
+            r["keywords"], lambda k: F.array_contains("keys", k)))).alias("rules"))
+    placed = found.withColumn("placed", F.when(F.size("rules") > 0, F.array_join(
+        F.transform("words", lambda w, i: F.concat(w, F.lit("@"), i.cast("string"))), " "))).drop("words")
 
     def run(r):
         ends = F.arrays_zip(F.regexp_extract_all("placed", r["pattern"], F.lit(1)).alias("a"),
@@ -193,8 +193,8 @@ def scan(docs: DataFrame, rules: list[Signature] | None = None, id_col: str = "d
             z["a"].cast("int").alias("start"), (-z["b"].cast("int")).alias("minus_end"),
             r["priority"].alias("priority"), r["label"].alias("label"), r["weight"].alias("weight")))
 
-    hits = found.withColumn("hits", F.when(F.size("keys") > 0, F.sort_array(F.flatten(F.transform(
-        F.filter(table, lambda r: F.array_contains("keys", r["keyword"])), run))))).drop("placed", "keys")
+    hits = placed.withColumn("hits", F.when(F.size("rules") > 0, F.sort_array(F.flatten(
+        F.transform("rules", run))))).drop("placed", "rules")
     # one interval per start stays; so any that overlaps another is among the `reach` before or after
     firsts = hits.withColumn("hits", F.expr(
         "filter(hits, (e, k) -> k = 0 or hits[k - 1].start != e.start)"))

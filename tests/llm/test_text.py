@@ -79,7 +79,7 @@ def plain_scan(text):
     placed = " ".join(f"{x}@{k}" for k, x in enumerate(w))
     hits = set()
     for pattern, s in licenses.placed_patterns(licenses.signatures()):
-        if s.keyword in w:
+        if all(k in w for k in s.keywords):
             hits |= {(int(m[1]), -int(m[2]), s.priority, s.label, s.weight) for m in re.finditer(pattern, placed)}
     best = {}
     for h in sorted(hits):
