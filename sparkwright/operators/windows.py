@@ -2,25 +2,27 @@
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so
 a key holding a third of all rows becomes a third of the job in one task.
-Here the rows are range-partitioned on (key, order): the sampled range bounds
-cut a hot key into many partitions. Each (key, partition) piece is scanned
-with an ordinary window, and a small summary table (one row per key and
-partition, so at most keys + partitions rows) carries the state across piece
-boundaries: the last timestamp for ``lag``, the running total for sums.
-
-The piece-scanned frame feeds both the summary and the final join, so it is
-persisted: both read one materialisation of one range partitioning. (Two
-separately planned range exchanges would sample their bounds separately, and
-piece ids would only agree when the input order is deterministic.)
+Here a key is cut into pieces, each piece is scanned with an ordinary window,
+and a small summary table (one row per key and piece) carries the state across
+piece boundaries: the last timestamp for ``lag``, the running total for sums.
+
+``sessionize`` cuts by time (key and time bucket), which is known from the row
+itself: the rows are hash-shuffled once by key and bucket for the scan and the
+join that brings the summary back; the summary reads a copy of key and time.
+Keys of bounded size need no pieces: one shuffle and a plain window. ``running_sum`` and ``replay_ledger`` take any
+order, so their pieces are sampled ranges of (key, order); the ranged rows are
+written once to the shared folder, because two separately planned range
+exchanges would sample their bounds separately.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkwright.session import write_shared
+
 _UNB = Window.unboundedPreceding
 
 
@@ -47,7 +49,8 @@ def _ranged(df: DataFrame, keys, order, partitions: int | None) -> DataFrame:
 
 def sessionize(df: DataFrame, keys, ts: str, tie: str, gap_seconds: float,
                partitions: int | None = None, flag: str = "session_start_flag",
-               number: str = "session_no", prev: str = "prev_ts_us") -> DataFrame:
+               number: str = "session_no", prev: str = "prev_ts_us",
+               bucket_seconds: float | None = 86_400) -> DataFrame:
     """Session start flags and running session numbers per key.
 
     A row starts a session when it has no previous row of its key, or when
@@ -55,34 +58,50 @@ def sessionize(df: DataFrame, keys, ts: str, tie: str, gap_seconds: float,
     greater than ``gap_seconds``. ``number`` is the running count of starts
     (ROWS UNBOUNDED PRECEDING .. CURRENT ROW). ``prev`` is the previous row's
     time in epoch microseconds. ``ts`` may be a timestamp (with or without
-    zone) or epoch seconds.
+    zone) or epoch seconds. A null key is a key of its own.
+
+    A task holds the rows of a key within ``bucket_seconds``; a smaller bucket
+    cuts a hot key finer and makes the summary larger. None: keys are of
+    bounded size (a customer's day), one task may hold a whole key, and the
+    rows are shuffled once. ``partitions`` fixes the number of shuffle partitions.
     """
     from sparkwright.functions.scalar import epoch_micros
     keys = _list(keys)
     gap = int(round(gap_seconds * 1_000_000))
     t = epoch_micros(ts, df.schema[ts].dataType)
-    r = _ranged(df.withColumn("_t", t), keys, ["_t", tie], partitions)
-    w = Window.partitionBy(*keys, "_pid").orderBy("_t", tie)
+    if bucket_seconds is None:
+        w = Window.partitionBy(*keys).orderBy("_t", tie)
+        start = F.when(F.col(prev).isNull() | (F.col("_t") - F.col(prev) > gap), 1).otherwise(0)
+        r = df.repartition(partitions, *keys) if partitions else df
+        return (r.withColumn("_t", t).withColumn(prev, F.lag("_t").over(w)).withColumn(flag, start)
+                .withColumn(number, F.sum(flag).over(w.rowsBetween(_UNB, Window.currentRow))).drop("_t"))
+    bucket = int(bucket_seconds * 1_000_000)
+    # a struct is never null, and its null fields compare as equal: one key for shuffle, window and join
+    r = df.withColumn("_t", t).withColumn("_k", F.struct(*keys)) \
+        .withColumn("_b", F.coalesce(F.col("_t") - F.pmod("_t", F.lit(bucket)), F.lit(-(1 << 62))))
+    if partitions:
+        r = r.repartition(partitions, "_k", "_b")
+    w = Window.partitionBy("_k", "_b").orderBy("_t", tie)
     r = (r.withColumn("_prev", F.lag("_t").over(w))
           .withColumn("_f", F.when(F.col("_prev").isNull()
                                    | (F.col("_t") - F.col("_prev") > gap), 1).otherwise(0))
-          .withColumn("_loc", F.sum("_f").over(w.rowsBetween(_UNB, Window.currentRow)))
-          .persist(StorageLevel.MEMORY_AND_DISK))
-    b = r.groupBy(*keys, "_pid").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"),
-                                     F.sum("_f").alias("_nf"))
-    wb = Window.partitionBy(*keys).orderBy("_pid")
+          .withColumn("_loc", F.sum("_f").over(w.rowsBetween(_UNB, Window.currentRow))))
+    b = r.groupBy("_k", "_b").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"),
+                                  F.sum("_f").alias("_nf"))
+    wb = Window.partitionBy("_k").orderBy("_b")
     b = (b.withColumn("_prev_last", F.lag("_last").over(wb))
           .withColumn("_cont", (F.col("_prev_last").isNotNull()
                                 & (F.col("_first") - F.col("_prev_last") <= gap)).cast("int"))
           .withColumn("_base", F.coalesce(
               F.sum(F.col("_nf") - F.col("_cont")).over(wb.rowsBetween(_UNB, -1)), F.lit(0)))
-          .select(*keys, "_pid", "_prev_last", "_cont", "_base"))
-    out = join_back(r, b, [*keys, "_pid"])
+          .select("_k", F.col("_b").alias("_b2"), "_prev_last", "_cont", "_base"))
+    b = b.withColumnRenamed("_k", "_k2")
+    out = r.join(b, (F.col("_k") == F.col("_k2")) & (F.col("_b") == F.col("_b2")))
     first = F.col("_prev").isNull()
     return (out.withColumn(prev, F.coalesce("_prev", "_prev_last"))
                .withColumn(flag, F.when(first, 1 - F.col("_cont")).otherwise(F.col("_f")))
                .withColumn(number, (F.col("_base") + F.col("_loc") - F.col("_cont")).cast("bigint"))
-               .drop("_t", "_pid", "_prev", "_f", "_loc", "_prev_last", "_cont", "_base"))
+               .drop("_t", "_k", "_b", "_k2", "_b2", "_prev", "_f", "_loc", "_prev_last", "_cont", "_base"))
 
 
 def running_sum(df: DataFrame, keys, order, value: str, name: str = "running",
@@ -95,8 +114,7 @@ def running_sum(df: DataFrame, keys, order, value: str, name: str = "running",
     keys, order = _list(keys), _list(order)
     r = _ranged(df, keys, order, partitions)
     w = Window.partitionBy(*keys, "_pid").orderBy(*order)
-    r = r.withColumn("_loc", F.sum(value).over(w.rowsBetween(_UNB, Window.currentRow))) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    r = write_shared(r.withColumn("_loc", F.sum(value).over(w.rowsBetween(_UNB, Window.currentRow))), "pieces")
     b = r.groupBy(*keys, "_pid").agg(F.sum(value).alias("_tot"))
     wb = Window.partitionBy(*keys).orderBy("_pid")
     b = b.withColumn("_base", F.coalesce(F.sum("_tot").over(wb.rowsBetween(_UNB, -1)),
@@ -112,52 +130,45 @@ def previous(df: DataFrame, keys, order, col: str, name: str) -> DataFrame:
     return df.withColumn(name, F.lag(col).over(w))
 
 
-def _fold_fn(seg_keys, amount: str, start_col: str | None, lo: float, balance: str, accepted: str):
+def _fold_fn(seg_keys, amount: str, start_col: str | None, lo: int, balance: str, accepted: str):
     """mapInPandas body: fold sorted rows segment by segment (segments = runs of
     equal ``seg_keys``), starting each segment at ``start_col`` (or 0), and
-    carry the balance across Arrow batches. Vectorised between refusals."""
+    carry the balance across Arrow batches. Amounts are integers, so sums are
+    exact in any grouping; stretches without a refusal are added at once."""
 
     def fold(batches):
         import numpy as np
 
-        def replay(a, start, bal_out, ok_out):
-            i, n, bal, refusals = 0, len(a), start, 0
-            while i < n and refusals < 8:
-                cs = bal + np.cumsum(a[i:])
-                bad = np.flatnonzero((a[i:] < 0) & (cs < lo))
-                if len(bad) == 0:
-                    bal_out[i:], ok_out[i:] = cs, True
-                    return cs[-1]
-                j = bad[0]
-                bal_out[i:i + j], ok_out[i:i + j] = cs[:j], True
-                bal = cs[j - 1] if j > 0 else bal
-                bal_out[i + j], ok_out[i + j] = bal, False
-                i, refusals = i + j + 1, refusals + 1
-            for k in range(i, n):        # many refusals: plain loop, linear
-                x = a[k]
-                if x >= 0 or bal + x >= lo:
-                    bal += x
-                    ok_out[k] = True
+        def replay(a, bal, bal_out, ok_out):
+            i, step = 0, 64
+            while i < len(a):
+                part = a[i:i + step]
+                after = bal + np.cumsum(part)
+                refused = np.flatnonzero((part < 0) & (after < lo))
+                j = refused[0] if len(refused) else len(part)
+                bal_out[i:i + j], ok_out[i:i + j] = after[:j], True
+                bal = after[j - 1] if j else bal
+                if len(refused):
+                    bal_out[i + j], ok_out[i + j] = bal, False
+                    i, step = i + j + 1, 64
                 else:
-                    ok_out[k] = False
-                bal_out[k] = bal
+                    i, step = i + j, min(2 * step, 1 << 16)
             return bal
 
-        cur, bal = None, 0.0
+        cur, bal = None, 0
         for pdf in batches:
             n = len(pdf)
-            keys = list(zip(*[pdf[k].tolist() for k in seg_keys])) if n else []
-            amts = pdf[amount].to_numpy(dtype="float64")
-            starts = pdf[start_col].to_numpy(dtype="float64") if start_col else None
-            out_bal, ok = np.empty(n), np.empty(n, dtype=bool)
-            i = 0
-            while i < n:
-                j = i + 1
-                while j < n and keys[j] == keys[i]:
-                    j += 1
-                start = bal if keys[i] == cur else (float(starts[i]) if start_col else 0.0)
-                bal = replay(amts[i:j], start, out_bal[i:j], ok[i:j])
-                cur, i = keys[i], j
+            amts = pdf[amount].to_numpy(dtype="int64")
+            out_bal, ok = np.empty(n, dtype="int64"), np.empty(n, dtype=bool)
+            keys = pdf[list(seg_keys)]
+            same = keys.eq(keys.shift()) | (keys.isna() & keys.shift().isna())
+            cut = np.flatnonzero(~same.all(axis=1).to_numpy()) if n else np.empty(0, int)
+            cut = np.unique(np.r_[0, cut, n]) if n else np.empty(0, int)
+            for i, j in zip(cut[:-1], cut[1:]):
+                key = tuple(None if k != k or k is None else k for k in keys.iloc[i])
+                if key != cur:
+                    cur, bal = key, int(pdf[start_col].iloc[i]) if start_col else 0
+                bal = replay(amts[i:j], bal, out_bal[i:j], ok[i:j])
             pdf[balance] = out_bal
             pdf[accepted] = ok
             yield pdf
@@ -167,12 +178,12 @@ def _fold_fn(seg_keys, amount: str, start_col: str | None, lo: float, balance: s
 
 def _fold(df: DataFrame, seg_keys, order, amount, start_col, lo, balance, accepted, n) -> DataFrame:
     srt = df.repartition(n, *seg_keys).sortWithinPartitions(*seg_keys, *order)
-    schema = T.StructType(srt.schema.fields + [T.StructField(balance, T.DoubleType()),
+    schema = T.StructType(srt.schema.fields + [T.StructField(balance, T.LongType()),
                                                T.StructField(accepted, T.BooleanType())])
     return srt.mapInPandas(_fold_fn(seg_keys, amount, start_col, lo, balance, accepted), schema)
 
 
-def _propagate(s: DataFrame, account: str, lo: float) -> DataFrame:
+def _propagate(s: DataFrame, account: str, lo: int) -> DataFrame:
     """Resolve piece start / end balances from each account's frontier (the
     first piece whose end is unknown) through every piece that cannot refuse
     a withdrawal: a piece starting at >= minimum + its withdrawals accepts
@@ -184,7 +195,7 @@ def _propagate(s: DataFrame, account: str, lo: float) -> DataFrame:
     s = s.withColumn("_sf", F.max(F.when(F.col("_pid") == F.col("_f"), F.col("_s0"))).over(whole))
     after = F.col("_pid") >= F.col("_f")
     s = s.withColumn("_cum", F.coalesce(F.sum(F.when(after, F.col("_net"))).over(
-        wa.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+        wa.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     st = F.col("_sf") + F.col("_cum")
     fast = (F.col("_wd") == 0) | (st >= lo + F.col("_wd"))
     s = s.withColumn("_st", st).withColumn("_g", F.min(F.when(after & ~fast, F.col("_pid"))).over(whole))
@@ -197,74 +208,63 @@ def _propagate(s: DataFrame, account: str, lo: float) -> DataFrame:
 
 def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: float | None = None,
                   balance: str = "balance", accepted: str = "accepted",
-                  partitions: int | None = None, method: str = "stream", max_rounds: int = 4) -> DataFrame:
+                  partitions: int | None = None, method: str = "pieces", scale: int = 6) -> DataFrame:
     """Replay deposits (amount > 0) and withdrawals (amount < 0) per account.
 
     Without a minimum every entry is accepted and the balance is a running
     sum (split-safe, see ``running_sum``). With a minimum a withdrawal is
     refused when it would take the balance below it: a sequential rule.
 
-    ``method="stream"`` (default) folds every account in one sorted stream:
-    rows are hash-partitioned by account, sorted and folded in Arrow batches
-    with the balance carried between batches (memory of one batch, time of
-    the whole account). It adds amounts one by one, exactly as the sequential
-    rule does.
-
-    ``method="pieces"`` is for accounts too large for one task. It cuts each
-    account into range pieces and
-    resolves the pieces' start balances in rounds. A piece that starts at or
-    above minimum + its withdrawals can refuse nothing (its end is start +
-    net), so a window over the small piece summary carries the balance
-    through such pieces, and only the first piece that might refuse is
-    replayed exactly in each round. Then every piece is replayed in parallel
-    from its start. Accounts still unresolved after ``max_rounds`` (balances
-    hovering at the minimum) fold their remaining pieces in one sorted
-    stream. Piece starts are sums of piece totals, so balances equal the
-    sequential fold up to floating-point association (last bits), and a
-    balance landing exactly on the minimum can be decided differently.
-    Integer amounts (e.g. cents) are exact either way.
+    With a minimum, amounts are counted in units of 10 ** -``scale`` (halves
+    rounded away from zero) as 64-bit integers, so every sum is exact and the
+    decisions are those of the one-by-one rule, whatever the number of pieces
+    or the size of Arrow batches. A null amount is 0. ``balance`` is a double
+    of the exact units.
+
+    ``method="pieces"`` (default) cuts each account into range pieces, so that
+    no task holds more than one piece, and resolves the pieces' start balances
+    in rounds. A piece that starts at or above minimum + its withdrawals can
+    refuse nothing (its end is start + net), so a window over the small piece
+    summary carries the balance through such pieces, and only the first piece
+    that might refuse is replayed in each round. Rounds go on until all pieces
+    have a start: at most as many as an account has pieces that might refuse.
+    Then every piece is replayed in parallel from its start.
+
+    ``method="stream"`` folds every account in one sorted stream of Arrow
+    batches with the balance carried between batches (memory of one batch,
+    time of the whole account): less work where accounts are many and small.
     """
-    from pyspark import StorageLevel
-
-    from sparkwright.session import ensure_checkpoint_dir
     order = _list(order)
     if minimum is None:
         out = running_sum(df, [account], order, amount, balance, partitions)
         return out.withColumn(accepted, F.lit(True))
-    lo = float(minimum)
+    lo, unit = int(round(minimum * 10 ** scale)), 10 ** scale
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if method == "stream":
-        return _fold(df, [account], order, amount, None, lo, balance, accepted, n)
-    ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
-    r = _ranged(df, [account], order, n).persist(StorageLevel.MEMORY_AND_DISK)
+    units = (F.col(amount).cast(f"decimal(38,{scale})") * F.lit(unit)).cast("bigint")
+    led = df.withColumn("_units", F.coalesce(units, F.lit(0).cast("bigint")))
+    shown = [*cols, (F.col("_bal") / F.lit(unit)).cast("double").alias(balance), F.col("_ok").alias(accepted)]
+    if method == "stream":
+        return _fold(led, [account], order, "_units", None, lo, "_bal", "_ok", n).select(*shown)
+    r = write_shared(_ranged(led, [account], order, n), "ledger")
     s = r.groupBy(account, "_pid").agg(
-        F.sum(F.col(amount).cast("double")).alias("_net"),
-        F.sum(F.when(F.col(amount) < 0, -F.col(amount)).otherwise(F.lit(0.0)).cast("double")).alias("_wd"))
+        F.sum("_units").alias("_net"),
+        F.sum(F.when(F.col("_units") < 0, -F.col("_units")).otherwise(F.lit(0))).alias("_wd"))
     first = F.row_number().over(Window.partitionBy(account).orderBy("_pid")) == 1
-    s = s.select(account, "_pid", "_net", "_wd", F.when(first, F.lit(0.0)).alias("_start"),
-                 F.lit(None).cast("double").alias("_end")).checkpoint()
-    for _ in range(max_rounds):
-        s = _propagate(s, account, lo).checkpoint()
+    s = s.select(account, "_pid", "_net", "_wd", F.when(first, F.lit(0)).cast("bigint").alias("_start"),
+                 F.lit(None).cast("bigint").alias("_end"))
+    while True:
+        s = write_shared(_propagate(s, account, lo), "starts")
         slow = s.filter(F.col("_start").isNotNull() & F.col("_end").isNull()).select(account, "_pid", "_start")
-        if slow.limit(1).count() == 0:
+        if s.filter(F.col("_start").isNull()).isEmpty():
             break
-        rows = join_back(r.select(*cols, "_pid"), slow, [account, "_pid"])
-        done = _fold(rows, [account, "_pid"], order, amount, "_start", lo, balance, accepted, n)
-        ends = done.groupBy(account, "_pid").agg(F.max_by(balance, F.struct(*order)).alias("_e"))
+        rows = join_back(r, slow, [account, "_pid"])
+        done = _fold(rows, [account, "_pid"], order, "_units", "_start", lo, "_bal", "_ok", n)
+        ends = done.groupBy(account, "_pid").agg(F.max_by("_bal", F.struct(*order)).alias("_e"))
         s = join_back(s, ends, [account, "_pid"], how="left").select(
-            account, "_pid", "_net", "_wd", "_start", F.coalesce("_end", "_e").alias("_end")).checkpoint()
-    s = _propagate(s, account, lo)
-    whole = Window.partitionBy(account)
-    s = s.withColumn("_f", F.min(F.when(F.col("_end").isNull(), F.col("_pid"))).over(whole)).checkpoint()
-    par = s.filter(F.col("_f").isNull() | (F.col("_pid") < F.col("_f"))).select(account, "_pid", "_start")
-    fb = s.filter(F.col("_pid") == F.col("_f")).select(account, F.col("_pid").alias("_fpid"),
-                                                       F.col("_start").alias("_fstart"))
-    rp = join_back(r.select(*cols, "_pid"), par, [account, "_pid"])
-    out_par = _fold(rp, [account, "_pid"], order, amount, "_start", lo, balance, accepted, n)
-    rf = join_back(r.select(*cols, "_pid"), fb, [account]).filter(F.col("_pid") >= F.col("_fpid"))
-    out_fb = _fold(rf, [account], order, amount, "_fstart", lo, balance, accepted, n)
-    return out_par.select(*cols, balance, accepted).unionByName(out_fb.select(*cols, balance, accepted))
+            account, "_pid", "_net", "_wd", "_start", F.coalesce("_end", "_e").alias("_end"))
+    rows = join_back(r, s.select(account, "_pid", "_start"), [account, "_pid"])
+    return _fold(rows, [account, "_pid"], order, "_units", "_start", lo, "_bal", "_ok", n).select(*shown)
 
 
 def first_by_order(value: str, order: list[str]) -> Column:

@@ -23,10 +23,10 @@ _WITHDRAWALS = ("purchase", "error")
 
 
 def sessionize(spark, root):
-    """Session start flag (gap > 900 s) and running session number per user."""
-    ev = table(spark, root, "events").select("event_id", "user_id", "ts")
-    s = windows.sessionize(ev, ["user_id"], "ts", "event_id", SESSION_GAP_S)
-    return s.select("event_id", "user_id", "prev_ts_us", "session_start_flag", "session_no")
+    """Session start flag (gap > 900 s) and running session number per user and day."""
+    ev = table(spark, root, "events").select("event_id", "user_id", "ts", F.to_date("ts").alias("day"))
+    s = windows.sessionize(ev, ["user_id", "day"], "ts", "event_id", SESSION_GAP_S, bucket_seconds=None)
+    return s.select("event_id", "user_id", "day", "prev_ts_us", "session_start_flag", "session_no")
 
 
 def pivot_features(spark, root):
@@ -165,7 +165,7 @@ def replay_ledger_min(spark, root):
     """Running balance per user where a withdrawal below the minimum is refused."""
     led = windows.replay_ledger(_ledger_input(spark, root), "user_id", ["ts", "event_id"], "amount",
                                 minimum=LEDGER_MIN)
-    return led.select("event_id", "user_id", scalar.round_half_away("balance", 6).alias("balance"), "accepted")
+    return led.select("event_id", "user_id", "balance", "accepted")
 
 
 JOBS = {
@@ -194,12 +194,12 @@ _TYPES = ("click", "error", "purchase", "signup", "view")
 _W = ", ".join(f"'{w}'" for w in _WITHDRAWALS)
 
 ORACLE = {
-    "sessionize": f"""WITH e AS (SELECT event_id, user_id, epoch_us(ts) AS t FROM events),
-        l AS (SELECT *, lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) AS p FROM e),
+    "sessionize": f"""WITH e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day, epoch_us(ts) AS t FROM events),
+        l AS (SELECT *, lag(t) OVER (PARTITION BY user_id, day ORDER BY t, event_id) AS p FROM e),
         f AS (SELECT *, CASE WHEN p IS NULL OR t - p > {SESSION_GAP_S * 1_000_000} THEN 1 ELSE 0 END
                    AS session_start_flag FROM l)
-        SELECT event_id, user_id, p AS prev_ts_us, session_start_flag,
-          CAST(sum(session_start_flag) OVER (PARTITION BY user_id ORDER BY t, event_id
+        SELECT event_id, user_id, day, p AS prev_ts_us, session_start_flag,
+          CAST(sum(session_start_flag) OVER (PARTITION BY user_id, day ORDER BY t, event_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_no FROM f""",
     "pivot_features": "SELECT user_id, CAST(ts AS DATE) AS day, " + ", ".join(
         f"arg_min(value, (ts, event_id)) FILTER (WHERE event_type = '{t}') AS {t}" for t in _TYPES)
@@ -245,6 +245,18 @@ ORACLE = {
         l_quantity * l_quantity * l_quantity AS qty_cube,
         CASE WHEN l_linenumber - 1 = 0 THEN NULL ELSE 1.0 / (l_linenumber - 1) END AS recip,
         l_quantity + l_discount + l_tax AS row_sum FROM lineitem""",
+    "replay_ledger_min": f"""WITH RECURSIVE o AS (SELECT event_id, user_id,
+            row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n,
+            coalesce(CAST(round(CASE WHEN event_type IN ({_W}) THEN -value ELSE value END * 1000000) AS BIGINT), 0) AS a
+          FROM events),
+        r AS (SELECT event_id, user_id, n, CASE WHEN a >= 0 OR a >= {LEDGER_MIN} * 1000000 THEN a ELSE 0 END AS b,
+                     a >= 0 OR a >= {LEDGER_MIN} * 1000000 AS accepted FROM o WHERE n = 1
+          UNION ALL
+          SELECT o.event_id, o.user_id, o.n,
+                 CASE WHEN o.a >= 0 OR r.b + o.a >= {LEDGER_MIN} * 1000000 THEN r.b + o.a ELSE r.b END,
+                 o.a >= 0 OR r.b + o.a >= {LEDGER_MIN} * 1000000
+          FROM r JOIN o ON o.user_id IS NOT DISTINCT FROM r.user_id AND o.n = r.n + 1)
+        SELECT event_id, user_id, b / 1000000.0::DOUBLE AS balance, accepted FROM r""",
     "replay_ledger": f"""SELECT event_id, user_id, round(sum(amount) OVER (PARTITION BY user_id
           ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS balance
         FROM (SELECT event_id, user_id, ts,

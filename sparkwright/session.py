@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock (timestamps without zone are
 # read as UTC), adaptive execution (runtime coalescing, skew-join splitting,
@@ -68,3 +69,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="sparkwright-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
+
+
+def write_shared(df: DataFrame, what: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the checkpoint folder, which all executors share, and
+    read it back: several readers see one materialisation, and no executor's disk holds the only
+    copy."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
