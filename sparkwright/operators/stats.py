@@ -20,6 +20,7 @@ NOTCH = 1.57           # median notch half-width factor: 1.57 * IQR / sqrt(n)
 POISSON1_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058,
                 0.9810118431238462, 0.9963401531726563, 0.9994058151824183,
                 0.9999167588507119, 0.9999898508852192, 0.9999988747734366]
+RANK_BLOCK = 4096      # ranks per block when drawn ranks are looked up
 # ---------------------------------------------------------------------------
 
 
@@ -80,13 +81,14 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
     return long.select(F.element_at(parts, 1).alias("col_a"), F.element_at(parts, 2).alias("col_b"), "r")
 
 
-def boxplot_stats(df: DataFrame, group: str, value: str, approx: bool = False) -> DataFrame:
+def boxplot_stats(df: DataFrame, group: str, value: str, approx: bool = False,
+                  bootstrap: int | None = None, seed: int = 42) -> DataFrame:
     """Per group: n, mean, q1, med, q3, iqr, whislo, whishi, cilo, cihi.
 
     Whiskers: the lowest value >= q1 - 1.5 IQR and the highest <= q3 + 1.5 IQR
     (q1 / q3 themselves when no value qualifies beyond them); the median
-    confidence interval is the notch med -/+ 1.57 IQR / sqrt(n). ``approx=True``
-    takes the quartiles from sketches (see ``quantiles``).
+    confidence interval is the notch med -/+ 1.57 IQR / sqrt(n), or with
+    ``bootstrap`` the 95 % interval of that many resamples. ``approx=True`` takes the quartiles from sketches (see ``quantiles``).
     """
     q = Q.quantiles(df, [group], value, [0.25, 0.5, 0.75], approx=approx).select(
         group, "n", F.col("q0").alias("q1"), F.col("q1").alias("med"), F.col("q2").alias("q3"))
@@ -99,13 +101,18 @@ def boxplot_stats(df: DataFrame, group: str, value: str, approx: bool = False) -
         F.max(F.when(F.col(value) <= F.col("q3") + WHISKER * F.col("iqr"), F.col(value))).alias("_hi"))
     out = join_back(join_back(q, m, [group]), wk, [group])
     half = NOTCH * F.col("iqr") / F.sqrt(F.col("n").cast("double"))
+    lo, hi = F.col("med") - half, F.col("med") + half
+    if bootstrap:
+        ci = bootstrap_median_ci(df, group, value, bootstrap, seed).select(
+            group, F.col("cilo").alias("_cl"), F.col("cihi").alias("_ch"))
+        out, lo, hi = join_back(out, ci, [group]), F.col("_cl"), F.col("_ch")
     return out.select(
         group, "n", "mean", "q1", "med", "q3", "iqr",
         F.when(F.col("_lo").isNull() | (F.col("_lo") > F.col("q1")), F.col("q1"))
          .otherwise(F.col("_lo")).alias("whislo"),
         F.when(F.col("_hi").isNull() | (F.col("_hi") < F.col("q3")), F.col("q3"))
          .otherwise(F.col("_hi")).alias("whishi"),
-        (F.col("med") - half).alias("cilo"), (F.col("med") + half).alias("cihi"))
+        lo.alias("cilo"), hi.alias("cihi"))
 
 
 def boxplot_outliers(df: DataFrame, group: str, value: str, stats: DataFrame | None = None) -> DataFrame:
@@ -124,7 +131,7 @@ def poisson1(u):
     return k
 
 
-def replicate_quantiles(df: DataFrame, group: str, value: str, row_id: str, probs, replicates: int = 200,
+def replicate_quantiles(df: DataFrame, group: str, value: str, row_id: str, probs, replicates: int = 10_000,
                         seed: int = 42, block: int = 1024) -> DataFrame:
     """Exact quantiles of every Poisson-bootstrap replicate of every group:
     (group, rep, q0, q1, ...).
@@ -182,18 +189,63 @@ def replicate_quantiles(df: DataFrame, group: str, value: str, row_id: str, prob
                                       for i in range(len(probs))])
 
 
-def bootstrap_median_ci(df: DataFrame, group: str, value: str, row_id: str,
-                        replicates: int = 200, seed: int = 42, level: float = 0.95) -> DataFrame:
-    """Percentile bootstrap CI of the median per group.
-
-    Replicate medians are exact weighted medians of Poisson(1)-weighted rows
-    (``replicate_quantiles``); the CI is their (1-level)/2 and (1+level)/2
-    quantiles.
+def _median_ranks(n: int, replicates: int, seed: int):
+    """0-based ranks (lower, upper) of the medians of ``replicates`` resamples of n sorted rows.
+
+    A resample draws n rows with replacement, so its k-th smallest row has rank
+    floor(n * U) for the k-th smallest U of n uniform draws: Beta(k, n + 1 - k).
+    For even n the next one up is 1 - (1 - U) * V ** (1 / (n - k)), V uniform."""
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    k = (n + 1) // 2
+    u = rng.beta(k, n + 1 - k, replicates)
+    upper = u if n % 2 else 1 - (1 - u) * rng.random(replicates) ** (1.0 / (n - k))
+    return (np.minimum((u * n).astype("int64"), n - 1), np.minimum((upper * n).astype("int64"), n - 1))
+
+
+def bootstrap_median_ci(df: DataFrame, group: str, value: str, replicates: int = 10_000,
+                        seed: int = 42, level: float = 0.95) -> DataFrame:
+    """Percentile bootstrap interval of the median per group (A21): (group, cilo, cihi, replicates).
+
+    Every replicate's median is drawn directly: the ranks of a resample's
+    middle rows follow order statistics of uniform draws, so a replicate costs
+    two numbers whatever the group's size, and its law is that of resampling
+    all rows with replacement. Values are looked up by rank (the distinct
+    values' running counts). cilo and cihi are the (1 - level) / 2 and
+    (1 + level) / 2 quantiles of the medians. Draws depend on the group and
+    ``seed`` only, so results are the same under any partitioning. Null values
+    are left out; a group without values has no row.
     """
-    med = replicate_quantiles(df, group, value, row_id, [0.5], replicates, seed) \
-        .select(group, "rep", F.col("q0").alias("m"))
+    counts = Q.value_counts(df, [group], value)
+    sizes = counts.groupBy(group).agg(F.sum("_w").alias("_n"))
+
+    def draw(frames):
+        import pandas as pd
+        for f in frames:
+            for g, n, key in zip(f[group], f["_n"], f["_seed"]):
+                lower, upper = _median_ranks(int(n), replicates, [seed, int(key)])
+                yield pd.DataFrame({group: pd.Series([g] * replicates, dtype=f[group].dtype),
+                                    "lower": lower, "upper": upper})
+
+    kind = df.schema[group].dataType.simpleString()
+    key = F.pmod(F.xxhash64(F.col(group).cast("string")), F.lit(1 << 31))
+    drawn = sizes.withColumn("_seed", key).select(group, "_n", "_seed").mapInPandas(
+        draw, f"`{group}` {kind}, lower long, upper long")
+    drawn = drawn.groupBy(group, "lower", "upper").agg(F.count(F.lit(1)).alias("_times"))
+    # the value of a rank is the one whose run of ranks holds it; ranks meet runs in blocks
+    runs = Q.rank_intervals(counts, [group], value, "_w").select(
+        group, F.col(value).cast("double").alias("_v"), "_lo", "_hi", F.explode(F.sequence(
+            F.expr(f"_lo div {RANK_BLOCK}"), F.expr(f"(_hi - 1) div {RANK_BLOCK}"))).alias("_block"))
+    wanted = drawn.select(group, F.explode(F.array("lower", "upper")).alias("_rank")).distinct() \
+        .withColumn("_block", F.expr(f"_rank div {RANK_BLOCK}"))
+    found = join_back(wanted, runs, [group, "_block"]) \
+        .filter((F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi")))
+    lo = found.select(group, F.col("_rank").alias("lower"), F.col("_v").alias("_lo"))
+    hi = found.select(group, F.col("_rank").alias("upper"), F.col("_v").alias("_hi"))
+    med = join_back(join_back(drawn, lo, [group, "lower"]), hi, [group, "upper"]) \
+        .select(group, ((F.col("_lo") + F.col("_hi")) / 2).alias("m"), "_times")
     a = (1.0 - level) / 2.0
-    ci = Q.quantiles(med, [group], "m", [a, 1.0 - a])
+    ci = Q.quantiles(med, [group], "m", [a, 1.0 - a], weight="_times")
     return ci.select(group, F.col("q0").alias("cilo"), F.col("q1").alias("cihi"),
                      F.col("n").alias("replicates"))
 

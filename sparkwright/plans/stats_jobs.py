@@ -21,7 +21,7 @@ STR_COLS = ["l_returnflag", "l_linestatus"]
 BINS = 100
 GRIDSIZE, MINCNT = 20, 7
 GRID_STEP = 0.25
-BOOT_REPLICATES = 200
+BOOT_REPLICATES = 10_000
 
 
 def _r6(c):
@@ -68,10 +68,13 @@ def boxplot_outliers(spark, root):
 
 
 def bootstrap_ci(spark, root):
-    """95 % bootstrap interval of the median event value per type (Poisson weights)."""
-    ev = table(spark, root, "events").select("event_id", "event_type", "value")
-    ci = stats.bootstrap_median_ci(ev, "event_type", "value", "event_id", BOOT_REPLICATES)
-    return ci.select("event_type", _r6("cilo"), _r6("cihi"), "replicates")
+    """Box-plot row of the event values per type, with the 95 % interval of the median over
+    10,000 resamples."""
+    ev = table(spark, root, "events").select("event_type", "value")
+    b = stats.boxplot_stats(ev, "event_type", "value", bootstrap=BOOT_REPLICATES)
+    return b.select("event_type", "n", *[_r6(c) for c in
+                    ("mean", "q1", "med", "q3", "iqr", "whislo", "whishi", "cilo", "cihi")],
+                    F.lit(BOOT_REPLICATES).cast("bigint").alias("replicates"))
 
 
 def histogram(spark, root):

@@ -72,13 +72,42 @@ def test_bootstrap_is_reproducible_and_brackets_median(spark):
     rnd = random.Random(1)
     df = spark.createDataFrame([(i, "a", rnd.lognormvariate(1.5, 1.75)) for i in range(300)],
                                "id long, g string, v double")
-    a = stats.bootstrap_median_ci(df, "g", "v", "id", replicates=50).collect()[0]
-    b = stats.bootstrap_median_ci(df.repartition(5), "g", "v", "id", replicates=50).collect()[0]
+    a = stats.bootstrap_median_ci(df, "g", "v", replicates=50).collect()[0]
+    b = stats.bootstrap_median_ci(df.repartition(5), "g", "v", replicates=50).collect()[0]
     assert (a["cilo"], a["cihi"]) == (b["cilo"], b["cihi"])
     med = float(np.median([r["v"] for r in df.collect()]))
     assert a["cilo"] <= med <= a["cihi"] and a["replicates"] == 50
 
 
+def test_bootstrap_follows_the_law_of_direct_resampling(spark):
+    """Odd, even, tied and one-row groups, 10,000 replicates by default, against resampled rows."""
+    gen = np.random.default_rng(9)
+    groups = {"odd": gen.lognormal(size=37), "even": gen.lognormal(size=40), "ties": gen.integers(0, 4, 51) * 1.0,
+              "one": np.array([2.5]), "two": np.array([1.0, 5.0])}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("odd", None), (None, 3.0), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r for r in stats.bootstrap_median_ci(df, "g", "v").collect()}
+    assert set(got) == {"odd", "even", "ties", "one", "two", None} and got["odd"]["replicates"] == 10_000
+    assert got[None]["cilo"] == got[None]["cihi"] == 3.0 and got["one"]["cilo"] == 2.5
+    for g, vs in groups.items():
+        med = np.median(vs[gen.integers(0, len(vs), (40_000, len(vs)))], axis=1)
+        for name, p in (("cilo", 2.5), ("cihi", 97.5)):
+            near = np.percentile(med, [p - 0.6, p + 0.6])  # four standard errors of the share
+            assert near[0] - 1e-12 <= got[g][name] <= near[1] + 1e-12, (g, name)
+    box = {r["g"]: r for r in stats.boxplot_stats(df, "g", "v", bootstrap=10_000).collect()}
+    assert (box["even"]["cilo"], box["even"]["cihi"]) == (got["even"]["cilo"], got["even"]["cihi"])
+
+
+def test_median_ranks_match_sorted_draws():
+    for n in (5, 6):
+        lower, upper = stats._median_ranks(n, 60_000, 3)
+        draws = np.sort(np.random.default_rng(4).integers(0, n, (60_000, n)), axis=1)
+        want = draws[:, (n - 1) // 2], draws[:, n // 2]
+        for a, b in zip((lower, upper), want):
+            assert np.abs(np.bincount(a, minlength=n) - np.bincount(b, minlength=n)).max() < 900
+        assert (lower <= upper).all() and abs(np.mean(lower == upper) - np.mean(want[0] == want[1])) < 0.012
+
+
 def test_approx_quantiles_close_to_exact(spark):
     df = spark.range(20000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1000).cast("double").alias("v"))
     ex = {r["g"]: (r["q0"], r["q1"]) for r in Q.quantiles(df, ["g"], "v", [0.25, 0.5]).collect()}
