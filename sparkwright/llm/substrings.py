@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.llm.common import Words, mix64
+from sparkwright.llm.common import Words, mix64, shuffle_partitions
 
 #: Suffixes in a group, bytes of text in a block, frequent prefixes of one length at most.
-GROUP, BLOCK, MOST_PREFIXES = 4_000_000, 12_000_000, 16_384
+GROUP, BLOCK, MOST_PREFIXES = 2_000_000, 6_000_000, 16_384
 SHORTEST = 3
 _PATH, _PREFIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -228,7 +228,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
                         *[F.col(f"`{c}`").alias(f"carry_{k}") for k, c in enumerate(carry)])
     table, n_suffixes, n_bytes = prefix_table(texts.select("doc_id", "text"), size)
     groups = max(1, -(-n_suffixes // GROUP))
-    blocks = max(1, -(-n_bytes // BLOCK))
+    blocks = max(shuffle_partitions(docs.sparkSession), -(-n_bytes // BLOCK))
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def ask(rows: pa.Table) -> pa.Table:
