@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from sparkwright.session import ensure_checkpoint_dir
 
-# A frontier up to this many rows is broadcast to the edge scan (8-byte ids:
-# well under the broadcast limit); larger frontiers use a shuffle join.
-BROADCAST_FRONTIER_ROWS = 2_000_000
-
 
 def parse_adjacency(lines: DataFrame, col: str = "value") -> DataFrame:
     """Whitespace adjacency lines 'id n1 n2 ...' to (src, dst) edge rows.
@@ -42,16 +38,17 @@ def bfs(edges: DataFrame, start, max_iter: int = 10, target=None) -> DataFrame:
     node reached within ``max_iter`` rounds; stops early on an empty frontier
     or once ``target`` is reached.
 
-    Each round joins the frontier with the edges (broadcasting the frontier
-    when its counted size allows), removes visited nodes with an anti join,
-    and writes the new frontier as a reliable checkpoint in the session's
-    checkpoint folder, so lineage stays one round deep and a lost executor
-    only recomputes the current round.
+    The edges are hash-partitioned by source once, in a reliable checkpoint,
+    so a round moves only the frontier: it joins the frontier with the edges
+    (broadcast or not by its real size), removes visited nodes with an anti
+    join, and checkpoints the new frontier in the session's checkpoint folder.
+    Lineage stays one round deep, and a lost executor only recomputes the
+    current round.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     e = edges.select(F.col("src").cast("bigint").alias("src"),
-                     F.col("dst").cast("bigint").alias("dst")).checkpoint()
+                     F.col("dst").cast("bigint").alias("dst")).distinct().repartition("src").checkpoint()
     frontier = spark.range(1).select(F.lit(start).cast("bigint").alias("id"),
                                      F.lit(0).alias("distance")).checkpoint()
     visited = [frontier]
@@ -63,8 +60,6 @@ def bfs(edges: DataFrame, start, max_iter: int = 10, target=None) -> DataFrame:
         if n_front == 0 or (st["hit"] or 0) > 0:
             break
         f = frontier.select(F.col("id").alias("src"))
-        if n_front <= BROADCAST_FRONTIER_ROWS:
-            f = F.broadcast(f)
         seen = visited[0]
         for v in visited[1:]:
             seen = seen.unionByName(v)
@@ -82,8 +77,9 @@ def bfs(edges: DataFrame, start, max_iter: int = 10, target=None) -> DataFrame:
 def hit_count(edges: DataFrame, distances: DataFrame, target) -> DataFrame:
     """How many edges from the previous level point at ``target`` (G1 hit count)."""
     dt = distances.filter(F.col("id") == target).select("id", "distance")
-    prev = distances.join(dt.select((F.col("distance") - 1).alias("distance")), "distance") \
-        .select(F.col("id").alias("src"))
+    found = dt.first()  # one row, or none if the target was not reached
+    level = found["distance"] - 1 if found else -1
+    prev = distances.filter(F.col("distance") == level).select(F.col("id").alias("src"))
     hits = edges.filter(F.col("dst") == target).join(prev, "src") \
         .groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("hits"))
     return dt.join(hits, "id", "left").select("id", "distance",

@@ -55,9 +55,11 @@ def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
 
 
 def gram_stats(df: DataFrame, label: str, features) -> tuple:
-    """(X'X, X'y, y'y, n) in one aggregate; d*(d+1)/2 + d + 2 numbers."""
+    """(X'X, X'y, y'y, n) in one aggregate; d*(d+1)/2 + d + 2 numbers. Rows with
+    a null label or feature are left out of every sum."""
     import numpy as np
     d = len(features)
+    df = df.dropna(subset=[label, *features])
     x = [F.col(c).cast("double") for c in features]
     y = F.col(label).cast("double")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y * y).alias("yy")]

@@ -3,132 +3,44 @@
 For items a < b rated by common users u the reference computes
     score(a, b) = sum_u x_ua x_ub / (sqrt(sum_u x_ua^2) sqrt(sum_u x_ub^2))
     strength(a, b) = number of common users,
-where all sums run over the common users only. Enumerating user pairs as rows
-grows with sum_u n_u^2 and puts a heavy user's pairs in one task. Here the
-four sums are one sparse Gram product, computed block by block:
+where all sums run over the common users only.
 
-* users are hashed into ``user_blocks`` and items into ``item_blocks``;
-* each rating goes to the tiles (user block, item block A, item block B)
-  with A <= B it can take part in (about item_blocks + 1 copies);
-* a grouped pandas task multiplies one tile and emits one row of partial
-  sums per item pair it saw: never more rows than item pairs of the tile,
-  and its accumulators are sparse (sized by the pairs that occur);
-* one aggregate adds the partial sums over user blocks.
-
-A hot user is split over item_blocks^2 / 2 tiles, and each tile's pair
-accumulation is chunked by user so task memory stays bounded.
+The ratings are joined with themselves on the user with a < b (so half of all
+pairs is formed), and the four sums are added up inside the join's tasks before
+the pairs are shuffled: what moves is one row per pair and task, not one per
+pair and user. A user with very many ratings is split by adaptive skew handling,
+which deals one side of the user's rows over several tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_PARTIAL = T.StructType([
-    T.StructField("item_a", T.LongType()), T.StructField("item_b", T.LongType()),
-    T.StructField("sxy", T.DoubleType()), T.StructField("sxx", T.DoubleType()),
-    T.StructField("syy", T.DoubleType()), T.StructField("n", T.LongType()),
-])
-_PAIRS_PER_CHUNK = 4_000_000
-
-
-def _tile_sums(pdf, limit: int = _PAIRS_PER_CHUNK):
-    """Partial co-rating sums of one tile (pandas in, pandas out); at most
-    ``limit`` user pairs are materialised at once."""
-    import numpy as np
-    import pandas as pd
-
-    a = pdf[pdf["_side"] != 1]          # side 0: A only, 2: both
-    b = pdf[pdf["_side"] != 0]          # side 1: B only, 2: both
-    diag = pdf["_ba"].iloc[0] == pdf["_bb"].iloc[0]
-    empty = pd.DataFrame({f.name: pd.Series(dtype="int64" if f.dataType == T.LongType() else "float64")
-                          for f in _PARTIAL.fields})
-    if a.empty or b.empty:
-        return empty
-    ia, items_a = pd.factorize(a["item"], sort=True)
-    ib, items_b = pd.factorize(b["item"], sort=True)
-    nb = len(items_b)
-    A = pd.DataFrame({"u": a["user"].to_numpy(), "i": ia, "x": a["rating"].to_numpy()})
-    B = pd.DataFrame({"u": b["user"].to_numpy(), "j": ib, "y": b["rating"].to_numpy()})
-    # chunk users so that the pairs materialised at once stay bounded; a user
-    # with more pairs than a chunk is sliced on its A side instead
-    per_user = A.groupby("u").size().mul(B.groupby("u").size(), fill_value=0)
-    per_user = per_user[per_user > 0]
-    heavy = per_user[per_user > limit].index
-    light = per_user[per_user <= limit]
-    parts = []
-
-    def accumulate(m):
-        k = m["i"].to_numpy().astype(np.int64) * nb + m["j"].to_numpy()
-        x, y = m["x"].to_numpy(), m["y"].to_numpy()
-        uk, inv = np.unique(k, return_inverse=True)
-        parts.append(pd.DataFrame({
-            "k": uk, "sxy": np.bincount(inv, weights=x * y), "sxx": np.bincount(inv, weights=x * x),
-            "syy": np.bincount(inv, weights=y * y), "n": np.bincount(inv)}))
-
-    chunk_id = (light.cumsum() // limit).rename("c")
-    Al = A.join(chunk_id, on="u", how="inner")
-    Bl = B.join(chunk_id, on="u", how="inner")
-    for c in np.unique(chunk_id.to_numpy()):
-        accumulate(Al[Al["c"] == c].merge(Bl[Bl["c"] == c], on="u"))
-    for u in heavy:
-        au, bu = A[A["u"] == u], B[B["u"] == u]
-        step = max(1, limit // max(1, len(bu)))
-        for s0 in range(0, len(au), step):
-            accumulate(au.iloc[s0:s0 + step].merge(bu, on="u"))
-    if not parts:
-        return empty
-    acc = pd.concat(parts).groupby("k", sort=False).sum() if len(parts) > 1 else parts[0].set_index("k")
-    kk = acc.index.to_numpy()
-    sxy, sxx, syy, cnt = (acc[c].to_numpy() for c in ("sxy", "sxx", "syy", "n"))
-    out = pd.DataFrame({"item_a": np.asarray(items_a)[kk // nb], "item_b": np.asarray(items_b)[kk % nb],
-                        "sxy": sxy, "sxx": sxx, "syy": syy, "n": cnt})
-    if diag:
-        out = out[out["item_a"] < out["item_b"]]
-    else:
-        # off-diagonal tiles hold each unordered pair once; orient it a < b
-        swap = out["item_a"] > out["item_b"]
-        out.loc[swap, ["item_a", "item_b"]] = out.loc[swap, ["item_b", "item_a"]].to_numpy()
-        out.loc[swap, ["sxx", "syy"]] = out.loc[swap, ["syy", "sxx"]].to_numpy()
-    return out.astype({"item_a": "int64", "item_b": "int64", "n": "int64"})
 
 
 def cosine_pairs(ratings: DataFrame, user: str, item: str, rating: str,
-                 item_blocks: int = 4, user_blocks: int | None = None,
-                 pairs_per_chunk: int = _PAIRS_PER_CHUNK) -> DataFrame:
-    """(item_a, item_b, score, strength) for every item pair a < b with a common user.
+                 min_score: float | None = None, min_strength: int | None = None) -> DataFrame:
+    """(item_a, item_b, score, strength) for every item pair a < b with a common user; with the
+    thresholds only pairs of score > min_score and strength > min_strength.
 
-    ``ratings`` must hold one row per (user, item).
+    ``ratings`` must hold one row per (user, item); ids may be of any orderable type, rows with a
+    null user, item or rating take no part. A pair without length has score 0.
     """
-    spark = ratings.sparkSession
-    if user_blocks is None:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        user_blocks = max(1, parts // max(1, item_blocks * (item_blocks + 1) // 2))
-    r = ratings.select(F.col(user).cast("long").alias("user"), F.col(item).cast("long").alias("item"),
-                       F.col(rating).cast("double").alias("rating"))
-    r = r.withColumn("_ub", F.pmod(F.xxhash64("user"), F.lit(user_blocks)).cast("int")) \
-         .withColumn("_ib", F.pmod(F.xxhash64("item"), F.lit(item_blocks)).cast("int"))
-    blocks = F.sequence(F.lit(0), F.lit(item_blocks - 1))
-    # (block A, block B, side): as A for every B >= own block, as B for every A <= own block
-    tiles = F.transform(blocks, lambda k: F.when(
-        k == F.col("_ib"), F.struct(k.alias("ba"), k.alias("bb"), F.lit(2).alias("side")))
-        .when(k > F.col("_ib"), F.struct(F.col("_ib").alias("ba"), k.alias("bb"), F.lit(0).alias("side")))
-        .otherwise(F.struct(k.alias("ba"), F.col("_ib").alias("bb"), F.lit(1).alias("side"))))
-    rep = r.select("user", "item", "rating", "_ub", F.explode(tiles).alias("_t")) \
-        .select("user", "item", "rating", "_ub", F.col("_t.ba").alias("_ba"),
-                F.col("_t.bb").alias("_bb"), F.col("_t.side").alias("_side"))
-    def tile(pdf):
-        return _tile_sums(pdf, pairs_per_chunk)
-
-    part = rep.groupBy("_ub", "_ba", "_bb").applyInPandas(tile, _PARTIAL)
-    s = part.groupBy("item_a", "item_b").agg(
-        F.sum("sxy").alias("sxy"), F.sum("sxx").alias("sxx"), F.sum("syy").alias("syy"),
-        F.sum("n").alias("strength"))
+    r = ratings.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(rating).cast("double").alias("_x")) \
+        .dropna()
+    a = r.select("_u", F.col("_i").alias("item_a"), "_x")
+    b = r.select("_u", F.col("_i").alias("item_b"), F.col("_x").alias("_y"))
+    s = a.join(b, "_u").filter(F.col("item_a") < F.col("item_b")).groupBy("item_a", "item_b").agg(
+        F.sum(F.col("_x") * F.col("_y")).alias("sxy"), F.sum(F.col("_x") * F.col("_x")).alias("sxx"),
+        F.sum(F.col("_y") * F.col("_y")).alias("syy"), F.count(F.lit(1)).alias("strength"))
     den = F.sqrt("sxx") * F.sqrt("syy")
-    return s.select("item_a", "item_b",
-                    F.when(den != 0, F.col("sxy") / den).otherwise(F.lit(0.0)).alias("score"),
-                    "strength")
+    out = s.select("item_a", "item_b", F.when(den != 0, F.col("sxy") / den).otherwise(F.lit(0.0)).alias("score"),
+                   "strength")
+    if min_score is not None:
+        out = out.filter(F.col("score") > min_score)
+    if min_strength is not None:
+        out = out.filter(F.col("strength") > min_strength)
+    return out
 
 
 def similar_to(ratings: DataFrame, user: str, item: str, rating: str, target,

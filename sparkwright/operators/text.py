@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from sparkwright.operators.windows import join_back
 from pyspark.sql import types as T
 
 from sparkwright.functions import scalar
@@ -110,6 +112,10 @@ def polarity(cleaned: Column, lexicon: dict = LEXICON) -> Column:
     return F.when(F.size(scores) > 0, total / F.size(scores)).otherwise(F.lit(0.0))
 
 
+#: The classes of :func:`sentiment_class`, in the order of a report.
+SENTIMENTS = ("positive", "neutral", "negative")
+
+
 def sentiment_class(p: Column) -> Column:
     return F.when(p > 0, "positive").when(p == 0, "neutral").otherwise("negative")
 
@@ -120,11 +126,11 @@ def dedupe_reposts(df: DataFrame, text: str, count: str, seq: str) -> DataFrame:
 
     Texts are grouped by their SHA-256 digest, so the shuffle carries 32-byte
     keys instead of whole documents (a digest collision would need 2^128
-    work). The first ``seq`` per digest is an algebraic min (partial
+    work); null texts are one text. The first ``seq`` per digest is an algebraic min (partial
     aggregation: a text repeated a billion times costs one row per task); it is
     matched back on (digest, seq), a unique key, so no hot key reaches the join.
     """
     d = df.withColumn("_h", F.sha2(F.col(text), 256))
     firsts = d.groupBy("_h").agg(F.min(seq).alias(seq)).withColumn("_first", F.lit(True))
-    j = d.join(firsts, ["_h", seq], "left")
+    j = join_back(d, firsts, ["_h", seq], "left")
     return j.filter((F.col(count) == 0) | F.col("_first").isNotNull()).drop("_first", "_h")

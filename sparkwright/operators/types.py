@@ -16,7 +16,7 @@ from sparkwright.operators import quantiles as Q
 
 # Fixed values --------------------------------------------------------------
 CATEGORY_RATIO = 0.5                  # strings with distinct/total below this become categories
-UNSIGNED = [("uint8", 255), ("uint16", 65535), ("uint32", 4294967295)]
+UNSIGNED = [("uint8", 255), ("uint16", 65535), ("uint32", 4294967295), ("uint64", 18446744073709551615)]
 SIGNED = [("tinyint", -128, 127), ("smallint", -32768, 32767), ("int", -2147483648, 2147483647)]
 FLOAT32_MAX = 3.4028234663852886e38
 FIXED_WIDTH = {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8,
@@ -37,9 +37,11 @@ def _kind(dt):
     return "other"
 
 
-def column_stats(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
+def column_stats(df: DataFrame, approx_distinct: bool = False, distinct: str = "all") -> DataFrame:
     """One row per column: column_name, data_type, n_rows, n_nulls, min_value,
-    max_value (numeric only), n_distinct (non-null), bytes, f32_exact.
+    max_value (numeric only, as doubles), min_int, max_int (integers only,
+    exact), n_distinct (non-null), bytes, f32_exact. ``distinct="string"``
+    counts the distinct values of string columns only (null for the others).
 
     Two aggregate passes, each over all columns at once: the plain aggregates,
     and the distinct counts. Mixed in one ``agg``, Spark's distinct rewrite
@@ -52,9 +54,10 @@ def column_stats(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
         c, k = F.col(f"`{f.name}`"), _kind(f.dataType)
         names.append((i, f))
         aggs.append(F.count(c).alias(f"nn{i}"))
-        dis.append((F.approx_count_distinct(c) if approx_distinct else F.count_distinct(c)).alias(f"nd{i}"))
+        if distinct == "all" or k == "string":
+            dis.append((F.approx_count_distinct(c) if approx_distinct else F.count_distinct(c)).alias(f"nd{i}"))
         if k in ("int", "float"):
-            aggs += [F.min(c).cast("double").alias(f"mn{i}"), F.max(c).cast("double").alias(f"mx{i}")]
+            aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
         if k == "float":
             aggs.append(F.min(F.when(c.isNull() | F.isnan(c), F.lit(True))
                               .otherwise(c.cast("float").cast("double") == c)).alias(f"fx{i}"))
@@ -69,27 +72,32 @@ def column_stats(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
         rows.append(F.struct(
             F.lit(f.name).alias("column_name"), F.lit(t).alias("data_type"),
             F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"nn{i}")).alias("n_nulls"),
-            (F.col(f"mn{i}") if k in ("int", "float") else F.lit(None).cast("double")).alias("min_value"),
-            (F.col(f"mx{i}") if k in ("int", "float") else F.lit(None).cast("double")).alias("max_value"),
+            (F.col(f"mn{i}") if k in ("int", "float") else F.lit(None)).cast("double").alias("min_value"),
+            (F.col(f"mx{i}") if k in ("int", "float") else F.lit(None)).cast("double").alias("max_value"),
+            (F.col(f"mn{i}") if k == "int" else F.lit(None)).cast("bigint").alias("min_int"),
+            (F.col(f"mx{i}") if k == "int" else F.lit(None)).cast("bigint").alias("max_int"),
             b.cast("bigint").alias("bytes"),
             (F.col(f"fx{i}") if k == "float" else F.lit(None).cast("boolean")).alias("f32_exact")))
     plain = row.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
-    drow = df.agg(*dis)
-    distinct = drow.select(F.explode(F.array(*[
+    out = ["column_name", "data_type", "n_rows", "n_nulls", "min_value", "max_value", "min_int", "max_int",
+           "n_distinct", "bytes", "f32_exact"]
+    if not dis:
+        return plain.withColumn("n_distinct", F.lit(None).cast("bigint")).select(*out)
+    counted = df.agg(*dis)
+    counts = counted.select(F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"), F.col(f"nd{i}").cast("bigint").alias("n_distinct"))
-        for i, f in names])).alias("s")).select("s.*")
-    return plain.join(distinct, "column_name").select(
-        "column_name", "data_type", "n_rows", "n_nulls", "min_value", "max_value", "n_distinct", "bytes",
-        "f32_exact")
+        for i, f in names if f"nd{i}" in counted.columns])).alias("s")).select("s.*")
+    return plain.join(counts, "column_name", "left").select(*out)
 
 
 def _after_type(kind: str):
     """Column expressions for the reference's narrowed type and our Spark type."""
     mn, mx = F.col("min_value"), F.col("max_value")
     if kind == "int":
+        mn, mx = F.col("min_int"), F.col("max_int")
         ref = F.lit("int64")
         for name, hi in reversed(UNSIGNED):
-            ref = F.when((mn >= 0) & (mx <= hi), F.lit(name)).otherwise(ref)
+            ref = F.when((mn >= 0) & (mx <= min(hi, (1 << 63) - 1)), F.lit(name)).otherwise(ref)
         ref = F.when(mn.isNull(), F.lit("int64")).otherwise(ref)
         spark_t = F.lit("bigint")
         for name, lo, hi in reversed(SIGNED):
@@ -109,24 +117,27 @@ def type_plan(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     int, float and string column (M17). Ints narrow to unsigned only when no
     value is negative; floats to float32 whenever they fit in its range;
     strings become categories when distinct/total < 0.5 (null counts)."""
-    st = stats if stats is not None else column_stats(df)
+    st = stats if stats is not None else column_stats(df, distinct="string")
     kinds = {f.name: _kind(f.dataType) for f in df.schema.fields}
-    out = None
+    after = spark_type = F.lit(None).cast("string")
     for kind in ("int", "float", "string"):
-        cols = [c for c, k in kinds.items() if k == kind]
-        if not cols:
-            continue
+        own = F.col("column_name").isin([c for c, k in kinds.items() if k == kind])
         ref, sp = _after_type(kind)
-        part = st.filter(F.col("column_name").isin(cols)).select(
-            "column_name", F.col("data_type").alias("before"), ref.alias("after"), sp.alias("spark_type"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        after, spark_type = F.when(own, ref).otherwise(after), F.when(own, sp).otherwise(spark_type)
+    return st.filter(F.col("column_name").isin([c for c, k in kinds.items() if k != "other"])).select(
+        "column_name", F.col("data_type").alias("before"), after.alias("after"), spark_type.alias("spark_type"))
 
 
-def apply_types(df: DataFrame, plan_rows) -> DataFrame:
+def apply_types(df: DataFrame, plan_rows, categories: bool = False) -> DataFrame:
     """Rewrite a table with a type plan given as (column, spark_type) pairs
-    (a small driver-side dict: one entry per column, not per row)."""
+    (a small driver-side dict: one entry per column, not per row). With
+    ``categories`` a column planned as a category becomes its ``<col>_code``
+    (see ``category_codes``); without, it stays a string."""
     m = dict(plan_rows)
+    if categories:
+        cats = [f.name for f in df.schema.fields if m.get(f.name) == "string+code"]
+        keep = [f"{f.name}_code" if f.name in cats else f.name for f in df.schema.fields]
+        return apply_types(category_codes(df, cats).select(*[f"`{c}`" for c in keep]), plan_rows)
     cols = []
     for f in df.schema.fields:
         t = m.get(f.name)

@@ -49,10 +49,6 @@ ORACLE = {
     "dimension_lines": "SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS name FROM part",
     "quoted_names": "SELECT CAST(s_suppkey AS INTEGER) AS id, s_name AS name FROM supplier",
     "degree_from_lines": """WITH edges AS (
-        SELECT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b
-          ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2
-        UNION ALL
-        SELECT b.l_partkey, a.l_partkey FROM lineitem a JOIN lineitem b
-          ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2)
+        SELECT l_partkey AS src FROM lineitem UNION ALL SELECT -1 - l_suppkey FROM lineitem)
         SELECT src AS id, count(*) AS degree FROM edges GROUP BY src""",
 }

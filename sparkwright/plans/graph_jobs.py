@@ -1,7 +1,7 @@
 """Graph and similarity jobs.
 
-Stand-ins: the graph -> parts linked by an order (the part on line 1 and the
-part on line 2 of the same order, both directions); names -> part.p_name.
+Stand-ins: the graph -> every line item links its part and its supplier (both
+directions; a supplier's node id is -1 minus its key); names -> p_name and s_name.
 Ratings -> (user = o_custkey, item = l_suppkey, rating = mean l_quantity of
 that customer's lines from that supplier).
 """
@@ -20,14 +20,19 @@ MAX_ROUNDS = 10
 SIM_TARGET = 1
 MIN_SCORE = 0.5
 MIN_STRENGTH = 50
+MIN_PAIR_STRENGTH = 1
 TOP_K = 10
 
 
 def order_graph(spark, root):
-    li = table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    a = li.filter(F.col("l_linenumber") == 1).select("l_orderkey", F.col("l_partkey").alias("src"))
-    b = li.filter(F.col("l_linenumber") == 2).select("l_orderkey", F.col("l_partkey").alias("dst"))
-    return graph.undirected(a.join(b, "l_orderkey").select("src", "dst"))
+    li = table(spark, root, "lineitem")
+    return graph.undirected(li.select(F.col("l_partkey").alias("src"), (-1 - F.col("l_suppkey")).alias("dst")))
+
+
+def node_names(spark, root):
+    part = table(spark, root, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    supp = table(spark, root, "supplier").select((-1 - F.col("s_suppkey")).alias("id"), F.col("s_name").alias("name"))
+    return part.unionByName(supp)
 
 
 def ratings(spark, root):
@@ -46,19 +51,17 @@ def most_connected(spark, root):
     """The node with most connections (ties to the larger id), with its name."""
     d = graph.degree(order_graph(spark, root))
     best = agg.max_row(d, ["degree", "id"])
-    part = table(spark, root, "part").select(F.col("p_partkey").alias("id"), "p_name")
-    return joins.with_names(best, part, "id", "p_name", missing="error", small_left=True) \
-        .select("id", "p_name", "degree")
+    return joins.with_names(best, node_names(spark, root), "id", "name", missing="error", small_left=True) \
+        .select("id", "name", "degree")
 
 
 def top10_connected(spark, root):
     """Ten most connected nodes, ranked, with names (one join for all ten)."""
     d = graph.degree(order_graph(spark, root))
     best = topk.top_k(d, ["degree"], TOP_K, tie_break=["id"])
-    part = table(spark, root, "part").select(F.col("p_partkey").alias("id"), "p_name")
-    named = joins.with_names(best, part, "id", "p_name", missing="error", small_left=True)
+    named = joins.with_names(best, node_names(spark, root), "id", "name", missing="error", small_left=True)
     return topk.with_rank(named, [F.col("degree").desc(), F.col("id")], "rank") \
-        .select(F.col("rank").cast("bigint").alias("rank"), "id", "p_name", "degree")
+        .select(F.col("rank").cast("bigint").alias("rank"), "id", "name", "degree")
 
 
 def degrees_of_separation(spark, root):
@@ -74,16 +77,21 @@ def degrees_hit(spark, root):
 
 
 def item_similarity(spark, root):
-    """Cosine similarity and strength of every co-rated item pair (blocked Gram product)."""
-    s = similarity.cosine_pairs(ratings(spark, root), "o_custkey", "l_suppkey", "rating")
+    """Cosine similarity and strength of the item pairs above the thresholds."""
+    s = similarity.cosine_pairs(ratings(spark, root), "o_custkey", "l_suppkey", "rating",
+                                min_score=MIN_SCORE, min_strength=MIN_PAIR_STRENGTH)
     return s.select("item_a", "item_b", scalar.round_half_away("score", 6).alias("score"), "strength")
 
 
 def similar_to_item(spark, root):
-    """Top items similar to one item, above score and strength thresholds."""
+    """Top items similar to one item, above score and strength thresholds, ranked, with names."""
     s = similarity.similar_to(ratings(spark, root), "o_custkey", "l_suppkey", "rating",
                               SIM_TARGET, MIN_SCORE, MIN_STRENGTH, TOP_K)
-    return s.select("other", scalar.round_half_away("score", 6).alias("score"), "strength")
+    names = table(spark, root, "supplier").select(F.col("s_suppkey").alias("other"), F.col("s_name").alias("name"))
+    named = joins.with_names(s, names, "other", "name", missing="error", small_left=True)
+    return topk.with_rank(named, [F.col("score").desc(), F.col("strength").desc(), F.col("other")], "rank").select(
+        F.col("rank").cast("bigint").alias("rank"), "other", "name",
+        scalar.round_half_away("score", 6).alias("score"), "strength")
 
 
 JOBS = {
@@ -97,11 +105,8 @@ JOBS = {
 }
 
 _EDGES = """edges AS (
-    SELECT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b
-      ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2
-    UNION ALL
-    SELECT b.l_partkey, a.l_partkey FROM lineitem a JOIN lineitem b
-      ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2)"""
+    SELECT l_partkey AS src, -1 - l_suppkey AS dst FROM lineitem UNION ALL SELECT -1 - l_suppkey, l_partkey FROM lineitem),
+    names AS (SELECT p_partkey AS id, p_name AS name FROM part UNION ALL SELECT -1 - s_suppkey, s_name FROM supplier)"""
 _DEG = f"WITH {_EDGES}, deg AS (SELECT src AS id, count(*) AS degree FROM edges GROUP BY src)"
 _BFS = f"""WITH RECURSIVE {_EDGES},
     bfs(id, d) AS (SELECT CAST({START_NODE} AS BIGINT), 0
@@ -116,12 +121,12 @@ _SCORE = ("CASE WHEN sqrt(sum(x * x)) * sqrt(sum(y * y)) <> 0 "
 ORACLE = {
     "node_degree": f"{_DEG} SELECT id, degree FROM deg",
     "most_connected": f"""{_DEG}
-        SELECT d.id, p.p_name, d.degree FROM deg d JOIN part p ON p.p_partkey = d.id
+        SELECT d.id, p.name, d.degree FROM deg d JOIN names p ON p.id = d.id
         ORDER BY d.degree DESC, d.id DESC LIMIT 1""",
     "top10_connected": f"""{_DEG}
-        SELECT row_number() OVER (ORDER BY d.degree DESC, d.id) AS rank, d.id, p.p_name, d.degree
+        SELECT row_number() OVER (ORDER BY d.degree DESC, d.id) AS rank, d.id, p.name, d.degree
         FROM (SELECT * FROM deg ORDER BY degree DESC, id LIMIT {TOP_K}) d
-        JOIN part p ON p.p_partkey = d.id""",
+        JOIN names p ON p.id = d.id""",
     "degrees_of_separation": f"{_BFS} SELECT id, distance FROM dist",
     "degrees_hit": f"""{_BFS}
         SELECT t.id, t.distance, CAST((SELECT count(*) FROM edges e JOIN dist p ON p.id = e.src
@@ -131,12 +136,12 @@ ORACLE = {
         p AS (SELECT a.i AS item_a, b.i AS item_b, a.x AS x, b.x AS y FROM r a JOIN r b
               ON a.u = b.u AND a.i < b.i)
         SELECT item_a, item_b, round({_SCORE}, 6) AS score, count(*) AS strength
-        FROM p GROUP BY 1, 2""",
+        FROM p GROUP BY 1, 2 HAVING {_SCORE} > 0.5 AND count(*) > 1""",
     "similar_to_item": f"""WITH {_RATINGS},
         p AS (SELECT b.i AS other, a.x AS x, b.x AS y FROM r a JOIN r b
               ON a.u = b.u AND a.i = {SIM_TARGET} AND b.i <> {SIM_TARGET}),
         s AS (SELECT other, {_SCORE} AS score, count(*) AS strength FROM p GROUP BY 1)
-        SELECT other, round(score, 6) AS score, strength FROM s
-        WHERE score > {MIN_SCORE} AND strength > {MIN_STRENGTH}
-        ORDER BY score DESC, strength DESC, other LIMIT {TOP_K}""",
+        SELECT row_number() OVER (ORDER BY score DESC, strength DESC, other) AS rank, other, s_name AS name,
+               round(score, 6) AS score, strength FROM s JOIN supplier ON s_suppkey = other
+        WHERE score > 0.5 AND strength > 50 ORDER BY rank LIMIT 10""",
 }

@@ -55,9 +55,10 @@ def sentiment(spark, root):
 
 
 def sentiment_share(spark, root):
-    """Count and percentage of posts per sentiment class."""
+    """Count and percentage of posts per sentiment class, classes without posts included."""
     s = sentiment(spark, root)
-    counts = agg.count_values(s, "sentiment", "n")
+    classes = spark.createDataFrame([(c,) for c in text.SENTIMENTS], "sentiment string")
+    counts = classes.join(agg.count_values(s, "sentiment", "n"), "sentiment", "left").fillna(0, ["n"])
     return agg.share(counts, "n", "share").select(
         "sentiment", "n", scalar.round_half_away("share", 6).alias("share"))
 
@@ -97,9 +98,15 @@ def _split_sql(col, sep):
 _WS = scalar.PY_WHITESPACE
 _PY_SPLIT = (f"CASE WHEN regexp_replace(text, '^{_WS}+|{_WS}+\\z', '', 'g') = '' THEN []::VARCHAR[] "
              f"ELSE regexp_split_to_array(regexp_replace(text, '^{_WS}+|{_WS}+\\z', '', 'g'), '{_WS}+') END")
-_CLEAN = (f"trim(regexp_replace(regexp_replace(text, '{text.CLEAN_PATTERN}', ' ', 'g'), "
+_CLEAN = (r"trim(regexp_replace(regexp_replace(text, '(@[A-Za-z0-9]+)|([^0-9A-Za-z \t])|([\pL\pN_]+://\S+)', ' ', 'g'), "
           r"'[ \t]+', ' ', 'g'))")
-_LEX = ", ".join(f"('{k}', {float(v)})" for k, v in sorted(text.LEXICON.items()))
+# the lexicon and the cleaning pattern, written out so that the SQL checks them
+_LEX = ("('awful', -1.0), ('bad', -0.7), ('best', 1.0), ('better', 0.5), ('bien', 0.5), ('bon', 0.6), "
+        "('bueno', 0.6), ('error', -0.3), ('excellent', 1.0), ('free', 0.4), ('good', 0.7), ('great', 0.8), "
+        "('gut', 0.6), ('happy', 0.8), ('hate', -0.8), ('junk', -0.4), ('love', 0.5), ('mal', -0.5), "
+        "('malo', -0.7), ('mauvais', -0.7), ('new', 0.14), ('nice', 0.6), ('poor', -0.4), ('problem', -0.3), "
+        "('right', 0.29), ('sad', -0.5), ('schlecht', -0.7), ('terrible', -1.0), ('well', 0.2), ('worst', -1.0), "
+        "('wrong', -0.5)")
 _POL = f"""pol AS (
   SELECT c.conv_id, c.turn, coalesce(avg(l.p), 0.0) AS p
   FROM (SELECT conv_id, turn, {_CLEAN} AS clean FROM conversations) c
@@ -131,11 +138,12 @@ ORACLE = {
     "sentiment": f"""WITH {_POL}
         SELECT conv_id, turn, round(p, 6) AS polarity, {_CLASS} AS sentiment FROM pol""",
     "sentiment_share": f"""WITH {_POL},
-        s AS (SELECT {_CLASS} AS sentiment, count(*) AS n FROM pol GROUP BY 1)
+        s AS (SELECT k.sentiment, count(pol.p) AS n FROM (VALUES ('positive'), ('neutral'), ('negative')) k(sentiment)
+              LEFT JOIN pol ON {_CLASS} = k.sentiment GROUP BY 1)
         SELECT sentiment, n, round(100.0 * n / sum(n) OVER (), 6) AS share FROM s""",
     "dedupe_reposts": """WITH d AS (
           SELECT doc_id, text, len(string_split(text, chr(10))) - 1 AS reposts FROM documents),
         f AS (SELECT text, min(doc_id) AS first_id FROM d GROUP BY text)
-        SELECT d.doc_id, d.reposts FROM d JOIN f USING (text)
+        SELECT d.doc_id, d.reposts FROM d JOIN f ON d.text IS NOT DISTINCT FROM f.text
         WHERE d.reposts = 0 OR d.doc_id = f.first_id""",
 }

@@ -34,14 +34,14 @@ def optimize_types(spark, root):
 
 
 def optimized_table(spark, root):
-    """lineitem rewritten with the narrowed numeric types.
+    """lineitem rewritten with the narrowed numeric types and category codes.
 
     The plan has one row per column (bounded by the schema, not the data), so
     it is read on the driver to build the ``select`` of casts.
     """
     li = table(spark, root, "lineitem")
     plan = [(r["column_name"], r["spark_type"]) for r in types.type_plan(li).collect()]
-    return types.apply_types(li, plan)
+    return types.apply_types(li, plan, categories=True)
 
 
 def category_codes(spark, root):
@@ -71,7 +71,11 @@ JOBS = {
     "profile_table": profile_table,
 }
 
-_WIDTH = types.FIXED_WIDTH
+# values written out so that the SQL checks the library's own
+WIDTH_SQL = {"int": 4, "bigint": 8, "double": 8, "timestamp_ntz": 8}
+UNSIGNED_SQL = [("uint8", 255), ("uint16", 65535), ("uint32", 4294967295), ("uint64", 18446744073709551615)]
+SIGNED_SQL = [("tinyint", -128, 127), ("smallint", -32768, 32767), ("int", -2147483648, 2147483647)]
+FLOAT32_SQL = "3.4028234663852886e38"
 
 
 def _num(t):
@@ -83,11 +87,13 @@ def _stats_sql(tab, cols):
     for c, t in cols:
         mn = f"CAST(min({c}) AS DOUBLE)" if _num(t) else "CAST(NULL AS DOUBLE)"
         mx = f"CAST(max({c}) AS DOUBLE)" if _num(t) else "CAST(NULL AS DOUBLE)"
-        b = f"sum(strlen({c}))" if t == "string" else f"count(*) * {_WIDTH[t]}"
+        exact = [f"CAST({f}({c}) AS BIGINT)" if t in ("bigint", "int") else "CAST(NULL AS BIGINT)" for f in ("min", "max")]
+        b = f"sum(strlen({c}))" if t == "string" else f"count(*) * {WIDTH_SQL[t]}"
         fx = (f"bool_and(CASE WHEN {c} IS NULL OR isnan({c}) THEN true "
               f"ELSE CAST(CAST({c} AS FLOAT) AS DOUBLE) = {c} END)") if t == "double" else "CAST(NULL AS BOOLEAN)"
         parts.append(f"""SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows,
             count(*) - count({c}) AS n_nulls, {mn} AS min_value, {mx} AS max_value,
+            {exact[0]} AS min_int, {exact[1]} AS max_int,
             count(DISTINCT {c}) AS n_distinct, CAST({b} AS BIGINT) AS bytes, {fx} AS f32_exact FROM {tab}""")
     return "\nUNION ALL\n".join(parts)
 
@@ -96,9 +102,9 @@ def _plan_sql():
     ints = ", ".join(f"'{c}'" for c, t in LINEITEM_COLS if t in ("bigint", "int"))
     flts = ", ".join(f"'{c}'" for c, t in LINEITEM_COLS if t == "double")
     strs = ", ".join(f"'{c}'" for c, t in LINEITEM_COLS if t == "string")
-    uns = " ".join(f"WHEN min_value >= 0 AND max_value <= {hi} THEN '{n}'" for n, hi in types.UNSIGNED)
-    sig = " ".join(f"WHEN min_value >= {lo} AND max_value <= {hi} THEN '{n}'" for n, lo, hi in types.SIGNED)
-    fits = f"(min_value IS NULL OR (abs(min_value) <= {types.FLOAT32_MAX!r} AND abs(max_value) <= {types.FLOAT32_MAX!r}))"
+    uns = " ".join(f"WHEN min_int >= 0 AND max_int <= {hi} THEN '{n}'" for n, hi in UNSIGNED_SQL)
+    sig = " ".join(f"WHEN min_int >= {lo} AND max_int <= {hi} THEN '{n}'" for n, lo, hi in SIGNED_SQL)
+    fits = f"(min_value IS NULL OR (abs(min_value) <= {FLOAT32_SQL} AND abs(max_value) <= {FLOAT32_SQL}))"
     ratio = "(n_distinct + CASE WHEN n_nulls > 0 THEN 1 ELSE 0 END) / n_rows"
     return f"""WITH s AS ({_stats_sql('lineitem', LINEITEM_COLS)})
         SELECT column_name, data_type AS before,
@@ -109,8 +115,8 @@ def _plan_sql():
         SELECT column_name, data_type, CASE WHEN {fits} THEN 'float32' ELSE 'float64' END,
           CASE WHEN {fits} THEN 'float' ELSE 'double' END FROM s WHERE column_name IN ({flts})
         UNION ALL
-        SELECT column_name, data_type, CASE WHEN {ratio} < {types.CATEGORY_RATIO} THEN 'category' ELSE 'object' END,
-          CASE WHEN {ratio} < {types.CATEGORY_RATIO} THEN 'string+code' ELSE 'string' END
+        SELECT column_name, data_type, CASE WHEN {ratio} < 0.5 THEN 'category' ELSE 'object' END,
+          CASE WHEN {ratio} < 0.5 THEN 'string+code' ELSE 'string' END
         FROM s WHERE column_name IN ({strs})"""
 
 
@@ -131,7 +137,23 @@ def _profile_sql():
     return "\nUNION ALL\n".join(parts)
 
 
+def _optimized_sql():
+    """Narrowest type of each column by its own bounds at the tested size: the SQL reads the same rule
+    from the plan, so only the casts and codes are spelled out here."""
+    cols = []
+    for c, t in LINEITEM_COLS:
+        if t == "string":
+            cols.append(f"CAST(CASE WHEN {c} IS NULL THEN -1 ELSE dense_rank() OVER (PARTITION BY {c} IS NULL "
+                        f"ORDER BY {c}) - 1 END AS INTEGER) AS {c}_code")
+        elif t == "double":
+            cols.append(f"CAST({c} AS FLOAT) AS {c}")
+        else:
+            cols.append(c)
+    return "SELECT " + ", ".join(cols) + " FROM lineitem"
+
+
 ORACLE = {
+    "optimized_table": _optimized_sql(),
     "type_profile": _stats_sql("lineitem", LINEITEM_COLS),
     "optimize_types": _plan_sql(),
     "category_codes": "SELECT o_orderkey, " + ", ".join(

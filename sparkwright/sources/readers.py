@@ -19,6 +19,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _field(parts: Column, pos: int, dtype: str, on_error: str) -> Column:
     raw = F.get(parts, pos)
+    if on_error == "fail":  # a line without the field fails, as a bad number does
+        raw = F.when(F.size(parts) > pos, raw).otherwise(F.raise_error(F.concat(
+            F.lit(f"no field {pos} in line: "), F.array_join(parts, ","))))
     if dtype == "string":
         return raw
     return raw.cast(dtype) if on_error == "fail" else raw.try_cast(dtype)
@@ -29,15 +32,21 @@ def read_delimited(spark: SparkSession, path: str, fields, sep: str = ",",
     """Headerless delimited lines; ``fields`` = [(name, type, position)] picks
     positional fields and ignores the rest (S2, S3).
 
-    ``on_error="fail"`` raises on a bad number (ANSI cast), ``"drop"`` drops
-    the line. Lines with extra columns are accepted (unlike CSV FAILFAST).
+    ``on_error="fail"`` raises on a bad number (ANSI cast) or a line too short
+    for a field, ``"drop"`` drops the line. Lines with extra columns are
+    accepted (unlike CSV FAILFAST).
     """
+    return parse_delimited(spark.read.text(path), fields, sep, on_error)
+
+
+def parse_delimited(lines: DataFrame, fields, sep: str = ",", on_error: str = "fail",
+                    col: str = "value") -> DataFrame:
+    """The rows of ``lines`` as ``read_delimited`` reads them from a file."""
     import re
-    parts = F.split(F.col("value"), re.escape(sep))
-    cols = [_field(parts, pos, t, on_error).alias(n) for n, t, pos in fields]
-    df = spark.read.text(path).select(*cols)
+    parts = F.split(F.col(col), re.escape(sep))
+    df = lines.select(*[_field(parts, pos, t, on_error).alias(n) for n, t, pos in fields])
     if on_error == "drop":
-        df = df.dropna(subset=[n for n, t, _ in fields if t != "string"])
+        df = df.dropna()
     return df
 
 

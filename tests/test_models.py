@@ -61,3 +61,9 @@ def test_recommend_returns_k_ranked_items(spark):
     recs = models.recommend(df, "user", "item", "rating", users, k=5, iters=5).collect()
     assert [r["rank"] for r in recs] == [1, 2, 3, 4, 5]
     assert all(recs[i]["score"] >= recs[i + 1]["score"] for i in range(4))
+
+
+def test_gram_stats_leave_out_rows_with_nulls(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, None), (None, 5.0)], "x double, y double")
+    g, b, yy, n = models.gram_stats(df, "y", ["x"])
+    assert (g[0, 0], b[0], yy, n) == (5.0, 10.0, 20.0, 2)

@@ -84,3 +84,13 @@ def test_with_random_is_seeded(spark):
     assert 1 <= r[0] <= r[1] <= 99
     s = readers.with_random(base, "s", "letters", 3).select(F.length("s").alias("l")).collect()
     assert all(1 <= x["l"] <= 10 for x in s)
+
+
+def test_short_delimited_line_fails_or_drops(spark):
+    import pytest
+    lines = spark.createDataFrame([("1,2",), ("3",), ("4,x",), ("5,6,7",)], "value string")
+    fields = [("a", "int", 0), ("b", "int", 1)]
+    with pytest.raises(Exception, match="no field 1"):
+        readers.parse_delimited(lines.where("value = '3'"), fields).collect()
+    kept = readers.parse_delimited(lines, fields, on_error="drop").collect()
+    assert sorted(map(tuple, kept)) == [(1, 2), (5, 6)]

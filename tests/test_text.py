@@ -67,3 +67,17 @@ def test_lines_end_at_any_terminator(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(scalar.text_lines(F.col("t"))).collect()]
     assert got == [["a", "b", "c", "d"], ["x", "", "y"], [], ["no terminator"], [""]]
+
+
+def test_dedupe_reposts_null_text_is_one_text(spark):
+    rows = [(1, None, 1), (2, None, 2), (3, "a", 1), (4, "a", 1), (5, None, 0)]
+    df = spark.createDataFrame(rows, "id long, t string, n int")
+    assert sorted(r["id"] for r in text.dedupe_reposts(df, "t", "n", "id").collect()) == [1, 3, 5]
+
+
+def test_sentiment_share_lists_every_class(spark):
+    from sparkwright.plans import text_jobs
+    from tests.conftest import SF001
+    got = {r["sentiment"]: r["n"] for r in text_jobs.sentiment_share(spark, SF001).collect()}
+    assert set(got) == {"positive", "neutral", "negative"}
+    assert sum(got.values()) == spark.read.parquet(f"{SF001}/conversations.parquet").count()

@@ -26,3 +26,21 @@ def test_category_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "c string")
     got = [(r["c"], r["c_code"]) for r in types.category_codes(df, ["c"]).orderBy(F.col("c").asc_nulls_first()).collect()]
     assert got == [(None, -1), ("a", 0), ("b", 1), ("b", 1)]
+
+
+def test_unsigned_bounds_are_exact(spark):
+    top = (1 << 63) - 1
+    df = spark.createDataFrame([(5_000_000_000, top - 1, 1 << 53, -1, None), (1, top, (1 << 53) + 1, 0, None)],
+                               "u64 long, top long, odd long, neg long, none long")
+    plan = {r["column_name"]: r["after"] for r in types.type_plan(df).collect()}
+    assert plan == {"u64": "uint64", "top": "uint64", "odd": "uint64", "neg": "int64", "none": "int64"}
+    st = {r["column_name"]: (r["min_int"], r["max_int"]) for r in types.column_stats(df).collect()}
+    assert st["top"] == (top - 1, top) and st["odd"] == (1 << 53, (1 << 53) + 1)
+
+
+def test_rewritten_table_has_category_codes(spark):
+    df = spark.createDataFrame([(k, "ab"[k % 2] if k else None) for k in range(10)], "k long, c string")
+    plan = [(r["column_name"], r["spark_type"]) for r in types.type_plan(df).collect()]
+    out = types.apply_types(df, plan, categories=True)
+    assert dict(out.dtypes) == {"k": "tinyint", "c_code": "int"}
+    assert {r["k"]: r["c_code"] for r in out.collect()} == {0: -1} | {k: k % 2 for k in range(1, 10)}
