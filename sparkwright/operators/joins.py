@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.session import write_shared
-
-#: Rows of a small left side whose keys are broadcast.
-MOST_BROADCAST = 100_000
-
 
 def with_names(df: DataFrame, dim: DataFrame, on: str, name_cols, missing: str = "null",
                small_left: bool = False) -> DataFrame:
@@ -19,18 +14,15 @@ def with_names(df: DataFrame, dim: DataFrame, on: str, name_cols, missing: str =
     them, "error" fails the job on the first unmatched key.
 
     ``small_left=True`` is for a left side expected to be small (a top-k
-    result): it is written once to the shared folder and counted, and up to
-    ``MOST_BROADCAST`` rows its keys are broadcast to filter the dimension
-    during its scan, so the (large) dimension is never shuffled. Beyond that,
-    and without the flag, a plain equi-join is planned and AQE picks broadcast
-    or sort-merge from the real sizes.
+    result): its keys first filter the dimension, so that only the wanted
+    dimension rows meet it. The planner broadcasts the keys if its own
+    estimate is below the broadcast threshold (a limit or a global aggregate
+    is) and shuffles otherwise; nothing is broadcast on the caller's word.
     """
     names = [name_cols] if isinstance(name_cols, str) else list(name_cols)
     d = dim.select(on, *names)
     if small_left:
-        df = write_shared(df, "named")
-        if df.count() <= MOST_BROADCAST:
-            d = d.join(F.broadcast(df.select(on).distinct()), on, "left_semi")
+        d = d.join(df.select(on).distinct(), on, "left_semi")
     if missing == "drop":
         return df.join(d, on, "inner")
     if missing != "error":
