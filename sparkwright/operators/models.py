@@ -10,17 +10,34 @@ samples hash a key, so they are reproducible under any partitioning.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.operators import quantiles as Q
+HASH_BITS = 52
+_RADIX = 12       # bits settled by one counting pass of ``sample_exact``
+_FEW = 10_000     # rows of the last bucket that are ordered on the driver
 
-_U = float(1 << 31)
+
+def key_hash(key: str, seed: int):
+    """52 bits of the MD5 of "key:seed" as a long: the same in any engine (a null key: empty)."""
+    text = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
 def _unit_hash(key: str, seed: int):
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 31)).cast("double") / _U
+    return key_hash(key, seed).cast("double") / float(1 << HASH_BITS)
+
+
+@contextmanager
+def cached(df: DataFrame):
+    """Persist a frame that a fit iterates over, and release it when the fit is done."""
+    df = df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), seed: int = 42) -> list[DataFrame]:
@@ -38,14 +55,34 @@ def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), seed: int = 42) -> l
 def sample_exact(df: DataFrame, key: str, frac: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Exactly floor(frac * n) rows without replacement, and the complement.
 
-    Rows are ranked by (hash(key, seed), key) piecewise (no single-task sort)
-    and the first floor(frac * n) are kept; n is a scalar subquery.
+    The rows with the smallest (hash(key, seed), key) are kept. The largest
+    pair that is kept is found by counting: each pass counts 4,096 hash
+    buckets and goes on inside the one that holds the wanted rank, until few
+    rows are left to order (at most 10,000, or rows of one hash). Then both
+    parts are plain filters: no row is shuffled, ranked or cached. Keys must
+    be unique and not null.
     """
-    ranked = Q.positions(df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))), ["_h", key],
-                         name="_pos")
-    k = F.floor(df.agg(F.count(F.lit(1)) * F.lit(frac)).scalar())
-    return (ranked.filter(F.col("_pos") < k).drop("_h", "_pos"),
-            ranked.filter(F.col("_pos") >= k).drop("_h", "_pos"))
+    h = key_hash(key, seed)
+    left, lo, bits = math.floor(df.count() * frac), 0, HASH_BITS
+    if left == 0:
+        return df.filter(F.lit(False)), df
+    keys = df.select(h.alias("h"), F.col(key).alias("k"))
+    while bits:
+        shift = max(0, bits - _RADIX)
+        inside = keys.filter((F.col("h") >= lo) & (F.col("h") < lo + (1 << bits)))
+        counts = {r["b"]: r["n"] for r in inside.groupBy(F.shiftright("h", shift).alias("b"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 4,096 rows
+        for bucket in sorted(counts):
+            if left <= counts[bucket]:
+                break
+            left -= counts[bucket]
+        lo, bits = bucket << shift, shift
+        if counts[bucket] <= _FEW:
+            break
+    last = keys.filter((F.col("h") >= lo) & (F.col("h") < lo + (1 << bits))).orderBy("h", "k").limit(left) \
+        .orderBy(F.desc("h"), F.desc("k")).first()
+    kept = (h < last["h"]) | ((h == last["h"]) & (F.col(key) <= F.lit(last["k"])))
+    return df.filter(kept), df.filter(~kept)
 
 
 def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
@@ -129,6 +166,17 @@ def evaluate(pred: DataFrame, label: str, metric: str, prediction: str = "predic
     return RegressionEvaluator(labelCol=label, predictionCol=prediction, metricName=metric).evaluate(pred)
 
 
+def metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> dict[str, float]:
+    """rmse, mae and r2 of a scored frame in one aggregate (M8)."""
+    y, p = F.col(label), F.col(prediction)
+    r = pred.agg(F.count(F.lit(1)).alias("n"), F.avg((y - p) * (y - p)).alias("mse"), F.avg(F.abs(y - p)).alias("mae"),
+                 F.var_pop(y).alias("var")).first()
+    nan = float("nan")
+    if not r["n"]:
+        return {"rmse": nan, "mae": nan, "r2": nan}
+    return {"rmse": math.sqrt(r["mse"]), "mae": r["mae"], "r2": 1 - r["mse"] / r["var"] if r["var"] else nan}
+
+
 def fit_logistic(train: DataFrame, label: str, features: str = "features", c: float = 1.0,
                  n: int | None = None, max_iter: int = 100):
     """Logistic regression with an L2 penalty 1/(2C) on the summed loss (M13):
