@@ -35,9 +35,8 @@ def interpolate_linear(knots: DataFrame, queries: DataFrame, series: str, x: str
     the knot range the result is null. Rows with the same (series, x) cannot
     be split by range bounds, so many queries at one x form one piece.
     """
-    from pyspark import StorageLevel
-
     from sparkwright.operators.windows import _ranged, join_back
+    from sparkwright.session import write_shared
     k = knots.select(series, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
                      F.lit(0).alias("_q"))
     q = queries.select(series, F.col(x).cast("double").alias("_x"), F.lit(None).cast("double").alias("_y"),
@@ -47,9 +46,9 @@ def interpolate_linear(knots: DataFrame, queries: DataFrame, series: str, x: str
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     knot = F.when(F.col("_q") == 0, F.struct(F.col("_x").alias("x"), F.col("_y").alias("y")))
-    u = u.select(series, "_pid", "_x", "_y", "_q", F.last(knot, ignorenulls=True).over(before).alias("_k0"),
-                 F.first(knot, ignorenulls=True).over(after).alias("_k1")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    u = write_shared(u.select(
+        series, "_pid", "_x", "_y", "_q", F.last(knot, ignorenulls=True).over(before).alias("_k0"),
+        F.first(knot, ignorenulls=True).over(after).alias("_k1")), "pieces")
     # per piece its last and first knot (struct order: by x), then for every
     # piece the nearest knot of the earlier and of the later pieces
     b = u.groupBy(series, "_pid").agg(F.max(knot).alias("_last"), F.min(knot).alias("_first"))
@@ -65,16 +64,49 @@ def interpolate_linear(knots: DataFrame, queries: DataFrame, series: str, x: str
     return j.select(series, F.col("_x").alias(x), val.alias(y))
 
 
+def _tridiagonal(low, mid, up, rhs):
+    """Solve a tridiagonal system by parallel cyclic reduction: log2(n) vector steps, O(n) memory."""
+    import numpy as np
+
+    def moved(v, by, fill):
+        out = np.full(len(v), fill)
+        if by > 0:
+            out[by:] = v[:-by]
+        else:
+            out[:by] = v[-by:]
+        return out
+    step = 1
+    while step < len(mid):
+        p, q = -low / moved(mid, step, 1.0), -up / moved(mid, -step, 1.0)
+        mid, rhs, low, up = (mid + p * moved(up, step, 0.0) + q * moved(low, -step, 0.0),
+                             rhs + p * moved(rhs, step, 0.0) + q * moved(rhs, -step, 0.0),
+                             p * moved(low, step, 0.0), q * moved(up, -step, 0.0))
+        step *= 2
+    return rhs / mid
+
+
+def _clean_knots(xk, yk):
+    """Knots in order of x, without nulls; knots of one x become one with their mean y."""
+    import numpy as np
+    ok = ~(np.isnan(xk) | np.isnan(yk))
+    x, of = np.unique(xk[ok], return_inverse=True)
+    return x, np.bincount(of, weights=yk[ok], minlength=len(x)) / np.maximum(1, np.bincount(of, minlength=len(x)))
+
+
 def _spline_eval(xk, yk, xq):
     """Not-a-knot cubic spline through (xk, yk) evaluated at xq (numpy).
 
     4+ knots: the not-a-knot spline; 3: the parabola; 2: the line; 1: the
-    constant. Queries outside [xk[0], xk[-1]] give NaN.
+    constant; none: NaN. Queries outside [xk[0], xk[-1]] give NaN. xk increases.
+    The end conditions are put into the second and second-last rows, which
+    leaves a diagonally dominant tridiagonal system for the second derivatives.
     """
     import numpy as np
 
     n = len(xk)
     out = np.full(len(xq), np.nan)
+    if n == 0:
+        return out
     inside = (xq >= xk[0]) & (xq <= xk[-1])
     if n == 1:
         out[inside] = yk[0]
@@ -83,18 +115,16 @@ def _spline_eval(xk, yk, xq):
         coef = np.polyfit(xk, yk, n - 1)
         out[inside] = np.polyval(coef, xq[inside])
         return out
-    h = np.diff(xk)
-    a = np.zeros((n, n))
-    rhs = np.zeros(n)
-    for i in range(1, n - 1):
-        a[i, i - 1] = h[i - 1]
-        a[i, i] = 2 * (h[i - 1] + h[i])
-        a[i, i + 1] = h[i]
-        rhs[i] = 6 * ((yk[i + 1] - yk[i]) / h[i] - (yk[i] - yk[i - 1]) / h[i - 1])
-    # not-a-knot: third derivative continuous at the second and second-last knots
-    a[0, 0], a[0, 1], a[0, 2] = h[1], -(h[0] + h[1]), h[0]
-    a[-1, -3], a[-1, -2], a[-1, -1] = h[-1], -(h[-2] + h[-1]), h[-2]
-    m = np.linalg.solve(a, rhs)
+    h, slope = np.diff(xk), np.diff(yk) / np.diff(xk)
+    low, up = h[:-1].copy(), h[1:].copy()
+    mid, rhs = 2 * (h[:-1] + h[1:]), 6 * np.diff(slope)
+    # third derivative continuous at the second and second-last knots
+    mid[0], up[0], low[0] = (h[0] + h[1]) * (2 + h[0] / h[1]), h[1] - h[0] ** 2 / h[1], 0.0
+    mid[-1], low[-1], up[-1] = (h[-2] + h[-1]) * (2 + h[-1] / h[-2]), h[-2] - h[-1] ** 2 / h[-2], 0.0
+    m = np.empty(n)
+    m[1:-1] = _tridiagonal(low, mid, up, rhs)
+    m[0] = ((h[0] + h[1]) * m[1] - h[0] * m[2]) / h[1]
+    m[-1] = ((h[-2] + h[-1]) * m[-2] - h[-1] * m[-3]) / h[-2]
     xi = xq[inside]
     j = np.clip(np.searchsorted(xk, xi, side="right") - 1, 0, n - 2)
     hj = h[j]
@@ -105,7 +135,14 @@ def _spline_eval(xk, yk, xq):
 
 
 def interpolate_cubic(knots: DataFrame, queries: DataFrame, series: str, x: str, y: str) -> DataFrame:
-    """Cubic-spline value at every query x (per-series solve in a grouped pandas task)."""
+    """Cubic-spline value at every query x.
+
+    One series is solved in one task, in linear memory: series must be of
+    bounded length (a daily series has as many knots as days, whatever the
+    data volume). Knots with a null x or y are left out, knots of one x count
+    as one with their mean y. A query is null outside the knots' range, for a
+    series without knots and at a null x.
+    """
     st = knots.schema[series].dataType
     k = knots.select(F.col(series).alias("s"), F.col(x).cast("double").alias("x"),
                      F.col(y).cast("double").alias("y"), F.lit(0).alias("q"))
@@ -117,9 +154,10 @@ def interpolate_cubic(knots: DataFrame, queries: DataFrame, series: str, x: str,
     def solve(pdf):
         import numpy as np
         import pandas as pd
-        kn = pdf[pdf["q"] == 0].sort_values("x")
+        kn = pdf[pdf["q"] == 0]
         qs = pdf[pdf["q"] == 1]
-        yv = _spline_eval(kn["x"].to_numpy(), kn["y"].to_numpy(), qs["x"].to_numpy())
+        xk, yk = _clean_knots(kn["x"].to_numpy(dtype="float64"), kn["y"].to_numpy(dtype="float64"))
+        yv = _spline_eval(xk, yk, qs["x"].to_numpy(dtype="float64"))
         return pd.DataFrame({"s": qs["s"].to_numpy(), "x": qs["x"].to_numpy(),
                              "y": np.where(np.isnan(yv), None, yv).astype("float64")})
 

@@ -11,15 +11,17 @@ size. Every distinct value then knows its rank interval [lo, hi) and the
 quantile positions are picked out by column arithmetic.
 
 The piece-ranked frame feeds both the summary and the join back, so it is
-persisted: one range partitioning, one set of piece ids (see windows.py).
+written once to the shared folder: one range partitioning, one set of piece
+ids (see windows.py).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkwright.session import write_shared
+
 _UNB = Window.unboundedPreceding
 
 
@@ -36,8 +38,7 @@ def rank_intervals(vc: DataFrame, groups, value: str, weight: str,
     n = partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = vc.repartitionByRange(n, *groups, value).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy(*groups, "_pid").orderBy(value)
-    r = r.withColumn("_loc", F.coalesce(F.sum(weight).over(w.rowsBetween(_UNB, -1)), F.lit(0))) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    r = write_shared(r.withColumn("_loc", F.coalesce(F.sum(weight).over(w.rowsBetween(_UNB, -1)), F.lit(0))), "ranks")
     b = r.groupBy(*groups, "_pid").agg(F.sum(weight).alias("_tot"))
     wb = Window.partitionBy(*groups).orderBy("_pid")
     b = (b.withColumn("_base", F.coalesce(F.sum("_tot").over(wb.rowsBetween(_UNB, -1)), F.lit(0)))

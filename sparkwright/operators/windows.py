@@ -270,3 +270,11 @@ def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: floa
 def first_by_order(value: str, order: list[str]) -> Column:
     """Value of the first row by ``order`` (deterministic ``first``)."""
     return F.min_by(F.col(value), F.struct(*[F.col(o) for o in order]))
+
+
+def pivot_first(df: DataFrame, keys, feature: str, features, value: str, order) -> DataFrame:
+    """One row per key and one column per name in ``features``, holding the feature's first value
+    by ``order`` (A16): partial aggregates and one shuffle; other features are left out."""
+    rank = F.struct(*[F.col(o) for o in order])
+    return df.groupBy(*_list(keys)).agg(*[
+        F.min_by(F.col(value), F.when(F.col(feature) == f, rank)).alias(f) for f in features])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.operators import agg, joins, topk
 from sparkwright.functions import scalar
+from sparkwright.operators import quantiles as Q
 from sparkwright.sources.tables import table
 
 # Parameters of the stand-in jobs (all thresholds are parameters).
@@ -33,7 +34,7 @@ def _temps(spark, root, entry_type, fn, name):
 
 
 def min_by_station(spark, root):
-    """Minimum converted reading per station for one entry type (filter, min, order by station)."""
+    """Minimum converted reading per station for one entry type (filter, min)."""
     return _temps(spark, root, MIN_ENTRY_TYPE, agg.min_by_key, "min_temp_f")
 
 
@@ -42,6 +43,23 @@ def max_by_station(spark, root):
     return _temps(spark, root, MAX_ENTRY_TYPE, agg.max_by_key, "max_temp_f")
 
 
+def _report_lines(df, value, what):
+    """Lines "<station> <what> temperature: <2 decimals> F", numbered in station order."""
+    lines = Q.positions(df, ["station"], name="_pos")
+    return lines.select((F.col("_pos") + 1).cast("bigint").alias("line_no"), F.format_string(
+        f"%d {what} temperature: %.2f F", F.col("station"), scalar.round_half_away(value, 2)).alias("line"))
+
+
+def min_station_report(spark, root):
+    """The minimum reading of every station as numbered lines, sorted by station."""
+    return _report_lines(min_by_station(spark, root), "min_temp_f", "minimum")
+
+
+def max_station_report(spark, root):
+    """The maximum reading of every station as numbered lines, sorted by station."""
+    return _report_lines(max_by_station(spark, root), "max_temp_f", "maximum")
+
+
 def value_histogram(spark, root):
     """Count of each rating value (here: line number), ordered by the value as text."""
     li = table(spark, root, "lineitem")
@@ -141,6 +159,8 @@ def df_plus_ten(spark, root):
 JOBS = {
     "min_by_station": min_by_station,
     "max_by_station": max_by_station,
+    "min_station_report": min_station_report,
+    "max_station_report": max_station_report,
     "value_histogram": value_histogram,
     "first_rows": first_rows,
     "popular_items": popular_items,
@@ -164,6 +184,14 @@ ORACLE = {
     "max_by_station": f"""
         SELECT user_id AS station, max(value * 0.1 * 9 / 5 + 32) AS max_temp_f
         FROM events WHERE event_type = '{MAX_ENTRY_TYPE}' GROUP BY user_id""",
+    "min_station_report": f"""
+        SELECT row_number() OVER (ORDER BY user_id) AS line_no,
+               printf('%d minimum temperature: %.2f F', user_id, round(min(value * 0.1 * 9 / 5 + 32), 2)) AS line
+        FROM events WHERE event_type = '{MIN_ENTRY_TYPE}' GROUP BY user_id""",
+    "max_station_report": f"""
+        SELECT row_number() OVER (ORDER BY user_id) AS line_no,
+               printf('%d maximum temperature: %.2f F', user_id, round(max(value * 0.1 * 9 / 5 + 32), 2)) AS line
+        FROM events WHERE event_type = '{MAX_ENTRY_TYPE}' GROUP BY user_id""",
     "value_histogram": "SELECT l_linenumber, count(*) AS n FROM lineitem GROUP BY 1",
     "first_rows": f"SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT {FIRST_N}",
     "popular_items": "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1",

@@ -20,6 +20,7 @@ SESSION_GAP_S = 900
 WIN_RATE_MAX_ODDS = 21
 LEDGER_MIN = 0.0
 _WITHDRAWALS = ("purchase", "error")
+FEATURES = ("click", "error", "purchase", "signup", "view")
 
 
 def sessionize(spark, root):
@@ -30,12 +31,11 @@ def sessionize(spark, root):
 
 
 def pivot_features(spark, root):
-    """(user, day) rows, one column per feature holding its first value by (ts, id)."""
+    """(user, day) rows, one column per declared feature holding its first value by (ts, id)."""
     ev = table(spark, root, "events").select(
         "user_id", F.to_date("ts").alias("day"), "ts", "event_id", "value",
         F.translate("event_type", ".", "_").alias("feature"))
-    return ev.groupBy("user_id", "day").pivot("feature") \
-        .agg(windows.first_by_order("value", ["ts", "event_id"]))
+    return windows.pivot_first(ev, ["user_id", "day"], "feature", FEATURES, "value", ["ts", "event_id"])
 
 
 def _win_rate(spark, root):

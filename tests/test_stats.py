@@ -61,6 +61,35 @@ def test_spline_reproduces_cubic_and_knots():
     assert np.allclose(interpolate._spline_eval(xk, ys, xk), ys)
 
 
+def test_spline_solver_matches_a_dense_solve():
+    gen = np.random.default_rng(1)
+    for n in (4, 5, 9, 64, 1000):
+        xk = np.cumsum(gen.uniform(0.1, 2, n))
+        yk = gen.normal(size=n)
+        h = np.diff(xk)
+        a, rhs = np.zeros((n, n)), np.zeros(n)
+        for i in range(1, n - 1):
+            a[i, i - 1:i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
+            rhs[i] = 6 * ((yk[i + 1] - yk[i]) / h[i] - (yk[i] - yk[i - 1]) / h[i - 1])
+        a[0, :3] = h[1], -(h[0] + h[1]), h[0]
+        a[-1, -3:] = h[-1], -(h[-2] + h[-1]), h[-2]
+        m = np.linalg.solve(a, rhs)
+        mids = (xk[:-1] + xk[1:]) / 2
+        want = (yk[:-1] + yk[1:]) / 2 - h ** 2 * (m[:-1] + m[1:]) / 16
+        assert np.allclose(interpolate._spline_eval(xk, yk, mids), want, atol=1e-8)
+
+
+def test_spline_edges(spark):
+    k = spark.createDataFrame([("a", 0.0, 1.0), ("a", 1.0, 2.0), ("a", 1.0, 4.0), ("a", None, 9.0), ("a", 2.0, None),
+                               ("b", 5.0, 7.0), (None, 0.0, 0.0), (None, 1.0, 1.0)], "s string, x double, y double")
+    q = spark.createDataFrame([("a", 0.5), ("a", None), ("a", 3.0), ("b", 5.0), ("c", 1.0), (None, 0.25)],
+                              "s string, x double")
+    got = {(r["s"], r["x"]): r["y"] for r in interpolate.interpolate_cubic(k, q, "s", "x", "y").collect()}
+    got = {k: v if v is None else round(v, 12) for k, v in got.items()}
+    assert got == {("a", 0.5): 2.0, ("a", None): None, ("a", 3.0): None, ("b", 5.0): 7.0, ("c", 1.0): None,
+                   (None, 0.25): 0.25}
+
+
 def test_linear_interpolation_on_knot_and_between(spark):
     k = spark.createDataFrame([(1, 0.0, 0.0), (1, 2.0, 4.0), (1, 3.0, 1.0)], "s int, x double, y double")
     q = spark.createDataFrame([(1, 0.0), (1, 1.0), (1, 2.0), (1, 2.5), (1, 5.0)], "s int, x double")
