@@ -31,12 +31,13 @@ def long_values(df: DataFrame, cols, name: str = "column_name", value: str = "va
 
 
 def describe(df: DataFrame, cols, approx: bool = False) -> DataFrame:
-    """count, mean, sample sd, min, q1, median, q3, max per column (A17), long form.
+    """count, nulls, mean, sample sd, min, q1, median, q3, max per column (A17), long form.
 
     ``approx=True`` takes the quartiles from sketches (see ``quantiles``)."""
     lv = long_values(df, cols)
     mom = lv.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
+        F.count("value").alias("count"), (F.count(F.lit(1)) - F.count("value")).alias("n_nulls"),
+        F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("stddev"), F.min("value").alias("min"),
         F.max("value").alias("max"))
     q = Q.quantiles(lv, ["column_name"], "value", [0.25, 0.5, 0.75], approx=approx) \
@@ -45,6 +46,13 @@ def describe(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     return mom.join(q, "column_name", "left")
 
 
+def level_counts(df: DataFrame, cols) -> DataFrame:
+    """(column_name, level, n): rows of every value of the given columns, null included."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in cols]) \
+        .unpivot([], list(cols), "column_name", "level").groupBy("column_name", "level") \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
 def describe_strings(df: DataFrame, cols) -> DataFrame:
     """count, unique, top, freq per string column (A17 for strings), long form.
 
@@ -72,13 +80,17 @@ def corr_with(df: DataFrame, cols, target: str) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols) -> DataFrame:
-    """All pairwise Pearson correlations in one aggregate, long (col_a, col_b, r)."""
-    pairs = [(a, b) for a in cols for b in cols]
+    """All pairwise Pearson correlations in one aggregate, long (col_a, col_b, r) (A19); each
+    unordered pair is computed once and listed both ways."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in list(cols)[i:]]
     row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}\u0001{b}")
                    for a, b in pairs])
     long = row.unpivot([], [f"`{a}\u0001{b}`" for a, b in pairs], "_pair", "r")
     parts = F.split(F.col("_pair"), "\u0001")
-    return long.select(F.element_at(parts, 1).alias("col_a"), F.element_at(parts, 2).alias("col_b"), "r")
+    a, b = F.element_at(parts, 1), F.element_at(parts, 2)
+    ways = F.when(a == b, F.array(F.struct(a.alias("col_a"), b.alias("col_b")))).otherwise(
+        F.array(F.struct(a.alias("col_a"), b.alias("col_b")), F.struct(b.alias("col_a"), a.alias("col_b"))))
+    return long.select(F.explode(ways).alias("w"), "r").select("w.col_a", "w.col_b", "r")
 
 
 def boxplot_stats(df: DataFrame, group: str, value: str, approx: bool = False,

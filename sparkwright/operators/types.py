@@ -128,6 +128,24 @@ def type_plan(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
         "column_name", F.col("data_type").alias("before"), after.alias("after"), spark_type.alias("spark_type"))
 
 
+def savings(df: DataFrame) -> DataFrame:
+    """Size report of a type plan (A25): per kind of column (int, float, string) the number of
+    columns, megabytes before and after in all, and their means per column. Strings count their
+    bytes; a category counts 4-byte codes, its dictionary aside."""
+    from sparkwright.functions.scalar import round_half_away
+    st = column_stats(df, distinct="string")
+    kinds = F.create_map(*[x for f in df.schema.fields for x in (F.lit(f.name), F.lit(_kind(f.dataType)))])
+    widths = F.create_map(*[x for t, n in [*FIXED_WIDTH.items(), ("string+code", 4)] for x in (F.lit(t), F.lit(n))])
+    both = st.join(type_plan(df, st).select("column_name", "spark_type"), "column_name").select(
+        kinds[F.col("column_name")].alias("kind"), "bytes",
+        F.when(F.col("spark_type") == "string", F.col("bytes"))
+        .otherwise(F.col("n_rows") * widths[F.col("spark_type")]).alias("after"))
+    mb = lambda c: round_half_away(c / 1048576.0, 6)
+    return both.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n_columns"), mb(F.sum("bytes")).alias("mb_before"), mb(F.sum("after")).alias("mb_after"),
+        mb(F.avg("bytes")).alias("mean_mb_before"), mb(F.avg("after")).alias("mean_mb_after"))
+
+
 def apply_types(df: DataFrame, plan_rows, categories: bool = False) -> DataFrame:
     """Rewrite a table with a type plan given as (column, spark_type) pairs
     (a small driver-side dict: one entry per column, not per row). With

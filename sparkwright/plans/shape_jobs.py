@@ -133,6 +133,24 @@ def string_ops(spark, root):
     )
 
 
+def list_ops(spark, root):
+    """Reversed, appended, set-added, head, tail and characters of word lists; map entries as text."""
+    p = table(spark, root, "part")
+    w = F.split("p_name", " ")
+    m = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("type"), F.col("p_type"))
+    return p.select(
+        "p_partkey",
+        F.array_join(F.reverse(w), " ").alias("reversed"),
+        F.array_join(F.array_append(w, F.lit("new")), " ").alias("appended"),
+        F.array_join(F.array_sort(F.array_union(w, F.array(F.lit("red")))), " ").alias("set_added"),
+        F.get(w, 0).alias("head"),
+        F.array_join(F.slice(w, F.lit(2), F.size(w)), " ").alias("tail"),
+        F.array_join(F.split("p_name", ""), "-").alias("characters"),
+        F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+        .alias("items"),
+        F.format_string("%.2f cm", F.col("p_size") * 2.54).alias("size_text"))
+
+
 def math_ops(spark, root):
     """sqrt, log2, exp, cos, power, square, cube, reciprocal (1/0 -> null) and a row sum of columns."""
     li = table(spark, root, "lineitem")
@@ -178,6 +196,7 @@ JOBS = {
     "array_ops": array_ops,
     "map_ops": map_ops,
     "string_ops": string_ops,
+    "list_ops": list_ops,
     "math_ops": math_ops,
     "replay_ledger": replay_ledger,
     "replay_ledger_min": replay_ledger_min,
@@ -239,6 +258,12 @@ ORACLE = {
         repeat(substr(p_type, 1, 3), 2) AS rep,
         array_to_string(list_sort(string_split(p_name, ' ')), '|') AS sorted_words,
         regexp_replace(p_name, 'red', 'Red', 'g') AS name_cap FROM part""",
+    "list_ops": """SELECT p_partkey, array_to_string(list_reverse(w), ' ') AS reversed,
+        array_to_string(list_append(w, 'new'), ' ') AS appended,
+        array_to_string(list_sort(list_distinct(list_append(w, 'red'))), ' ') AS set_added, w[1] AS head,
+        array_to_string(w[2:], ' ') AS tail, array_to_string(regexp_extract_all(p_name, '.'), '-') AS characters,
+        'brand=' || p_brand || ';type=' || p_type AS items, printf('%.2f cm', p_size * 2.54) AS size_text
+        FROM (SELECT *, string_split(p_name, ' ') AS w FROM part)""",
     "math_ops": """SELECT l_orderkey, l_linenumber, sqrt(l_quantity) AS sqrt_qty,
         round(log2(l_quantity), 9) AS log2_qty, round(exp(l_discount), 9) AS exp_disc,
         round(cos(l_tax), 9) AS cos_tax, round(pow(l_discount, 2.0), 9) AS disc_sq,

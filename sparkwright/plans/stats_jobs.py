@@ -29,9 +29,9 @@ def _r6(c):
 
 
 def describe(spark, root):
-    """count, mean, sd, min, quartiles, max of every numeric column (long form)."""
+    """count, nulls, mean, sd, min, quartiles, max of every numeric column (long form)."""
     d = stats.describe(table(spark, root, "lineitem"), NUM_COLS)
-    return d.select("column_name", "count", _r6("mean"), _r6("stddev"), "min", "max",
+    return d.select("column_name", "count", "n_nulls", _r6("mean"), _r6("stddev"), "min", "max",
                     _r6("q1"), _r6("median"), _r6("q3"))
 
 
@@ -40,6 +40,11 @@ def describe_strings(spark, root):
     return stats.describe_strings(table(spark, root, "lineitem"), STR_COLS)
 
 
+def level_counts(spark, root):
+    """Rows of every level of every string column, null as a level."""
+    return stats.level_counts(table(spark, root, "lineitem"), STR_COLS)
+
+
 def corr_with_target(spark, root):
     """Pearson correlation of each feature with the price, one aggregate."""
     cols = [c for c in NUM_COLS if c != TARGET]
@@ -114,6 +119,7 @@ def interpolate_cubic(spark, root):
 JOBS = {
     "describe": describe,
     "describe_strings": describe_strings,
+    "level_counts": level_counts,
     "corr_with_target": corr_with_target,
     "corr_matrix": corr_matrix,
     "boxplot_stats": boxplot_stats,
@@ -129,7 +135,7 @@ JOBS = {
 def _describe_sql():
     parts = []
     for c in NUM_COLS:
-        parts.append(f"""SELECT '{c}' AS column_name, count({c}) AS count,
+        parts.append(f"""SELECT '{c}' AS column_name, count({c}) AS count, count(*) - count({c}) AS n_nulls,
             round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
             CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
             round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.5), 6) AS median,
@@ -154,6 +160,8 @@ _KNOTS = """k AS (SELECT user_id, CAST(date_diff('day', DATE '1970-01-01', CAST(
 
 ORACLE = {
     "describe": _describe_sql(),
+    "level_counts": "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, {c} AS level, count(*) AS n FROM lineitem GROUP BY 2" for c in STR_COLS),
     "describe_strings": "\nUNION ALL\n".join(
         f"""SELECT '{c}' AS column_name, (SELECT count({c}) FROM lineitem) AS count,
               (SELECT count(DISTINCT {c}) FROM lineitem) AS unique,

@@ -44,6 +44,19 @@ def optimized_table(spark, root):
     return types.apply_types(li, plan, categories=True)
 
 
+def profile_correlations(spark, root):
+    """Correlations between the numeric columns of the profiled table."""
+    num = [n for n, t in CUSTOMER_COLS if t in ("bigint", "int", "double")]
+    return stats.corr_matrix(table(spark, root, "customer"), num).select(
+        "col_a", "col_b", scalar.round_half_away("r", 6).alias("r"))
+
+
+def type_savings(spark, root):
+    """Megabytes before and after the type plan, in all and the mean per column, by kind of type
+    (a category counts its 4-byte codes, its dictionary aside)."""
+    return types.savings(table(spark, root, "lineitem"))
+
+
 def category_codes(spark, root):
     """Sorted-dictionary codes of low-cardinality order columns (null -> -1)."""
     o = table(spark, root, "orders").select("o_orderkey", *CATEGORY_COLS)
@@ -67,6 +80,8 @@ JOBS = {
     "type_profile": type_profile,
     "optimize_types": optimize_types,
     "optimized_table": optimized_table,
+    "type_savings": type_savings,
+    "profile_correlations": profile_correlations,
     "category_codes": category_codes,
     "profile_table": profile_table,
 }
@@ -152,7 +167,23 @@ def _optimized_sql():
     return "SELECT " + ", ".join(cols) + " FROM lineitem"
 
 
+def _savings_sql():
+    after = "CASE spark_type " + " ".join(f"WHEN '{t}' THEN {n}" for t, n in (
+        ("tinyint", 1), ("smallint", 2), ("int", 4), ("bigint", 8), ("float", 4), ("double", 8), ("string+code", 4))) + " END"
+    return f"""WITH p AS ({_plan_sql()}), s AS ({_stats_sql('lineitem', LINEITEM_COLS)}),
+        b AS (SELECT CASE WHEN before = 'string' THEN 'string' WHEN before = 'double' THEN 'float' ELSE 'int' END AS kind,
+                     s.bytes, CASE WHEN spark_type = 'string' THEN s.bytes ELSE s.n_rows * {after} END AS after
+              FROM p JOIN s USING (column_name))
+        SELECT kind, count(*) AS n_columns, round(sum(bytes) / 1048576.0, 6) AS mb_before,
+               round(sum(after) / 1048576.0, 6) AS mb_after, round(avg(bytes) / 1048576.0, 6) AS mean_mb_before,
+               round(avg(after) / 1048576.0, 6) AS mean_mb_after FROM b GROUP BY 1"""
+
+
 ORACLE = {
+    "type_savings": _savings_sql(),
+    "profile_correlations": "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM customer"
+        for a in ("c_custkey", "c_nationkey", "c_acctbal") for b in ("c_custkey", "c_nationkey", "c_acctbal")),
     "optimized_table": _optimized_sql(),
     "type_profile": _stats_sql("lineitem", LINEITEM_COLS),
     "optimize_types": _plan_sql(),
