@@ -52,8 +52,8 @@ def tempered(cells: DataFrame, dimension: str, power: float = POWER) -> DataFram
     """Target shares of a dimension: observed tokens to the given power, made to sum to 1."""
     t = cells.groupBy(dimension).agg(F.sum("tokens").alias("t")).select(
         dimension, F.pow(F.col("t").cast("double"), F.lit(power)).alias("target"))
-    return t.crossJoin(F.broadcast(t.agg(F.sum("target").alias("all")))).select(  # one row
-        dimension, (F.col("target") / F.col("all")).alias("target"))
+    whole = t.agg(F.sum("target")).first()[0] or 1.0
+    return t.select(dimension, (F.col("target") / F.lit(whole)).alias("target"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
@@ -108,7 +108,7 @@ def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget:
 
     Repeated ids of one cell are drawn alike; an empty table gives no rows.
     """
-    rows = keyed(docs)
+    rows = materialise(keyed(docs), "keyed")  # read twice: once for the cells, once for the draw
     return with_probability(rows, probabilities(rows, targets, budget)).withColumn(
         "selected", draw(F.col("doc_id")) < F.col("probability"))
 
