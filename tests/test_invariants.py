@@ -43,5 +43,5 @@ def test_interpolation_returns_knots_exactly(spark):
 
 def test_session_numbers_count_starts(spark):
     s = E.queries()["sessionize"](spark, SF01)
-    per_user = s.groupBy("user_id").agg(F.max("session_no").alias("m"), F.sum("session_start_flag").alias("n"))
+    per_user = s.groupBy("user_id", "day").agg(F.max("session_no").alias("m"), F.sum("session_start_flag").alias("n"))
     assert per_user.filter(F.col("m") != F.col("n")).count() == 0
