@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.operators import quantiles as Q
 from sparkwright.operators.windows import join_back
+from sparkwright.session import write_shared
 
 # Fixed values --------------------------------------------------------------
 WHISKER = 1.5          # whiskers reach the furthest point within 1.5 IQR
@@ -35,11 +36,16 @@ def describe(df: DataFrame, cols, approx: bool = False) -> DataFrame:
 
     ``approx=True`` takes the quartiles from sketches (see ``quantiles``)."""
     lv = long_values(df, cols)
-    mom = lv.groupBy("column_name").agg(
-        F.count("value").alias("count"), (F.count(F.lit(1)) - F.count("value")).alias("n_nulls"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
+    # the moments of all columns in one wide aggregate; only the ranks need the long form
+    aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
+    for i, c in enumerate(cols):
+        v = F.col(c).cast("double")
+        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"a{i}"), F.stddev_samp(v).alias(f"s{i}"),
+                 F.min(v).alias(f"l{i}"), F.max(v).alias(f"h{i}")]
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"),
+                             (F.col("_rows") - F.col(f"n{i}")).alias("n_nulls"), F.col(f"a{i}").alias("mean"),
+                             F.col(f"s{i}").alias("stddev"), F.col(f"l{i}").alias("min"), F.col(f"h{i}").alias("max")))
+    mom = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
     q = Q.quantiles(lv, ["column_name"], "value", [0.25, 0.5, 0.75], approx=approx) \
         .select("column_name", F.col("q0").alias("q1"), F.col("q1").alias("median"),
                 F.col("q2").alias("q3"))
@@ -102,12 +108,13 @@ def boxplot_stats(df: DataFrame, group: str, value: str, approx: bool = False,
     confidence interval is the notch med -/+ 1.57 IQR / sqrt(n), or with
     ``bootstrap`` the 95 % interval of that many resamples. ``approx=True`` takes the quartiles from sketches (see ``quantiles``).
     """
-    q = Q.quantiles(df, [group], value, [0.25, 0.5, 0.75], approx=approx).select(
+    # the distinct values with their counts (far fewer rows than the data) give quartiles and whiskers
+    vc = write_shared(Q.value_counts(df, [group], value), "values")
+    q = (Q.quantiles(df, [group], value, [0.25, 0.5, 0.75], approx=True) if approx else
+         Q.quantiles(vc, [group], value, [0.25, 0.5, 0.75], weight="_w")).select(
         group, "n", F.col("q0").alias("q1"), F.col("q1").alias("med"), F.col("q2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     m = df.groupBy(group).agg(F.avg(value).alias("mean"))
-    # whiskers from the distinct values (already far fewer rows than the data)
-    vc = Q.value_counts(df, [group], value)
     wk = join_back(vc, q.select(group, "q1", "q3", "iqr"), [group]).groupBy(group).agg(
         F.min(F.when(F.col(value) >= F.col("q1") - WHISKER * F.col("iqr"), F.col(value))).alias("_lo"),
         F.max(F.when(F.col(value) <= F.col("q3") + WHISKER * F.col("iqr"), F.col(value))).alias("_hi"))
@@ -157,7 +164,6 @@ def replicate_quantiles(df: DataFrame, group: str, value: str, row_id: str, prob
     block holding each target rank, and only the rows of those blocks are
     ordered, so windows stay bounded by the block size.
     """
-    from sparkwright.operators.windows import join_back
     base = df.select(group, value, row_id).filter(F.col(value).isNotNull())
     ranks = Q.positions(base.select(group, value).distinct(), [value], [group], "_rank")
     rows = join_back(base, ranks.select(group, value, "_rank"), [group, value])
