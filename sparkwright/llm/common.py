@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,8 @@ from sparkwright.session import ensure_checkpoint_dir
 
 #: Words of the contracts that split at ASCII white space.
 SPACE_WORDS = r"[^\x20\x09-\x0D]+"
+ARROW_BYTES = "8m"
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
@@ -27,6 +28,13 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of texts: at most ARROW_BYTES each, unless the session sets its own limit.
+    (10,000 rows of text, the default, are tens of MB on both sides of the socket for each task.)"""
+    if _ARROW_LIMIT not in spark.conf.getAll:
+        spark.conf.set(_ARROW_LIMIT, ARROW_BYTES)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -38,6 +46,7 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string), a null text read as empty; other columns are left behind,
     so their names cannot clash with what an operator adds."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
@@ -108,22 +117,3 @@ def window_hashes(word_hash: np.ndarray, size: int, multiplier: int) -> np.ndarr
         h *= b
         h += word_hash[k:k + n]
     return mix64(h)
-
-
-def slices(frames: Iterator, text: str = "text", most_bytes: int = 32_000_000) -> Iterator:
-    """Cut or join pandas frames so that each holds about ``most_bytes`` of text (or one row)."""
-    import pandas as pd
-    held, size = [], 0
-    for f in frames:
-        n = f[text].str.len().fillna(0).to_numpy(dtype=np.int64)
-        at = 0
-        while at < len(f):
-            upto = at + max(1, int(np.searchsorted(np.cumsum(n[at:]), most_bytes - size, side="right")))
-            held.append(f.iloc[at:upto])
-            size += int(n[at:upto].sum())
-            at = upto
-            if size >= most_bytes or at < len(f):
-                yield pd.concat(held, ignore_index=True)
-                held, size = [], 0
-    if held:
-        yield pd.concat(held, ignore_index=True)

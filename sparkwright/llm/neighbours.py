@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkwright.llm.common import materialise
+from sparkwright.llm.common import bound_batches, materialise
 
 #: Vectors and queries that one task holds; entries of a block of inner products.
 CHUNK, SLICE, BLOCK = 20_000, 20_000, 2_000_000
@@ -168,6 +168,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 12,
     ids. Of rows that share an id the smallest vector stands for it. Shorter vectors count as
     padded by zeros. No vectors: no rows. Other columns are left behind.
     """
+    bound_batches(vectors.sparkSession)
     rows = (vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
                            F.col(f"`{vector_col}`").alias("vector"), is_query.alias("query"))
             .where(F.col("vec_id").isNotNull() & usable(F.col("vector"))))
