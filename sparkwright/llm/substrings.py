@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.llm.common import Words, mix64, shuffle_partitions
+from sparkwright.llm.common import Words, bound_batches, mix64, shuffle_partitions
 
 #: Suffixes in a group, bytes of text in a block, frequent prefixes of one length at most.
-GROUP, BLOCK, MOST_PREFIXES = 2_000_000, 6_000_000, 16_384
+GROUP, BLOCK, MOST_PREFIXES = 2_000_000, 3_000_000, 16_384
 SHORTEST = 3
 _PATH, _PREFIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -223,6 +223,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
     others. Rows of one id do not remove words from one another. Copies of a row are judged alike.
     An empty table gives no rows. Other columns are left behind, but for those in ``carry``.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                         *[F.col(f"`{c}`").alias(f"carry_{k}") for k, c in enumerate(carry)])
@@ -271,7 +272,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
                          "text": pa.array(kept, pa.string())}
                         | {f"carry_{k}": rows.column(f"carry_{k}") for k in range(len(carry))})
 
-    asked = dealt.select("doc_id", "text", "block").groupBy("block").applyInArrow(
+    asked = dealt.groupBy("block").applyInArrow(
         ask, "block int, part int, documents binary, counts binary, paths binary")
     replies = asked.groupBy("part").applyInArrow(_answers, "block int, part int, bits binary")
     kinds = "".join(f", carry_{k} {texts.schema[f'carry_{k}'].dataType.simpleString()}" for k in range(len(carry)))
