@@ -33,7 +33,7 @@ from sparkwright.llm.common import ids_and_texts
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Memory bounds of a worker: pieces and pairs remembered before the memory starts anew.
-MOST_PIECES, MOST_PAIRS = 600_000, 1_000_000
+MOST_PIECES, MOST_PAIRS = 600_000, 600_000
 NEVER = 1 << 60
 
 
@@ -162,7 +162,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _rows(batches: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch], most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Batches cut to about ``most`` bytes each."""
     for b in batches:
         step = max(1, int(b.num_rows * most / max(1, b.nbytes)))
@@ -198,8 +198,22 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         run, "doc_id long, n_tokens long, ids binary, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded): :func:`encode`, then :func:`decode` of the ids it gave, by
+    one Python worker of each task."""
+    def run(batches):
+        enc = encoder(path)
+        for b in _rows(batches):
+            ids = [enc.encode(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array(map(enc.decode, ids), pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
+    return ids_and_texts(docs, id_col, text_col).mapInArrow(
+        run, "doc_id long, n_tokens long, ids binary, decoded string")
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: token count and SHA-256 of ids and of the decoded text."""
-    out = decode(encode(docs, path), path)
-    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return round_trip(docs, path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
