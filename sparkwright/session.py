@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -67,6 +69,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; iterative jobs need a shared "
                            "checkpoint folder on a cluster")
     d = tempfile.mkdtemp(prefix="sparkwright-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, d, ignore_errors=True)  # a local session's own folder goes with it
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
 
