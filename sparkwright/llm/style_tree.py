@@ -4,15 +4,22 @@ The DOMs of a host are merged by path (tag and class from the root down). A path
 nodes seen there (the sequences of child tags) and, where it holds text, the contents seen there.
 Importance of a path's presentation is the entropy of its style nodes over the host's m pages,
 to the base m; importance of a text there is 1 - log n / log m for a text that n of the pages with
-that path have (on one page: 1; on every page: 0). A block's importance mixes both, and branches
-of low importance go. Branches whose element says what they are need no statistics: menus,
-headers, footers, adverts, forms, scripts and the like have importance 0, an article or main
-element has importance 1 (a copied article stays whole on every page), and where a page has such
-an element, nothing outside it is main text.
-
-Pages are dealt into blocks by a hash. A block sends each distinct (host, path, feature) once,
-with its number of pages, and gets the host's counts back, so a host with a third of all pages
-gives one row per block and feature, not one per page. Both steps read the same exchange.
+that path have (on one page: 1; on every page: 0). A block's importance mixes both and is weighted
+by what its elements say they are:
+
+* menus, headers, footers, adverts, forms, scripts and the like: 0;
+* inside an article or main element: raised to the upper part of the scale, above the threshold
+  (an article that a host shows on many pages stays whole on each);
+* outside of it, on a page that has one: scaled down to below the threshold;
+* on a page without such an element: the statistics alone.
+
+Branches below the threshold are removed from each page.
+
+Pages are dealt into blocks by a hash. A block sends the distinct (path, style) and (path, text)
+pairs of its pages with their page counts, packed by a hash of the path, or of path and text, and
+gets the host's counts back in the same order. A host with a third of all pages gives one entry
+per block and feature, not one per page, and its texts are spread over all groups. Both steps
+read the same exchange of pages.
 """
 
 from __future__ import annotations
@@ -22,14 +29,19 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.llm.common import bound_batches, mix64, shuffle_partitions
+
 #: Bytes of html in a block; weight of content against presentation; least importance; pages of a
-#: host with a path below which its statistics say nothing.
-BLOCK, GAMMA, LEAST, SUPPORT = 8_000_000, 0.9, 0.4, 4
+#: host with a path below which its statistics say nothing; factor outside a page's main element.
+BLOCK, GAMMA, LEAST, SUPPORT, OUTSIDE = 8_000_000, 0.9, 0.4, 4, 0.3
+#: Stands for the pages themselves among a path's styles; the two kinds of entries.
+PAGES, STYLES, TEXTS = 0, 0, 1
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|title|textarea|noscript|template|iframe|xmp|noembed|noframes"
@@ -143,52 +155,119 @@ class Page:
                 return
 
     def features(self) -> set[tuple[int, int, int]]:
-        """(kind, path, feature): 0 a style node, 1 a text."""
-        out = {(0, p, s) for p, s in self.elements}
-        out |= {(1, p, digest(t)) for t, p, noise, main in self.blocks if not noise and not main}
-        return out
+        """(kind, path, feature): styles and texts of the paths that hold text which may stay."""
+        paths = {p for _, p, noise, _ in self.blocks if not noise}
+        out = {(STYLES, p, x) for p, x in self.elements if p in paths} | {(STYLES, p, PAGES) for p in paths}
+        return out | {(TEXTS, p, digest(t)) for t, p, noise, _ in self.blocks if not noise}
 
     def main_text(self, importance) -> str:
-        """Blocks that stay; ``importance(path, text)`` judges those no element speaks for."""
-        kept = [t for t, p, noise, main in self.blocks
-                if not noise and (main or not self.has_main and importance(p, t) >= LEAST)]
+        """Blocks that stay; ``importance(path, text)`` is what the host's tree says, from 0 to 1."""
+        kept = []
+        for text, path, noise, main in self.blocks:
+            if noise:
+                continue
+            value = importance(path, text)
+            value = LEAST + (1 - LEAST) * value if main else value * (OUTSIDE if self.has_main else 1)
+            if value >= LEAST:
+                kept.append(text)
         return "\n\n".join(kept)
 
 
-def _ask(rows: pa.Table) -> pa.Table:
-    """(block, host, kind, path, feature, pages) of a block of pages; only hosts with pages that
-    need statistics (without a main element) send theirs."""
-    seen: Counter = Counter()
-    pages = zip(rows.column("host").to_pylist(), rows.column("html").to_pylist())
-    for host, source in pages:
-        page = Page(source)
-        if not page.has_main:
-            seen.update((host, *f) for f in page.features())
-    keys, block = list(seen), rows.column("block")[0].as_py()
-    return pa.table({"block": pa.array([block] * len(keys), pa.int32()),
-                     "host": pa.array([k[0] for k in keys], pa.string()),
-                     "kind": pa.array([k[1] for k in keys], pa.int32()),
-                     "path": pa.array([k[2] for k in keys], pa.int64()),
-                     "feature": pa.array([k[3] for k in keys], pa.int64()),
-                     "pages": pa.array([seen[k] for k in keys], pa.int64())})
-
-
-def _extract(rows: pa.Table, replies: pa.Table) -> pa.Table:
-    style, content = {}, {}
-    for r in replies.to_pylist():
-        if r["kind"] == 0:
-            style[r["host"], r["path"]] = (r["m"], r["entropy"])
+class Entries:
+    """The (node, feature) pairs of a block of pages, node = host and path, in a fixed order."""
+
+    def __init__(self, rows: pa.Table, groups: int):
+        self.hosts, self.groups = rows.column("host").to_pylist(), groups
+        self.pages = [Page(x) for x in rows.column("html").to_pylist()]
+        self.nodes: dict[tuple[str, int], int] = {}
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        for host, page in zip(self.hosts, self.pages):
+            for kind, path, feature in page.features():
+                seen[kind][self.node(host, path), feature] += 1
+        self.seen = []
+        for kind in (STYLES, TEXTS):
+            keys = np.array(list(seen[kind]), dtype=np.int64).reshape(-1, 2)
+            n = np.fromiter(seen[kind].values(), np.int64, len(keys))
+            spread = (keys[:, 0] if kind == STYLES else keys[:, 0] * 31 + keys[:, 1]).view(np.uint64)
+            group = (mix64(spread) % np.uint64(groups)).astype(np.int64)
+            order = np.lexsort((keys[:, 1], keys[:, 0], group))
+            self.seen.append((keys[order], n[order], group[order]))
+
+    def node(self, host: str, path: int) -> int:
+        known = self.nodes.get((host, path))
+        if known is None:
+            known = self.nodes[host, path] = digest(host, path)
+        return known
+
+    def parts(self):
+        """(kind, group, keys, page counts) of each packed row."""
+        for kind, (keys, n, group) in enumerate(self.seen):
+            cut = np.flatnonzero(np.diff(group, prepend=-1, append=self.groups))
+            for x, y in zip(cut[:-1], cut[1:]):
+                yield kind, int(group[x]), keys[x:y], n[x:y]
+
+
+def _ask(rows: pa.Table, groups: int) -> pa.Table:
+    block, parts = rows.column("block")[0].as_py(), list(Entries(rows, groups).parts())
+    return pa.table({"block": pa.array([block] * len(parts), pa.int32()),
+                     "kind": pa.array([k for k, _, _, _ in parts], pa.int32()),
+                     "part": pa.array([g for _, g, _, _ in parts], pa.int32()),
+                     "keys": pa.array([np.ascontiguousarray(k.T).tobytes() for _, _, k, _ in parts], pa.binary()),
+                     "pages": pa.array([n.astype(np.uint32).tobytes() for _, _, _, n in parts], pa.binary())})
+
+
+def _merge(rows: pa.Table) -> pa.Table:
+    """One group of one kind over all blocks. Styles: (pages, entropy) of the node of each entry;
+    texts: pages of each entry."""
+    kind = rows.column("kind")[0].as_py()
+    keys = [np.frombuffer(k, np.int64).reshape(2, -1) for k in rows.column("keys").to_pylist()]
+    n = np.concatenate([np.frombuffer(x, np.uint32) for x in rows.column("pages").to_pylist()]).astype(np.int64)
+    ends = np.cumsum([k.shape[1] for k in keys])
+    node, feature = np.concatenate(keys, axis=1)
+    order = np.lexsort((feature, node))
+    new = np.r_[True, (np.diff(node[order]) != 0) | (np.diff(feature[order]) != 0)]
+    pair = np.cumsum(new) - 1
+    total = np.bincount(pair, weights=n[order])  # pages of each distinct pair
+    back = np.empty(len(n), dtype=np.int64)
+    back[order] = pair
+    if kind == TEXTS:
+        out = [total[back].astype(np.uint32)]
+    else:
+        at, style = node[order][new], feature[order][new]
+        start = np.flatnonzero(np.r_[True, np.diff(at) != 0])
+        of = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(at)]))
+        m = np.bincount(of, weights=np.where(style == PAGES, total, 0))
+        own = np.where(style == PAGES, 0, total)  # the styles' share of all styles seen at the node
+        share = own / np.maximum(1, np.bincount(of, weights=own))[of]
+        bits = np.bincount(of, weights=-share * np.log(np.where(share > 0, share, 1)))
+        entropy = np.where(m > 1, np.minimum(1, bits / np.log(np.maximum(m, 2))), 1.0)
+        out = [m[of][back].astype(np.uint32), entropy[of][back].astype(np.float32)]
+    cut = list(zip(np.r_[0, ends[:-1]], ends))
+    return pa.table({"block": rows.column("block"), "kind": rows.column("kind"), "part": rows.column("part"),
+                     "counts": pa.array([out[0][x:y].tobytes() for x, y in cut], pa.binary()),
+                     "entropy": pa.array([out[-1][x:y].tobytes() if kind == STYLES else b"" for x, y in cut], pa.binary())})
+
+
+def _extract(rows: pa.Table, replies: pa.Table, groups: int) -> pa.Table:
+    e = Entries(rows, groups)
+    reply = {(r["kind"], r["part"]): r for r in replies.to_pylist()}
+    shown, shared = {}, {}
+    for kind, part, keys, _ in e.parts():
+        r = reply[kind, part]
+        counts = np.frombuffer(r["counts"], np.uint32).tolist()
+        if kind == STYLES:
+            shown |= {k: x for k, *x in zip(keys[:, 0].tolist(), counts, np.frombuffer(r["entropy"], np.float32).tolist())}
         else:
-            content[r["host"], r["path"], r["feature"]] = (r["m"], r["n"])
+            shared |= zip(map(tuple, keys.tolist()), counts)
     texts = []
-    for host, source in zip(rows.column("host").to_pylist(), rows.column("html").to_pylist()):
+    for host, page in zip(e.hosts, e.pages):
         def importance(path: int, text: str) -> float:
-            m, n = content.get((host, path, digest(text)), (1, 1))
+            node = e.node(host, path)
+            m, entropy = shown[node]
             if m < SUPPORT:
                 return 1.0
-            shown = style.get((host, path), (1, 1.0))[1]
-            return (1 - GAMMA) * shown + GAMMA * (1 - math.log(n) / math.log(m))
-        texts.append(Page(source).main_text(importance))
+            return (1 - GAMMA) * entropy + GAMMA * (1 - math.log(shared[node, digest(text)]) / math.log(m))
+        texts.append(page.main_text(importance))
     return pa.table({"page_id": rows.column("page_id"), "url": rows.column("url"),
                      "text": pa.array(texts, pa.string())})
 
@@ -200,25 +279,20 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     A null html is read as empty; a page without main text has text ''. A null or odd url has the
     host ''. Repeated rows give one row each; no pages give no rows; other columns stay behind.
     """
+    bound_batches(pages.sparkSession)
     url = F.col(f"`{url_col}`").cast("string")
     rows = pages.select(
         F.col(f"`{id_col}`").alias("page_id"), url.alias("url"),
         F.lower(F.coalesce(F.regexp_extract(url, r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit(""))).alias("host"),
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
     size = rows.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK))
+    groups = max(1, -(-size // BLOCK))
+    blocks = max(groups, shuffle_partitions(pages.sparkSession))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(blocks)).cast("int"))
     asked = dealt.groupBy("block").applyInArrow(
-        _ask, "block int, host string, kind int, path long, feature long, pages long")
-
-    # the merged tree of each host, counted over all its pages
-    n = asked.groupBy("host", "kind", "path", "feature").agg(F.sum("pages").alias("n"))
-    m = n.groupBy("host", "kind", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlog"))
-    tree = n.join(m, ["host", "kind", "path"]).select(
-        "host", "kind", "path", "feature", "n", "m",
-        F.when(F.col("m") > 1, (F.log("m") - F.col("nlog") / F.col("m")) / F.log("m")).otherwise(1.0).alias("entropy"))
-    replies = asked.join(tree, ["host", "kind", "path", "feature"]).select(
-        "block", "host", "kind", "path", "feature", "n", "m", "entropy")
+        lambda t: _ask(t, groups), "block int, kind int, part int, keys binary, pages binary")
+    replies = asked.groupBy("kind", "part").applyInArrow(
+        _merge, "block int, kind int, part int, counts binary, entropy binary")
     id_type = rows.schema["page_id"].dataType.simpleString()
     return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _extract, f"page_id {id_type}, url string, text string")
+        lambda t, r: _extract(t, r, groups), f"page_id {id_type}, url string, text string")

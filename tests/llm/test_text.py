@@ -205,9 +205,9 @@ def test_html_markup():
       <form>f<input></form><div class="comments"><p>reader</p></div><script>if (a < b) "</p>";</script>
       <pre>k   l
       m</pre><p hidden>no</p></main><aside>side</aside><footer>foot</footer></body></html>"""
-    assert style_tree.Page(source).main_text(None).split("\n\n") == [
-        "Café A&B", "One two three", "Four <five>", "a", "b c", "x", "y", "k l m"]
     one = lambda p, t: 1.0
+    assert style_tree.Page(source).main_text(one).split("\n\n") == [
+        "Café A&B", "One two three", "Four <five>", "a", "b c", "x", "y", "k l m"]
     assert style_tree.Page("<div>plain <i>x</i> text</div><p>z").main_text(one) == "plain x text\n\nz"
     assert style_tree.Page("").main_text(one) == "" and style_tree.Page("<p>a<b c=\"").main_text(one) == "a"
     assert style_tree.Page("<div>" * 5000 + "deep").main_text(one) == "deep"
@@ -229,3 +229,40 @@ def test_style_tree_removes_what_a_host_repeats(spark, nothing, monkeypatch):
     assert got[200] == "x" and got[201] == got[202] == ""
     assert all(got[300 + k] == "same story" for k in range(9))
     assert style_tree.main_text(df.limit(0)).count() == 0
+
+
+def test_style_tree_counts_match_brute_force(spark, monkeypatch):
+    """Entropies and page counts of the merged tree over many blocks, against one pass in Python."""
+    import math
+    import random
+    from collections import defaultdict
+    monkeypatch.setattr(style_tree, "BLOCK", 500)
+    rng, rows = random.Random(4), []
+    for k in range(60):
+        host = rng.choice(["a.example", "a.example", "b.example"])
+        body = "".join(f"<div class='c{rng.randint(0, 2)}'>{rng.choice(['x', 'y', 'z', str(k)])}{'<hr>' * rng.randint(0, 1)}</div>"
+                       for _ in range(rng.randint(1, 5)))
+        rows.append((k, f"http://{host}/{k}", body))
+    styles, texts, pages = defaultdict(lambda: defaultdict(int)), defaultdict(int), defaultdict(int)
+    parsed = {}
+    for k, url, body in rows:
+        host, page = url.split("/")[2], style_tree.Page(body)
+        parsed[k] = host, page
+        for p in {p for _, p, _, _ in page.blocks}:
+            pages[host, p] += 1
+        for p, x in set(page.elements):
+            styles[host, p][x] += 1
+        for t, p in {(t, p) for t, p, _, _ in page.blocks}:
+            texts[host, p, t] += 1
+    want = {}
+    for k, (host, page) in parsed.items():
+        kept = []
+        for t, p, _, _ in page.blocks:
+            m = pages[host, p]
+            n = sum(styles[host, p].values())
+            entropy = -sum(c / n * math.log(c / n) for c in styles[host, p].values()) / math.log(m) if m > 1 else 1.0
+            value = 0.1 * min(1, entropy) + 0.9 * (1 - math.log(texts[host, p, t]) / math.log(m)) if m >= 4 else 1.0
+            kept += [t] if value >= 0.4 else []
+        want[k] = "\n\n".join(kept)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in style_tree.main_text(df).collect()} == want
