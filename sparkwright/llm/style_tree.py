@@ -4,22 +4,26 @@ The DOMs of a host are merged by path (tag and class from the root down). A path
 nodes seen there (the sequences of child tags) and, where it holds text, the contents seen there.
 Importance of a path's presentation is the entropy of its style nodes over the host's m pages,
 to the base m; importance of a text there is 1 - log n / log m for a text that n of the pages with
-that path have (on one page: 1; on every page: 0). A block's importance mixes both and is weighted
-by what its elements say they are:
-
-* menus, headers, footers, adverts, forms, scripts and the like: 0;
-* inside an article or main element: raised to the upper part of the scale, above the threshold
-  (an article that a host shows on many pages stays whole on each);
-* outside of it, on a page that has one: scaled down to below the threshold;
+that path have (on one page: 1; on every page: 0). Pages of a host with the same contents (paths
+and texts) count as one, so copies of a page do not condemn its article. A block's importance mixes
+both; on a path of fewer than SUPPORT pages it is NEUTRAL. What the block's elements say they are
+shifts it:
+
+* menus, headers, footers, adverts, forms, scripts and the like: removed;
+* inside an article or main element: MARK more;
+* outside of it, on a page that has one: MARK less;
 * on a page without such an element: the statistics alone.
 
-Branches below the threshold are removed from each page.
+Branches below the threshold are removed from each page. A mark alone decides only where the
+statistics say nothing: what every page of a host repeats goes, also inside an article, and what
+is a page's own stays, also outside of it.
 
 Pages are dealt into blocks by a hash. A block sends the distinct (path, style) and (path, text)
 pairs of its pages with their page counts, packed by a hash of the path, or of path and text, and
 gets the host's counts back in the same order. A host with a third of all pages gives one entry
-per block and feature, not one per page, and its texts are spread over all groups. Both steps
-read the same exchange of pages.
+per block and feature, not one per page, and its texts are spread over all groups. Before that,
+blocks send the distinct contents of their pages, and the first block of each content is told to
+count it; the others send its features with a count of 0. All steps read the same exchange of pages.
 """
 
 from __future__ import annotations
@@ -38,8 +42,10 @@ from pyspark.sql import functions as F
 from sparkwright.llm.common import bound_batches, mix64, shuffle_partitions
 
 #: Bytes of html in a block; weight of content against presentation; least importance; pages of a
-#: host with a path below which its statistics say nothing; factor outside a page's main element.
-BLOCK, GAMMA, LEAST, SUPPORT, OUTSIDE = 8_000_000, 0.9, 0.4, 4, 0.3
+#: host with a path below which its statistics say nothing.
+BLOCK, GAMMA, LEAST, SUPPORT = 8_000_000, 0.9, 0.4, 4
+#: Importance where the statistics say nothing; what a main element adds inside and takes outside.
+NEUTRAL, MARK = 0.6, 0.25
 #: Stands for the pages themselves among a path's styles; the two kinds of entries.
 PAGES, STYLES, TEXTS = 0, 0, 1
 
@@ -160,6 +166,10 @@ class Page:
         out = {(STYLES, p, x) for p, x in self.elements if p in paths} | {(STYLES, p, PAGES) for p in paths}
         return out | {(TEXTS, p, digest(t)) for t, p, noise, _ in self.blocks if not noise}
 
+    def contents(self) -> int:
+        """Paths and texts that may stay, as one number."""
+        return digest(*[x for t, p, noise, _ in self.blocks if not noise for x in (p, t)])
+
     def main_text(self, importance) -> str:
         """Blocks that stay; ``importance(path, text)`` is what the host's tree says, from 0 to 1."""
         kept = []
@@ -167,23 +177,29 @@ class Page:
             if noise:
                 continue
             value = importance(path, text)
-            value = LEAST + (1 - LEAST) * value if main else value * (OUTSIDE if self.has_main else 1)
+            if self.has_main:
+                value += MARK if main else -MARK
             if value >= LEAST:
                 kept.append(text)
         return "\n\n".join(kept)
 
 
 class Entries:
-    """The (node, feature) pairs of a block of pages, node = host and path, in a fixed order."""
+    """The (node, feature) pairs of a block of pages, node = host and path, in a fixed order. Counts
+    are of pages with contents in ``counted``, copies of a page once."""
 
-    def __init__(self, rows: pa.Table, groups: int):
+    def __init__(self, rows: pa.Table, groups: int, counted: set[int] = frozenset()):
         self.hosts, self.groups = rows.column("host").to_pylist(), groups
         self.pages = [Page(x) for x in rows.column("html").to_pylist()]
         self.nodes: dict[tuple[str, int], int] = {}
         seen: tuple[Counter, Counter] = (Counter(), Counter())
+        left = set(counted)
         for host, page in zip(self.hosts, self.pages):
+            own = digest(host, page.contents()) if left else None
+            counts = int(own in left)
+            left.discard(own)
             for kind, path, feature in page.features():
-                seen[kind][self.node(host, path), feature] += 1
+                seen[kind][self.node(host, path), feature] += counts
         self.seen = []
         for kind in (STYLES, TEXTS):
             keys = np.array(list(seen[kind]), dtype=np.int64).reshape(-1, 2)
@@ -207,8 +223,32 @@ class Entries:
                 yield kind, int(group[x]), keys[x:y], n[x:y]
 
 
-def _ask(rows: pa.Table, groups: int) -> pa.Table:
-    block, parts = rows.column("block")[0].as_py(), list(Entries(rows, groups).parts())
+def _contents(rows: pa.Table, groups: int) -> pa.Table:
+    """The distinct contents of a block's pages, in one packed row for each group."""
+    hosts, sources = rows.column("host").to_pylist(), rows.column("html").to_pylist()
+    keys = np.array(sorted({digest(h, Page(x).contents()) for h, x in zip(hosts, sources)}), dtype=np.int64)
+    group = (mix64(keys.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+    parts = np.unique(group)
+    return pa.table({"block": pa.array([rows.column("block")[0].as_py()] * len(parts), pa.int32()),
+                     "part": pa.array(parts, pa.int32()),
+                     "keys": pa.array([keys[group == g].tobytes() for g in parts], pa.binary())})
+
+
+def _first(rows: pa.Table) -> pa.Table:
+    """Of each block's contents those that no block before it has."""
+    order = np.argsort(rows.column("block").to_numpy(), kind="stable")
+    keys = [np.frombuffer(k, np.int64) for k in rows.column("keys").to_pylist()]
+    new = np.unique(np.concatenate([keys[k] for k in order]), return_index=True)[1]
+    new.sort()
+    cut = np.searchsorted(new, np.cumsum([0] + [len(keys[k]) for k in order]))
+    every = np.concatenate([keys[k] for k in order])[new]
+    return pa.table({"block": rows.column("block").take(pa.array(order)),
+                     "keys": pa.array([every[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary())})
+
+
+def _ask(rows: pa.Table, first: pa.Table, groups: int) -> pa.Table:
+    counted = {k for x in first.column("keys").to_pylist() for k in np.frombuffer(x, np.int64).tolist()}
+    block, parts = rows.column("block")[0].as_py(), list(Entries(rows, groups, counted).parts())
     return pa.table({"block": pa.array([block] * len(parts), pa.int32()),
                      "kind": pa.array([k for k, _, _, _ in parts], pa.int32()),
                      "part": pa.array([g for _, g, _, _ in parts], pa.int32()),
@@ -265,7 +305,7 @@ def _extract(rows: pa.Table, replies: pa.Table, groups: int) -> pa.Table:
             node = e.node(host, path)
             m, entropy = shown[node]
             if m < SUPPORT:
-                return 1.0
+                return NEUTRAL
             return (1 - GAMMA) * entropy + GAMMA * (1 - math.log(shared[node, digest(text)]) / math.log(m))
         texts.append(page.main_text(importance))
     return pa.table({"page_id": rows.column("page_id"), "url": rows.column("url"),
@@ -289,8 +329,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     groups = max(1, -(-size // BLOCK))
     blocks = max(groups, shuffle_partitions(pages.sparkSession))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(blocks)).cast("int"))
-    asked = dealt.groupBy("block").applyInArrow(
-        lambda t: _ask(t, groups), "block int, kind int, part int, keys binary, pages binary")
+    contents = dealt.groupBy("block").applyInArrow(lambda t: _contents(t, groups), "block int, part int, keys binary")
+    first = contents.groupBy("part").applyInArrow(_first, "block int, keys binary")
+    asked = dealt.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(
+        lambda t, f: _ask(t, f, groups), "block int, kind int, part int, keys binary, pages binary")
     replies = asked.groupBy("kind", "part").applyInArrow(
         _merge, "block int, kind int, part int, counts binary, entropy binary")
     id_type = rows.schema["page_id"].dataType.simpleString()

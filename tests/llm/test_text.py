@@ -266,3 +266,22 @@ def test_style_tree_counts_match_brute_force(spark, monkeypatch):
         want[k] = "\n\n".join(kept)
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.page_id: r.text for r in style_tree.main_text(df).collect()} == want
+
+
+def test_host_statistics_decide_inside_and_outside_of_articles(spark, monkeypatch):
+    monkeypatch.setattr(style_tree, "BLOCK", 500)
+    news = "<article><h1>Title {k}</h1><p>story {k}</p><div>Get our letter</div></article>"
+    teasers = "<div>body text {k}</div><article>Teaser one</article><article>Teaser two</article>"
+    lead = "<div>All rights</div><h1>Head {k}</h1><article><p>long story {k}</p></article>"
+    rows = [(100 * j + k, f"http://h{j}.example/{k}", body.format(k=k))
+            for j, body in enumerate((news, teasers, lead)) for k in range(30)]
+    rows += [(300 + k, f"http://h0.example/copy{k}", news.format(k="copied")) for k in range(30)]
+    rows += [(400, "http://few.example/", lead.format(k=0))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in style_tree.main_text(df).collect()}
+    for k in range(30):
+        assert got[k] == f"Title {k}\n\nstory {k}"
+        assert got[100 + k] == f"body text {k}"
+        assert got[200 + k] == f"Head {k}\n\nlong story {k}"
+        assert got[300 + k] == "Title copied\n\nstory copied"  # copies count as one page
+    assert got[400] == "long story 0"  # too few pages to tell: the marks alone
