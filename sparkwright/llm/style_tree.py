@@ -9,7 +9,11 @@ and texts) count as one, so copies of a page do not condemn its article. A block
 both; on a path of fewer than SUPPORT pages it is NEUTRAL. What the block's elements say they are
 shifts it:
 
-* menus, headers, footers, adverts, forms, scripts and the like: removed;
+* menus, headers, footers, adverts, forms, scripts and the like: removed, each text by the elements
+  that are open where it is read;
+* a form or an element with such a class or id that holds most of the main text (WHOLE of the text
+  of the article and main elements, or of a page without them) or is itself an article or main
+  element is a wrapper: WRAP less;
 * inside an article or main element: MARK more;
 * outside of it, on a page that has one: MARK less;
 * on a page without such an element: the statistics alone.
@@ -46,6 +50,8 @@ from sparkwright.llm.common import bound_batches, mix64, shuffle_partitions
 BLOCK, GAMMA, LEAST, SUPPORT = 8_000_000, 0.9, 0.4, 4
 #: Importance where the statistics say nothing; what a main element adds inside and takes outside.
 NEUTRAL, MARK = 0.6, 0.25
+#: What a wrapper named like noise takes; share of the main text that makes an element a wrapper.
+WRAP, WHOLE = 0.1, 0.75
 #: Stands for the pages themselves among a path's styles; the two kinds of entries.
 PAGES, STYLES, TEXTS = 0, 0, 1
 
@@ -58,7 +64,7 @@ CLOSES_P = BLOCKS - frozenset(("html", "body", "td", "th", "tr", "tbody", "thead
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
         "th": ("td", "th"), "option": ("option",), "p": ("p",)}
 SCOPES = frozenset("table ul ol dl select body html article section main div td th".split())
-NOISE = frozenset("""head nav footer aside form button select option label script style noscript template iframe svg
+NOISE = frozenset("""head nav footer aside button select option label script style noscript template iframe svg
     canvas audio video object menu dialog search input textarea""".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 NOISE_NAMES = re.compile(r"""(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promos?|
@@ -78,39 +84,71 @@ def digest(*parts) -> int:
 
 
 class Page:
-    """Elements (path, style) and text blocks (text, path, noise, in_main) of one page, in order."""
+    """Elements (path, style) and text blocks (text, path, wrapped, in_main) of one page, in order;
+    wrapped: a wrapper named like noise is around the block. Noise gives no blocks."""
 
     def __init__(self, source: str):
         self.elements: list[tuple[int, int]] = []
-        self.blocks: list[tuple[str, int, bool, bool]] = []
-        # open elements: tag, path, noise, main, children
-        self.open: list[tuple[str, int, bool, bool, list[str]]] = [("", 0, False, False, [])]
-        self.text: list[str] = []
+        # open elements: tag, path, noise, main, children, elements named like noise around the text
+        # (numbered, article and main elements below 0)
+        self.open: list[tuple[str, int, bool, bool, list[str], tuple]] = [("", 0, False, False, [], ())]
+        self.named = 0
+        # texts of a block and the elements named like noise around each (None: noise)
+        self.text: list[tuple[str, tuple | None]] = []
+        self.read: list[tuple[list, int, bool]] = []
         at = 0
         for m in TOKEN.finditer(source):
             if m.start() > at:
-                self.text.append(source[at:m.start()])
+                self._add(source[at:m.start()])
             at = m.end()
             if m["tag"]:
                 self._start(m["tag"].lower(), m["attrs"])
             elif m["end"]:
                 self._end(m["end"].lower())
-        self.text.append(source[at:])
+        self._add(source[at:])
         self._pop_to(1)
         self._flush()
-        self.has_main = any(main and not noise for _, _, noise, main in self.blocks)
+        self.blocks: list[tuple[str, int, bool, bool]] = self._blocks()
+        self.has_main = any(main for *_, main in self.blocks)
+
+    def _add(self, text: str) -> None:
+        _, _, noise, _, _, named = self.open[-1]
+        self.text.append((text, None if noise else named))
 
     def _flush(self) -> None:
         if self.text:
-            text = " ".join(html.unescape("".join(self.text)).split())
+            if any(named is not None for _, named in self.text):
+                self.read.append((self.text, self.open[-1][1], self.open[-1][3]))
             self.text = []
+
+    def _blocks(self) -> list[tuple[str, int, bool, bool]]:
+        wrappers = self._wrappers() if self.named else frozenset()
+        out = []
+        for texts, path, main in self.read:
+            own = [(t, named) if named is not None and wrappers.issuperset(named) else (" ", ()) for t, named in texts]
+            text = " ".join(html.unescape("".join(t for t, _ in own)).split())
             if text:
-                _, path, noise, main, _ = self.open[-1]
-                self.blocks.append((text, path, noise, main))
+                out.append((text, path, any(named for _, named in own), main))
+        return out
+
+    def _wrappers(self) -> set[int]:
+        """Elements named like noise that are wrappers."""
+        size: Counter = Counter()
+        inside: tuple[Counter, Counter] = (Counter(), Counter())
+        for texts, _, main in self.read:
+            for t, named in texts:
+                if named is not None:
+                    n = len("".join(t.split()))
+                    size[main] += n
+                    for k in named:
+                        inside[main][k] += n
+        main = size[True] > 0
+        named = inside[True] + inside[False]
+        return {k for k in named if k < 0 or inside[main][k] >= WHOLE * size[main]}
 
     def _pop_to(self, size: int) -> None:
         while len(self.open) > size:
-            tag, path, _, _, children = self.open[-1]
+            tag, path, _, _, children, _ = self.open[-1]
             if tag in BLOCKS:
                 self._flush()
                 self.elements.append((path, digest(*children)))
@@ -133,7 +171,7 @@ class Page:
                 self._close(SAME[tag])
             self._flush()
         if tag == "br":
-            self.text.append(" ")
+            self._add(" ")
         parent = self.open[-1]
         if tag in BLOCKS:
             parent[4].append(tag)
@@ -144,13 +182,17 @@ class Page:
             for a, x, y, z, hidden in ATTR.findall(attrs):
                 names.setdefault((a or hidden).lower(), x or y or z)
         words = f"{names.get('class', '')} {names.get('id', '')}"
-        main = parent[3] or tag in MAIN or names.get("role") == "main" or names.get("itemprop") == "articleBody"
+        own_main = tag in MAIN or names.get("role") == "main" or names.get("itemprop") == "articleBody"
+        main = parent[3] or own_main
         noise = (parent[2] or tag in NOISE or tag == "header" and not main
                  or names.get("role") in NOISE_ROLES or "hidden" in names or names.get("aria-hidden") == "true"
-                 or bool(re.search(r"display\s*:\s*none", names.get("style", "")))
-                 or words != " " and tag not in ("html", "body") and bool(NOISE_NAMES.search(words)))
+                 or bool(re.search(r"display\s*:\s*none", names.get("style", ""))))
+        named = parent[5]
+        if tag == "form" or words != " " and tag not in ("html", "body") and NOISE_NAMES.search(words):
+            self.named += 1
+            named = (*named, -self.named if own_main else self.named)
         path = digest(parent[1], tag, names.get("class", "")) if tag in BLOCKS else parent[1]
-        self.open.append((tag, path, noise, main, []))
+        self.open.append((tag, path, noise, main, [], named))
 
     def _end(self, tag: str) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -162,21 +204,19 @@ class Page:
 
     def features(self) -> set[tuple[int, int, int]]:
         """(kind, path, feature): styles and texts of the paths that hold text which may stay."""
-        paths = {p for _, p, noise, _ in self.blocks if not noise}
+        paths = {p for _, p, _, _ in self.blocks}
         out = {(STYLES, p, x) for p, x in self.elements if p in paths} | {(STYLES, p, PAGES) for p in paths}
-        return out | {(TEXTS, p, digest(t)) for t, p, noise, _ in self.blocks if not noise}
+        return out | {(TEXTS, p, digest(t)) for t, p, _, _ in self.blocks}
 
     def contents(self) -> int:
         """Paths and texts that may stay, as one number."""
-        return digest(*[x for t, p, noise, _ in self.blocks if not noise for x in (p, t)])
+        return digest(*[x for t, p, _, _ in self.blocks for x in (p, t)])
 
     def main_text(self, importance) -> str:
         """Blocks that stay; ``importance(path, text)`` is what the host's tree says, from 0 to 1."""
         kept = []
-        for text, path, noise, main in self.blocks:
-            if noise:
-                continue
-            value = importance(path, text)
+        for text, path, wrapped, main in self.blocks:
+            value = importance(path, text) - (WRAP if wrapped else 0)
             if self.has_main:
                 value += MARK if main else -MARK
             if value >= LEAST:

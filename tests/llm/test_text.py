@@ -285,3 +285,20 @@ def test_host_statistics_decide_inside_and_outside_of_articles(spark, monkeypatc
         assert got[200 + k] == f"Head {k}\n\nlong story {k}"
         assert got[300 + k] == "Title copied\n\nstory copied"  # copies count as one page
     assert got[400] == "long story 0"  # too few pages to tell: the marks alone
+
+
+def test_noise_belongs_to_the_text_read_in_it():
+    text = lambda source: style_tree.Page(source).main_text(lambda p, t: style_tree.NEUTRAL)
+    assert text("<div>Article text <select><option>A</option></select></div>") == "Article text"
+    assert text("<p>Text <button>Subscribe</button></p>") == "Text"
+    assert text("<p>one <span hidden>x</span>two <span class=advert>buy</span>three</p>") == "one two three"
+    # wrappers named like noise
+    assert text("<div class='content-sidebar-wrap'><p>body of it</p><div class=sidebar>s</div></div>") == "body of it"
+    assert text("<article class='post has-comments'><p>post text</p><div class='comments'>c</div></article>") == "post text"
+    assert text("<body><form action=x><div>whole page</div><input></form></body>") == "whole page"
+    assert text("<form>name</form><main><p>text</p><form>mail</form></main>") == "text"
+    assert text("<article class='post has-comments'>a</article>" * 3) == "a\n\na\n\na"
+    assert text("<main><p>long article</p><div class=comments><article class=comment>c</article></div></main>") == "long article"
+    # the host's statistics overrule a wrapper
+    assert style_tree.Page("<form><p>x</p></form>").main_text(lambda p, t: 0.45) == ""
+    assert style_tree.Page("<div><p>x</p></div>").main_text(lambda p, t: 0.45) == "x"
