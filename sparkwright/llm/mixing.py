@@ -1,22 +1,36 @@
 """Mixing sources to target weights by iterative proportional fitting (raking).
 
-Token totals of all documents are summed into cells (source, language, topic). The fitted mass of
-the cells is scaled in turn so that its marginals meet the targets of each dimension, sweep after
-sweep; only the cell table is iterated, each sweep written to the shared folder. A document of a
-cell is then kept with the calibrated probability min(1, budget * mass / tokens) by a hash of its
-id, so the draw is repeatable and needs no order.
+Token totals of all documents are summed into cells (source, language, topic). The cell table is
+small and raked on the driver: the tokens to draw of each cell are scaled in turn so that their
+marginals meet the targets of each dimension, sweep after sweep until they do. No cell gives more
+tokens than it has: a cell that would is kept whole and the others of its value are scaled further,
+so the drawn tokens meet the targets, not only the fitted mass. If the table has too few tokens of
+some value for that, the budget is lowered to the largest one at which the sweeps meet all targets.
+A document is kept with the probability of its cell by a hash of its id, so the draw is repeatable
+and needs no order.
+
+Targets that contradict each other in the table's cells (no draw of any size meets them) are
+replaced by the marginals of the mass closest to all of them; a warning says so.
 """
 
 from __future__ import annotations
 
+import logging
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.llm.common import SPACE_WORDS, materialise
 
 DIMENSIONS = ("source", "lang", "topic")
-#: Share of all tokens to draw; power that tempers the observed marginals into targets; sweeps.
+#: Share of all tokens to draw; power that tempers the observed marginals into targets; sweeps of
+#: :func:`rake` and of the SQL.
 BUDGET, POWER, SWEEPS = 0.7, 0.7, 12
+#: Marginals meet their targets within this share of the target; sweeps after which a budget (or
+#: the targets) count as not feasible; steps of halving towards the largest feasible budget.
+CLOSE, MOST_SWEEPS, HALVINGS = 1e-6, 1000, 24
 #: Cells up to which the cell table is broadcast (counted first; above, a shuffle join).
 MOST_BROADCAST = 100_000
 
@@ -56,40 +70,148 @@ def tempered(cells: DataFrame, dimension: str, power: float = POWER) -> DataFram
     return t.select(dimension, (F.col("target") / F.lit(whole)).alias("target"))
 
 
+class Cells:
+    """The cell table on the driver, and the targets of each dimension's values that occur in it
+    (made to sum to 1; values without a target have 0)."""
+
+    def __init__(self, cells: DataFrame, targets: dict[str, DataFrame]):
+        self.table = cells.select(*DIMENSIONS, F.col("tokens").cast("long")).toArrow()
+        self.tokens = self.table.column("tokens").to_numpy().astype(np.float64)
+        self.codes, self.targets = [], []
+        for d in targets:
+            values = self.table.column(d).combine_chunks().dictionary_encode()
+            given = {r[d]: float(r["target"] or 0) for r in targets[d].select(d, "target").collect()}
+            target = np.array([given.get(v, 0.0) for v in values.dictionary.to_pylist()])
+            if len(target) and not target.sum() > 0:
+                raise ValueError(f"no value of {d} that occurs has a target")
+            self.codes.append(values.indices.to_numpy(zero_copy_only=False))
+            self.targets.append(target / target.sum())
+
+    def sums(self, k: int, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.codes[k], weights=x, minlength=len(self.targets[k]))
+
+    def met(self, x: np.ndarray, whole: float) -> bool:
+        return all(np.all(np.abs(self.sums(k, x) - whole * t) <= CLOSE * whole * t) for k, t in enumerate(self.targets))
+
+    def raked(self, sweeps: int) -> np.ndarray:
+        """Mass after so many sweeps without an upper bound; sweeps end once the targets are met."""
+        mass = self.tokens / max(1.0, self.tokens.sum())
+        for _ in range(sweeps):
+            for k, target in enumerate(self.targets):
+                sums = self.sums(k, mass)
+                mass = mass * np.divide(target, sums, out=np.zeros_like(sums), where=sums > 0)[self.codes[k]]
+            if self.met(mass, 1.0):
+                break
+        return mass
+
+    def reconcile(self) -> None:
+        """Targets that no mass meets give way to the marginals of the mass nearest to all."""
+        if self.met(self.raked(MOST_SWEEPS), 1.0):
+            return
+        mass = self.tokens / self.tokens.sum()
+        for _ in range(MOST_SWEEPS):
+            scale = np.ones_like(mass)
+            for k, target in enumerate(self.targets):
+                sums = self.sums(k, mass)
+                scale *= np.divide(target, sums, out=np.zeros_like(sums), where=sums > 0)[self.codes[k]]
+            mass = mass * scale ** (1 / len(self.targets))
+            if not mass.sum() > 0:
+                raise ValueError("targets leave no cell to draw from")
+            mass /= mass.sum()
+        logging.getLogger(__name__).warning("targets contradict each other in the table; the nearest that can be met are used")
+        self.targets = [self.sums(k, mass) for k in range(len(self.targets))]
+
+    def drawn(self, budget: float) -> np.ndarray | None:
+        """Probabilities min(1, product of the values' factors) that draw ``budget`` of all tokens
+        and meet the targets; None if the sweeps do not get there."""
+        whole = budget * self.tokens.sum()
+        own = [self.sums(k, self.tokens) for k in range(len(self.targets))]
+        if any(np.any(whole * t > o * (1 + CLOSE)) for t, o in zip(self.targets, own)):
+            return None
+        factor = [np.ones_like(t) for t in self.targets]
+        for _ in range(MOST_SWEEPS):
+            for k, target in enumerate(self.targets):
+                code, need = self.codes[k], whole * target
+                rest = np.ones_like(self.tokens)  # what the other dimensions' factors make of a cell
+                for j, f in enumerate(factor):
+                    if j != k:
+                        rest = rest * f[self.codes[j]]
+                full = np.zeros(len(rest), dtype=bool)
+                while True:  # cells above 1 are kept whole, the others of the value scaled to the rest
+                    left = np.maximum(0.0, need - self.sums(k, np.where(full, self.tokens, 0)))
+                    open_ = self.sums(k, np.where(full, 0, self.tokens * rest))
+                    now = np.divide(left, open_, out=np.full_like(left, -1.0), where=open_ > 0)
+                    more = ~full & (now[code] * rest > 1)
+                    if not more.any():
+                        break
+                    full |= more
+                # a value whose cells are all whole: the factor that makes its smallest cell whole
+                least = np.full(len(now), np.inf)
+                np.minimum.at(least, code, np.where(rest > 0, rest, np.inf))
+                factor[k] = np.where(now >= 0, now, np.where(need > 0, 1 / least, 0))
+            p = np.ones_like(self.tokens)
+            for j, f in enumerate(factor):
+                p = p * f[self.codes[j]]
+            p = np.minimum(1.0, p)
+            if not np.all(np.isfinite(p)):
+                return None
+            if self.met(p * self.tokens, whole):
+                return p
+        return None
+
+    def probabilities(self, budget: float) -> np.ndarray:
+        """Of the largest budget up to ``budget`` at which the drawn tokens meet the targets."""
+        with np.errstate(all="ignore"):  # factors of targets that cannot be met run off
+            return self._largest(budget)
+
+    def _largest(self, budget: float) -> np.ndarray:
+        self.reconcile()
+        total = self.tokens.sum()
+        most = min([budget, *[float(np.min(self.sums(k, self.tokens)[t > 0] / t[t > 0])) / total
+                              for k, t in enumerate(self.targets)]])
+        best = self.drawn(most)
+        low, high = 0.0, most
+        for _ in range(HALVINGS if best is None else 0):
+            middle = (low + high) / 2
+            found = self.drawn(middle)
+            if found is None:
+                high = middle
+            else:
+                low, best = middle, found
+        if best is None:
+            raise ValueError("no budget meets the targets")
+        return best
+
+    def frame(self, like: DataFrame, name: str, values: np.ndarray, *columns: str) -> DataFrame:
+        out = self.table.select(list(columns)).append_column(name, pa.array(values, pa.float64()))
+        return like.sparkSession.createDataFrame(out)
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
     """Add ``mass`` (sums to 1): the cells' token shares scaled by row and column factors so that
     each dimension's marginals meet ``targets`` (dimension -> rows (value, target)). Values without
-    a target get none of the mass. The last dimension is met exactly, the others to convergence."""
-    now = cells
-    for d, target in targets.items():
-        now = now.join(target.select(d, F.col("target").alias(f"target_{d}")), d, "left").fillna(0.0, [f"target_{d}"])
-    now = materialise(now.withColumn("mass", F.col("tokens").cast("double")), "cells")
-    for _ in range(sweeps):
-        for d in targets:
-            sums = now.groupBy(d).agg(F.sum("mass").alias("sum"))
-            now = now.join(sums, d).withColumn("mass", F.when(
-                F.col("sum") > 0, F.col("mass") * F.col(f"target_{d}") / F.col("sum")).otherwise(0.0)).drop("sum")
-        now = materialise(now, "cells")
-    return now.drop(*[f"target_{d}" for d in targets])
+    a target get none of the mass. At most ``sweeps`` sweeps, fewer if the targets are met; no upper
+    bound of a cell (:func:`probabilities` has it)."""
+    table = Cells(cells, targets)
+    return table.frame(cells, "mass", table.raked(sweeps), *DIMENSIONS, "tokens")
 
 
 def cells_of(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
 
 
-def probabilities(rows: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET,
-                  sweeps: int = SWEEPS) -> DataFrame:
+def probabilities(rows: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
     """(source, lang, topic, probability) of every cell of ``rows`` (as :func:`keyed` gives them).
 
-    budget is the share of all tokens to draw; a cell that would need more than it has is kept
-    whole. Targets default to the tempered marginals of ``rows`` themselves.
+    The drawn tokens meet the targets; they are ``budget`` of all tokens, or as many as the targets
+    allow if that is less. Targets default to the tempered marginals of ``rows`` themselves.
     """
     cells = materialise(cells_of(rows), "cells")
     if targets is None:
         targets = {d: tempered(cells, d) for d in DIMENSIONS}
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    return rake(cells, targets, sweeps).select(*DIMENSIONS, F.least(
-        F.lit(1.0), F.lit(float(budget)) * F.lit(float(total)) * F.col("mass") / F.col("tokens")).alias("probability"))
+    table = Cells(cells, targets)
+    found = table.probabilities(budget) if len(table.tokens) else table.tokens
+    return table.frame(cells, "probability", found, *DIMENSIONS)
 
 
 def draw(doc_id: Column) -> Column:

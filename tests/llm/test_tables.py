@@ -89,6 +89,45 @@ def test_marginals_meet_the_targets(spark):
     assert math.isclose(odds(lambda r: r.mass), odds(lambda r: r.tokens), rel_tol=1e-6)
 
 
+def drawn_shares(rows, d):
+    out = Counter()
+    for r in rows:
+        out[r[d]] += r.n_tokens * r.probability
+    return {v: x / sum(out.values()) for v, x in out.items()}
+
+
+@pytest.mark.parametrize("budget", [0.3, 0.6, 0.9])
+def test_drawn_marginals_meet_the_targets(spark, budget):
+    """Of the draw itself, not of the raked mass: no cell gives more than it has, and none is short for it."""
+    n = {("a", "x", "m"): 10, ("a", "y", "m"): 4000, ("b", "x", "m"): 3000, ("b", "y", "m"): 900, ("b", "y", "n"): 2500, ("a", "x", "n"): 1500}
+    want = {"source": dict(a=0.55, b=0.45), "lang": dict(x=0.45, y=0.55), "topic": dict(m=0.6, n=0.4)}
+    rows = spark.createDataFrame([(*k, v) for k, v in n.items()], "source string, lang string, topic string, n_tokens long")
+    targets = {d: spark.createDataFrame(list(v.items()), f"{d} string, target double") for d, v in want.items()}
+    got = mixing.with_probability(rows, mixing.probabilities(rows, targets, budget)).collect()
+    assert len(got) == len(n) and all(0 < r.probability <= 1 for r in got)
+    for d, shares in want.items():
+        assert drawn_shares(got, d) == pytest.approx(shares, rel=1e-5)
+    drawn = sum(r.probability * r.n_tokens for r in got) / sum(n.values())
+    assert drawn == pytest.approx(budget, rel=1e-5) if budget < 0.8 else 0.62 < drawn < 0.632  # at most 3010 / 0.4 tokens
+
+
+def test_drawn_marginals_of_the_documents(spark):
+    rows = queries.op9_source_mixing(spark, SF01).collect()
+    for d in ("source", "lang", "topic"):
+        tokens = Counter()
+        for r in rows:
+            tokens[r[d]] += r.n_tokens
+        whole = sum(v ** mixing.POWER for v in tokens.values())
+        assert drawn_shares(rows, d) == pytest.approx({k: v ** mixing.POWER / whole for k, v in tokens.items()}, rel=1e-4)
+
+
+def test_contradicting_targets_give_a_draw(spark):
+    rows = spark.createDataFrame([("a", "x", "m", 10), ("b", "x", "m", 20), ("c", "y", "m", 300)],
+                                 "source string, lang string, topic string, n_tokens long")
+    got = mixing.probabilities(rows).collect()  # sources a and b against language x
+    assert len(got) == 3 and all(0 < r.probability <= 1 for r in got)
+
+
 def test_mixing_edges(spark, edge, edge_rows, nothing):
     rows = mixing.sample(edge).collect()
     assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in edge_rows)
