@@ -88,3 +88,13 @@ def test_schema_helpers_and_small_functions(spark):
     assert cmp["f"] == ("double", "float") and cmp["s"] == ("string", "string")
     tc = {row["data_type"]: row["count"] for row in types.type_counts(clean).collect()}
     assert tc == {"int": 1, "boolean": 1, "double": 1, "string": 1}
+
+
+def test_customers_are_joined_with_all_their_orders(spark, tmp_path):
+    from sparkwright.plans import format_jobs
+    spark.createDataFrame([(1, "A"), (2, "A"), (3, "B"), (4, "C")], "c_custkey long, c_mktsegment string") \
+        .write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (6, None)], "o_orderkey long, o_custkey long") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    got = format_jobs.customers_without_orders(spark, str(tmp_path)).collect()
+    assert {(r.c_mktsegment, r.n_rows, r.n_kept) for r in got} == {("A", 4, 4), ("B", 1, 1), ("C", 1, 0)}
