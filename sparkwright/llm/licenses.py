@@ -47,20 +47,30 @@ NAMES = (
     ("boost", "boost software", ("boost",), ("1 0",)),
     ("artistic", "artistic", ("artistic",), ("1 0", "2 0")),
     ("python", "python software foundation", ("python",), ("2",)),
-    ("unlicense", "the unlicense", ("unlicense",), ()),
+    ("unlicense", "(?:the )?unlicense", ("unlicense",), ()),
     ("wtfpl", "wtfpl", ("wtfpl",), ("2",)),
     ("cc-by-sa", "cc by sa", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by-nc", "cc by nc", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by-nd", "cc by nd", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by", "cc by", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-by", "creative commons attribution", ("creative",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-sa", "creative commons attribution share ?alike", ("creative",), ("2 0", "3 0", "4 0")),
+    ("cc-by-sa", "creative commons attribution share(?: |)alike", ("creative",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc", "creative commons attribution non(?: |)commercial", ("creative",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nd", "creative commons attribution no(?: |)deriv(?:ative)?s", ("creative",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc0", "cc0", ("cc0",), ("1 0",)),
     ("odbl", "open database", ("database",), ("1 0",)),
     ("ofl", "sil open font", ("sil",), ("1 0", "1 1")),
+    ("epl", "epl", ("epl",), ("1 0", "2 0")),
+    ("cddl", "cddl", ("cddl",), ("1 0", "1 1")),
+    ("eupl", "eupl", ("eupl",), ("1 0", "1 1", "1 2")),
+    ("bsd", "0bsd", ("0bsd",), ()),
+    ("boost", "bsl", ("bsl",), ("1 0",)),
+    ("python", "psf", ("psf",), ("2 0",)),
+    ("odbl", "odbl", ("odbl",), ("1 0",)),
+    ("ofl", "ofl", ("ofl",), ("1 0", "1 1")),
 )
-#: How a text names a license: words around the name, the word of them that gates, priority
-#: (smaller is better), weight.
+#: How a text names a license: words around the name, the word of them that gates (none: the name's
+#: word alone), priority (smaller is better), weight.
 FRAMES = tuple(
     frame for spelling in ("license", "licence") for frame in (
         (f"licensed under the {{name}} {spelling}", "licensed", 1, 1.0),
@@ -70,7 +80,9 @@ FRAMES = tuple(
         (f"subject to the {{name}} {spelling}", "subject", 1, 0.95),
         (f"{spelling} {{name}}", spelling, 3, 0.8),
         (f"{{name}} {spelling}", spelling, 3, 0.8))
-) + (("licensed under {name}", "licensed", 2, 0.95), ("available under (?:the )?{name}", "available", 2, 0.9))
+) + (("licensed under {name}", "licensed", 2, 0.95), ("available under (?:the )?{name}", "available", 2, 0.9),
+     ("licensed under the {name}", "licensed", 2, 0.95), ("under the {name}", "", 3, 0.8),
+     ("spdx license identifier {name}", "spdx", 1, 1.0))
 #: Texts that stand for a license without its name: label, words, gating word, priority, weight.
 PHRASES = (
     ("mit", "permission is hereby granted free of charge to any person", "hereby", 1, 1.0),
@@ -81,6 +93,10 @@ PHRASES = (
     ("gpl", "general public license", "license", 4, 0.9),
     ("apache", "you may not use this file except in compliance with the license", "license", 1, 1.0),
     ("cc-by", "cc by", "cc", 4, 0.9),
+    ("cc-by", "creative commons attribution", "creative", 4, 0.9),
+    ("cc-by-sa", "creative commons attribution share(?: |)alike", "creative", 4, 0.9),
+    ("cc-by-nc", "creative commons attribution non(?: |)commercial", "creative", 4, 0.9),
+    ("cc-by-nd", "creative commons attribution no(?: |)deriv(?:ative)?s", "creative", 4, 0.9),
     ("reserved", "all rights reserved", "reserved", 4, 0.9),
     ("copyright", "copyright (?:c )?(?:19|20)[0-9][0-9]", "copyright", 5, 0.5),
     ("public-domain", "(?:released|placed) (?:in|into|to) the public domain", "domain", 2, 0.9),
@@ -103,9 +119,32 @@ def signatures() -> list[Signature]:
     out = [Signature(label, words, (key,), p, w) for label, words, key, p, w in PHRASES]
     for label, name, keys, versions in NAMES:
         for key in keys:
-            out += [Signature(label, f.format(name=name), (key, k), p, w) for f, k, p, w in FRAMES]
-            for v in versions:
-                out.append(Signature(label, f"{name}(?: licen[sc]e)?(?: version| v)? {v}", (key,), 1, 1.0))
+            out += [Signature(label, f.format(name=name), (key, k) if k else (key,), p, w) for f, k, p, w in FRAMES]
+            out += [Signature(label, words, (gate,), 1, 1.0) for words, gate in _version_tails(name, key, versions)]
+    return out
+
+
+def _version_tails(name: str, key: str, versions: tuple[str, ...]) -> list[tuple[str, str]]:
+    """(words, gate) of a name with a version: "gpl 2 0", "gpl v2 0", "gpl license version 2 0". A
+    version N.0 may be N, with a word or letter that tells it from other numbers ("apache v2",
+    "apache license 2"). A name of one word may have the version in it ("gplv2", "gpl3")."""
+    by_tail: dict[str, list[str]] = {}  # what follows the first number: the first numbers
+    for v in versions:
+        first, _, tail = v.partition(" ")
+        by_tail.setdefault(tail, []).append(first)
+    out = []
+    for tail, firsts in by_tail.items():
+        number = f"(?:{'|'.join(firsts)}) {tail}".strip()
+        out += [(f"{name} v?{number}", key), (f"{name} (?:licen[sc]e|version|v) v?{number}", key),
+                (f"{name} licen[sc]e (?:version|v) v?{number}", key)]
+        if name == key:
+            out += [(f"{name}{v}{x} {tail}".strip(), f"{name}{v}{x}") for x in firsts for v in ("", "v")]
+    if short := [x for x in by_tail.get("0", []) if x not in versions]:
+        number = f"(?:{'|'.join(short)})"
+        out += [(f"{name} v{number}", key), (f"{name} (?:licen[sc]e|version|v) v?{number}", key),
+                (f"{name} licen[sc]e (?:version|v) v?{number}", key)]
+        if name == key:
+            out += [(f"{name}{v}{x}", f"{name}{v}{x}") for x in short for v in ("", "v")]
     return out
 
 

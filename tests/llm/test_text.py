@@ -112,6 +112,22 @@ def test_license_detections(spark):
     assert len(licenses.signatures()) > 300
 
 
+def test_license_labels_by_hand(spark):
+    """Labels written by hand, not taken from the rules."""
+    want = {
+        "GPL v3": "gpl", "GPLv2": "gpl", "GPLv3+": "gpl", "GPL3 or later": "gpl", "LGPL v2.1": "lgpl", "LGPLv2.1": "lgpl",
+        "AGPLv3": "agpl", "Apache v2": "apache", "Apache v2.0": "apache", "Apache License 2": "apache", "Apache-2.0": "apache",
+        "Creative Commons Attribution-ShareAlike 4.0": "cc-by-sa", "Creative Commons Attribution Share Alike": "cc-by-sa",
+        "Creative Commons Attribution-NonCommercial 4.0 International": "cc-by-nc", "Creative Commons Attribution 4.0": "cc-by",
+        "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: GPL-2.0-only": "gpl",
+        "SPDX-License-Identifier: BSD-3-Clause": "bsd", "SPDX-License-Identifier: EPL-2.0": "epl", "SPDX-License-Identifier: Unlicense": "unlicense",
+        "licensed under the GPL": "gpl", "code is under the MIT": "mit", "released under the Unlicense": "unlicense", "MPL v2": "mpl",
+        "Apache 2 helicopters": "", "version 3 of a gplan": "", "a creative way to share alike": "", "v2 of the identifier": ""}
+    df = spark.createDataFrame(list(enumerate(want)), "doc_id int, text string")
+    got = {t: r.labels for t, r in zip(want, licenses.scan(df).orderBy("doc_id").collect())}
+    assert got == want
+
+
 # ------------------------------------------------------------------ quality rules
 
 def test_quality_rules_match_brute_force(spark, edge, edge_rows, nothing):
