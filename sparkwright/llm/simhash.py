@@ -239,9 +239,10 @@ def keep_one(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
     row = F.xxhash64(*[F.col(f"`{c}`") for c in own])
     marked = docs.withColumn("__row", row)
     found = near_duplicates(marked.select(F.col("__row").alias("doc_id"), "text"), shingle, most)
-    ids = marked.select("__row", F.col("doc_id").alias("__id"))
+    # one row of each key on both sides: r copies of a row would meet in r * r joined rows
+    ids = marked.select("__row", F.col("doc_id").alias("__id")).dropDuplicates(["__row"])
     # classes over row keys; the row with the smallest document id stands for its class
-    best = (found.select(F.col("doc_id").alias("__row"), "component_id").join(ids, "__row")
+    best = (found.select(F.col("doc_id").alias("__row"), "component_id").dropDuplicates(["__row"]).join(ids, "__row")
             .groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", "__row")).alias("best"))
             .select(F.col("best.__row").alias("__row")))
     kept = marked.join(best, "__row", "left_semi").dropDuplicates(["__row"])

@@ -119,3 +119,23 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     pairs = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(80)] + [(5, 5), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs, "u long, v long")).collect()}
     assert got == {k: 0 for k in range(61)} | {100 + k: 100 for k in range(80)}
+
+
+def test_repeated_rows_are_joined_once(spark):
+    """keep_one on 3,000 copies of a row: no operator makes more than a few rows of each."""
+    docs = spark.createDataFrame([(1, "one text of it", "en", "a")] * 3000 + [(2, "quite another one here", "en", "a")],
+                                 "doc_id long, text string, lang string, source string").repartition(4)
+    kept = simhash.keep_one(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+    def rows(node):
+        metrics = node.metrics()
+        own = [metrics.apply("numOutputRows").value()] if metrics.contains("numOutputRows") else []
+        for part in ("executedPlan", "plan"):
+            if node.nodeName() in ("AdaptiveSparkPlan",) and part == "executedPlan" or part == "plan" and "QueryStage" in node.nodeName():
+                own += rows(getattr(node, part)())
+        kids = node.children()
+        return own + [x for k in range(kids.size()) for x in rows(kids.apply(k))]
+    plan = kept._jdf.queryExecution().executedPlan()
+    kept._jdf.collectToPython()
+    assert 0 < max(rows(plan)) <= 3 * 3001
