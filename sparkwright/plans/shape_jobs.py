@@ -26,7 +26,7 @@ FEATURES = ("click", "error", "purchase", "signup", "view")
 def sessionize(spark, root):
     """Session start flag (gap > 900 s) and running session number per user and day."""
     ev = table(spark, root, "events").select("event_id", "user_id", "ts", F.to_date("ts").alias("day"))
-    s = windows.sessionize(ev, ["user_id", "day"], "ts", "event_id", SESSION_GAP_S, bucket_seconds=None)
+    s = windows.sessionize(ev, ["user_id", "day"], "ts", "event_id", SESSION_GAP_S, bucket_seconds=3600)
     return s.select("event_id", "user_id", "day", "prev_ts_us", "session_start_flag", "session_no")
 
 

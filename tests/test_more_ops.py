@@ -98,3 +98,18 @@ def test_customers_are_joined_with_all_their_orders(spark, tmp_path):
         .write.parquet(f"{tmp_path}/orders.parquet")
     got = format_jobs.customers_without_orders(spark, str(tmp_path)).collect()
     assert {(r.c_mktsegment, r.n_rows, r.n_kept) for r in got} == {("A", 4, 4), ("B", 1, 1), ("C", 1, 0)}
+
+
+def test_sessionize_splits_a_hot_day(spark, monkeypatch):
+    from collections import Counter
+
+    from sparkwright.operators import windows
+    from sparkwright.plans import shape_jobs
+    from tests.conftest import SF001
+    used, plain = [], windows.sessionize
+    monkeypatch.setattr(shape_jobs.windows, "sessionize", lambda *a, bucket_seconds: used.append(bucket_seconds) or plain(
+        *a, bucket_seconds=bucket_seconds))
+    split = Counter(map(tuple, shape_jobs.sessionize(spark, SF001).collect()))
+    assert used[0] and used[0] < 86_400
+    monkeypatch.setattr(shape_jobs.windows, "sessionize", lambda *a, bucket_seconds: plain(*a, bucket_seconds=None))
+    assert split == Counter(map(tuple, shape_jobs.sessionize(spark, SF001).collect()))
