@@ -1,22 +1,22 @@
 """Mixing sources to target weights by iterative proportional fitting (raking).
 
-Token totals of all documents are summed into cells (source, language, topic). The cell table is
-small and raked on the driver: the tokens to draw of each cell are scaled in turn so that their
-marginals meet the targets of each dimension, sweep after sweep until they do. No cell gives more
-tokens than it has: a cell that would is kept whole and the others of its value are scaled further,
-so the drawn tokens meet the targets, not only the fitted mass. If the table has too few tokens of
-some value for that, the budget is lowered to the largest one at which the sweeps meet all targets.
-A document is kept with the probability of its cell by a hash of its id, so the draw is repeatable
-and needs no order.
-
-Targets that contradict each other in the table's cells (no draw of any size meets them) are
-replaced by the marginals of the mass closest to all of them; a warning says so.
+Token totals of all documents are summed into cells (source, language, topic). The tokens to draw of
+each cell are raked: scaled in turn so that their marginals meet the targets of each dimension,
+sweep after sweep. No cell gives more tokens than it has (:func:`fill`): a cell that would is kept
+whole and the others of its value are scaled further. A document is kept with the probability of its
+cell by a hash of its id, so the draw is repeatable and needs no order.
+
+The budget (share of all tokens to draw) is kept whatever the targets are:
+
+* a value whose target is more than it has gives all it has, and the other values of its dimension
+  share the rest in proportion to their targets (:func:`needs`; :func:`report` lists what is missed);
+* every sweep ends with a scaling of the whole table to the budget, so targets that no draw meets
+  together (or cells too small for them) cost weights, not tokens;
+* only values with target zero can lower it: what the other cells have is then the most.
 """
 
 from __future__ import annotations
 
-import logging
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,14 +25,11 @@ from pyspark.sql import functions as F
 from sparkwright.llm.common import SPACE_WORDS, materialise
 
 DIMENSIONS = ("source", "lang", "topic")
-#: Share of all tokens to draw; power that tempers the observed marginals into targets; sweeps of
-#: :func:`rake` and of the SQL.
-BUDGET, POWER, SWEEPS = 0.7, 0.7, 12
-#: Marginals meet their targets within this share of the target; sweeps after which a budget (or
-#: the targets) count as not feasible; steps of halving towards the largest feasible budget.
-CLOSE, MOST_SWEEPS, HALVINGS = 1e-6, 1000, 24
-#: Cells up to which the cell table is broadcast (counted first; above, a shuffle join).
-MOST_BROADCAST = 100_000
+#: Share of all tokens to draw; power that tempers the observed marginals into targets; sweeps.
+BUDGET, POWER, SWEEPS = 0.7, 0.7, 300
+#: Cells up to which the cell table is raked on the driver and broadcast (counted first; above,
+#: the same sweeps run as aggregates and joins, until a sweep changes no cell by more than CLOSE of it).
+MOST_CELLS, CLOSE = 100_000, 1e-7
 
 #: Topics by the first pattern found in the lower-cased text; no pattern: prose.
 TOPICS = (("legal", r"license|copyright|rights reserved|public domain"),
@@ -70,130 +67,113 @@ def tempered(cells: DataFrame, dimension: str, power: float = POWER) -> DataFram
     return t.select(dimension, (F.col("target") / F.lit(whole)).alias("target"))
 
 
+def fill(tokens: np.ndarray, mass: np.ndarray, need: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """min(tokens, factor * mass) with one factor per group ``code`` so that group g sums to
+    need[g] (or to all its tokens, if it has less)."""
+    full = np.zeros(len(mass), dtype=bool)
+    groups = len(need)
+    while True:
+        left = need - np.bincount(code, weights=np.where(full, tokens, 0), minlength=groups)
+        open_ = np.bincount(code, weights=np.where(full, 0, mass), minlength=groups)
+        factor = np.divide(left, open_, out=np.zeros(groups), where=open_ > 0)
+        more = ~full & (factor[code] * mass > tokens)
+        if not more.any():
+            return np.where(full, tokens, factor[code] * mass)
+        full |= more
+
+
+def needs(own: np.ndarray, target: np.ndarray, whole: float) -> np.ndarray:
+    """Tokens to draw of each value of a dimension: in proportion to the targets, none above what
+    the value has; together ``whole``."""
+    return fill(own, target, np.array([whole]), np.zeros(len(own), dtype=np.int64))
+
+
 class Cells:
-    """The cell table on the driver, and the targets of each dimension's values that occur in it
-    (made to sum to 1; values without a target have 0)."""
+    """The cell table on the driver and the targets of each dimension's values that occur in it
+    (made to sum to 1; values without a target have 0, and nothing is drawn of their cells)."""
 
     def __init__(self, cells: DataFrame, targets: dict[str, DataFrame]):
         self.table = cells.select(*DIMENSIONS, F.col("tokens").cast("long")).toArrow()
         self.tokens = self.table.column("tokens").to_numpy().astype(np.float64)
-        self.codes, self.targets = [], []
+        self.codes, self.targets, self.values = [], [], []
         for d in targets:
             values = self.table.column(d).combine_chunks().dictionary_encode()
             given = {r[d]: float(r["target"] or 0) for r in targets[d].select(d, "target").collect()}
             target = np.array([given.get(v, 0.0) for v in values.dictionary.to_pylist()])
             if len(target) and not target.sum() > 0:
                 raise ValueError(f"no value of {d} that occurs has a target")
-            self.codes.append(values.indices.to_numpy(zero_copy_only=False))
+            self.codes.append(values.indices.to_numpy(zero_copy_only=False).astype(np.int64))
             self.targets.append(target / target.sum())
-
-    def sums(self, k: int, x: np.ndarray) -> np.ndarray:
-        return np.bincount(self.codes[k], weights=x, minlength=len(self.targets[k]))
-
-    def met(self, x: np.ndarray, whole: float) -> bool:
-        return all(np.all(np.abs(self.sums(k, x) - whole * t) <= CLOSE * whole * t) for k, t in enumerate(self.targets))
-
-    def raked(self, sweeps: int) -> np.ndarray:
-        """Mass after so many sweeps without an upper bound; sweeps end once the targets are met."""
-        mass = self.tokens / max(1.0, self.tokens.sum())
+            self.values.append(values.dictionary.to_pylist())
+        self.usable = np.ones(len(self.tokens), dtype=bool)
+        for code, target in zip(self.codes, self.targets):
+            self.usable &= target[code] > 0
+        self.has = np.where(self.usable, self.tokens, 0.0)
+
+    def needs(self, budget: float) -> list[np.ndarray]:
+        whole = min(budget * self.tokens.sum(), self.has.sum())
+        return [needs(np.bincount(c, weights=self.has, minlength=len(t)), t, whole)
+                for c, t in zip(self.codes, self.targets)]
+
+    def drawn(self, budget: float, sweeps: int = SWEEPS) -> np.ndarray:
+        """Tokens to draw of each cell."""
+        whole = np.array([min(budget * self.tokens.sum(), self.has.sum())])
+        wanted = self.needs(budget)
+        mass, one = self.has, np.zeros(len(self.has), dtype=np.int64)
         for _ in range(sweeps):
-            for k, target in enumerate(self.targets):
-                sums = self.sums(k, mass)
-                mass = mass * np.divide(target, sums, out=np.zeros_like(sums), where=sums > 0)[self.codes[k]]
-            if self.met(mass, 1.0):
-                break
+            for code, need in zip(self.codes, wanted):
+                mass = fill(self.has, mass, need, code)
+            mass = fill(self.has, mass, whole, one)
         return mass
 
-    def reconcile(self) -> None:
-        """Targets that no mass meets give way to the marginals of the mass nearest to all."""
-        if self.met(self.raked(MOST_SWEEPS), 1.0):
-            return
-        mass = self.tokens / self.tokens.sum()
-        for _ in range(MOST_SWEEPS):
-            scale = np.ones_like(mass)
-            for k, target in enumerate(self.targets):
-                sums = self.sums(k, mass)
-                scale *= np.divide(target, sums, out=np.zeros_like(sums), where=sums > 0)[self.codes[k]]
-            mass = mass * scale ** (1 / len(self.targets))
-            if not mass.sum() > 0:
-                raise ValueError("targets leave no cell to draw from")
-            mass /= mass.sum()
-        logging.getLogger(__name__).warning("targets contradict each other in the table; the nearest that can be met are used")
-        self.targets = [self.sums(k, mass) for k in range(len(self.targets))]
-
-    def drawn(self, budget: float) -> np.ndarray | None:
-        """Probabilities min(1, product of the values' factors) that draw ``budget`` of all tokens
-        and meet the targets; None if the sweeps do not get there."""
-        whole = budget * self.tokens.sum()
-        own = [self.sums(k, self.tokens) for k in range(len(self.targets))]
-        if any(np.any(whole * t > o * (1 + CLOSE)) for t, o in zip(self.targets, own)):
-            return None
-        factor = [np.ones_like(t) for t in self.targets]
-        for _ in range(MOST_SWEEPS):
-            for k, target in enumerate(self.targets):
-                code, need = self.codes[k], whole * target
-                rest = np.ones_like(self.tokens)  # what the other dimensions' factors make of a cell
-                for j, f in enumerate(factor):
-                    if j != k:
-                        rest = rest * f[self.codes[j]]
-                full = np.zeros(len(rest), dtype=bool)
-                while True:  # cells above 1 are kept whole, the others of the value scaled to the rest
-                    left = np.maximum(0.0, need - self.sums(k, np.where(full, self.tokens, 0)))
-                    open_ = self.sums(k, np.where(full, 0, self.tokens * rest))
-                    now = np.divide(left, open_, out=np.full_like(left, -1.0), where=open_ > 0)
-                    more = ~full & (now[code] * rest > 1)
-                    if not more.any():
-                        break
-                    full |= more
-                # a value whose cells are all whole: the factor that makes its smallest cell whole
-                least = np.full(len(now), np.inf)
-                np.minimum.at(least, code, np.where(rest > 0, rest, np.inf))
-                factor[k] = np.where(now >= 0, now, np.where(need > 0, 1 / least, 0))
-            p = np.ones_like(self.tokens)
-            for j, f in enumerate(factor):
-                p = p * f[self.codes[j]]
-            p = np.minimum(1.0, p)
-            if not np.all(np.isfinite(p)):
-                return None
-            if self.met(p * self.tokens, whole):
-                return p
-        return None
-
     def probabilities(self, budget: float) -> np.ndarray:
-        """Of the largest budget up to ``budget`` at which the drawn tokens meet the targets."""
-        with np.errstate(all="ignore"):  # factors of targets that cannot be met run off
-            return self._largest(budget)
-
-    def _largest(self, budget: float) -> np.ndarray:
-        self.reconcile()
-        total = self.tokens.sum()
-        most = min([budget, *[float(np.min(self.sums(k, self.tokens)[t > 0] / t[t > 0])) / total
-                              for k, t in enumerate(self.targets)]])
-        best = self.drawn(most)
-        low, high = 0.0, most
-        for _ in range(HALVINGS if best is None else 0):
-            middle = (low + high) / 2
-            found = self.drawn(middle)
-            if found is None:
-                high = middle
-            else:
-                low, best = middle, found
-        if best is None:
-            raise ValueError("no budget meets the targets")
-        return best
-
-    def frame(self, like: DataFrame, name: str, values: np.ndarray, *columns: str) -> DataFrame:
-        out = self.table.select(list(columns)).append_column(name, pa.array(values, pa.float64()))
-        return like.sparkSession.createDataFrame(out)
-
-
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
-    """Add ``mass`` (sums to 1): the cells' token shares scaled by row and column factors so that
-    each dimension's marginals meet ``targets`` (dimension -> rows (value, target)). Values without
-    a target get none of the mass. At most ``sweeps`` sweeps, fewer if the targets are met; no upper
-    bound of a cell (:func:`probabilities` has it)."""
-    table = Cells(cells, targets)
-    return table.frame(cells, "mass", table.raked(sweeps), *DIMENSIONS, "tokens")
+        return np.minimum(1.0, self.drawn(budget) / self.tokens) if len(self.tokens) else self.tokens
+
+
+def _fill_far(cells: DataFrame, by: str) -> DataFrame:
+    """:func:`fill` on a table (..., ``by``, tokens, mass, need_<by>): each step sums by group."""
+    factors = None
+    while True:
+        if factors is None:
+            now = cells.withColumn("_f", F.lit(0.0))
+        else:
+            now = cells.join(factors, by)
+        full = F.col("_f") * F.col("mass") > F.col("tokens")
+        sums = now.groupBy(by, "_f").agg(
+            F.first(f"need_{by}").alias("need"), F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("whole"),
+            F.sum(F.when(full, F.lit(0.0)).otherwise(F.col("mass"))).alias("open"))
+        # a group that is whole keeps its factor; factors only grow
+        new = F.when(F.col("open") > 0, (F.col("need") - F.col("whole")) / F.col("open")).otherwise(F.col("_f"))
+        step = materialise(sums.select(by, "_f", F.greatest(new, F.col("_f")).alias("_g")), "factors")
+        factors = step.select(by, F.col("_g").alias("_f"))
+        if step.where("_g > _f * (1 + 1e-13)").limit(1).count() == 0:
+            out = cells.join(factors, by).withColumn("mass", F.least("tokens", F.col("_f") * F.col("mass")))
+            return materialise(out.drop("_f"), "cells")
+
+
+def _probabilities_far(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> DataFrame:
+    """The sweeps over a cell table too large for the driver, as aggregates and joins of tables."""
+    now = cells.select(*DIMENSIONS, F.col("tokens").cast("double").alias("tokens"))
+    everything = now.agg(F.sum("tokens")).first()[0]
+    for d, t in targets.items():
+        now = now.join(t.select(d, F.col("target").cast("double").alias(f"target_{d}")).where(f"target_{d} > 0"), d)
+    now = materialise(now, "usable")
+    whole = min(budget * everything, now.agg(F.sum("tokens")).first()[0])
+    wanted = now.withColumn("all", F.lit(0)).withColumn("need_all", F.lit(whole))
+    for d in targets:
+        own = now.groupBy(d).agg(F.sum("tokens").alias("tokens"), F.first(f"target_{d}").alias("mass"))
+        need = _fill_far(own.withColumn("all", F.lit(0)).withColumn("need_all", F.lit(whole)), "all")
+        wanted = wanted.join(need.select(d, F.col("mass").alias(f"need_{d}")), d)
+    now = materialise(wanted.withColumn("mass", F.col("tokens")), "cells")
+    for _ in range(SWEEPS):
+        before = now
+        for by in [*targets, "all"]:
+            now = _fill_far(now, by)
+        moved = now.join(before.select(*DIMENSIONS, F.col("mass").alias("was")), list(DIMENSIONS))
+        if moved.where(F.abs(F.col("mass") - F.col("was")) > CLOSE * F.col("was")).limit(1).count() == 0:
+            break
+    found = now.select(*DIMENSIONS, F.least(F.lit(1.0), F.col("mass") / F.col("tokens")).alias("probability"))
+    return cells.select(*DIMENSIONS).join(found, list(DIMENSIONS), "left").na.fill(0.0, ["probability"])
 
 
 def cells_of(rows: DataFrame) -> DataFrame:
@@ -203,15 +183,35 @@ def cells_of(rows: DataFrame) -> DataFrame:
 def probabilities(rows: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
     """(source, lang, topic, probability) of every cell of ``rows`` (as :func:`keyed` gives them).
 
-    The drawn tokens meet the targets; they are ``budget`` of all tokens, or as many as the targets
-    allow if that is less. Targets default to the tempered marginals of ``rows`` themselves.
+    The drawn tokens are ``budget`` of all tokens. ``targets`` (dimension -> rows (value, target)) are
+    met as far as the cells allow; they default to the tempered marginals of ``rows`` themselves.
     """
     cells = materialise(cells_of(rows), "cells")
     if targets is None:
         targets = {d: tempered(cells, d) for d in DIMENSIONS}
+    if cells.count() > MOST_CELLS:
+        return materialise(_probabilities_far(cells, targets, budget), "probabilities")
     table = Cells(cells, targets)
-    found = table.probabilities(budget) if len(table.tokens) else table.tokens
-    return table.frame(cells, "probability", found, *DIMENSIONS)
+    found = table.table.select(list(DIMENSIONS)).append_column(
+        "probability", pa.array(table.probabilities(budget), pa.float64()))
+    return rows.sparkSession.createDataFrame(found)
+
+
+def report(rows: DataFrame, cells: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(dimension, value, tokens, target, drawn, missed): expected share of the draw of each value
+    beside its target, and target minus drawn share; ``cells`` as :func:`probabilities` gives them."""
+    drawn = materialise(with_probability(rows, cells).groupBy(*DIMENSIONS).agg(
+        F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("probability")).alias("mass")), "drawn")
+    whole = drawn.agg(F.sum("mass")).first()[0] or 1.0
+    out = None
+    for d in DIMENSIONS:
+        target = (targets or {}).get(d)
+        target = tempered(drawn, d) if target is None else target.select(d, "target")
+        part = drawn.groupBy(d).agg(F.sum("tokens").alias("tokens"), (F.sum("mass") / F.lit(whole)).alias("drawn")).join(
+            target, d, "left").select(F.lit(d).alias("dimension"), F.col(d).alias("value"), "tokens",
+                                      F.coalesce("target", F.lit(0.0)).alias("target"), "drawn")
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("missed", F.col("target") - F.col("drawn"))
 
 
 def draw(doc_id: Column) -> Column:
@@ -221,7 +221,7 @@ def draw(doc_id: Column) -> Column:
 
 
 def with_probability(rows: DataFrame, cells: DataFrame) -> DataFrame:
-    small = cells.count() <= MOST_BROADCAST
+    small = cells.count() <= MOST_CELLS
     return rows.join(F.broadcast(cells) if small else cells, list(DIMENSIONS))
 
 
@@ -243,35 +243,45 @@ def keep_sampled(docs: DataFrame, targets: dict[str, DataFrame] | None = None, b
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("__row"), *[
         k.alias(f"__{d}") for d, k in zip(DIMENSIONS, _keys(text))])
-    small = cells.count() <= MOST_BROADCAST
+    small = cells.count() <= MOST_CELLS
     joined = marked.join(F.broadcast(cells) if small else cells, [f"__{d}" for d in DIMENSIONS])
     return joined.where(draw(F.col("__row.doc_id")) < F.col("probability")).select("__row.*")
 
 
 def oracle_sql(budget: float = BUDGET, power: float = POWER, sweeps: int = SWEEPS) -> str:
-    """The query op9 in DuckDB's SQL: every scaling step is a window over the cell table."""
+    """The query op9 in DuckDB's SQL. A group's factor is the largest of the factors with its first
+    0, 1, 2, ... rows (by share already drawn) kept whole: it grows while the next row would go above its tokens, and
+    falls afterwards."""
     topic = "'prose'"
     for name, pattern in reversed(TOPICS):
         topic = f"CASE WHEN regexp_matches(lower(t), '{pattern}') THEN '{name}' ELSE {topic} END"
     dims = ", ".join(DIMENSIONS)
-    table, tables = "c0", [f"c0 AS MATERIALIZED (SELECT {dims}, tokens, tokens::double AS mass FROM cells)"]
-    for k in range(sweeps):
-        for d in DIMENSIONS:
-            name = f"c{k + 1}_{d}"
-            tables.append(f"{name} AS MATERIALIZED (SELECT {dims}, tokens, mass * target_{d}.target "
-                          f"/ sum(mass) OVER (PARTITION BY {d}) AS mass FROM {table} JOIN target_{d} USING ({d}))")
-            table = name
-    targets = [f"s_{d} AS (SELECT {d}, pow(sum(tokens)::double, {power}) AS t FROM cells GROUP BY {d}), "
-               f"target_{d} AS MATERIALIZED (SELECT {d}, t / sum(t) OVER () AS target FROM s_{d})" for d in DIMENSIONS]
+
+    def filled(table: str, by: str, key: str, need: str) -> str:
+        order = f"PARTITION BY {by} ORDER BY mass / tokens DESC, {key}"
+        return (f"(SELECT * EXCLUDE (f, mass), least(tokens, mass * max(f) OVER (PARTITION BY {by})) AS mass FROM (SELECT *, "
+                f"({need} - coalesce(sum(tokens) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) "
+                f"/ sum(mass) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS f FROM {table}))")
+
+    targets = [f"s_{d} AS (SELECT 0 AS one, {d}, sum(tokens) AS tokens, pow(sum(tokens), {power}) AS mass, {budget}::double * any_value(everything) AS whole "
+               f"FROM cells GROUP BY {d}), need_{d} AS MATERIALIZED (SELECT {d}, mass AS need_{d} FROM {filled(f's_{d}', 'one', d, 'whole')})"
+               for d in DIMENSIONS]
+    sweep = "it"
+    for d in DIMENSIONS:
+        sweep = filled(sweep, d, dims, f"need_{d}")
+    sweep = filled(sweep, "one", dims, "whole")
+    columns = f"k, one, {dims}, tokens, whole, {', '.join(f'need_{d}' for d in DIMENSIONS)}, mass"
     return f"""
-WITH k AS (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, {topic} AS topic,
+WITH RECURSIVE k AS (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, {topic} AS topic,
                   len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))::bigint + 1 AS n_tokens
            FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
-cells AS MATERIALIZED (SELECT {dims}, sum(n_tokens)::bigint AS tokens FROM k GROUP BY {dims}),
+cells AS MATERIALIZED (SELECT *, sum(tokens) OVER () AS everything FROM (
+    SELECT {dims}, sum(n_tokens)::double AS tokens FROM k GROUP BY {dims})),
 {", ".join(targets)},
-{", ".join(tables)},
-p AS (SELECT {dims}, least(1.0::double, {budget}::double * (SELECT sum(tokens) FROM cells)::double * mass / tokens) AS probability
-      FROM {table})
+it AS (SELECT 0 AS k, 0 AS one, {dims}, tokens, {budget}::double * everything AS whole, {', '.join(f'need_{d}' for d in DIMENSIONS)}, tokens AS mass
+       FROM cells {' '.join(f'JOIN need_{d} USING ({d})' for d in DIMENSIONS)}
+       UNION ALL SELECT {columns.replace('k, ', 'k + 1, ', 1)} FROM {sweep} WHERE k < {sweeps}),
+p AS (SELECT {dims}, least(1.0::double, mass / tokens) AS probability FROM it WHERE k = {sweeps})
 SELECT doc_id, {dims}, n_tokens, round(probability, 9) AS probability,
        ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':mix'), 1, 13))::bigint::double / {16**13}::double < probability AS selected
 FROM k JOIN p USING ({dims})"""

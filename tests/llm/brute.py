@@ -92,3 +92,32 @@ def quality(text):
                 rep.update(range(k, k + 8))
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(rep),
             len(w) < 20 or 100 * len(rep) > 30 * len(w))
+
+
+def filled(has, mass, need):
+    """min(has, f * mass) with the one f that makes the sum ``need``; dicts of floats."""
+    whole = set()
+    while True:
+        f = (need - sum(has[k] for k in whole)) / (sum(v for k, v in mass.items() if k not in whole) or 1)
+        more = {k for k in mass if k not in whole and f * mass[k] > has[k]}
+        if not more:
+            return {k: has[k] if k in whole else f * v for k, v in mass.items()}
+        whole |= more
+
+
+def mixed(cells, budget, power, sweeps):
+    """Probability of each cell (a tuple of values): bounded raking to tempered marginals."""
+    has, whole = {k: float(v) for k, v in cells.items()}, budget * sum(cells.values())
+    need = []
+    for d in range(3):
+        own = defaultdict(float)
+        for k, v in has.items():
+            own[k[d]] += v
+        need.append(filled(own, {v: x ** power for v, x in own.items()}, whole))
+    mass = dict(has)
+    for _ in range(sweeps):
+        for d in range(3):
+            for value, wanted in need[d].items():
+                mass |= filled(has, {k: v for k, v in mass.items() if k[d] == value}, wanted)
+        mass = filled(has, mass, whole)
+    return {k: min(1.0, v / has[k]) for k, v in mass.items()}

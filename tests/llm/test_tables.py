@@ -73,20 +73,34 @@ def test_hadamard_keeps_lengths():
 
 # ------------------------------------------------------------------ mixing
 
-def test_marginals_meet_the_targets(spark):
+def frame(spark, n):
+    return spark.createDataFrame([(*k, v) for k, v in n.items()], "source string, lang string, topic string, n_tokens long")
+
+
+def target_tables(spark, want):
+    return {d: spark.createDataFrame(list(v.items()), f"{d} string, target double") for d, v in want.items()}
+
+
+def drawn_share(rows):
+    return sum(r.n_tokens * r.probability for r in rows) / sum(r.n_tokens for r in rows)
+
+
+@pytest.mark.parametrize("far", [False, True])
+def test_marginals_meet_the_targets(spark, monkeypatch, far):
     rng = np.random.default_rng(3)
-    rows = [(s, c, t, int(rng.integers(1, 1000))) for s in "abcd" for c in "xy" for t in "mnp"]
-    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    n = {(s, c, t): int(rng.integers(1, 1000)) for s in "abcd" for c in "xy" for t in "mnp"}
     want = {"source": dict(zip("abcd", (0.4, 0.3, 0.2, 0.1))), "lang": dict(x=0.7, y=0.3), "topic": dict(m=0.5, n=0.25, p=0.25)}
-    targets = {d: spark.createDataFrame(list(v.items()), f"{d} string, target double") for d, v in want.items()}
-    got = mixing.rake(cells, targets, 15).collect()
+    if far:
+        monkeypatch.setattr(mixing, "MOST_CELLS", 3)
+    rows = frame(spark, n)
+    got = mixing.with_probability(rows, mixing.probabilities(rows, target_tables(spark, want), 0.05)).collect()
+    assert drawn_share(got) == pytest.approx(0.05, rel=1e-6)
     for d, shares in want.items():
-        for value, share in shares.items():
-            assert math.isclose(sum(r.mass for r in got if r[d] == value), share, rel_tol=1e-6)
-    # odds ratios of the observed table stay
-    n = {(r.source, r.lang, r.topic): r for r in got}
-    odds = lambda f: f(n["a", "x", "m"]) * f(n["b", "y", "m"]) / f(n["a", "y", "m"]) / f(n["b", "x", "m"])
-    assert math.isclose(odds(lambda r: r.mass), odds(lambda r: r.tokens), rel_tol=1e-6)
+        assert drawn_shares(got, d) == pytest.approx(shares, rel=1e-5)
+    # nothing is whole at this budget: odds ratios of the observed table stay
+    p = {(r.source, r.lang, r.topic): r.probability for r in got}
+    assert max(p.values()) < 1
+    assert p["a", "x", "m"] * p["b", "y", "m"] == pytest.approx(p["a", "y", "m"] * p["b", "x", "m"], rel=1e-5)
 
 
 def drawn_shares(rows, d):
@@ -98,34 +112,91 @@ def drawn_shares(rows, d):
 
 @pytest.mark.parametrize("budget", [0.3, 0.6, 0.9])
 def test_drawn_marginals_meet_the_targets(spark, budget):
-    """Of the draw itself, not of the raked mass: no cell gives more than it has, and none is short for it."""
+    """Of the draw itself, not of the raked mass: no cell gives more than it has, none is short for it, and
+    the budget stays when a value has too little."""
     n = {("a", "x", "m"): 10, ("a", "y", "m"): 4000, ("b", "x", "m"): 3000, ("b", "y", "m"): 900, ("b", "y", "n"): 2500, ("a", "x", "n"): 1500}
     want = {"source": dict(a=0.55, b=0.45), "lang": dict(x=0.45, y=0.55), "topic": dict(m=0.6, n=0.4)}
-    rows = spark.createDataFrame([(*k, v) for k, v in n.items()], "source string, lang string, topic string, n_tokens long")
-    targets = {d: spark.createDataFrame(list(v.items()), f"{d} string, target double") for d, v in want.items()}
-    got = mixing.with_probability(rows, mixing.probabilities(rows, targets, budget)).collect()
+    rows = frame(spark, n)
+    got = mixing.with_probability(rows, mixing.probabilities(rows, target_tables(spark, want), budget)).collect()
     assert len(got) == len(n) and all(0 < r.probability <= 1 for r in got)
-    for d, shares in want.items():
-        assert drawn_shares(got, d) == pytest.approx(shares, rel=1e-5)
-    drawn = sum(r.probability * r.n_tokens for r in got) / sum(n.values())
-    assert drawn == pytest.approx(budget, rel=1e-5) if budget < 0.8 else 0.62 < drawn < 0.632  # at most 3010 / 0.4 tokens
+    assert drawn_share(got) == pytest.approx(budget, rel=1e-6)
+    if budget < 0.8:
+        for d, shares in want.items():
+            assert drawn_shares(got, d) == pytest.approx(shares, rel=1e-5)
+    else:  # 10,719 tokens: a, x and n have less than their shares and are drawn whole
+        assert drawn_shares(got, "topic")["n"] == pytest.approx(4000 / (0.9 * 11910), rel=1e-3)
+
+
+@pytest.mark.parametrize("far", [False, True])
+def test_scarce_value_does_not_lower_the_budget(spark, monkeypatch, far):
+    n = {(f"s{i}", f"l{j}", "t"): 1_000_000 for i in range(4) for j in range(4)} | {("odd", "l0", "t"): 1}
+    if far:
+        monkeypatch.setattr(mixing, "MOST_CELLS", 3)
+    rows = frame(spark, n)
+    got = mixing.with_probability(rows, mixing.probabilities(rows)).collect()
+    assert drawn_share(got) == pytest.approx(0.7, rel=1e-6)
+    assert next(r.probability for r in got if r.source == "odd") == pytest.approx(1.0, rel=1e-4)
+
+
+def test_unmet_targets_are_reported(spark):
+    n = {("a", "x", "m"): 10, ("b", "x", "m"): 990, ("b", "y", "m"): 1000}
+    rows = frame(spark, n)
+    targets = target_tables(spark, {"source": dict(a=0.5, b=0.5), "lang": dict(x=0.5, y=0.5), "topic": dict(m=1.0)})
+    got = {(r.dimension, r.value): r for r in mixing.report(rows, mixing.probabilities(rows, targets), targets).collect()}
+    a, b = got["source", "a"], got["source", "b"]
+    assert (a.tokens, a.target) == (10, 0.5) and a.drawn == pytest.approx(10 / 1400, rel=1e-4)
+    assert a.missed == pytest.approx(0.5 - a.drawn) and b.drawn + a.drawn == pytest.approx(1)
+    assert got["lang", "x"].missed == pytest.approx(0, abs=1e-5)
+
+
+def test_values_without_a_target_are_not_drawn(spark, monkeypatch):
+    n = {("a", "x", "m"): 100, ("b", "x", "m"): 300, ("c", "x", "m"): 600}
+    rows = frame(spark, n)
+    targets = target_tables(spark, {"source": dict(a=0.5, b=0.5, c=0.0), "lang": dict(x=1.0), "topic": dict(m=1.0)})
+    for most in (100, 1):
+        monkeypatch.setattr(mixing, "MOST_CELLS", most)
+        got = {r.source: r.probability for r in mixing.probabilities(rows, targets).collect()}
+        assert got == pytest.approx(dict(a=1.0, b=1.0, c=0.0))  # 400 usable tokens are less than the budget
+
+
+def test_fill_is_the_largest_common_factor():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        n = rng.integers(1, 50, 12).astype(float)
+        mass, code = n * rng.random(12) + 1e-9, rng.integers(0, 3, 12)
+        has = np.bincount(code, weights=n, minlength=3)
+        need = has * rng.random(3)
+        got = mixing.fill(n, mass, need, code)
+        assert np.all(got <= n) and np.allclose(np.bincount(code, weights=got, minlength=3), need)
+        for g in range(3):  # one factor for all that are not whole, and the whole ones would exceed it
+            own = code == g
+            f = got[own & (got < n)] / mass[own & (got < n)]
+            if len(f):
+                assert np.allclose(f, f[0]) and np.all(f[0] * mass[own & (got >= n)] >= n[own & (got >= n)] * (1 - 1e-9))
 
 
 def test_drawn_marginals_of_the_documents(spark):
+    """Sources and languages have enough tokens of each value and meet their tempered shares; topics do
+    not, and every scarce topic is drawn (nearly) whole."""
     rows = queries.op9_source_mixing(spark, SF01).collect()
-    for d in ("source", "lang", "topic"):
-        tokens = Counter()
-        for r in rows:
-            tokens[r[d]] += r.n_tokens
-        whole = sum(v ** mixing.POWER for v in tokens.values())
-        assert drawn_shares(rows, d) == pytest.approx({k: v ** mixing.POWER / whole for k, v in tokens.items()}, rel=1e-4)
+    assert drawn_share(rows) == pytest.approx(0.7, rel=1e-6)
+    tokens = {d: Counter() for d in ("source", "lang", "topic")}
+    for r in rows:
+        for d in tokens:
+            tokens[d][r[d]] += r.n_tokens
+    whole = sum(tokens["lang"].values())
+    for d in ("source", "lang"):
+        t = {k: v ** mixing.POWER for k, v in tokens[d].items()}
+        assert drawn_shares(rows, d) == pytest.approx({k: v / sum(t.values()) for k, v in t.items()}, rel=1e-4)
+    for value, share in drawn_shares(rows, "topic").items():
+        if value != "prose":
+            assert share * 0.7 * whole == pytest.approx(tokens["topic"][value], rel=1e-3)
 
 
-def test_contradicting_targets_give_a_draw(spark):
-    rows = spark.createDataFrame([("a", "x", "m", 10), ("b", "x", "m", 20), ("c", "y", "m", 300)],
-                                 "source string, lang string, topic string, n_tokens long")
-    got = mixing.probabilities(rows).collect()  # sources a and b against language x
-    assert len(got) == 3 and all(0 < r.probability <= 1 for r in got)
+def test_contradicting_targets_keep_the_budget(spark):
+    rows = frame(spark, {("a", "x", "m"): 10, ("b", "x", "m"): 20, ("c", "y", "m"): 300})
+    got = mixing.with_probability(rows, mixing.probabilities(rows)).collect()  # sources a and b against language x
+    assert len(got) == 3 and all(0 < r.probability <= 1 for r in got) and drawn_share(got) == pytest.approx(0.7)
 
 
 def test_mixing_edges(spark, edge, edge_rows, nothing):
@@ -232,30 +303,17 @@ def test_pipeline_matches_brute_force(spark):
         topic = next((n for n, p in mixing.TOPICS if re.search(p, t.lower())), "prose")
         keys[r.doc_id] = (r.source or "(none)", r.lang or "(none)", topic)
         cells[keys[r.doc_id]] += len(brute.words(t)) + 1
-    mass, total = {k: float(v) for k, v in cells.items()}, sum(cells.values())
-    target = []
-    for d in range(3):
-        sums = defaultdict(float)
-        for k, v in cells.items():
-            sums[k[d]] += v
-        whole = sum(v ** mixing.POWER for v in sums.values())
-        target.append({k: v ** mixing.POWER / whole for k, v in sums.items()})
-    for _ in range(mixing.SWEEPS):
-        for d in range(3):
-            sums = defaultdict(float)
-            for k, v in mass.items():
-                sums[k[d]] += v
-            mass = {k: v * target[d][k[d]] / sums[k[d]] for k, v in mass.items()}
+    chance = brute.mixed(cells, mixing.BUDGET, mixing.POWER, mixing.SWEEPS)
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = Counter()
     for r in rows:
         k = keys[r.doc_id]
         u = int(hashlib.md5(f"{r.doc_id}:mix".encode()).hexdigest()[:13], 16) / 16**13
-        if u < min(1.0, mixing.BUDGET * total * mass[k] / cells[k]):
+        if u < chance[k]:
             ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
             want[r.doc_id, len(ids), brute.sha(array("I", ids).tobytes()), brute.sha(library.decode(ids, skip_special_tokens=False))] += 1
     got = Counter(map(tuple, corpus_pipeline.run(spark, SF001).collect()))
-    assert got == want and len(want) > 30
+    assert got == want and len(want) > 60
     assert [n for n, _ in corpus_pipeline.STAGES][-1] == "bpe_encoding"
 
 
