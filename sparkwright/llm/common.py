@@ -73,11 +73,13 @@ class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a list of texts: byte ranges, owners and 64-bit hashes.
 
     ``start``/``end`` index ``data`` (UTF-8 of all texts, one line feed between them);
-    ``first[i]:first[i + 1]`` are the words of text i.
+    ``first[i]:first[i + 1]`` are the words of text i. With ``lower``, A-Z are read as a-z.
     """
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], lower: bool = False):
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        if lower:
+            raw = [r.lower() for r in raw]  # of bytes: ASCII only
         self.data = b"\n".join(raw) + b"\n" + b"\0" * 8
         sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) + 1
         del raw

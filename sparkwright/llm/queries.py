@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.llm import mixing, quality_rules
+from sparkwright.llm import centroids, filter_audit, mixing, quality_rules
 from sparkwright.llm.common import read_documents
 
 
@@ -85,6 +85,17 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("probability", 9).alias("probability"), "selected")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from every source, at every step of all 120 orders."""
+    docs = read_documents(spark, sf_dir)
+    return filter_audit.audit(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, exact distance and inertia of every embedding after five rounds with 40 centroids."""
+    return centroids.cluster(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
 JOBS = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -96,6 +107,8 @@ JOBS = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_source_mixing": op9_source_mixing,
     "op10_byte_shards": op10_byte_shards,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": """
@@ -115,4 +128,6 @@ SELECT doc_id, len(words)::bigint AS n_words, coalesce(g.n, 0)::bigint AS n_remo
 FROM w LEFT JOIN g ON w.rid = g.rid LEFT JOIN k ON w.rid = k.rid""",
     "op7_quality_rules": quality_rules.oracle_sql(),
     "op9_source_mixing": mixing.oracle_sql(),
+    "op11_filter_audit": filter_audit.oracle_sql(),
+    "op13_centroid_clustering": centroids.oracle_sql(),
 }
