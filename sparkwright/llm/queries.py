@@ -91,6 +91,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of 5-word shingles and its class under similarity 0.8."""
+    from sparkwright.llm.jaccard import near_duplicates
+    return near_duplicates(read_documents(spark, sf_dir), 5, 80).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster, exact distance and inertia of every embedding after five rounds with 40 centroids."""
     return centroids.cluster(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
@@ -108,6 +114,7 @@ JOBS = {
     "op9_source_mixing": op9_source_mixing,
     "op10_byte_shards": op10_byte_shards,
     "op11_filter_audit": op11_filter_audit,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 ORACLE: dict[str, str] = {
