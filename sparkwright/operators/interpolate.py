@@ -1,10 +1,7 @@
 """Interpolation of series at new x.
 
-Linear interpolation works in range pieces, so a series of any length is
-split over tasks. The cubic spline solves one linear system per series in a
-grouped task, so its series must be of bounded length (a daily series is
-bounded by its number of days, not by the data volume: build knots with an
-aggregate first).
+Both work in range pieces of (series, x), so a series of any length is split over tasks:
+linear interpolation by windows, the cubic spline by a partitioned tridiagonal solver.
 """
 
 from __future__ import annotations
@@ -13,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkwright.session import ensure_checkpoint_dir
+
 
 def regular_grid(knots: DataFrame, series: str, x: str, step: float) -> DataFrame:
     """Query points min(x), min(x)+step, ... <= max(x) per series."""
@@ -85,14 +84,6 @@ def _tridiagonal(low, mid, up, rhs):
     return rhs / mid
 
 
-def _clean_knots(xk, yk):
-    """Knots in order of x, without nulls; knots of one x become one with their mean y."""
-    import numpy as np
-    ok = ~(np.isnan(xk) | np.isnan(yk))
-    x, of = np.unique(xk[ok], return_inverse=True)
-    return x, np.bincount(of, weights=yk[ok], minlength=len(x)) / np.maximum(1, np.bincount(of, minlength=len(x)))
-
-
 def _spline_eval(xk, yk, xq):
     """Not-a-knot cubic spline through (xk, yk) evaluated at xq (numpy).
 
@@ -125,41 +116,219 @@ def _spline_eval(xk, yk, xq):
     m[1:-1] = _tridiagonal(low, mid, up, rhs)
     m[0] = ((h[0] + h[1]) * m[1] - h[0] * m[2]) / h[1]
     m[-1] = ((h[-2] + h[-1]) * m[-2] - h[-1] * m[-3]) / h[-2]
-    xi = xq[inside]
-    j = np.clip(np.searchsorted(xk, xi, side="right") - 1, 0, n - 2)
-    hj = h[j]
-    t1, t0 = xk[j + 1] - xi, xi - xk[j]
-    out[inside] = (m[j] * t1 ** 3 / (6 * hj) + m[j + 1] * t0 ** 3 / (6 * hj)
-                   + (yk[j] / hj - m[j] * hj / 6) * t1 + (yk[j + 1] / hj - m[j + 1] * hj / 6) * t0)
+    out[inside] = _cubic(xk, yk, m, xq[inside])
+    return out
+
+
+def _interior(xk, yk):
+    """Second derivatives of a piece's knots 3 .. n - 4 as p + q M[2] + r M[n - 3]: their first and last row."""
+    import numpy as np
+    h, slope = np.diff(xk), np.diff(yk) / np.diff(xk)
+    low, up, mid, rhs = h[2:-3].copy(), h[3:-2].copy(), 2 * (h[2:-3] + h[3:-2]), 6 * np.diff(slope[2:-2])
+    left, right = np.zeros_like(mid), np.zeros_like(mid)
+    left[0], right[-1] = -low[0], -up[-1]
+    low[0] = up[-1] = 0.0
+    return tuple(_tridiagonal(low, mid, up, v) for v in (rhs, left, right))
+
+
+def _cubic(xk, yk, m, xq):
+    """Value at xq (inside the knots) of the cubic pieces with second derivatives m at the knots."""
+    import numpy as np
+    j = np.clip(np.searchsorted(xk, xq, side="right") - 1, 0, len(xk) - 2)
+    h, t1, t0 = xk[j + 1] - xk[j], xk[j + 1] - xq, xq - xk[j]
+    return (m[j] * t1 ** 3 / (6 * h) + m[j + 1] * t0 ** 3 / (6 * h)
+            + (yk[j] / h - m[j] * h / 6) * t1 + (yk[j + 1] / h - m[j + 1] * h / 6) * t0)
+
+
+def _runs(pdf):
+    """(first row, row after the last) of every run of equal series; nulls are one series."""
+    import numpy as np
+    s = pdf["s"]
+    new = ~((s == s.shift()) | (s.isna() & s.shift().isna())).to_numpy(dtype=bool)
+    new[:1] = True
+    cut = np.r_[np.flatnonzero(new), len(s)]
+    return list(zip(cut[:-1].tolist(), cut[1:].tolist()))
+
+
+def _partition(batches):
+    """(rows, runs) of one sorted partition."""
+    import pandas as pd
+    held = [b for b in batches if len(b)]
+    pdf = pd.concat(held, ignore_index=True) if held else None
+    return (pdf, _runs(pdf)) if held else (None, [])
+
+
+def _knots_of(pdf, a, b):
+    part = pdf.iloc[a:b]
+    part = part[part["q"].to_numpy() == 0]
+    return part["x"].to_numpy(dtype="float64"), part["y"].to_numpy(dtype="float64")
+
+
+_EDGE = 4  # knots at each end of a run that the border system sees; the outer three are its unknowns
+
+
+def _ends(batches):
+    """The first and the last run of a partition (the only ones that may go on in another): knots, end knots, and what
+    the elimination of their inner knots leaves."""
+    import pandas as pd
+    pdf, runs = _partition(batches)
+    rows = []
+    for place, (a, b) in ([(0, runs[0])] + [(1, runs[-1])] * (len(runs) > 1) if runs else []):
+        x, y = _knots_of(pdf, a, b)
+        n, inner = len(x), []
+        if n > 6:
+            inner = [float(v[k]) for k in (0, -1) for v in _interior(x, y)]
+        few = n <= 2 * _EDGE
+        rows.append((int(pdf["pid"].iloc[a]), place, len(runs) == 1, pdf["s"].iloc[a], n,
+                     (x if few else x[:_EDGE]).tolist(), (y if few else y[:_EDGE]).tolist(),
+                     [] if few else x[-_EDGE:].tolist(), [] if few else y[-_EDGE:].tolist(), inner))
+    yield pd.DataFrame(rows, columns=["pid", "place", "only", "s", "n", "hx", "hy", "tx", "ty", "inner"])
+
+
+class _Border:
+    """The border system of a series that lies in several partitions.
+
+    Unknowns are the second derivatives of all knots of a run of up to six knots, else of its outer three at
+    both ends; the inner ones were eliminated by their task. What is left is tridiagonal, with a few rows per run.
+    """
+
+    def __init__(self, runs):
+        import numpy as np
+        self.runs, self.of, x, y = runs, [], [], []
+        gaps = {}  # unknown -> (run's inner coefficients, x and y beside the gap): the next unknown is behind a gap
+        for r in runs:
+            rx, ry = [*r["hx"], *r["tx"]], [*r["hy"], *r["ty"]]
+            at = len(x)
+            if r["n"] > 6:
+                gaps[at + 2] = (r["inner"], (rx[3], ry[3]), (rx[-4], ry[-4]))
+                rx, ry = rx[:3] + rx[-3:], ry[:3] + ry[-3:]
+            x += rx
+            y += ry
+            self.of.append((at, len(x)))
+        self.x, self.y = np.array(x), np.array(y)
+        self.m = self._solve(gaps) if len(x) >= 4 else None
+
+    def _solve(self, gaps):
+        import numpy as np
+        x, y, n = self.x, self.y, len(self.x)
+        h, slope = np.diff(x), np.diff(y) / np.diff(x)
+        low, up, mid, rhs = h[:-1].copy(), h[1:].copy(), 2 * (h[:-1] + h[1:]), 6 * np.diff(slope)
+        for k, (inner, right, left) in gaps.items():  # rows k - 1 (knot k) and k (knot k + 1) of the system
+            p0, q0, r0, p1, q1, r1 = inner
+            hr, hl = right[0] - x[k], x[k + 1] - left[0]
+            sr, sl = (right[1] - y[k]) / hr, (y[k + 1] - left[1]) / hl
+            hb, ha = x[k] - x[k - 1], x[k + 2] - x[k + 1]
+            mid[k - 1], up[k - 1] = 2 * (hb + hr) + hr * q0, hr * r0
+            rhs[k - 1] = 6 * (sr - (y[k] - y[k - 1]) / hb) - hr * p0
+            mid[k], low[k] = 2 * (hl + ha) + hl * r1, hl * q1
+            rhs[k] = 6 * ((y[k + 2] - y[k + 1]) / ha - sl) - hl * p1
+        mid[0], up[0], low[0] = (h[0] + h[1]) * (2 + h[0] / h[1]), h[1] - h[0] ** 2 / h[1], 0.0
+        mid[-1], low[-1], up[-1] = (h[-2] + h[-1]) * (2 + h[-1] / h[-2]), h[-2] - h[-1] ** 2 / h[-2], 0.0
+        m = np.empty(n)
+        m[1:-1] = _tridiagonal(low, mid, up, rhs)
+        m[0] = ((h[0] + h[1]) * m[1] - h[0] * m[2]) / h[1]
+        m[-1] = ((h[-2] + h[-1]) * m[-2] - h[-1] * m[-3]) / h[-2]
+        return m
+
+    def contexts(self):
+        """(partition, place) of each run -> what the run needs: the derivatives of its unknowns and the knots beside it."""
+        for r, (a, b) in zip(self.runs, self.of):
+            if self.m is None:  # fewer than four knots in all
+                yield (r["pid"], r["place"]), ("few", self.x, self.y)
+            else:
+                beside = [(float(self.x[k]), float(self.y[k]), float(self.m[k])) if 0 <= k < len(self.x) else None for k in (a - 1, b)]
+                yield (r["pid"], r["place"]), ("run", self.m[a:b], beside)
+
+
+def _borders(ends):
+    """Contexts of the runs of all series that lie in several partitions; ``ends`` has at most two rows
+    per partition."""
+    import pandas as pd
+    out, chain = {}, []
+    for r in [*sorted((e.asDict() for e in ends), key=lambda r: (r["pid"], r["place"])), None]:
+        same = bool(chain) and r is not None and r["place"] == 0 and (
+            r["s"] == chain[-1]["s"] or (pd.isna(r["s"]) and pd.isna(chain[-1]["s"])))
+        if not same:
+            if len(chain) > 1:
+                out.update(_Border(chain).contexts())
+            chain = []
+        if r is not None:
+            chain.append(r)
     return out
 
 
-def interpolate_cubic(knots: DataFrame, queries: DataFrame, series: str, x: str, y: str) -> DataFrame:
-    """Cubic-spline value at every query x.
+def _run_values(xk, yk, context, xq):
+    import numpy as np
+    if context is None:
+        return _spline_eval(xk, yk, xq)
+    if context[0] == "few":
+        return _spline_eval(context[1], context[2], xq)
+    known, beside, n = context[1], context[2], len(xk)
+    m = np.array(known)
+    if n > 6:
+        m = np.empty(n)
+        m[:3], m[-3:] = known[:3], known[-3:]
+        p, q, r = _interior(xk, yk)
+        m[3:-3] = p + q * m[2] + r * m[-3]
+    for at, k in ((0, beside[0]), (1, beside[1])):
+        if k is not None:
+            xk, yk, m = (np.r_[v, e] if at else np.r_[e, v] for v, e in zip((xk, yk, m), k))
+    out = np.full(len(xq), np.nan)
+    inside = (xq >= xk[0]) & (xq <= xk[-1])
+    if len(xk) > 1:
+        out[inside] = _cubic(xk, yk, m, xq[inside])
+    return out
+
 
-    One series is solved in one task, in linear memory: series must be of
-    bounded length (a daily series has as many knots as days, whatever the
-    data volume). Knots with a null x or y are left out, knots of one x count
-    as one with their mean y. A query is null outside the knots' range, for a
-    series without knots and at a null x.
+def interpolate_cubic(knots: DataFrame, queries: DataFrame, series: str, x: str, y: str,
+                      partitions: int | None = None) -> DataFrame:
+    """Not-a-knot cubic-spline value at every query x, for series of any length.
+
+    Knots and queries are range-partitioned on (series, x), in a reliable checkpoint, so a long series lies in several
+    partitions, and only the first and the last series of a partition can. Three passes over the partitions, without a shuffle:
+
+    1. Each task eliminates the inner knots of its first and last series: their second derivatives depend on those of
+       two border knots only. At most two short rows per partition go to the driver.
+    2. There the rows of one series form a small tridiagonal border system, which is solved.
+    3. Each task substitutes the border values back, solves what is left of its own knots, and evaluates its queries.
+
+    Knots with a null x or y (or NaN) are left out, knots of one x count as one with their mean y. Four knots and more
+    give the spline, three the parabola, two the line, one the constant. A query is null outside the knots' range,
+    for a series without knots and at a null x. A null series is a series of its own.
     """
     st = knots.schema[series].dataType
-    k = knots.select(F.col(series).alias("s"), F.col(x).cast("double").alias("x"),
-                     F.col(y).cast("double").alias("y"), F.lit(0).alias("q"))
-    q = queries.select(F.col(series).alias("s"), F.col(x).cast("double").alias("x"),
-                       F.lit(None).cast("double").alias("y"), F.lit(1).alias("q"))
-    schema = T.StructType([T.StructField("s", st), T.StructField("x", T.DoubleType()),
-                           T.StructField("y", T.DoubleType())])
-
-    def solve(pdf):
+    spark = knots.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
+    k = knots.select(F.col(series).alias("s"), xd.alias("x"), yd.alias("y")).where(
+        "x is not null and y is not null and not isnan(x) and not isnan(y)").groupBy("s", "x").agg(F.avg("y").alias("y"))
+    q = queries.select(F.col(series).cast(st).alias("s"), xd.alias("x"))
+    known = F.col("x").isNotNull() & ~F.isnan("x")
+    laid = (k.withColumn("q", F.lit(0)).unionByName(q.where(known).withColumn("y", F.lit(None).cast("double")).withColumn("q", F.lit(1)))
+            .repartitionByRange(n, "s", "x", "q").sortWithinPartitions("s", "x", "q")
+            .withColumn("pid", F.spark_partition_id()).checkpoint())
+    doubles = T.ArrayType(T.DoubleType())
+    ends = laid.mapInPandas(_ends, T.StructType([
+        T.StructField("pid", T.IntegerType()), T.StructField("place", T.IntegerType()), T.StructField("only", T.BooleanType()),
+        T.StructField("s", st), T.StructField("n", T.LongType()), *[T.StructField(c, doubles) for c in ("hx", "hy", "tx", "ty", "inner")]]))
+    contexts = _borders(ends.collect())  # at most two rows per partition
+
+    def evaluate(batches):
         import numpy as np
         import pandas as pd
-        kn = pdf[pdf["q"] == 0]
-        qs = pdf[pdf["q"] == 1]
-        xk, yk = _clean_knots(kn["x"].to_numpy(dtype="float64"), kn["y"].to_numpy(dtype="float64"))
-        yv = _spline_eval(xk, yk, qs["x"].to_numpy(dtype="float64"))
-        return pd.DataFrame({"s": qs["s"].to_numpy(), "x": qs["x"].to_numpy(),
-                             "y": np.where(np.isnan(yv), None, yv).astype("float64")})
-
-    out = k.unionByName(q).groupBy("s").applyInPandas(solve, schema)
+        pdf, runs = _partition(batches)
+        for at, (a, b) in enumerate(runs):
+            place = 0 if at == 0 else 1 if at == len(runs) - 1 else None
+            part = pdf.iloc[a:b]
+            asked = part["q"].to_numpy() == 1
+            if not asked.any():
+                continue
+            xq = part["x"].to_numpy(dtype="float64")[asked]
+            yv = _run_values(*_knots_of(pdf, a, b), contexts.get((int(pdf["pid"].iloc[a]), place)), xq)
+            yield pd.DataFrame({"s": part["s"].to_numpy()[asked], "x": xq, "y": np.where(np.isnan(yv), None, yv).astype("float64")})
+
+    schema = T.StructType([T.StructField("s", st), T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+    out = laid.mapInPandas(evaluate, schema).withColumn("y", F.when(~F.isnan("y"), F.col("y"))).unionByName(
+        q.where(~known | F.col("x").isNull()).withColumn("y", F.lit(None).cast("double")))
     return out.select(F.col("s").alias(series), F.col("x").alias(x), F.col("y").alias(y))

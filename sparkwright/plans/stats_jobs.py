@@ -233,4 +233,37 @@ ORACLE = {
             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS y1 FROM u)
         SELECT user_id, x, CASE WHEN x0 = x THEN y0 ELSE y0 + (y1 - y0) * (x - x0) / (x1 - x0) END AS y
         FROM w WHERE isq = 1""",
+    # tridiagonal system per user by recursion over the knots, down and up; under four knots the polynomial
+    "interpolate_cubic": f"""WITH RECURSIVE {_KNOTS},
+        o AS MATERIALIZED (SELECT user_id, x, y, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n,
+          x - lag(x) OVER w AS a, lead(x) OVER w - x AS b, (y - lag(y) OVER w) / (x - lag(x) OVER w) AS sa,
+          (lead(y) OVER w - y) / (lead(x) OVER w - x) AS sb FROM k WINDOW w AS (PARTITION BY user_id ORDER BY x)),
+        e AS MATERIALIZED (SELECT user_id, i, n, CASE i WHEN 1 THEN 0 WHEN n - 2 THEN a - b * b / a ELSE a END AS low,
+          CASE i WHEN 1 THEN (a + b) * (2 + a / b) WHEN n - 2 THEN (a + b) * (2 + b / a) ELSE 2 * (a + b) END AS mid,
+          CASE i WHEN n - 2 THEN 0 WHEN 1 THEN b - a * a / b ELSE b END AS up, 6 * (sb - sa) AS rhs
+          FROM o WHERE n >= 4 AND i BETWEEN 1 AND n - 2),
+        down AS (SELECT user_id, i, n, up / mid AS c, rhs / mid AS d FROM e WHERE i = 1
+          UNION ALL SELECT e.user_id, e.i, e.n, e.up / (e.mid - e.low * p.c), (e.rhs - e.low * p.d) / (e.mid - e.low * p.c)
+          FROM down p JOIN e ON e.user_id = p.user_id AND e.i = p.i + 1),
+        kept AS MATERIALIZED (SELECT * FROM down),
+        upward AS (SELECT user_id, i, d AS m FROM kept WHERE i = n - 2
+          UNION ALL SELECT t.user_id, t.i, t.d - t.c * p.m FROM upward p JOIN kept t ON t.user_id = p.user_id AND t.i = p.i - 1),
+        inner_m AS MATERIALIZED (SELECT * FROM upward),
+        m AS MATERIALIZED (SELECT o.user_id, o.i, o.n, o.x, o.y, CASE WHEN o.i = 0 THEN
+            ((o.b + f.b) * f1.m - o.b * f2.m) / f.b WHEN o.i = o.n - 1 THEN ((g.a + o.a) * g1.m - o.a * g2.m) / g.a ELSE own.m END AS m
+          FROM o LEFT JOIN inner_m own ON own.user_id = o.user_id AND own.i = o.i
+          LEFT JOIN o f ON f.user_id = o.user_id AND f.i = 1
+          LEFT JOIN inner_m f1 ON f1.user_id = o.user_id AND f1.i = 1 LEFT JOIN inner_m f2 ON f2.user_id = o.user_id AND f2.i = 2
+          LEFT JOIN o g ON g.user_id = o.user_id AND g.i = o.n - 2
+          LEFT JOIN inner_m g1 ON g1.user_id = o.user_id AND g1.i = o.n - 2
+          LEFT JOIN inner_m g2 ON g2.user_id = o.user_id AND g2.i = o.n - 3),
+        pos AS (SELECT q.user_id, q.x, least(p.i, p.n - 2) AS i, p.n FROM q ASOF JOIN m p ON p.user_id = q.user_id AND q.x >= p.x),
+        few AS (SELECT user_id, x, sum(w) AS v FROM (SELECT pos.user_id, pos.x, p.i, any_value(p.y)
+            * coalesce(product((pos.x - r.x) / (p.x - r.x)), 1) AS w
+          FROM pos JOIN m p ON p.user_id = pos.user_id AND pos.n < 4 LEFT JOIN m r ON r.user_id = pos.user_id AND r.i <> p.i GROUP BY 1, 2, 3)
+          GROUP BY 1, 2)
+        SELECT pos.user_id, pos.x, round(coalesce(few.v, l.m * pow(r.x - pos.x, 3) / (6 * (r.x - l.x)) + r.m * pow(pos.x - l.x, 3) / (6 * (r.x - l.x))
+          + (l.y / (r.x - l.x) - l.m * (r.x - l.x) / 6) * (r.x - pos.x) + (r.y / (r.x - l.x) - r.m * (r.x - l.x) / 6) * (pos.x - l.x)), 6) AS y
+        FROM pos LEFT JOIN few ON few.user_id = pos.user_id AND few.x = pos.x LEFT JOIN m l ON l.user_id = pos.user_id AND l.i = pos.i
+          LEFT JOIN m r ON r.user_id = pos.user_id AND r.i = pos.i + 1""",
 }

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sparkwright.operators import interpolate, quantiles as Q, stats
@@ -90,6 +91,46 @@ def test_spline_edges(spark):
                    (None, 0.25): 0.25}
 
 
+def _cubic_values(spark, knots, queries, partitions):
+    k = spark.createDataFrame(knots, "s string, x double, y double").repartition(3)
+    q = spark.createDataFrame(queries, "s string, x double").repartition(2)
+    return {(r["s"], r["x"]): r["y"] for r in interpolate.interpolate_cubic(k, q, "s", "x", "y", partitions).collect()}
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 5, 16, 64])
+def test_spline_over_partitions_equals_one_solve(spark, partitions):
+    """Series over many partitions, with runs of one, two, ... knots, of queries alone, and of few knots in all."""
+    gen = np.random.default_rng(7)
+    knots, queries, want = [], [], {}
+    for s, n in (("a", 90), ("b", 4), ("c", 3), ("d", 2), ("e", 1), ("f", 25), ("g", 7), (None, 40)):
+        xk = np.cumsum(gen.uniform(0.1, 3, n))
+        yk = gen.normal(size=n)
+        xq = np.r_[xk[:5], gen.uniform(xk[0] - 1, xk[-1] + 1, 60), np.full(3, xk[n // 2])]
+        knots += [(s, float(a), float(b)) for a, b in zip(xk, yk)]
+        queries += [(s, float(v)) for v in xq]
+        want |= {(s, float(v)): y for v, y in zip(xq, interpolate._spline_eval(xk, yk, xq))}
+    got = _cubic_values(spark, knots, queries, partitions)
+    assert got.keys() == want.keys()
+    for key, y in want.items():
+        assert (got[key] is None) == np.isnan(y) and (got[key] is None or abs(got[key] - y) < 1e-9 * max(1, abs(y))), key
+
+
+def test_spline_of_a_long_series_over_tasks(spark):
+    """A million knots of one series in 16 partitions against one solve; no partition holds them all."""
+    from pyspark.sql import functions as F
+    n = 1_000_000
+    x = F.col("id") + F.pmod(F.col("id") * 7, F.lit(5)) / 10.0
+    y = F.sin(F.col("id") / 50.0) + F.pmod(F.col("id") * 31, F.lit(17)) / 9.0
+    k = spark.range(n).select(F.lit(1).alias("s"), x.alias("x"), y.alias("y"))
+    q = spark.range(0, n - 1, 997).select(F.lit(1).alias("s"), (F.col("id") + 0.7).alias("x"))
+    got = {r["x"]: r["y"] for r in interpolate.interpolate_cubic(k, q, "s", "x", "y", 16).collect()}
+    ids = np.arange(n)
+    xk, yk = ids + (ids * 7 % 5) / 10.0, np.sin(ids / 50.0) + (ids * 31 % 17) / 9.0
+    xq = np.array(sorted(got))
+    want = interpolate._spline_eval(xk, yk, xq)
+    assert len(got) == len(range(0, n - 1, 997)) and np.max(np.abs(np.array([got[v] for v in xq]) - want)) < 1e-9
+
+
 def test_linear_interpolation_on_knot_and_between(spark):
     k = spark.createDataFrame([(1, 0.0, 0.0), (1, 2.0, 4.0), (1, 3.0, 1.0)], "s int, x double, y double")
     q = spark.createDataFrame([(1, 0.0), (1, 1.0), (1, 2.0), (1, 2.5), (1, 5.0)], "s int, x double")
