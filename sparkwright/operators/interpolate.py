@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkwright.session import ensure_checkpoint_dir
+from sparkwright.session import checkpointed
 
 
 def regular_grid(knots: DataFrame, series: str, x: str, step: float) -> DataFrame:
@@ -298,16 +298,15 @@ def interpolate_cubic(knots: DataFrame, queries: DataFrame, series: str, x: str,
     """
     st = knots.schema[series].dataType
     spark = knots.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
     k = knots.select(F.col(series).alias("s"), xd.alias("x"), yd.alias("y")).where(
         "x is not null and y is not null and not isnan(x) and not isnan(y)").groupBy("s", "x").agg(F.avg("y").alias("y"))
     q = queries.select(F.col(series).cast(st).alias("s"), xd.alias("x"))
     known = F.col("x").isNotNull() & ~F.isnan("x")
-    laid = (k.withColumn("q", F.lit(0)).unionByName(q.where(known).withColumn("y", F.lit(None).cast("double")).withColumn("q", F.lit(1)))
-            .repartitionByRange(n, "s", "x", "q").sortWithinPartitions("s", "x", "q")
-            .withColumn("pid", F.spark_partition_id()).checkpoint())
+    laid = checkpointed(
+        k.withColumn("q", F.lit(0)).unionByName(q.where(known).withColumn("y", F.lit(None).cast("double")).withColumn("q", F.lit(1)))
+        .repartitionByRange(n, "s", "x", "q").sortWithinPartitions("s", "x", "q").withColumn("pid", F.spark_partition_id()))
     doubles = T.ArrayType(T.DoubleType())
     ends = laid.mapInPandas(_ends, T.StructType([
         T.StructField("pid", T.IntegerType()), T.StructField("place", T.IntegerType()), T.StructField("only", T.BooleanType()),

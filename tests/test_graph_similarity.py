@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkwright.operators import graph, similarity
@@ -23,6 +24,81 @@ def test_bfs_distance_differs_by_at_most_one_along_edges(spark):
     assert j.filter(F.abs(F.col("ds") - F.col("dd")) > 1).count() == 0
 
 
+def _brute_bfs(edges, start, rounds):
+    near = defaultdict(set)
+    for a, b in edges:
+        near[a].add(b)
+    seen, front = {start: 0}, {start}
+    for d in range(1, rounds + 1):
+        front = {b for a in front for b in near[a]} - set(seen)
+        seen |= dict.fromkeys(front, d)
+    return seen
+
+
+def test_bfs_directed_with_hubs_loops_and_repeats(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HUB", 7)  # most nodes lie in several buckets
+    rnd = random.Random(5)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(500)] + [(0, k) for k in range(1, 120)] + [(4, 4), (0, 1)]
+    df = spark.createDataFrame(edges + [(None, 3), (3, None)], "src long, dst long")
+    for start, rounds in ((0, 10), (17, 3), (999, 4), (5, 0)):
+        got = {r["id"]: r["distance"] for r in graph.bfs(df, start, rounds).collect()}
+        assert got == _brute_bfs(edges, start, rounds)
+    to_target = {r["id"]: r["distance"] for r in graph.bfs(df, 0, 10, target=0).collect()}
+    assert to_target == {0: 0}
+
+
+def _scans(node, table, exchanged=False):
+    """For every scan of ``table`` in a plan, whether it is exchanged on the way to its join."""
+    name = node.nodeName()
+    exchanged = "Join" not in name and (exchanged or name.startswith(("Exchange", "BroadcastExchange")))
+    below = [x for k in range(node.children().size()) for x in _scans(node.children().apply(k), table, exchanged)]
+    return below + [exchanged] * (node.children().isEmpty() and table in node.toString())
+
+
+def test_bfs_rounds_exchange_neither_edges_nor_visited(spark):
+    df = spark.range(5000).select((F.col("id") % 700).alias("src"), F.col("id").alias("dst"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    tables = graph.SearchTables(df, 1)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        tables.advance(0)
+        plan = tables.neighbours(1)._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+        assert text.count("Scan parquet") >= 4 and tables.names["edges"] in text
+        # edges and visited nodes (as the frontier, looked up among the hubs, and as what is left out) are joined where they lie
+        assert _scans(plan, tables.names["edges"]) == [False]
+        assert _scans(plan, tables.names["visited"]) == [False, False]
+        assert text.count("SortMergeJoin") == 3
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        tables.close()
+
+
+def test_copies_go_with_their_last_holder(spark):
+    import os
+
+    from sparkwright import session
+    folder = session.ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with session.copies.scope(spark):
+        n = graph.bfs(graph_jobs.order_graph(spark, SF01), 1, 3).count()
+        assert n > 1 and set(os.listdir(folder)) - before
+    assert set(os.listdir(folder)) == before
+    with pytest.raises(ZeroDivisionError), session.copies.scope(spark):  # also on failure
+        session.write_shared(spark.range(3), "x")
+        1 / 0
+    assert set(os.listdir(folder)) == before
+    with session.copies.scope(spark):  # a second reader keeps it
+        df = session.write_shared(spark.range(3), "x")
+        path, = session.copies.blocks[-1]
+        session.copies.hold(path)
+    assert df.count() == 3
+    session.copies.release(spark, path)
+    assert set(os.listdir(folder)) == before
+
+
 def test_parse_adjacency_multiline_and_bad_lines(spark):
     lines = spark.createDataFrame([("1 2 3",), ("2 1",), ("1 4",), ("x y",), ("5",)], "value string")
     e = sorted(tuple(r) for r in graph.parse_adjacency(lines).collect())
