@@ -15,6 +15,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.session import copies, write_shared
+
 HASH_BITS = 52
 _RADIX = 12       # bits settled by one counting pass of ``sample_exact``
 _FEW = 10_000     # rows of the last bucket that are ordered on the driver
@@ -32,12 +34,9 @@ def _unit_hash(key: str, seed: int):
 
 @contextmanager
 def cached(df: DataFrame):
-    """Persist a frame that a fit iterates over, and release it when the fit is done."""
-    df = df.persist()
-    try:
-        yield df
-    finally:
-        df.unpersist()
+    """A copy in the shared folder of a frame that a fit iterates over; it goes when the fit is done, also on failure."""
+    with copies.scope(df.sparkSession):
+        yield write_shared(df, "train")
 
 
 def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), seed: int = 42) -> list[DataFrame]:

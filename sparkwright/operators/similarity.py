@@ -17,6 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.session import write_shared
+
+#: Ratings of a user beyond which the pairs of the user's items are formed in a grid of tasks.
+GRID = 2_000
+
 
 def cosine_pairs(ratings: DataFrame, user: str, item: str, rating: str,
                  min_score: float | None = None, min_strength: int | None = None) -> DataFrame:
@@ -43,6 +48,95 @@ def cosine_pairs(ratings: DataFrame, user: str, item: str, rating: str,
     return out
 
 
+class PrunedPairs:
+    """Item pairs with strength > ``min_strength`` (and score above a bound), found without forming all pairs.
+
+    A pair needs more than m = ``min_strength`` common users, so
+
+    * items with at most m ratings take no part (:attr:`left`);
+    * of any m users, at least one common user is not among them. The m users with most ratings, which would form the
+      most pairs, form none: pairs come from the other users only (:attr:`formed`);
+    * a pair whose common users there and the number of the m users that rated both at most do not exceed m
+      together is dropped before its sums are completed (:attr:`open`).
+
+    The sums over the m users are added to the remaining pairs from one map per item of at most m
+    entries. A user with more than ``GRID`` ratings is dealt as a grid: the items in parts, every pair of parts a key of its
+    own, so no task forms all pairs of a user.
+    """
+
+    def __init__(self, ratings: DataFrame, user: str, item: str, rating: str, min_strength: int):
+        self.m = m = min_strength
+        r = write_shared(ratings.select(F.col(user).alias("_u"), F.col(item).alias("_i"),
+                                        F.col(rating).cast("double").alias("_x")).dropna(), "ratings")
+        enough = r.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > m).select("_i")
+        self.all, self.left = r, write_shared(r.join(enough, "_i", "left_semi"), "enough")
+        degree = self.left.groupBy("_u").agg(F.count(F.lit(1)).alias("_d"))
+        heavy = degree.orderBy(F.col("_d").desc(), "_u").limit(m)
+        self.degree = write_shared(degree.join(heavy.select("_u", F.lit(True).alias("_heavy")), "_u", "left")
+                                   .withColumn("_heavy", F.coalesce("_heavy", F.lit(False))), "degrees")
+        both = self.left.join(self.degree, "_u")
+        self.light = both.where("not _heavy and _d > 1")
+        # at most m entries of an item
+        self.own = write_shared(both.where("_heavy").groupBy("_i").agg(
+            F.map_from_entries(F.collect_list(F.struct("_u", "_x"))).alias("_h")), "heavy-ratings")
+        self.open = write_shared(self._candidates(), "candidates")
+
+    def _cells(self) -> DataFrame:
+        """The other users' ratings with their part and the grid cells (pairs of parts) that they take part in."""
+        parts = F.ceil(F.col("_d") / GRID).cast("int")
+        part = F.pmod(F.xxhash64("_i"), parts.cast("bigint")).cast("int")
+        cells = F.transform(F.sequence(F.lit(0), parts - 1), lambda t: F.struct(
+            F.least(t, F.col("_p")).alias("a"), F.greatest(t, F.col("_p")).alias("b")))
+        return self.light.withColumn("_p", part).select("_u", "_i", "_x", "_p", F.explode(cells).alias("_c"))
+
+    def _candidates(self) -> DataFrame:
+        cells = self._cells()
+        a = cells.select("_u", "_c", F.col("_p").alias("_pa"), F.col("_i").alias("item_a"), "_x")
+        b = cells.select("_u", "_c", F.col("_p").alias("_pb"), F.col("_i").alias("item_b"), F.col("_x").alias("_y"))
+        once = (F.col("_c.a") == F.col("_c.b")) | (F.col("_pa") != F.col("_pb"))  # of a cell of two parts, pairs across
+        sums = a.join(b, ["_u", "_c"]).where((F.col("item_a") < F.col("item_b")) & once).groupBy("item_a", "item_b").agg(
+            F.sum(F.col("_x") * F.col("_y")).alias("sxy"), F.sum(F.col("_x") * F.col("_x")).alias("sxx"),
+            F.sum(F.col("_y") * F.col("_y")).alias("syy"), F.count(F.lit(1)).alias("strength"))
+        h = self.own.select(F.col("_i"), "_h")
+        sums = (sums.join(h.select(F.col("_i").alias("item_a"), F.col("_h").alias("_ha")), "item_a", "left")
+                .join(h.select(F.col("_i").alias("item_b"), F.col("_h").alias("_hb")), "item_b", "left"))
+        most = F.least(F.coalesce(F.size("_ha"), F.lit(0)), F.coalesce(F.size("_hb"), F.lit(0)))
+        return sums.where(F.col("strength") + most > self.m)
+
+    def pairs(self, min_score: float | None = None) -> DataFrame:
+        """(item_a, item_b, score, strength) of the pairs above the thresholds."""
+        common = F.filter(F.map_keys(F.coalesce("_ha", F.map_from_arrays(F.array(), F.array()))), lambda u: F.map_contains_key(F.col("_hb"), u))
+        pair = F.transform(F.when(F.col("_ha").isNull() | F.col("_hb").isNull(), F.array()).otherwise(common), lambda u: F.struct(
+            F.element_at("_ha", u).alias("x"), F.element_at("_hb", u).alias("y")))
+
+        def with_heavy(name, term):
+            return F.aggregate("_both", F.col(name), lambda acc, p: acc + term(p))
+        out = self.open.withColumn("_both", pair).select(
+            "item_a", "item_b", with_heavy("sxy", lambda p: p.x * p.y).alias("sxy"), with_heavy("sxx", lambda p: p.x * p.x).alias("sxx"),
+            with_heavy("syy", lambda p: p.y * p.y).alias("syy"), (F.col("strength") + F.size("_both")).alias("strength"))
+        den = F.sqrt("sxx") * F.sqrt("syy")
+        out = out.select("item_a", "item_b", F.when(den != 0, F.col("sxy") / den).otherwise(F.lit(0.0)).alias("score"), "strength") \
+            .where(F.col("strength") > self.m)
+        return out if min_score is None else out.where(F.col("score") > min_score)
+
+    def report(self) -> DataFrame:
+        """One row: pairs of ratings that the plain join would form, pairs that are formed, item pairs whose sums are
+        completed, and those above the strength."""
+        d = self.all.groupBy("_u").agg(F.count(F.lit(1)).alias("_d"))
+        formed = lambda t, name: t.agg(F.coalesce(F.sum(F.expr("_d * (_d - 1) div 2")), F.lit(0)).alias(name))
+        count = lambda t, name: t.agg(F.count(F.lit(1)).alias(name))
+        # four one-row frames
+        return formed(d, "pairs_of_all").crossJoin(formed(self.degree.where("not _heavy"), "pairs_formed")).crossJoin(
+            count(self.open, "pairs_open")).crossJoin(count(self.pairs(), "pairs_strong"))
+
+
+def similar_pairs(ratings: DataFrame, user: str, item: str, rating: str, min_score: float, min_strength: int) -> DataFrame:
+    """(item_a, item_b, score, strength) of every pair a < b with score > ``min_score`` and more than ``min_strength``
+    common users: the pairs of :func:`cosine_pairs`, without forming those that cannot reach the strength
+    (:class:`PrunedPairs`). ``ratings`` must hold one row per (user, item); rows with a null take no part."""
+    return PrunedPairs(ratings, user, item, rating, min_strength).pairs(min_score)
+
+
 def similar_to(ratings: DataFrame, user: str, item: str, rating: str, target,
                min_score: float, min_strength: int, k: int = 10) -> DataFrame:
     """Items most similar to ``target`` (G3): only pairs that contain the

@@ -18,8 +18,9 @@ START_NODE = 1
 TARGET_NODE = 14
 MAX_ROUNDS = 10
 SIM_TARGET = 1
-MIN_SCORE = 0.5
+MIN_SCORE = 0.8
 MIN_STRENGTH = 50
+MIN_PAIR_SCORE = 0.5
 MIN_PAIR_STRENGTH = 1
 TOP_K = 10
 
@@ -79,10 +80,24 @@ def degrees_hit(spark, root):
 def item_similarity(spark, root):
     """Cosine similarity and strength of the item pairs above the thresholds."""
     s = similarity.cosine_pairs(ratings(spark, root), "o_custkey", "l_suppkey", "rating",
-                                min_score=MIN_SCORE, min_strength=MIN_PAIR_STRENGTH)
+                                min_score=MIN_PAIR_SCORE, min_strength=MIN_PAIR_STRENGTH)
     return s.select("item_a", "item_b", scalar.round_half_away("score", 6).alias("score"), "strength")
 
 
+def similar_pairs(spark, root):
+    """Item pairs above score and strength, from a join that leaves out the users with most ratings, with names."""
+    s = similarity.similar_pairs(ratings(spark, root), "o_custkey", "l_suppkey", "rating", MIN_SCORE, MIN_STRENGTH)
+    names = table(spark, root, "supplier").select(F.col("s_suppkey").alias("item_a"), F.col("s_name").alias("name_a"))
+    s = joins.with_names(s, names, "item_a", "name_a", missing="error")
+    s = joins.with_names(s, names.toDF("item_b", "name_b"), "item_b", "name_b", missing="error")
+    return s.select("item_a", "name_a", "item_b", "name_b", scalar.round_half_away("score", 6).alias("score"), "strength")
+
+
+def similar_pairs_report(spark, root):
+    """How many pairs the plain join would form, how many are formed, completed and above the strength."""
+    return similarity.PrunedPairs(ratings(spark, root), "o_custkey", "l_suppkey", "rating", MIN_STRENGTH).report()
+
+
 def similar_to_item(spark, root):
     """Top items similar to one item, above score and strength thresholds, ranked, with names."""
     s = similarity.similar_to(ratings(spark, root), "o_custkey", "l_suppkey", "rating",
@@ -101,6 +116,8 @@ JOBS = {
     "degrees_of_separation": degrees_of_separation,
     "degrees_hit": degrees_hit,
     "item_similarity": item_similarity,
+    "similar_pairs": similar_pairs,
+    "similar_pairs_report": similar_pairs_report,
     "similar_to_item": similar_to_item,
 }
 
@@ -117,6 +134,8 @@ _RATINGS = """r AS (SELECT o_custkey AS u, l_suppkey AS i, avg(l_quantity) AS x
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
 _SCORE = ("CASE WHEN sqrt(sum(x * x)) * sqrt(sum(y * y)) <> 0 "
           "THEN sum(x * y) / (sqrt(sum(x * x)) * sqrt(sum(y * y))) ELSE 0 END")
+_PAIR_SCORE = ("CASE WHEN sqrt(sum(a.x * a.x)) * sqrt(sum(b.x * b.x)) <> 0 "
+               "THEN sum(a.x * b.x) / (sqrt(sum(a.x * a.x)) * sqrt(sum(b.x * b.x))) ELSE 0 END")
 
 ORACLE = {
     "node_degree": f"{_DEG} SELECT id, degree FROM deg",
@@ -136,12 +155,28 @@ ORACLE = {
         p AS (SELECT a.i AS item_a, b.i AS item_b, a.x AS x, b.x AS y FROM r a JOIN r b
               ON a.u = b.u AND a.i < b.i)
         SELECT item_a, item_b, round({_SCORE}, 6) AS score, count(*) AS strength
-        FROM p GROUP BY 1, 2 HAVING {_SCORE} > 0.5 AND count(*) > 1""",
+        FROM p GROUP BY 1, 2 HAVING {_SCORE} > {MIN_PAIR_SCORE} AND count(*) > {MIN_PAIR_STRENGTH}""",
+    "similar_pairs": f"""WITH {_RATINGS},
+        p AS (SELECT a.i AS item_a, b.i AS item_b, {_PAIR_SCORE} AS score, count(*) AS strength
+              FROM r a JOIN r b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2)
+        SELECT item_a, n.s_name AS name_a, item_b, o.s_name AS name_b, round(score, 6) AS score, strength
+        FROM p JOIN supplier n ON n.s_suppkey = item_a JOIN supplier o ON o.s_suppkey = item_b
+        WHERE score > {MIN_SCORE} AND strength > {MIN_STRENGTH}""",
+    "similar_pairs_report": f"""WITH {_RATINGS},
+        e AS (SELECT * FROM r WHERE i IN (SELECT i FROM r GROUP BY i HAVING count(*) > {MIN_STRENGTH})),
+        d AS (SELECT u, count(*) AS d, row_number() OVER (ORDER BY count(*) DESC, u) <= {MIN_STRENGTH} AS heavy FROM e GROUP BY u),
+        p AS (SELECT a.i AS i, b.i AS j, count(*) AS n, count(*) FILTER (NOT heavy) AS light
+              FROM e a JOIN e b ON a.u = b.u AND a.i < b.i JOIN d ON d.u = a.u GROUP BY 1, 2),
+        h AS (SELECT i, count(*) FILTER (heavy) AS h FROM e JOIN d USING (u) GROUP BY i)
+        SELECT (SELECT CAST(sum(c * (c - 1) // 2) AS BIGINT) FROM (SELECT count(*) AS c FROM r GROUP BY u)) AS pairs_of_all,
+          (SELECT CAST(coalesce(sum(d * (d - 1) // 2), 0) AS BIGINT) FROM d WHERE NOT heavy) AS pairs_formed,
+          (SELECT count(*) FROM p JOIN h a ON a.i = p.i JOIN h b ON b.i = p.j WHERE light > 0 AND light + least(a.h, b.h) > {MIN_STRENGTH}) AS pairs_open,
+          (SELECT count(*) FROM p WHERE n > {MIN_STRENGTH}) AS pairs_strong""",
     "similar_to_item": f"""WITH {_RATINGS},
         p AS (SELECT b.i AS other, a.x AS x, b.x AS y FROM r a JOIN r b
               ON a.u = b.u AND a.i = {SIM_TARGET} AND b.i <> {SIM_TARGET}),
         s AS (SELECT other, {_SCORE} AS score, count(*) AS strength FROM p GROUP BY 1)
         SELECT row_number() OVER (ORDER BY score DESC, strength DESC, other) AS rank, other, s_name AS name,
                round(score, 6) AS score, strength FROM s JOIN supplier ON s_suppkey = other
-        WHERE score > 0.5 AND strength > 50 ORDER BY rank LIMIT 10""",
+        WHERE score > {MIN_SCORE} AND strength > {MIN_STRENGTH} ORDER BY rank LIMIT {TOP_K}""",
 }

@@ -175,3 +175,30 @@ def test_cosine_pairs_of_string_ids_nulls_and_thresholds(spark):
     assert got == {("x", "y"): (1.0, 2), ("x", "z"): (1.0, 1), ("y", "z"): (round(4 / 17 ** 0.5, 9), 2)}
     some = similarity.cosine_pairs(df, "u", "i", "r", min_score=0.975, min_strength=1).collect()
     assert [(r["item_a"], r["item_b"]) for r in some] == [("x", "y")]
+
+
+def _skewed_ratings():
+    rnd = random.Random(23)
+    rows = {(u, i): float(rnd.randrange(1, 6)) for u in range(5) for i in range(80)}  # five users rate everything
+    for u in range(5, 60):
+        base = rnd.randrange(0, 70, 10)
+        rows |= {(u, base + rnd.randrange(10)): float(rnd.randrange(1, 6)) for _ in range(rnd.randrange(1, 12))}
+    return [(f"u{u}", i, x) for (u, i), x in rows.items()]
+
+
+@pytest.mark.parametrize("grid", [2_000, 3])
+@pytest.mark.parametrize("strength", [0, 1, 4, 5, 8, 50])
+def test_pruned_pairs_equal_all_pairs(spark, monkeypatch, grid, strength):
+    """Thresholds below, at and above the number of users that rate everything; also with every user in a grid."""
+    monkeypatch.setattr(similarity, "GRID", grid)
+    rows = _skewed_ratings()
+    df = spark.createDataFrame(rows + [(None, 1, 2.0), ("u1", None, 1.0), ("u59", 79, None)], "u string, i int, x double").repartition(4)
+    want = {k: v for k, v in _brute(rows).items() if v[1] > strength and v[0] > 0.8}
+    pruned = similarity.PrunedPairs(df, "u", "i", "x", strength)
+    got = {(r["item_a"], r["item_b"]): (round(r["score"], 9), r["strength"]) for r in pruned.pairs(0.8).collect()}
+    assert got == want
+    report = pruned.report().first()
+    assert report["pairs_strong"] == sum(1 for v in _brute(rows).values() if v[1] > strength)
+    assert report["pairs_formed"] <= report["pairs_of_all"] and report["pairs_strong"] <= report["pairs_open"]
+    if strength >= 5:  # the five users' 15,800 pairs are not formed
+        assert report["pairs_formed"] < report["pairs_of_all"] // 10
