@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkwright.operators.ledger import runs_of, same_key
 from sparkwright.session import checkpointed
 
 
@@ -140,22 +141,12 @@ def _cubic(xk, yk, m, xq):
             + (yk[j] / h - m[j] * h / 6) * t1 + (yk[j + 1] / h - m[j + 1] * h / 6) * t0)
 
 
-def _runs(pdf):
-    """(first row, row after the last) of every run of equal series; nulls are one series."""
-    import numpy as np
-    s = pdf["s"]
-    new = ~((s == s.shift()) | (s.isna() & s.shift().isna())).to_numpy(dtype=bool)
-    new[:1] = True
-    cut = np.r_[np.flatnonzero(new), len(s)]
-    return list(zip(cut[:-1].tolist(), cut[1:].tolist()))
-
-
 def _partition(batches):
     """(rows, runs) of one sorted partition."""
     import pandas as pd
     held = [b for b in batches if len(b)]
     pdf = pd.concat(held, ignore_index=True) if held else None
-    return (pdf, _runs(pdf)) if held else (None, [])
+    return (pdf, runs_of(pdf["s"])) if held else (None, [])
 
 
 def _knots_of(pdf, a, b):
@@ -243,11 +234,9 @@ class _Border:
 def _borders(ends):
     """Contexts of the runs of all series that lie in several partitions; ``ends`` has at most two rows
     per partition."""
-    import pandas as pd
     out, chain = {}, []
     for r in [*sorted((e.asDict() for e in ends), key=lambda r: (r["pid"], r["place"])), None]:
-        same = bool(chain) and r is not None and r["place"] == 0 and (
-            r["s"] == chain[-1]["s"] or (pd.isna(r["s"]) and pd.isna(chain[-1]["s"])))
+        same = bool(chain) and r is not None and r["place"] == 0 and same_key(r["s"], chain[-1]["s"])
         if not same:
             if len(chain) > 1:
                 out.update(_Border(chain).contexts())

@@ -10,7 +10,7 @@ piece boundaries: the last timestamp for ``lag``, the running total for sums.
 itself: the rows are hash-shuffled once by key and bucket for the scan and the
 join that brings the summary back; the summary reads a copy of key and time.
 Keys of bounded size need no pieces: one shuffle and a plain window. ``running_sum`` and ``replay_ledger`` take any
-order, so their pieces are sampled ranges of (key, order); the ranged rows are
+order, so their pieces are sampled ranges of (key, order) (the ledger with a minimum: ``ledger``); the ranged rows are
 written once to the shared folder, because two separately planned range
 exchanges would sample their bounds separately.
 """
@@ -19,8 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from sparkwright.operators import ledger
 from sparkwright.session import write_shared
 
 _UNB = Window.unboundedPreceding
@@ -130,82 +130,6 @@ def previous(df: DataFrame, keys, order, col: str, name: str) -> DataFrame:
     return df.withColumn(name, F.lag(col).over(w))
 
 
-def _fold_fn(seg_keys, amount: str, start_col: str | None, lo: int, balance: str, accepted: str):
-    """mapInPandas body: fold sorted rows segment by segment (segments = runs of
-    equal ``seg_keys``), starting each segment at ``start_col`` (or 0), and
-    carry the balance across Arrow batches. Amounts are integers, so sums are
-    exact in any grouping; stretches without a refusal are added at once."""
-
-    def fold(batches):
-        import numpy as np
-
-        def replay(a, bal, bal_out, ok_out):
-            i, step = 0, 64
-            while i < len(a):
-                part = a[i:i + step]
-                after = bal + np.cumsum(part)
-                refused = np.flatnonzero((part < 0) & (after < lo))
-                j = refused[0] if len(refused) else len(part)
-                bal_out[i:i + j], ok_out[i:i + j] = after[:j], True
-                bal = after[j - 1] if j else bal
-                if len(refused):
-                    bal_out[i + j], ok_out[i + j] = bal, False
-                    i, step = i + j + 1, 64
-                else:
-                    i, step = i + j, min(2 * step, 1 << 16)
-            return bal
-
-        cur, bal = None, 0
-        for pdf in batches:
-            n = len(pdf)
-            amts = pdf[amount].to_numpy(dtype="int64")
-            out_bal, ok = np.empty(n, dtype="int64"), np.empty(n, dtype=bool)
-            keys = pdf[list(seg_keys)]
-            same = keys.eq(keys.shift()) | (keys.isna() & keys.shift().isna())
-            cut = np.flatnonzero(~same.all(axis=1).to_numpy()) if n else np.empty(0, int)
-            cut = np.unique(np.r_[0, cut, n]) if n else np.empty(0, int)
-            for i, j in zip(cut[:-1], cut[1:]):
-                key = tuple(None if k != k or k is None else k for k in keys.iloc[i])
-                if key != cur:
-                    cur, bal = key, int(pdf[start_col].iloc[i]) if start_col else 0
-                bal = replay(amts[i:j], bal, out_bal[i:j], ok[i:j])
-            pdf[balance] = out_bal
-            pdf[accepted] = ok
-            yield pdf
-
-    return fold
-
-
-def _fold(df: DataFrame, seg_keys, order, amount, start_col, lo, balance, accepted, n) -> DataFrame:
-    srt = df.repartition(n, *seg_keys).sortWithinPartitions(*seg_keys, *order)
-    schema = T.StructType(srt.schema.fields + [T.StructField(balance, T.LongType()),
-                                               T.StructField(accepted, T.BooleanType())])
-    return srt.mapInPandas(_fold_fn(seg_keys, amount, start_col, lo, balance, accepted), schema)
-
-
-def _propagate(s: DataFrame, account: str, lo: int) -> DataFrame:
-    """Resolve piece start / end balances from each account's frontier (the
-    first piece whose end is unknown) through every piece that cannot refuse
-    a withdrawal: a piece starting at >= minimum + its withdrawals accepts
-    them all, so its end is start + net. Stops at the first piece that might
-    refuse (its start is set, its end is left for an exact replay)."""
-    wa, whole = Window.partitionBy(account).orderBy("_pid"), Window.partitionBy(account)
-    s = s.withColumn("_s0", F.coalesce("_start", F.lag("_end").over(wa)))
-    s = s.withColumn("_f", F.min(F.when(F.col("_end").isNull(), F.col("_pid"))).over(whole))
-    s = s.withColumn("_sf", F.max(F.when(F.col("_pid") == F.col("_f"), F.col("_s0"))).over(whole))
-    after = F.col("_pid") >= F.col("_f")
-    s = s.withColumn("_cum", F.coalesce(F.sum(F.when(after, F.col("_net"))).over(
-        wa.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    st = F.col("_sf") + F.col("_cum")
-    fast = (F.col("_wd") == 0) | (st >= lo + F.col("_wd"))
-    s = s.withColumn("_st", st).withColumn("_g", F.min(F.when(after & ~fast, F.col("_pid"))).over(whole))
-    upto_g = after & (F.col("_g").isNull() | (F.col("_pid") <= F.col("_g")))
-    before_g = after & (F.col("_g").isNull() | (F.col("_pid") < F.col("_g")))
-    return s.select(account, "_pid", "_net", "_wd",
-                    F.when(upto_g, F.col("_st")).otherwise(F.col("_s0")).alias("_start"),
-                    F.when(before_g, F.col("_st") + F.col("_net")).otherwise(F.col("_end")).alias("_end"))
-
-
 def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: float | None = None,
                   balance: str = "balance", accepted: str = "accepted",
                   partitions: int | None = None, method: str = "pieces", scale: int = 6) -> DataFrame:
@@ -221,14 +145,9 @@ def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: floa
     or the size of Arrow batches. A null amount is 0. ``balance`` is a double
     of the exact units.
 
-    ``method="pieces"`` (default) cuts each account into range pieces, so that
-    no task holds more than one piece, and resolves the pieces' start balances
-    in rounds. A piece that starts at or above minimum + its withdrawals can
-    refuse nothing (its end is start + net), so a window over the small piece
-    summary carries the balance through such pieces, and only the first piece
-    that might refuse is replayed in each round. Rounds go on until all pieces
-    have a start: at most as many as an account has pieces that might refuse.
-    Then every piece is replayed in parallel from its start.
+    ``method="pieces"`` (default) cuts accounts into range pieces, so that no task holds more than one piece, and
+    carries balances over the borders by transfer tables: four passes, whatever is refused (see
+    :mod:`sparkwright.operators.ledger`).
 
     ``method="stream"`` folds every account in one sorted stream of Arrow
     batches with the balance carried between batches (memory of one batch,
@@ -244,27 +163,8 @@ def replay_ledger(df: DataFrame, account: str, order, amount: str, minimum: floa
     units = (F.col(amount).cast(f"decimal(38,{scale})") * F.lit(unit)).cast("bigint")
     led = df.withColumn("_units", F.coalesce(units, F.lit(0).cast("bigint")))
     shown = [*cols, (F.col("_bal") / F.lit(unit)).cast("double").alias(balance), F.col("_ok").alias(accepted)]
-    if method == "stream":
-        return _fold(led, [account], order, "_units", None, lo, "_bal", "_ok", n).select(*shown)
-    r = write_shared(_ranged(led, [account], order, n), "ledger")
-    s = r.groupBy(account, "_pid").agg(
-        F.sum("_units").alias("_net"),
-        F.sum(F.when(F.col("_units") < 0, -F.col("_units")).otherwise(F.lit(0))).alias("_wd"))
-    first = F.row_number().over(Window.partitionBy(account).orderBy("_pid")) == 1
-    s = s.select(account, "_pid", "_net", "_wd", F.when(first, F.lit(0)).cast("bigint").alias("_start"),
-                 F.lit(None).cast("bigint").alias("_end"))
-    while True:
-        s = write_shared(_propagate(s, account, lo), "starts")
-        slow = s.filter(F.col("_start").isNotNull() & F.col("_end").isNull()).select(account, "_pid", "_start")
-        if s.filter(F.col("_start").isNull()).isEmpty():
-            break
-        rows = join_back(r, slow, [account, "_pid"])
-        done = _fold(rows, [account, "_pid"], order, "_units", "_start", lo, "_bal", "_ok", n)
-        ends = done.groupBy(account, "_pid").agg(F.max_by("_bal", F.struct(*order)).alias("_e"))
-        s = join_back(s, ends, [account, "_pid"], how="left").select(
-            account, "_pid", "_net", "_wd", "_start", F.coalesce("_end", "_e").alias("_end"))
-    rows = join_back(r, s.select(account, "_pid", "_start"), [account, "_pid"])
-    return _fold(rows, [account, "_pid"], order, "_units", "_start", lo, "_bal", "_ok", n).select(*shown)
+    run = ledger.replay_stream if method == "stream" else ledger.replay_pieces
+    return run(led, account, order, lo, n, "_bal", "_ok").select(*shown)
 
 
 def first_by_order(value: str, order: list[str]) -> Column:

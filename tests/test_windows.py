@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sparkwright.operators import windows
+from sparkwright.operators import ledger, windows
 from tests.conftest import SF01
 
 
@@ -144,6 +146,48 @@ def test_replay_ledger_pieces_hot_account(spark):
             assert got == exp, (name, kw)
 
 
+@pytest.mark.parametrize("steps", [2, 4096])
+@pytest.mark.parametrize("pieces", [1, 3, 16, 40])
+def test_replay_ledger_one_account_in_most_pieces(spark, monkeypatch, pieces, steps):
+    """An account that fills many partitions, among small ones, so that tables are chained; also with many small tables."""
+    monkeypatch.setattr(ledger, "STEPS", steps)
+    rnd = random.Random(77)
+    for low, high, lo in ((-50, 45, 5.0), (-9, 3, 0.0), (-4, 8, -7.0)):
+        rows = [(i, "hot" if i % 5 else rnd.choice(["a", "m", "z", None]), float(rnd.randint(low, high))) for i in range(1200)]
+        df = spark.createDataFrame(rows, "id long, acct string, amount double").repartition(3)
+        got = {r["id"]: (r["balance"], r["accepted"]) for r in windows.replay_ledger(
+            df, "acct", ["id"], "amount", minimum=lo, partitions=pieces).collect()}
+        assert got == _ledger_brute([(i, a or "", x) for i, a, x in rows], lo)
+
+
+def test_transfer_tables_equal_the_replay():
+    rnd = np.random.default_rng(9)
+    for steps in (2, 5, 4096):
+        for lo in (0, 7, -20):
+            a = rnd.integers(-30, 25, 300)
+            a[:12] = [-(1 << k) for k in range(11, -1, -1)]  # every start ends elsewhere: the table doubles row by row
+            tables = list(ledger.transfer_tables(a, lo, steps))
+            assert max(len(b) for b, _ in tables) <= 2 * max(steps, 2) + 1
+            for start in [*range(min(0, lo), 200), 5000, 10**9]:
+                b = start
+                for begin, offset in tables:
+                    b += int(offset[np.searchsorted(begin, b, side="right") - 1])
+                assert b == ledger.replay(a, start, lo)
+
+
+def test_replay_ledger_takes_a_fixed_number_of_jobs(spark):
+    """Whether nothing or most is refused."""
+    def jobs(low, high):
+        rows = [(i, "hot", float(random.Random(i).randint(low, high))) for i in range(2000)]
+        df = spark.createDataFrame(rows, "id long, acct string, amount double")
+        spark.sparkContext.setJobGroup(f"ledger{low}", "")
+        windows.replay_ledger(df, "acct", ["id"], "amount", minimum=0.0, partitions=12).count()
+        n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"ledger{low}"))
+        spark.sparkContext.setJobGroup("", "")
+        return n
+    assert jobs(1, 50) == jobs(-50, 20)
+
+
 def test_replay_ledger_methods_agree_on_events(spark):
     ev = spark.read.parquet(f"{SF01}/events.parquet")
     amt = F.when(F.col("event_type").isin("purchase", "error"), -F.col("value")).otherwise(F.col("value"))
