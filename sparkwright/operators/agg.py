@@ -81,13 +81,15 @@ def cumulative_share(shares: DataFrame, order_cols, share_col: str = "share",
 
 
 def n_distinct_all(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Distinct count of every column in one pass; null counts as one value."""
-    aggs = []
-    for c in df.columns:
-        col = F.col(f"`{c}`")
-        d = F.approx_count_distinct(col) if approx else F.count_distinct(col)
-        aggs.append((d + F.max(col.isNull().cast("int"))).cast("bigint").alias(c))
-    return df.agg(*aggs)
+    """Distinct count of every column; null counts as one value (A11). Exact counts move each task's distinct
+    values once (see ``distinct``); with ``approx`` sketches are used."""
+    if approx:
+        return df.agg(*[(F.approx_count_distinct(F.col(f"`{c}`")) + F.coalesce(F.max(F.col(f"`{c}`").isNull().cast("int")), F.lit(0)))
+                        .cast("bigint").alias(c) for c in df.columns])
+    from sparkwright.operators.distinct import distinct_values
+    counted = distinct_values(df).groupBy("place").agg(F.count(F.lit(1)).alias("n"))  # one row per column
+    return counted.agg(*[F.coalesce(F.max(F.when(F.col("place") == k, F.col("n"))), F.lit(0)).cast("bigint").alias(c)
+                         for k, c in enumerate(df.columns)])
 
 
 def count_if(cond: Column) -> Column:

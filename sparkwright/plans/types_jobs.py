@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkwright.functions import scalar
-from sparkwright.operators import stats, types
+from sparkwright.operators import distinct, stats, types
+from sparkwright.session import write_shared
 from sparkwright.sources.tables import table
 
 # (column, Spark type) of the tables the oracle SQL is generated for
@@ -76,8 +77,20 @@ def profile_table(spark, root):
     return st.join(d, "column_name", "left")
 
 
+def stored_sketches(spark, root):
+    """Distinct values of every customer column from sketches stored once per segment and merged; ``close`` says
+    whether the estimate is within 5 % of the exact count."""
+    c = table(spark, root, "customer")
+    names = [n for n, _ in CUSTOMER_COLS if n != "c_mktsegment"]
+    whole = distinct.merged(write_shared(distinct.sketches(c, "c_mktsegment"), "sketches"))
+    exact = distinct.distinct_counts(c, names).select("column_name", F.col("n_distinct").alias("exact"))
+    return whole.join(exact, "column_name").select(
+        "column_name", "exact", (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact")).alias("close"))
+
+
 JOBS = {
     "type_profile": type_profile,
+    "stored_sketches": stored_sketches,
     "optimize_types": optimize_types,
     "optimized_table": optimized_table,
     "type_savings": type_savings,
@@ -180,6 +193,9 @@ def _savings_sql():
 
 
 ORACLE = {
+    "stored_sketches": "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS exact, true AS close FROM customer"
+        for c, _ in CUSTOMER_COLS if c != "c_mktsegment"),
     "type_savings": _savings_sql(),
     "profile_correlations": "\nUNION ALL\n".join(
         f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM customer"
