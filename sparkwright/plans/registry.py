@@ -14,6 +14,7 @@ _MODULES = [
     "sparkwright.plans.types_jobs",
     "sparkwright.plans.model_jobs",
     "sparkwright.plans.format_jobs",
+    "sparkwright.plans.io_jobs",
 ]
 
 

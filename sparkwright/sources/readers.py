@@ -1,4 +1,4 @@
-"""Readers for the reference's input formats.
+"""Readers for the reference's input formats (S1-S12; learned types: ``learned``; S15: ``synthetic``).
 
 All readers are lazy DataFrame scans; parsing is column expressions over
 ``spark.read.text`` (so splits and partition pruning stay Spark's), never a
@@ -130,23 +130,8 @@ def read_month(spark: SparkSession, root: str, month: str, col: str = "month") -
     return spark.read.parquet(root).filter(F.col(col) == month)
 
 
-def with_random(df: DataFrame, name: str, kind: str, seed: int = 42, **kw) -> DataFrame:
-    """Seeded synthetic column (S15): normal, lognormal(mean, sigma),
-    randint(lo, hi) or letters(min_len, max_len)."""
-    if kind == "normal":
-        c = F.randn(seed)
-    elif kind == "lognormal":
-        c = F.exp(F.lit(kw.get("mean", 1.5)) + F.lit(kw.get("sigma", 1.75)) * F.randn(seed))
-    elif kind == "randint":
-        lo, hi = kw.get("lo", 1), kw.get("hi", 99)
-        c = (F.floor(F.rand(seed) * (hi - lo + 1)) + lo).cast("int")
-    elif kind == "letters":
-        lo, hi = kw.get("min_len", 1), kw.get("max_len", 10)
-        n = (F.floor(F.rand(seed) * (hi - lo + 1)) + lo).cast("int")
-        letters = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(
-            F.lit("abcdefghijklmnopqrstuvwxyz"),
-            (F.pmod(F.xxhash64(F.monotonically_increasing_id(), i, F.lit(seed)), F.lit(26)) + 1).cast("int"), 1))
-        c = F.array_join(letters, "")
-    else:
-        raise ValueError(kind)
-    return df.withColumn(name, c)
+def read_json_declared(spark: SparkSession, path: str, schema: str, rescue: str = "_rescue") -> DataFrame:
+    """JSON lines with a declared (nested) schema (S16). A line that is no JSON or does not fit has its text in
+    ``rescue`` and nulls elsewhere; nothing is inferred, so there is no second pass."""
+    return spark.read.schema(f"{schema}, {rescue} string").option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", rescue).json(path)

@@ -26,6 +26,23 @@ def write_outputs(outputs: dict, root: str, month: str | None = None, fmt: str =
         writer.save(f"{root.rstrip('/')}/{name}")
 
 
+def write_parts(df: DataFrame, path: str, by, fmt: str = "parquet") -> None:
+    """All outputs of a frame in one pass, one folder per value of the columns ``by`` (K2, K4): the named outputs are values
+    of a column, so what they share is computed once. Folders of values that do not occur in ``df`` stay as they are
+    (dynamic overwrite), so a rerun of a month replaces that month alone."""
+    by = [by] if isinstance(by, str) else list(by)
+    df.write.mode("overwrite").format(fmt).partitionBy(*by).option("partitionOverwriteMode", "dynamic").save(path)
+
+
+def read_parts(spark, path: str, fmt: str = "parquet", **values) -> DataFrame:
+    """The folders of ``write_parts`` with the given values (S12); the others are not listed as input."""
+    from pyspark.sql import functions as F
+    df = spark.read.format(fmt).load(path)
+    for c, v in values.items():
+        df = df.where(F.col(c) == v)
+    return df
+
+
 def write_sorted(df: DataFrame, path: str, keys, fmt: str = "csv") -> None:
     """Globally sorted output (K3): range-partitioned sort, files in key order."""
     df.orderBy(*keys).write.mode("overwrite").format(fmt).option("header", True).save(path)

@@ -75,17 +75,6 @@ def test_write_outputs_by_month_and_read_back_pruned(spark, tmp_path):
     assert keys == [1, 2, 3, 5, 8, 9]
 
 
-def test_with_random_is_seeded(spark):
-    base = spark.range(50)
-    a = readers.with_random(base, "x", "lognormal", 7).collect()
-    b = readers.with_random(base, "x", "lognormal", 7).collect()
-    assert a == b and all(r["x"] > 0 for r in a)
-    r = readers.with_random(base, "n", "randint", 1, lo=1, hi=99).agg(F.min("n"), F.max("n")).collect()[0]
-    assert 1 <= r[0] <= r[1] <= 99
-    s = readers.with_random(base, "s", "letters", 3).select(F.length("s").alias("l")).collect()
-    assert all(1 <= x["l"] <= 10 for x in s)
-
-
 def test_short_delimited_line_fails_or_drops(spark):
     import pytest
     lines = spark.createDataFrame([("1,2",), ("3",), ("4,x",), ("5,6,7",)], "value string")
