@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.session import ensure_checkpoint_dir
+from sparkwright.session import write_shared
 
 #: Words of the contracts that split at ASCII white space.
 SPACE_WORDS = r"[^\x20\x09-\x0D]+"
@@ -16,16 +14,21 @@ ARROW_BYTES = "8m"
 _ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def shared_folder(spark: SparkSession, what: str) -> str:
-    """A new folder name under the checkpoint folder, which all executors share."""
-    return f"{ensure_checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
 def materialise(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` once as Parquet to the shared folder and read it back (cuts lineage)."""
-    path = shared_folder(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` once as Parquet to the shared folder and read it back (cuts lineage); the copy
+    belongs to the open block of ``session.copies``."""
+    return write_shared(df, what)
+
+
+def fresh_names(columns, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be none of ``columns``."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -6,6 +6,10 @@ number per partition) give each partition its offset, and a running sum inside t
 gives every document its global byte offset. Document i with bytes [o, o + s) goes to shard
 floor(n * (2 o + s) / (2 total)): the shard in whose equal slice its middle byte lies. Shards
 are contiguous in the order and differ from the target by less than one document at each end.
+
+Order: by checksum and size of the text, then by id. Equal texts (copies) are neighbours, so a group of copies lies in one
+shard, but for the groups that a cut goes through: at most one per cut, and those larger than a shard, which no
+balanced law can keep whole.
 """
 
 from __future__ import annotations
@@ -28,11 +32,11 @@ def byte_shards(sized: DataFrame, n_shards: int = 16) -> DataFrame:
     """Add shard (0 .. n_shards - 1) and slot (gapless from 0 inside a shard, in global order).
 
     ``sized`` has doc_id, size (at least 1) and text_crc32, as :func:`sizes` gives them. Order:
-    doc_id (nulls first), then size, then checksum; rows equal in all three are interchangeable
-    and stay separate rows. An empty input gives no rows. A third of all rows with one id is
+    checksum, then size, then doc_id (nulls first); rows equal in all three are interchangeable
+    and stay separate rows. An empty input gives no rows. A third of all rows with one text is
     spread over the range partitions by a tie-breaking row number.
     """
-    order = ["doc_id", "size", "text_crc32", "_tie"]
+    order = ["text_crc32", "size", "doc_id", "_tie"]
     spark = sized.sparkSession
     laid = (sized.select("doc_id", "size", "text_crc32", F.monotonically_increasing_id().alias("_tie"))
             .repartitionByRange(shuffle_partitions(spark), *order)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.llm.common import ids_and_texts, materialise, shuffle_partitions
+from sparkwright.llm.common import bound_batches, fresh_names, ids_and_texts, materialise, shuffle_partitions
 from sparkwright.llm.components import connected_components
 
 BITS = 64
@@ -229,21 +229,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 3, id_col: st
     return fps.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 3, most: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each near-duplicate class, with all columns of ``docs`` as they are.
 
-    The row with the class's smallest doc_id stays (of repeated rows with that id, one). Rows with
-    a null doc_id go if a document with an id has their fingerprint; else one per fingerprint stays.
+    The row with the class's smallest doc_id stays (of several rows with that id, the one with the smallest digest).
+    Rows with a null doc_id are in their class like others; one of them stays only if the class has no row with
+    an id. Rows are told apart by 128 bits of all their columns; fully repeated rows are one.
     """
     own = docs.columns
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in own])
-    marked = docs.withColumn("__row", row)
-    found = near_duplicates(marked.select(F.col("__row").alias("doc_id"), "text"), shingle, most)
-    # one row of each key on both sides: r copies of a row would meet in r * r joined rows
-    ids = marked.select("__row", F.col("doc_id").alias("__id")).dropDuplicates(["__row"])
-    # classes over row keys; the row with the smallest document id stands for its class
-    best = (found.select(F.col("doc_id").alias("__row"), "component_id").dropDuplicates(["__row"]).join(ids, "__row")
-            .groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", "__row")).alias("best"))
-            .select(F.col("best.__row").alias("__row")))
-    kept = marked.join(best, "__row", "left_semi").dropDuplicates(["__row"])
-    return kept.select(*[F.col(f"`{c}`") for c in own])
+    one, two = fresh_names(own, "row_a", "row_b")
+    columns = [F.col(f"`{c}`") for c in own]
+    marked = docs.withColumns({one: F.xxhash64(*columns), two: F.xxhash64(F.lit(1), *columns)})
+    bound_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            fp = [fingerprint(shingle_hashes(t, shingle)) for t in map(str, b.column(3))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fp, pa.int64())], ["id", "a", "b", "fp"])
+    rows = materialise(marked.select(
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(one).alias("a"), F.col(two).alias("b"),
+        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+        .mapInArrow(run, "id long, a long, b long, fp long"), "row-fingerprints")
+    # fingerprints stand for themselves; the smallest row of each, then of each class
+    first = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "a", "b")).alias("first"))
+    classes = connected_components(links(rows.select("fp", F.col("fp").alias("rep")).distinct(), most))
+    best = (first.join(classes, first.fp == classes.node, "left").groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
+            .select(F.col("first.a").alias(one), F.col("first.b").alias(two)))
+    kept = marked.join(best, [one, two], "left_semi").dropDuplicates([one, two])
+    return kept.select(*columns)

@@ -6,21 +6,21 @@ Importance of a path's presentation is the entropy of its style nodes over the h
 to the base m; importance of a text there is 1 - log n / log m for a text that n of the pages with
 that path have (on one page: 1; on every page: 0). Pages of a host with the same contents (paths
 and texts) count as one, so copies of a page do not condemn its article. A block's importance mixes
-both; on a path of fewer than SUPPORT pages it is NEUTRAL. What the block's elements say they are
-shifts it:
+both; few pages say little: PRIOR pages' worth of NEUTRAL is mixed in. What the page says of a block shifts it:
 
 * menus, headers, footers, adverts, forms, scripts and the like: removed, each text by the elements
-  that are open where it is read;
-* a form or an element with such a class or id that holds most of the main text (WHOLE of the text
+  that are open where it is read. Names of classes and ids count if all their parts are such words or words of
+  layout ("related-posts"); else ("related-work", "menu-prices") they take WRAP;
+* a form or an element so named that holds most of the main text (WHOLE of the text
   of the article and main elements, or of a page without them) or is itself an article or main
   element is a wrapper: WRAP less;
-* inside an article or main element: MARK more;
-* outside of it, on a page that has one: MARK less;
-* on a page without such an element: the statistics alone.
+* inside an article or main element: MARK more, and paragraphs, headings, list items, quotations and table
+  cells without such a name stay whatever the host repeats, as they are the article's own text;
+* before it, on a page that has one: MARK less; after the last one (comments, teasers): AFTER less;
+* on a page without such an element, or with several that hold less text than the rest (teaser cards): the statistics alone.
 
-Branches below the threshold are removed from each page. A mark alone decides only where the
-statistics say nothing: what every page of a host repeats goes, also inside an article, and what
-is a page's own stays, also outside of it.
+Branches below the threshold are removed from each page. The host's tree decides on all that stands outside
+(a headline or lead before the article is a page's own and stays) and on bare or oddly named blocks inside.
 
 Pages are dealt into blocks by a hash. A block sends the distinct (path, style) and (path, text)
 pairs of its pages with their page counts, packed by a hash of the path, or of path and text, and
@@ -45,11 +45,11 @@ from pyspark.sql import functions as F
 
 from sparkwright.llm.common import bound_batches, mix64, shuffle_partitions
 
-#: Bytes of html in a block; weight of content against presentation; least importance; pages of a
-#: host with a path below which its statistics say nothing.
-BLOCK, GAMMA, LEAST, SUPPORT = 8_000_000, 0.9, 0.4, 4
-#: Importance where the statistics say nothing; what a main element adds inside and takes outside.
-NEUTRAL, MARK = 0.6, 0.25
+#: Bytes of html in a block; weight of content against presentation; least importance.
+BLOCK, GAMMA, LEAST = 8_000_000, 0.9, 0.4
+#: Importance where nothing is known, and the pages that it counts for; what a main element adds inside, takes before
+#: and takes after it.
+NEUTRAL, PRIOR, MARK, AFTER = 0.6, 2, 0.25, 0.75
 #: What a wrapper named like noise takes; share of the main text that makes an element a wrapper.
 WRAP, WHOLE = 0.1, 0.75
 #: Stands for the pages themselves among a path's styles; the two kinds of entries.
@@ -67,10 +67,15 @@ SCOPES = frozenset("table ul ol dl select body html article section main div td
 NOISE = frozenset("""head nav footer aside button select option label script style noscript template iframe svg
     canvas audio video object menu dialog search input textarea""".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
-NOISE_NAMES = re.compile(r"""(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promos?|
-    banners?|cookies?|consent|gdpr|notices?|newsletter|subscribe|sidebar|side-bar|comments?|disqus|replies|
-    related|recommended|share|sharing|social|breadcrumbs?|pagination|pager|menu|nav|navbar|navigation|footer|
-    popup|modal|overlay|masthead|login|signup|widget|skip-link)(?:$|[\s_-]|\d)""", re.X | re.I)
+# Words that name what is not the article, and words of layout that may stand beside them.
+NOISE_WORDS = frozenset("""ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promos
+    banner banners cookie cookies consent gdpr notice notices newsletter subscribe sidebar side-bar comment comments disqus
+    reply replies discussion related recommended share sharing social breadcrumb breadcrumbs pagination pager menu nav navbar
+    navigation footer popup modal overlay masthead login signup widget skip-link""".split())
+LAYOUT_WORDS = frozenset("""box block wrap wrapper container section area bar list links link buttons button icons widget widgets
+    inner outer top bottom left right main primary secondary site page global mobile desktop form slot unit frame panel post posts
+    article articles item items row col column group holder js c l u is""".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th caption figcaption".split())
 MAIN = frozenset(("article", "main"))
 TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)|
     </(?P<end>[a-z][^\s/>]*)[^>]*(?:>|\Z)|<(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))""",
@@ -83,19 +88,34 @@ def digest(*parts) -> int:
                           "big", signed=True)
 
 
+def named_like_noise(words: str) -> int:
+    """2: a name of the class or id says that it is not the article; 1: a name has such a word among others; 0: none."""
+    level = 0
+    for name in words.split():
+        parts = [x.lower() for x in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+|[^\x00-\x7f]+", name)]
+        if name.lower() in NOISE_WORDS:
+            return 2
+        if any(x in NOISE_WORDS for x in parts) or "-".join(parts[:2]) in NOISE_WORDS:
+            level = max(level, 2 if all(x in NOISE_WORDS or x in LAYOUT_WORDS or x.isdigit() for x in parts) else 1)
+    return level
+
+
 class Page:
-    """Elements (path, style) and text blocks (text, path, wrapped, in_main) of one page, in order;
-    wrapped: a wrapper named like noise is around the block. Noise gives no blocks."""
+    """Elements (path, style) and text blocks (text, path, less, place) of one page, in order. less: what names around
+    the block take of its importance; place: INSIDE (with OWN: prose of the article) a main element, BEFORE or PAST the
+    main elements. Noise gives no blocks."""
+
+    BEFORE, PAST, INSIDE, OWN = range(4)
 
     def __init__(self, source: str):
         self.elements: list[tuple[int, int]] = []
         # open elements: tag, path, noise, main, children, elements named like noise around the text
-        # (numbered, article and main elements below 0)
-        self.open: list[tuple[str, int, bool, bool, list[str], tuple]] = [("", 0, False, False, [], ())]
-        self.named = 0
-        # texts of a block and the elements named like noise around each (None: noise)
-        self.text: list[tuple[str, tuple | None]] = []
-        self.read: list[tuple[list, int, bool]] = []
+        # (numbered, article and main elements below 0), whether one is named so in part
+        self.open: list[tuple[str, int, bool, bool, list[str], tuple, bool]] = [("", 0, False, False, [], (), False)]
+        self.named = self.mains = 0
+        # texts of a block, the elements named like noise around each (None: noise), named in part
+        self.text: list[tuple[str, tuple | None, bool]] = []
+        self.read: list[tuple[list, int, bool, bool]] = []
         at = 0
         for m in TOKEN.finditer(source):
             if m.start() > at:
@@ -108,35 +128,41 @@ class Page:
         self._add(source[at:])
         self._pop_to(1)
         self._flush()
-        self.blocks: list[tuple[str, int, bool, bool]] = self._blocks()
-        self.has_main = any(main for *_, main in self.blocks)
+        self.blocks: list[tuple[str, int, float, int]] = self._blocks()
+        own = sum(len(t) for t, _, _, place in self.blocks if place >= self.INSIDE)
+        rest = sum(len(t) for t, _, _, place in self.blocks if place < self.INSIDE)
+        self.has_main = own > 0 and (self.mains < 2 or own >= rest)
 
     def _add(self, text: str) -> None:
-        _, _, noise, _, _, named = self.open[-1]
-        self.text.append((text, None if noise else named))
+        _, _, noise, _, _, named, partly = self.open[-1]
+        self.text.append((text, None if noise else named, partly))
 
     def _flush(self) -> None:
         if self.text:
-            if any(named is not None for _, named in self.text):
-                self.read.append((self.text, self.open[-1][1], self.open[-1][3]))
+            if any(named is not None for _, named, _ in self.text):
+                tag = next((x[0] for x in reversed(self.open) if x[0] in BLOCKS), "")
+                self.read.append((self.text, self.open[-1][1], self.open[-1][3], tag in PROSE))
             self.text = []
 
-    def _blocks(self) -> list[tuple[str, int, bool, bool]]:
+    def _blocks(self) -> list[tuple[str, int, float, int]]:
         wrappers = self._wrappers() if self.named else frozenset()
-        out = []
-        for texts, path, main in self.read:
-            own = [(t, named) if named is not None and wrappers.issuperset(named) else (" ", ()) for t, named in texts]
-            text = " ".join(html.unescape("".join(t for t, _ in own)).split())
+        out, last = [], -1
+        for texts, path, main, prose in self.read:
+            own = [(t, named, partly) if named is not None and wrappers.issuperset(named) else (" ", (), False) for t, named, partly in texts]
+            text = " ".join(html.unescape("".join(t for t, _, _ in own)).split())
             if text:
-                out.append((text, path, any(named for _, named in own), main))
-        return out
+                less = WRAP * (any(named for _, named, _ in own) + any(partly for _, _, partly in own))
+                last = len(out) if main else last
+                out.append((text, path, less, self.OWN if main and prose and not any(partly for _, _, partly in own) else
+                            self.INSIDE if main else self.BEFORE))
+        return [(t, p, less, self.PAST if last >= 0 and k > last else place) for k, (t, p, less, place) in enumerate(out)]
 
     def _wrappers(self) -> set[int]:
         """Elements named like noise that are wrappers."""
         size: Counter = Counter()
         inside: tuple[Counter, Counter] = (Counter(), Counter())
-        for texts, _, main in self.read:
-            for t, named in texts:
+        for texts, _, main, _ in self.read:
+            for t, named, _ in texts:
                 if named is not None:
                     n = len("".join(t.split()))
                     size[main] += n
@@ -148,7 +174,7 @@ class Page:
 
     def _pop_to(self, size: int) -> None:
         while len(self.open) > size:
-            tag, path, _, _, children, _ = self.open[-1]
+            tag, path, _, _, children, _, _ = self.open[-1]
             if tag in BLOCKS:
                 self._flush()
                 self.elements.append((path, digest(*children)))
@@ -187,12 +213,15 @@ class Page:
         noise = (parent[2] or tag in NOISE or tag == "header" and not main
                  or names.get("role") in NOISE_ROLES or "hidden" in names or names.get("aria-hidden") == "true"
                  or bool(re.search(r"display\s*:\s*none", names.get("style", ""))))
-        named = parent[5]
-        if tag == "form" or words != " " and tag not in ("html", "body") and NOISE_NAMES.search(words):
+        self.mains += own_main and not parent[3]
+        named, partly = parent[5], parent[6]
+        level = named_like_noise(words) if words != " " and tag not in ("html", "body") else 0
+        if tag == "form" or level == 2:
             self.named += 1
             named = (*named, -self.named if own_main else self.named)
+        partly = partly or level == 1
         path = digest(parent[1], tag, names.get("class", "")) if tag in BLOCKS else parent[1]
-        self.open.append((tag, path, noise, main, [], named))
+        self.open.append((tag, path, noise, main, [], named, partly))
 
     def _end(self, tag: str) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -215,15 +244,24 @@ class Page:
     def main_text(self, importance) -> str:
         """Blocks that stay; ``importance(path, text)`` is what the host's tree says, from 0 to 1."""
         kept = []
-        for text, path, wrapped, main in self.blocks:
-            value = importance(path, text) - (WRAP if wrapped else 0)
+        for text, path, less, place in self.blocks:
+            value = importance(path, text) - less
             if self.has_main:
-                value += MARK if main else -MARK
+                value += {self.BEFORE: -MARK, self.PAST: -AFTER}.get(place, MARK)
+                if place == self.OWN:
+                    value = 1.0
             if value >= LEAST:
                 kept.append(text)
         return "\n\n".join(kept)
 
 
+def weighed(pages: int, entropy: float, shared: int) -> float:
+    """Importance of a text that ``shared`` of the ``pages`` pages with its path have, whose styles have this entropy."""
+    known = (1 - GAMMA) * entropy + GAMMA * (1 - math.log(max(1, shared)) / math.log(pages)) if pages > 1 else NEUTRAL
+    weight = max(0, pages - 1) / (max(0, pages - 1) + PRIOR)
+    return weight * known + (1 - weight) * NEUTRAL
+
+
 class Entries:
     """The (node, feature) pairs of a block of pages, node = host and path, in a fixed order. Counts
     are of pages with contents in ``counted``, copies of a page once."""
@@ -344,9 +382,7 @@ def _extract(rows: pa.Table, replies: pa.Table, groups: int) -> pa.Table:
         def importance(path: int, text: str) -> float:
             node = e.node(host, path)
             m, entropy = shown[node]
-            if m < SUPPORT:
-                return NEUTRAL
-            return (1 - GAMMA) * entropy + GAMMA * (1 - math.log(shared[node, digest(text)]) / math.log(m))
+            return weighed(m, entropy, shared[node, digest(text)])
         texts.append(page.main_text(importance))
     return pa.table({"page_id": rows.column("page_id"), "url": rows.column("url"),
                      "text": pa.array(texts, pa.string())})

@@ -2,14 +2,16 @@
 
 Every word position that has ``size`` words of its document ahead starts a suffix. Suffixes are
 split into groups by a prefix of variable length: three words, and one more as long as the prefix
-is frequent (a share of all suffixes above ``1 / MOST_PREFIXES``); groups are packed so that one
-holds about ``GROUP`` suffixes and fits in memory. The prefix table is counted over the whole
-corpus and has at most ``MOST_PREFIXES`` entries per length.
+is frequent (an eighth of a group, or 1 / MOST_PREFIXES of all suffixes if that is more); groups are packed so that
+one holds about ``GROUP`` suffixes and fits in memory. Prefixes are counted over the whole corpus: a slice leaves
+out those below half that share of its own suffixes, so no frequent prefix loses more than half its count,
+and the table keeps all that reach half the share in all, at most 2 MOST_PREFIXES of a length.
 
-A group's subtree is kept as its leaves in path order: the leaves of one node of depth ``size``
-are a run of equal paths. A node whose leaves come from several documents is a repeat; its
-smallest document keeps the words, the suffixes of every other document there are marked. Runs
-of marked suffixes in a document are its maximal repeats, and their words go.
+A group's subtree is not built as a linked tree: words do not travel, but 64-bit fingerprints of the paths of
+depth ``size``, and the group sorts them. Equal ones are the leaves of one node of that depth, which is the only depth
+that decides here (repeats of at least ``size`` words). A node whose leaves come from several documents is a
+repeat; its smallest document keeps the words, the suffixes of every other document there are
+marked. Runs of marked suffixes in a document are its maximal repeats, and their words go.
 
 How it is laid out: documents are dealt into blocks of about ``BLOCK`` bytes by a hash, and each
 block finds its own repeats first, so it asks about a path once, however many copies it holds (a
@@ -28,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.llm.common import Words, bound_batches, mix64, shuffle_partitions
+from sparkwright.llm.common import Words, bound_batches, materialise, mix64, shuffle_partitions
 
-#: Suffixes in a group, bytes of text in a block, frequent prefixes of one length at most.
+#: Suffixes in a group, bytes of text in a block, frequent prefixes of one length (twice as many at most).
 GROUP, BLOCK, MOST_PREFIXES = 2_000_000, 3_000_000, 16_384
+#: Bytes of a word and its space, for the number of groups.
+WORD = 6
 SHORTEST = 3
 _PATH, _PREFIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -70,15 +74,12 @@ class Suffixes:
                 return
 
 
-def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """(length, prefix, n) for prefixes that are frequent in a batch; length 0 counts suffixes,
-    length -1 bytes."""
+def _count(batches: Iterator[pa.RecordBatch], size: int, share: float) -> Iterator[pa.RecordBatch]:
+    """(length, prefix, n) for prefixes with more than half the share of a slice; length 0 counts suffixes."""
     for b in batches:
         for at in range(0, b.num_rows, step := max(1, int(b.num_rows * 2 * BLOCK / max(1, b.nbytes)))):
-            part = b.slice(at, step)
-            s = Suffixes(part.column(1).to_pylist(), size)
-            lengths, keys, counts = [0, -1], [0, 0], [len(s.at), len(s.words.data)]
-            least = max(64, len(s.at) // (2 * MOST_PREFIXES))
+            s = Suffixes(b.slice(at, step).column(1).to_pylist(), size)
+            lengths, keys, counts = [0], [0], [len(s.at)]
             walk, more = s.prefixes(), None
             while len(s.at):
                 try:
@@ -86,7 +87,7 @@ def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
                 except StopIteration:
                     break
                 u, inv, n = np.unique(h, return_inverse=True, return_counts=True)
-                often = n >= least
+                often = n > len(s.at) * share / 2
                 lengths += [length] * int(often.sum())
                 keys += u[often].view(np.int64).tolist()
                 counts += n[often].tolist()
@@ -96,23 +97,18 @@ def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
                 ["length", "prefix", "n"])
 
 
-def prefix_table(texts: DataFrame, size: int) -> tuple[dict[int, np.ndarray], int, int]:
-    """Frequent prefixes by length, number of suffixes, bytes of text; over all documents."""
-    counted = (texts.mapInArrow(lambda b: _count(b, size), "length int, prefix long, n long")
-               .groupBy("length", "prefix").agg(F.sum("n").alias("n")))
-    counted = counted.persist()
-    try:
-        totals = {r.length: r.n for r in counted.where("length <= 0").collect()}
-        n = totals.get(0, 0)
-        # at most MOST_PREFIXES rows of a length have more than this share
-        rows = counted.where((F.col("length") > 0) & (F.col("n") > n // MOST_PREFIXES)).collect()
-    finally:
-        counted.unpersist()
+def prefix_table(texts: DataFrame, size: int, share: float) -> dict[int, np.ndarray]:
+    """Prefixes by length, over all documents: all that start at least ``share`` of the suffixes, none that
+    starts under half of that (so at most 2 / share of a length)."""
+    if share > 1:
+        return {}
+    counted = materialise(texts.mapInArrow(lambda b: _count(b, size, share), "length int, prefix long, n long")
+                          .groupBy("length", "prefix").agg(F.sum("n").alias("n")), "prefixes")
+    n = counted.where("length = 0").agg(F.sum("n")).first()[0] or 0
     table: dict[int, list[int]] = {}
-    for r in rows:
+    for r in counted.where((F.col("length") > 0) & (F.col("n") >= n * share / 2)).collect():
         table.setdefault(r.length, []).append(r.prefix)
-    return ({k: np.sort(np.array(v, dtype=np.int64).view(np.uint64)) for k, v in table.items()},
-            n, totals.get(-1, 0))
+    return {k: np.sort(np.array(v, dtype=np.int64).view(np.uint64)) for k, v in table.items()}
 
 
 def _among(values: np.ndarray, table: np.ndarray | None) -> np.ndarray:
@@ -227,9 +223,10 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                         *[F.col(f"`{c}`").alias(f"carry_{k}") for k, c in enumerate(carry)])
-    table, n_suffixes, n_bytes = prefix_table(texts.select("doc_id", "text"), size)
-    groups = max(1, -(-n_suffixes // GROUP))
-    blocks = max(shuffle_partitions(docs.sparkSession), -(-n_bytes // BLOCK))
+    n_bytes = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    table = prefix_table(texts.select("doc_id", "text"), size, max(GROUP / 8 / max(1, n_bytes / WORD), 1 / MOST_PREFIXES))
+    parts = shuffle_partitions(docs.sparkSession)
+    groups, blocks = max(parts, -(-n_bytes // (GROUP * WORD))), max(parts, -(-n_bytes // BLOCK))
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def ask(rows: pa.Table) -> pa.Table:

@@ -56,14 +56,13 @@ def test_substring_dedup_edges(spark, edge, edge_rows, nothing):
     assert layout[6, 14].text == "head of six " and layout[8, 14].text == ""
 
 
-def test_prefix_groups_are_of_variable_length(spark, monkeypatch):
-    monkeypatch.setattr(substrings, "MOST_PREFIXES", 16)
+def test_prefix_groups_are_of_variable_length(spark):
     rows = [(k, " ".join(["the"] * 20 + [f"u{k}_{j}" for j in range(200)])) for k in range(50)]
-    table, n, _ = substrings.prefix_table(spark.createDataFrame(rows, "doc_id long, text string"), 13)
-    # 50 x (21 - length) suffixes start with that many "the": over 1/16 of all up to length 7
-    assert n == 50 * 208 and sorted(table) == [3, 4, 5, 6, 7]
+    table = substrings.prefix_table(spark.createDataFrame(rows, "doc_id long, text string"), 13, 0.13)
+    # 50 x (21 - length) of 50 x 208 suffixes start with that many "the": over 0.065 of all up to length 7
+    assert sorted(table) == [3, 4, 5, 6, 7]
     rows = [(k, " ".join(["the"] * 100)) for k in range(50)]
-    table, _, _ = substrings.prefix_table(spark.createDataFrame(rows, "doc_id long, text string"), 13)
+    table = substrings.prefix_table(spark.createDataFrame(rows, "doc_id long, text string"), 13, 0.13)
     assert sorted(table) == list(range(3, 14)) and all(len(v) == 1 for v in table.values())
 
 
@@ -121,6 +120,13 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     assert got == {k: 0 for k in range(61)} | {100 + k: 100 for k in range(80)}
 
 
+def test_keep_one_leaves_clashing_columns_alone(spark):
+    rows = [(1, "the same words here", "x", 5), (1, "the same words here", "y", 6), (2, "the same words here", "z", 7), (3, None, "n", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_a string, __row long").withColumnRenamed("__row", "ROW_B")
+    kept = sorted(map(tuple, simhash.keep_one(docs).collect()))
+    assert [r[0] for r in kept] == [1, 3] and set(kept) <= set(rows) and simhash.keep_one(docs).columns == docs.columns
+
+
 def test_repeated_rows_are_joined_once(spark):
     """keep_one on 3,000 copies of a row: no operator makes more than a few rows of each."""
     docs = spark.createDataFrame([(1, "one text of it", "en", "a")] * 3000 + [(2, "quite another one here", "en", "a")],
@@ -139,3 +145,15 @@ def test_repeated_rows_are_joined_once(spark):
     plan = kept._jdf.queryExecution().executedPlan()
     kept._jdf.collectToPython()
     assert 0 < max(rows(plan)) <= 3 * 3001
+
+
+def test_frequent_prefixes_are_found_over_many_small_slices(spark):
+    """A prefix of a share of all suffixes is in the table however the rows are dealt; none under half the share is."""
+    from pyspark.sql import functions as F
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(
+        F.when(F.col("id") % 4 == 0, F.lit("often used words ")).otherwise(F.concat(F.lit("r"), F.col("id").cast("string"), F.lit(" "))),
+        F.array_join(F.transform(F.sequence(F.lit(1), F.lit(16)), lambda k: F.concat(F.lit("w"), F.col("id").cast("string"), F.lit("x"), k.cast("string"))), " ")).alias("text"))
+    whole = substrings.prefix_table(docs.coalesce(1), 13, 0.02)
+    for parts in (3, 200):
+        assert {k: v.tolist() for k, v in substrings.prefix_table(docs.repartition(parts), 13, 0.02).items()} == {k: v.tolist() for k, v in whole.items()}
+    assert len(whole[3]) == 1 and substrings.prefix_table(docs, 13, 1.5) == {}

@@ -277,7 +277,8 @@ def test_style_tree_counts_match_brute_force(spark, monkeypatch):
             m = pages[host, p]
             n = sum(styles[host, p].values())
             entropy = -sum(c / n * math.log(c / n) for c in styles[host, p].values()) / math.log(m) if m > 1 else 1.0
-            value = 0.1 * min(1, entropy) + 0.9 * (1 - math.log(texts[host, p, t]) / math.log(m)) if m >= 4 else 1.0
+            value = 0.1 * min(1, entropy) + 0.9 * (1 - math.log(texts[host, p, t]) / math.log(m)) if m > 1 else 0.6
+            value = ((m - 1) * value + 2 * 0.6) / (m + 1)
             kept += [t] if value >= 0.4 else []
         want[k] = "\n\n".join(kept)
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
@@ -303,6 +304,45 @@ def test_host_statistics_decide_inside_and_outside_of_articles(spark, monkeypatc
     assert got[400] == "long story 0"  # too few pages to tell: the marks alone
 
 
+def test_article_text_stays_whatever_the_host_repeats(spark, monkeypatch):
+    """A line that all pages of a host have is article text in a paragraph of the article, boilerplate in a bare block."""
+    monkeypatch.setattr(style_tree, "BLOCK", 500)
+    page = ("<article><h1>T {k}</h1><p>The same line on every page.</p><ul><li>point</li></ul><table><tr><td>cell</td></tr></table>"
+            "<blockquote class=share-quote>said {k}</blockquote><table class=menu-prices><tr><td>soup {k}</td></tr></table>"
+            "<ol class=related-work><li>Paper {k}</li></ol><div class=quote-share-tools>Tell a friend</div><div>Get our letter</div>"
+            "<div class=related-posts>More {k}</div></article>")
+    rows = [(k, f"http://h.example/{k}", page.format(k=k)) for k in range(25)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in style_tree.main_text(df).collect()}
+    for k in range(25):
+        assert got[k].split("\n\n") == [f"T {k}", "The same line on every page.", "point", "cell", f"said {k}", f"soup {k}", f"Paper {k}"]
+
+
+def test_comments_and_teasers_after_the_article_go(spark):
+    page = ("<h1>Head {k}</h1><p>lead of {k}</p><article><p>story {k} is long enough</p></article>"
+            "<section id=discussion><p>reader {k} says</p></section><div><p>Ann, 3 May</p><p>I liked {k}</p></div><div>Next: other {k}</div>")
+    cards = "<div><p>the body text of page {k}, longer than its cards</p></div><article>Card {k}a</article><article>Card {k}b</article>"
+    few = "<div>Subscribe now</div><article><p>text {k}</p></article>"
+    rows = [(k, f"http://a.example/{k}", page.format(k=k)) for k in range(9)]
+    rows += [(100 + k, f"http://b.example/{k}", cards.format(k=k)) for k in range(9)]
+    rows += [(200 + k, f"http://c{k}.example/", few.format(k=k)) for k in range(3)]
+    rows += [(300 + k, f"http://d.example/{k}", f"<div>Subscribe now</div><div>own text {k}</div>") for k in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in style_tree.main_text(df).collect()}
+    for k in range(9):
+        assert got[k] == f"Head {k}\n\nlead of {k}\n\nstory {k} is long enough"
+        assert got[100 + k].startswith(f"the body text of page {k}")
+    for k in range(3):
+        assert got[200 + k] == f"text {k}" and got[300 + k] == f"own text {k}"
+
+
+def test_names_like_noise():
+    level = style_tree.named_like_noise
+    assert [level(x) for x in ("ad", "ads-top", "relatedPosts", "SideBar", "side-bar", "comments-area", "site-footer c1", "x menu", "social_2")] == [2] * 9
+    assert [level(x) for x in ("share-quote", "menu-prices", "related-work", "has-comments", "content-sidebar-wrap")] == [1] * 5
+    assert [level(x) for x in ("", "story", "shareholders", "addendum", "header-image", "download")] == [0] * 6
+
+
 def test_noise_belongs_to_the_text_read_in_it():
     text = lambda source: style_tree.Page(source).main_text(lambda p, t: style_tree.NEUTRAL)
     assert text("<div>Article text <select><option>A</option></select></div>") == "Article text"
