@@ -11,6 +11,7 @@ The rules read words with their places ("mit@4 license@5"), so that capture grou
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -68,7 +69,37 @@ NAMES = (
     ("python", "psf", ("psf",), ("2 0",)),
     ("odbl", "odbl", ("odbl",), ("1 0",)),
     ("ofl", "ofl", ("ofl",), ("1 0", "1 1")),
+    ("cc-by-nc-sa", "cc by nc sa", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-nd", "cc by nc nd", ("cc",), ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-sa", "creative commons attribution non(?: |)commercial share(?: |)alike", ("creative",), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-nd", "creative commons attribution non(?: |)commercial no(?: |)deriv(?:ative)?s", ("creative",), ("2 0", "2 5", "3 0", "4 0")),
+    ("sspl", "server side public", ("server",), ("1 0", "1")),
+    ("sspl", "sspl", ("sspl",), ("1 0", "1")),
+    ("ms-pl", "microsoft public", ("microsoft",), ()),
+    ("ms-pl", "ms pl", ("ms",), ()),
+    ("ms-rl", "microsoft reciprocal", ("reciprocal",), ()),
+    ("elastic", "elastic", ("elastic",), ("1 0", "2 0")),
+    ("x11", "x11", ("x11",), ()),
+    ("openssl", "openssl", ("openssl",), ()),
+    ("php", "php", ("php",), ("3 0", "3 01")),
+    ("ruby", "ruby", ("ruby",), ()),
+    ("postgresql", "postgresql", ("postgresql",), ()),
+    ("ncsa", "(?:university of illinois )?ncsa(?: open source)?", ("ncsa",), ()),
+    ("afl", "academic free", ("academic",), ("2 1", "3 0")),
+    ("osl", "open software", ("open",), ("2 1", "3 0")),
+    ("busl", "business source", ("business",), ("1 1",)),
+    ("busl", "busl", ("busl",), ("1 1",)),
+    ("cecill", "cecill", ("cecill",), ("1 0", "2 0", "2 1")),
+    ("gfdl", "gnu free documentation", ("documentation",), ("1 1", "1 2", "1 3")),
+    ("gfdl", "gfdl", ("gfdl",), ("1 1", "1 2", "1 3")),
+    ("upl", "universal permissive", ("universal",), ("1 0",)),
+    ("bsd-0", "zero clause bsd", ("bsd",), ()),
+    ("qpl", "q public", ("q",), ("1 0",)),
+    ("polyform", "polyform noncommercial", ("polyform",), ("1 0 0",)),
+    ("blueoak", "blue oak model", ("oak",), ("1 0 0",)),
 )
+#: Short names that are no words: in a text about a license, "and mit" or "or gpl" names another one.
+SHORT_NAMES = ("mit", "bsd", "gpl", "lgpl", "agpl", "mpl", "epl", "isc", "cddl", "eupl", "wtfpl", "cc0", "sspl", "ofl", "odbl")
 #: How a text names a license: words around the name, the word of them that gates (none: the name's
 #: word alone), priority (smaller is better), weight.
 FRAMES = tuple(
@@ -100,6 +131,18 @@ PHRASES = (
     ("reserved", "all rights reserved", "reserved", 4, 0.9),
     ("copyright", "copyright (?:c )?(?:19|20)[0-9][0-9]", "copyright", 5, 0.5),
     ("public-domain", "(?:released|placed) (?:in|into|to) the public domain", "domain", 2, 0.9),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered", 1, 1.0),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee", "permission", 1, 1.0),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software", "organization", 1, 1.0),
+    ("zlib", "this software is provided as is without any express or implied warranty", "warranty", 1, 0.9),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license", "mozilla", 1, 1.0),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license", "lesser", 1, 1.0),
+    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license", "gnu", 1, 1.0),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license", "affero", 1, 1.0),
+    ("wtfpl", "do what the fuck you want to public license", "license", 1, 1.0),
+    ("cc0", "creative commons zero", "creative", 2, 0.9),
+    ("cc0", "no rights reserved", "reserved", 3, 0.8),
+    ("unlicense", "unlicense", "unlicense", 4, 0.9),
     ("proprietary", "confidential and proprietary", "proprietary", 3, 0.7),
     ("proprietary", "unauthorized (?:copying|reproduction|distribution)", "unauthorized", 3, 0.7),
 )
@@ -121,6 +164,11 @@ def signatures() -> list[Signature]:
         for key in keys:
             out += [Signature(label, f.format(name=name), (key, k) if k else (key,), p, w) for f, k, p, w in FRAMES]
             out += [Signature(label, words, (gate,), 1, 1.0) for words, gate in _version_tails(name, key, versions)]
+            if name in SHORT_NAMES:
+                out.append(Signature(label, f"dual licensed {name}", ("dual", key), 2, 0.95))
+                # the second name of "licensed under the X or Y"
+                out += [Signature(label, f"{word} {name}", (gate, key), 3, 0.8)
+                        for word in ("and", "or") for gate in ("licensed", "spdx", "dual")]
     return out
 
 
@@ -214,12 +262,18 @@ def scan(docs: DataFrame, rules: list[Signature] | None = None, id_col: str = "d
         return F.expr(f"""if(array_contains(keys, '{key}') and n >= {len(words)},
             filter(sequence(0, n - {len(words)}), i -> {same}), cast(array() as array<int>))""")
 
-    table = F.array(*[F.struct(F.array(*map(F.lit, s.keywords)).alias("keywords"), F.lit(p).alias("pattern"),
-                               F.lit(s.priority).alias("priority"), F.lit(s.label).alias("label"),
-                               F.lit(float(s.weight)).alias("weight")) for p, s in patterns])
+    # one literal: the rules by their first keyword, so a text meets only rules of its own words
+    by_word: dict[str, list] = {}
+    for p, s in patterns:
+        by_word.setdefault(s.keywords[0], []).append({
+            "keywords": s.keywords[1:], "pattern": p, "priority": s.priority, "label": s.label, "weight": float(s.weight)})
+    table = F.from_json(F.lit(json.dumps(by_word)), "map<string, array<struct<keywords: array<string>, pattern: string, "
+                                                    "priority: int, label: string, weight: double>>>")
+    own_rules = F.flatten(F.transform("keys", lambda k: F.coalesce(table[k], F.array().cast(
+        "array<struct<keywords:array<string>,pattern:string,priority:int,label:string,weight:double>>"))))
     found = gated.select(
         "doc_id", "n", "words", *[places(w, k).alias(f"b{j}") for j, (w, _, k) in enumerate(BASE)],
-        F.when(F.size("keys") > 0, F.filter(table, lambda r: F.forall(
+        F.when(F.size("keys") > 0, F.filter(own_rules, lambda r: F.forall(
             r["keywords"], lambda k: F.array_contains("keys", k)))).alias("rules"))
     placed = found.withColumn("placed", F.when(F.size("rules") > 0, F.array_join(
         F.transform("words", lambda w, i: F.concat(w, F.lit("@"), i.cast("string"))), " "))).drop("words")

@@ -402,14 +402,14 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         F.lower(F.coalesce(F.regexp_extract(url, r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit(""))).alias("host"),
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
     size = rows.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
-    groups = max(1, -(-size // BLOCK))
-    blocks = max(groups, shuffle_partitions(pages.sparkSession))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(blocks)).cast("int"))
+    # as many partitions as blocks, however few partitions a shuffle has by default
+    blocks = groups = max(shuffle_partitions(pages.sparkSession), -(-size // BLOCK))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
     contents = dealt.groupBy("block").applyInArrow(lambda t: _contents(t, groups), "block int, part int, keys binary")
-    first = contents.groupBy("part").applyInArrow(_first, "block int, keys binary")
+    first = contents.repartition(blocks, "part").groupBy("part").applyInArrow(_first, "block int, keys binary")
     asked = dealt.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(
         lambda t, f: _ask(t, f, groups), "block int, kind int, part int, keys binary, pages binary")
-    replies = asked.groupBy("kind", "part").applyInArrow(
+    replies = asked.repartition(blocks, "kind", "part").groupBy("kind", "part").applyInArrow(
         _merge, "block int, kind int, part int, counts binary, entropy binary")
     id_type = rows.schema["page_id"].dataType.simpleString()
     return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(

@@ -122,6 +122,13 @@ def test_license_labels_by_hand(spark):
         "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: GPL-2.0-only": "gpl",
         "SPDX-License-Identifier: BSD-3-Clause": "bsd", "SPDX-License-Identifier: EPL-2.0": "epl", "SPDX-License-Identifier: Unlicense": "unlicense",
         "licensed under the GPL": "gpl", "code is under the MIT": "mit", "released under the Unlicense": "unlicense", "MPL v2": "mpl",
+        "CC BY-NC-SA 4.0": "cc-by,cc-by-nc-sa", "CC-BY-NC-ND 3.0": "cc-by,cc-by-nc-nd", "Server Side Public License": "sspl",
+        "licensed under MIT and GPL": "gpl,mit", "dual licensed: MIT or Apache-2.0": "apache,mit", "Unlicense": "unlicense", "SSPL v1": "sspl",
+        "SPDX-License-Identifier: MIT OR GPL-3.0-or-later": "gpl,mit", "Microsoft Public License (MS-PL)": "ms-pl",
+        "Elastic License 2.0": "elastic", "X11 License": "x11", "OpenSSL License": "openssl", "PHP License 3.01": "php",
+        "Business Source License 1.1": "busl", "GNU Free Documentation License": "gfdl", "The PostgreSQL Licence": "postgresql",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "salt and mit": "", "open software is good": "", "a business source": "", "elastic 3.5 bands": "", "server side": "",
         "Apache 2 helicopters": "", "version 3 of a gplan": "", "a creative way to share alike": "", "v2 of the identifier": ""}
     df = spark.createDataFrame(list(enumerate(want)), "doc_id int, text string")
     got = {t: r.labels for t, r in zip(want, licenses.scan(df).orderBy("doc_id").collect())}
