@@ -123,11 +123,14 @@ class PrunedPairs:
         """One row: pairs of ratings that the plain join would form, pairs that are formed, item pairs whose sums are
         completed, and those above the strength."""
         d = self.all.groupBy("_u").agg(F.count(F.lit(1)).alias("_d"))
-        formed = lambda t, name: t.agg(F.coalesce(F.sum(F.expr("_d * (_d - 1) div 2")), F.lit(0)).alias(name))
-        count = lambda t, name: t.agg(F.count(F.lit(1)).alias(name))
-        # four one-row frames
-        return formed(d, "pairs_of_all").crossJoin(formed(self.degree.where("not _heavy"), "pairs_formed")).crossJoin(
-            count(self.open, "pairs_open")).crossJoin(count(self.pairs(), "pairs_strong"))
+        pairs = F.coalesce(F.sum(F.expr("_d * (_d - 1) div 2")), F.lit(0))
+        parts = {"pairs_of_all": d.agg(pairs.alias("n")), "pairs_formed": self.degree.where("not _heavy").agg(pairs.alias("n")),
+                 "pairs_open": self.open.agg(F.count(F.lit(1)).alias("n")), "pairs_strong": self.pairs().agg(F.count(F.lit(1)).alias("n"))}
+        rows = None  # four rows, one of each count
+        for name, part in parts.items():
+            row = part.select(F.lit(name).alias("name"), "n")
+            rows = row if rows is None else rows.unionByName(row)
+        return rows.agg(*[F.max(F.when(F.col("name") == c, F.col("n"))).alias(c) for c in parts])
 
 
 def similar_pairs(ratings: DataFrame, user: str, item: str, rating: str, min_score: float, min_strength: int) -> DataFrame:
