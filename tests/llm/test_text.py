@@ -1,4 +1,5 @@
 import re
+import zlib
 from array import array
 from collections import Counter
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkwright.llm import bpe, licenses, preference, quality_rules, style_tree
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 from tests.llm import brute
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -205,6 +206,56 @@ def test_ranking_learns_a_preference():
     assert r.weights[0] > 0 > r.weights[1] and abs(r.weights[2]) < 0.5 * r.weights[0]
 
 
+def plain_features(text):
+    """The features of one text, one character and one word at a time."""
+    from collections import Counter
+    w, size = brute.words(text), len(text.encode()) + 1  # the end mark is a line feed
+    if not w:
+        return [0.0] * len(preference.FEATURES)
+    n, chars = len(w), sum(len(x.encode()) for x in w)
+    share = lambda x, of: np.log1p(100 * x / of)
+    count = lambda chosen: sum(c in chosen for c in text)
+    top = max(Counter(zip(w, w[1:])).values(), default=0)
+    return [np.log1p(n), chars / n, share(sum(a == b for a, b in zip(w, w[1:])), n), len(set(w)) / n ** 0.9,
+            share(sum("A" <= c <= "Z" for c in text), size), share(count("#*$%&|<>{}[]~^=_@\\/+"), size), share(count("!"), size),
+            share(sum(c in "0123456789" for c in text), size), (size - chars) / size, share(count("\n") + 1, n),
+            np.log1p(max(len(x.encode()) for x in w)), share(max(top - 1, 0), n)]
+
+
+def test_scores_match_brute_force(spark):
+    """Scores of all documents from plain features, the weights as the minimum of the loss over the pairs, and the
+    threshold by trying every cut."""
+    docs, labels = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
+    ranking = preference.train(docs, labels)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    x = {i: np.array(plain_features(t)) for i, t in texts.items()}
+    known = sorted((r.doc_id, r.quality) for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 and r.doc_id in x)
+    z = np.array([x[i] for i, _ in known])
+    label = np.array([q for _, q in known])
+    mean, scale = z.mean(axis=0), np.where(z.std(axis=0) > 1e-9, z.std(axis=0), 1.0)
+    z = np.clip((z - mean) / scale, -8, 8)
+    rng = np.random.default_rng(7)
+    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    diff = z[rng.choice(good, preference.PAIRS)] - z[rng.choice(bad, preference.PAIRS)]
+
+    def loss(w):
+        return np.logaddexp(0, -(diff @ w)).mean() + preference.RIDGE / 2 * (w @ w)
+    w = ranking.weights
+    for k in range(len(w)):  # a minimum of a convex function
+        for step in (1e-3, -1e-3):
+            assert loss(w + step * np.eye(len(w))[k]) > loss(w)
+    latent = z @ w
+    cost = lambda cut: (preference.KEEP * ((latent < cut) & (label == 1)).sum() / len(good)
+                        + ((latent >= cut) & (label == 0)).sum() / len(bad))
+    cuts = np.sort(latent)
+    assert cost(ranking.threshold) <= min(cost(c) for c in np.r_[cuts - 1e-9, cuts + 1e-9]) + 1e-12
+    shift = np.log(0.3 / 0.7)
+    got = {r.doc_id: r.score for r in preference.score(docs, ranking).collect()}
+    for i, v in x.items():
+        want = 1 / (1 + np.exp(-(np.clip((v - mean) / scale, -8, 8) @ w - ranking.threshold + shift)))
+        assert abs(got[i] - want) < 1e-9, i
+
+
 # ------------------------------------------------------------------ HTML
 
 def article(source):
