@@ -161,7 +161,19 @@ def type_changes(spark, root):
     return both.join(counts, "after").select("column_name", "before", "after", "columns_of_type")
 
 
+def columns_by_type(spark, root):
+    """Means of the line items' columns of type double, chosen by type, per returned flag recoded to 0 and 1, with the
+    lines whose order number leaves no remainder by three."""
+    li = table(spark, root, "lineitem")
+    chosen = scalar.select_by_type(li, ["double"])
+    flag = scalar.recode_bool(F.col("l_returnflag") == "R").alias("returned")
+    return li.groupBy(flag).agg(
+        *[scalar.round_half_away(F.avg(c), 6).alias(f"mean_{c}") for c in chosen], F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("l_orderkey") % 3 == 0).alias("n_by_three"))
+
+
 JOBS = {
+    "columns_by_type": columns_by_type,
     "monthly_results": monthly_results,
     "month_read_back": month_read_back,
     "learned_schema": learned_schema,
@@ -188,6 +200,9 @@ def _z(seed):
 _WORD = " || ".join(f"CASE WHEN {k} <= floor({_u(45, 0)} * 4) + 2 THEN chr((97 + floor({_u(45, k)} * 26))::INT) ELSE '' END" for k in range(1, 6))
 
 ORACLE = {
+    "columns_by_type": """SELECT CAST(l_returnflag = 'R' AS INTEGER) AS returned, round(avg(l_quantity), 6) AS mean_l_quantity,
+        round(avg(l_extendedprice), 6) AS mean_l_extendedprice, round(avg(l_discount), 6) AS mean_l_discount, round(avg(l_tax), 6) AS mean_l_tax,
+        count(*) AS n, count(*) FILTER (l_orderkey % 3 = 0) AS n_by_three FROM lineitem GROUP BY 1""",
     "type_changes": f"""WITH p AS (SELECT column_name, before, CASE spark_type WHEN 'string+code' THEN 'string' ELSE spark_type END AS after
           FROM ({types_jobs.ORACLE['optimize_types']}) UNION ALL SELECT 'l_shipdate', 'timestamp_ntz', 'timestamp_ntz')
         SELECT column_name, before, after, count(*) OVER (PARTITION BY after) AS columns_of_type FROM p""",
