@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +98,19 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
+    def spaced(self) -> tuple[pa.Array, np.ndarray, bytes]:
+        """The words as an Arrow array, each with one space behind it, where each begins in
+        their bytes (and where the last ends), and these bytes."""
+        a = np.frombuffer(self.data, dtype=np.uint8)
+        step = np.zeros(len(a) + 1, dtype=np.int8)
+        step[self.start] = 1
+        step[self.end + 1] -= 1  # the byte behind a word is white space: it goes along
+        own = a[np.cumsum(step[:-1], dtype=np.int8).view(bool)]
+        begin = np.r_[0, np.cumsum(self.end - self.start + 1)]
+        own[begin[1:] - 1] = 0x20
+        data = own.tobytes()
+        return pa.Array.from_buffers(pa.large_binary(), len(self), [None, pa.py_buffer(begin), pa.py_buffer(data)]), begin, data
+
     def hashes(self, seed: int = 0) -> np.ndarray:
         """Eight bytes at a time; every step mixes by a bijection, so words of up to eight
         bytes and one length never collide."""

@@ -7,18 +7,21 @@ one holds about ``GROUP`` suffixes and fits in memory. Prefixes are counted over
 out those below half that share of its own suffixes, so no frequent prefix loses more than half its count,
 and the table keeps all that reach half the share in all, at most 2 MOST_PREFIXES of a length.
 
-A group's subtree is not built as a linked tree: words do not travel, but 64-bit fingerprints of the paths of
-depth ``size``, and the group sorts them. Equal ones are the leaves of one node of that depth, which is the only depth
-that decides here (repeats of at least ``size`` words). A node whose leaves come from several documents is a
-repeat; its smallest document keeps the words, the suffixes of every other document there are
-marked. Runs of marked suffixes in a document are its maximal repeats, and their words go.
+A group's subtree needs its nodes of depth ``size`` only, which decide here (repeats of at least
+``size`` words): a node is a path of ``size`` words, and its leaves are the suffixes that start with them. Paths are
+compared by their words. A node whose leaves come from several documents is a repeat; its smallest document keeps
+the words, the suffixes of every other document there are marked. Runs of marked suffixes in a
+document are its maximal repeats, and their words go.
 
 How it is laid out: documents are dealt into blocks of about ``BLOCK`` bytes by a hash, and each
-block finds its own repeats first, so it asks about a path once, however many copies it holds (a
-path that a third of all documents share gives one row per block, not one per document). A block
-sends each group one packed row of (path, smallest document) and gets back one bit per path. The
-block then marks its suffixes and cuts the texts. Texts are shuffled once; both steps read that
-exchange. Paths travel as 64-bit fingerprints beside their prefix group.
+block builds its own nodes first, so it asks about a path once, however many copies it holds (a
+path that a third of all documents share gives one row per block, not one per document). Words of all
+paths would be ``size`` times the input, so a sieve goes first: a block sends each group one packed
+row with 32 bits of each path and gets back which occur more than once there. Equal paths give equal
+bits, so no repeat is lost, and others that pass by chance only cost their transport. The paths that
+pass travel with their words and their smallest document, and the group's tree gives back one
+bit each. The block then marks its suffixes and cuts the texts. Texts are shuffled once; all
+three steps read that exchange.
 """
 
 from __future__ import annotations
@@ -33,10 +36,12 @@ from pyspark.sql import functions as F
 from sparkwright.llm.common import Words, bound_batches, materialise, mix64, shuffle_partitions
 
 #: Suffixes in a group, bytes of text in a block, frequent prefixes of one length (twice as many at most).
-GROUP, BLOCK, MOST_PREFIXES = 2_000_000, 3_000_000, 16_384
+GROUP, BLOCK, MOST_PREFIXES = 1_000_000, 3_000_000, 16_384
 #: Bytes of a word and its space, for the number of groups.
 WORD = 6
 SHORTEST = 3
+#: Bytes of paths that a tree takes in at a time.
+CHUNK = 64_000_000
 _PATH, _PREFIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -59,6 +64,22 @@ class Suffixes:
             h = h * _PATH + self.hash[self.at + k]
         return mix64(h)
 
+    def nodes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(path hash, first suffix) of each distinct path, and the path of each suffix. Suffixes
+        with one hash are compared word by word; those that differ become paths of their own."""
+        path = self.path()
+        _, first, of = np.unique(path, return_index=True, return_inverse=True)
+        word = np.asarray(self.words.spaced()[0].dictionary_encode().indices)
+        differ = np.zeros(len(path), dtype=bool)
+        for k in range(self.size):
+            differ |= word[self.at + k] != word[self.at[first[of]] + k]
+        if differ.any():
+            rows = np.flatnonzero(np.isin(of, of[differ]))
+            inside = np.unique(word[self.at[rows][:, None] + np.arange(self.size)], axis=0, return_inverse=True)[1]
+            of[rows] = len(first) + inside.ravel()
+            _, first, of = np.unique(of, return_index=True, return_inverse=True)
+        return path[first], first, of
+
     def prefixes(self, among: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(length, rows, prefix hashes) from SHORTEST words to ``size``; the caller sends back
         which of these rows go on to the next length."""
@@ -119,7 +140,7 @@ def _among(values: np.ndarray, table: np.ndarray | None) -> np.ndarray:
 
 class Block:
     """The distinct paths of a block of documents, each with the block's smallest document and its
-    prefix group; ``order`` lists them by (group, document, path), the order of the packed rows."""
+    prefix group; ``order`` lists them by (group, 32 bits of the path), the order of the packed rows."""
 
     def __init__(self, rows: pa.Table, size: int, table: dict[int, np.ndarray], groups: int):
         self.ids = rows.column("doc_id").combine_chunks()
@@ -128,8 +149,9 @@ class Block:
         self.texts = rows.column("text").to_pylist()
         self.s = s = Suffixes(self.texts, size, self.known)
         owner = self.number[s.text]
-        self.paths, first, self.of = np.unique(s.path(), return_index=True, return_inverse=True)
-        self.least = np.full(len(self.paths), np.iinfo(np.int64).max)
+        path, first, self.of = s.nodes()
+        self.first, self.finger = s.at[first], path >> np.uint64(32)
+        self.least = np.full(len(first), np.iinfo(np.int64).max)
         np.minimum.at(self.least, self.of, owner)
         group = np.zeros(len(first), dtype=np.uint64)
         walk, more = s.prefixes(first), None
@@ -142,30 +164,47 @@ class Block:
             where = where if more is None else where[more]
             group[where] = h
             more = _among(h, table.get(length))
-        self.group = (group % np.uint64(groups)).astype(np.int64)
-        self.documents, rank = np.unique(self.least, return_inverse=True)
-        self.order = np.argsort(self.group * max(1, len(self.documents)) + rank, kind="stable")
-
-    def packed(self) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-        """(group, documents, paths of each, paths) with documents as differences, in byte planes
-        (small numbers leave planes of zeros, which compress away)."""
-        g = self.group[self.order]
+        group %= np.uint64(groups)
+        self.order = np.argsort(group << np.uint64(32) | self.finger, kind="stable")
+        g = group[self.order].astype(np.int64)
         cut = np.flatnonzero(np.diff(g, prepend=-1, append=np.iinfo(np.int64).max))
-        for a, b in zip(cut[:-1], cut[1:]):
-            rows = self.order[a:b]
+        #: group: its part of ``order``
+        self.parts = {int(g[a]): self.order[a:b] for a, b in zip(cut[:-1], cut[1:])}
+
+    def sieved(self) -> Iterator[tuple[int, bytes]]:
+        """(group, 32 bits of each path), sorted, as differences."""
+        for g, rows in self.parts.items():
+            yield g, planes(np.diff(self.finger[rows].astype(np.int64), prepend=0), 4)
+
+    def _passed(self, g: int, among: bytes) -> np.ndarray:
+        """The group's paths that passed the sieve, by (document, place)."""
+        rows = self.parts[g]
+        rows = rows[np.unpackbits(np.frombuffer(among, dtype=np.uint8), count=len(rows)).astype(bool)]
+        return rows[np.lexsort((self.first[rows], self.least[rows]))]
+
+    def told(self, sieve: dict[int, bytes]) -> Iterator[tuple[int, bytes, bytes, bytes, bytes, int]]:
+        """(group, which paths passed, documents, paths of each, words of the paths, their bytes)
+        with documents as differences, in byte planes (small numbers leave planes of zeros, which
+        compress away). Every word of a path has a space behind it."""
+        _, begin, data = self.s.words.spaced()
+        for g, among in sieve.items():
+            rows = self._passed(g, among)
+            if not len(rows):
+                continue
             d = self.least[rows]
             run = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-            yield (int(g[a]), planes(np.diff(d[run], prepend=0)),
-                   planes(np.diff(np.r_[run, b - a])), self.paths[rows].tobytes())
-
-    def marked(self, answers: dict[int, bytes]) -> np.ndarray:
-        """Which suffixes go: those whose path starts in a smaller document."""
-        g = self.group[self.order]
-        bits = np.zeros(len(self.paths), dtype=bool)
-        cut = np.flatnonzero(np.diff(g, prepend=-1, append=np.iinfo(np.int64).max))
-        for a, b in zip(cut[:-1], cut[1:]):
-            got = np.unpackbits(np.frombuffer(answers[int(g[a])], dtype=np.uint8), count=b - a)
-            bits[self.order[a:b]] = got.astype(bool)
+            at = self.first[rows]
+            words = b"".join([data[a:b] for a, b in zip(begin[at].tolist(), begin[at + self.s.size].tolist())])
+            yield (g, among, planes(np.diff(d[run], prepend=0)), planes(np.diff(np.r_[run, len(rows)])),
+                   pa.compress(words, codec="zstd", asbytes=True), len(words))
+
+    def marked(self, answers: dict[int, tuple[bytes, bytes]]) -> np.ndarray:
+        """Which suffixes go: those whose path starts in a smaller document. ``answers``: of each
+        group, which paths passed and which of these start in a smaller document of another block."""
+        bits = np.zeros(len(self.first), dtype=bool)
+        for g, (among, later) in answers.items():
+            rows = self._passed(g, among)
+            bits[rows] = np.unpackbits(np.frombuffer(later, dtype=np.uint8), count=len(rows)).astype(bool)
         return bits[self.of] | (self.number[self.s.text] > self.least[self.of])
 
     def covered(self, marked: np.ndarray) -> np.ndarray:
@@ -176,34 +215,74 @@ class Block:
         return np.cumsum(step[:-1]) > 0
 
 
-def planes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<i8")).view(np.uint8).reshape(-1, 8).T.tobytes()
+def planes(values: np.ndarray, width: int = 8) -> bytes:
+    return np.ascontiguousarray(values.astype(f"<i{width}")).view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def unplanes(data: bytes, width: int = 8) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(f"<i{width}").ravel()
+
 
+def sieve(rows: pa.Table) -> pa.Table:
+    """One group: for every path of every block, whether its 32 bits occur more than once."""
+    fingers = [np.cumsum(unplanes(x, 4).astype(np.int64)).astype(np.uint32) for x in rows.column("fingers").to_pylist()]
+    sizes = list(map(len, fingers))
+    finger = np.concatenate(fingers)
+    del fingers
+    order = np.argsort(finger)
+    leaf = finger[order]
+    same = leaf[1:] == leaf[:-1]
+    more = np.empty(len(finger), dtype=bool)
+    more[order] = np.r_[False, same] | np.r_[same, False]
+    ends = np.cumsum(sizes)
+    bits = [np.packbits(more[e - n:e]).tobytes() for e, n in zip(ends, sizes)]
+    return pa.table({"block": rows.column("block"), "part": rows.column("part"), "among": pa.array(bits, pa.binary())})
+
+
+class Tree:
+    """Nodes of depth ``size`` by the words of their paths. Paths come in chunks; only distinct
+    ones are kept, in order of arrival, so a node keeps its number."""
+
+    def __init__(self, size: int):
+        self.size, self.paths = size, pa.array([], pa.large_binary())
+        self.wait: list[pa.Array] = []
+        self.wait_bytes, self.codes = 0, []
 
-def unplanes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+    def add(self, words: bytes) -> None:
+        spaces = np.flatnonzero(np.frombuffer(words, dtype=np.uint8) == 0x20)
+        ends = np.r_[0, spaces[self.size - 1::self.size] + 1].astype(np.int64)
+        self.wait.append(pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(words)]))
+        self.wait_bytes += len(words)
+        if self.wait_bytes > CHUNK:
+            self.take_in()
 
+    def take_in(self) -> None:
+        known = len(self.paths)
+        coded = pa.concat_arrays([self.paths, *self.wait]).dictionary_encode()
+        self.paths, self.wait, self.wait_bytes = coded.dictionary, [], 0
+        self.codes.append(np.asarray(coded.indices)[known:].astype(np.int32))
 
-def _answers(rows: pa.Table) -> pa.Table:
+    def nodes(self) -> np.ndarray:
+        """The node of every path added, in order."""
+        self.take_in()
+        return np.concatenate(self.codes)
+
+
+def answers(rows: pa.Table, size: int) -> pa.Table:
     """One group: for every path of every block, whether a smaller document has it."""
-    paths, owners, sizes = [], [], []
-    for docs, counts, path in zip(*(rows.column(c).to_pylist() for c in ("documents", "counts", "paths"))):
-        p = np.frombuffer(path, dtype=np.uint64)
-        paths.append(p)
-        owners.append(np.repeat(np.cumsum(unplanes(docs)), unplanes(counts)))
-        sizes.append(len(p))
-    path, owner = np.concatenate(paths), np.concatenate(owners)
-    del paths, owners
-    order = np.argsort(path)  # leaves in path order
-    leaf, owner_of = path[order], owner[order]
-    node = np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1]])
-    least = np.minimum.reduceat(owner_of, node)
-    later = np.empty(len(path), dtype=bool)
-    later[order] = owner_of > np.repeat(least, np.diff(np.r_[node, len(path)]))
+    tree, owners, sizes = Tree(size), [], []
+    for docs, counts, words, n in zip(*(rows.column(c) for c in ("documents", "counts", "words", "bytes"))):
+        tree.add(pa.decompress(words.as_buffer(), n.as_py(), codec="zstd", asbytes=True))
+        owners.append(np.repeat(np.cumsum(unplanes(docs.as_py())), unplanes(counts.as_py())))
+        sizes.append(len(owners[-1]))
+    node, owner = tree.nodes(), np.concatenate(owners)
+    least = np.full(len(tree.paths), np.iinfo(np.int64).max)
+    np.minimum.at(least, node, owner)
+    later = owner > least[node]
     ends = np.cumsum(sizes)
     bits = [np.packbits(later[e - n:e]).tobytes() for e, n in zip(ends, sizes)]
-    return pa.table({"block": rows.column("block"), "part": rows.column("part"),
-                     "bits": pa.array(bits, pa.binary())})
+    return pa.table({"block": rows.column("block"), "part": rows.column("part"), "among": rows.column("among"),
+                     "later": pa.array(bits, pa.binary())})
 
 
 def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
@@ -230,18 +309,25 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def ask(rows: pa.Table) -> pa.Table:
-        block = rows.column("block")[0].as_py()
-        out = list(Block(rows, size, table, groups).packed())
-        return pa.table({"block": pa.array([block] * len(out), pa.int32()),
+        out = list(Block(rows, size, table, groups).sieved())
+        return pa.table({"block": pa.array([rows.column("block")[0].as_py()] * len(out), pa.int32()),
                          "part": pa.array([x[0] for x in out], pa.int32()),
-                         "documents": pa.array([x[1] for x in out], pa.binary()),
-                         "counts": pa.array([x[2] for x in out], pa.binary()),
-                         "paths": pa.array([x[3] for x in out], pa.binary())})
+                         "fingers": pa.array([x[1] for x in out], pa.binary())})
+
+    def tell(rows: pa.Table, replies: pa.Table) -> pa.Table:
+        out = list(Block(rows, size, table, groups).told(dict(zip(*(replies.column(c).to_pylist() for c in ("part", "among"))))))
+        names = ("part", "among", "documents", "counts", "words", "bytes")
+        kinds = (pa.int32(), *[pa.binary()] * 4, pa.int64())
+        return pa.table({"block": pa.array([rows.column("block")[0].as_py()] * len(out), pa.int32())}
+                        | {c: pa.array([x[k] for x in out], kind) for k, (c, kind) in enumerate(zip(names, kinds))})
+
+    def decide(rows: pa.Table) -> pa.Table:
+        return answers(rows, size)
 
     def cut(rows: pa.Table, replies: pa.Table) -> pa.Table:
         b = Block(rows, size, table, groups)
-        gone = b.covered(b.marked(dict(zip(replies.column("part").to_pylist(),
-                                           replies.column("bits").to_pylist()))))
+        part, among, later = (replies.column(c).to_pylist() for c in ("part", "among", "later"))
+        gone = b.covered(b.marked(dict(zip(part, zip(among, later)))))
         w, n_words, n_gone, spans, kept = b.s.words, [], [], [], []
         total = np.r_[0, np.cumsum(gone)]
         for i, text in enumerate(b.texts):
@@ -269,9 +355,11 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
                          "text": pa.array(kept, pa.string())}
                         | {f"carry_{k}": rows.column(f"carry_{k}") for k in range(len(carry))})
 
-    asked = dealt.groupBy("block").applyInArrow(
-        ask, "block int, part int, documents binary, counts binary, paths binary")
-    replies = asked.groupBy("part").applyInArrow(_answers, "block int, part int, bits binary")
+    asked = dealt.groupBy("block").applyInArrow(ask, "block int, part int, fingers binary")
+    passed = asked.groupBy("part").applyInArrow(sieve, "block int, part int, among binary")
+    told = dealt.groupBy("block").cogroup(passed.groupBy("block")).applyInArrow(
+        tell, "block int, part int, among binary, documents binary, counts binary, words binary, bytes long")
+    replies = told.groupBy("part").applyInArrow(decide, "block int, part int, among binary, later binary")
     kinds = "".join(f", carry_{k} {texts.schema[f'carry_{k}'].dataType.simpleString()}" for k in range(len(carry)))
     out = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         cut, "doc_id long, n_words long, n_removed long, "

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkwright.llm import simhash, substrings
@@ -47,6 +48,36 @@ def test_substring_dedup_matches_brute_force(spark, passages, monkeypatch, limit
     check_substrings(substrings.remove_repeats(df, 13), passages)
 
 
+@pytest.mark.parametrize("hashes", [1, 3, 1 << 62])
+def test_substring_repeats_are_compared_by_words(passages, monkeypatch, hashes):
+    """Paths of few different hashes: neither a block's nodes nor a group's tree may mix them up."""
+    path = substrings.Suffixes.path
+    monkeypatch.setattr(substrings.Suffixes, "path", lambda self: path(self) % np.uint64(hashes) << np.uint64(32))
+    monkeypatch.setattr(substrings, "CHUNK", 500)
+    rows = passages + [(None, passages[-1][1])]
+    tables = [pa.table({"doc_id": [i for i, _ in part], "text": [t for _, t in part]}) for part in (rows[k::5] for k in range(5))]
+    blocks = [substrings.Block(t, 13, {}, 2) for t in tables]
+    asked = [(k, *x) for k, b in enumerate(blocks) for x in b.sieved()]
+    among = [{} for _ in blocks]
+    for g in range(2):
+        out = substrings.sieve(pa.table(dict(zip(("block", "part", "fingers"), zip(*[x for x in asked if x[1] == g])))))
+        for r in out.to_pylist():
+            among[r["block"]][g] = r["among"]
+    told = [(k, *x) for k, b in enumerate(blocks) for x in b.told(among[k])]
+    later = [{} for _ in blocks]
+    names = ("block", "part", "among", "documents", "counts", "words", "bytes")
+    for g in range(2):
+        out = substrings.answers(pa.table(dict(zip(names, zip(*[x for x in told if x[1] == g])))), 13)
+        for r in out.to_pylist():
+            later[r["block"]][g] = (r["among"], r["later"])
+    whole = brute.covered([r for r in rows if r[0] is not None], 13) + [set()]
+    for k, b in enumerate(blocks):
+        gone = b.covered(b.marked(later[k]))
+        first = b.s.words.first
+        for j, want in enumerate(whole[k::5]):
+            assert set(np.flatnonzero(gone[first[j]:first[j + 1]]).tolist()) == set(want)
+
+
 def test_substring_dedup_edges(spark, edge, edge_rows, nothing):
     check_substrings(substrings.remove_repeats(edge, 13), edge_rows)
     assert substrings.remove_repeats(nothing, 13).count() == 0
