@@ -70,11 +70,15 @@ class Suffixes:
         path = self.path()
         _, first, of = np.unique(path, return_index=True, return_inverse=True)
         word = np.asarray(self.words.spaced()[0].dictionary_encode().indices)
-        differ = np.zeros(len(path), dtype=bool)
+        again = np.ones(len(path), dtype=bool)
+        again[first] = False
+        again = np.flatnonzero(again)
+        here, there = self.at[again], self.at[first[of[again]]]
+        differ = np.zeros(len(again), dtype=bool)
         for k in range(self.size):
-            differ |= word[self.at + k] != word[self.at[first[of]] + k]
+            differ |= word[here + k] != word[there + k]
         if differ.any():
-            rows = np.flatnonzero(np.isin(of, of[differ]))
+            rows = np.flatnonzero(np.isin(of, of[again[differ]]))
             inside = np.unique(word[self.at[rows][:, None] + np.arange(self.size)], axis=0, return_inverse=True)[1]
             of[rows] = len(first) + inside.ravel()
             _, first, of = np.unique(of, return_index=True, return_inverse=True)
