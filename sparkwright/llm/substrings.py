@@ -17,7 +17,7 @@ How it is laid out: documents are dealt into blocks of about ``BLOCK`` bytes by
 block builds its own nodes first, so it asks about a path once, however many copies it holds (a
 path that a third of all documents share gives one row per block, not one per document). Words of all
 paths would be ``size`` times the input, so a sieve goes first: a block sends each group one packed
-row with 32 bits of each path and gets back which occur more than once there. Equal paths give equal
+row with ``BITS`` bits of each path and gets back which occur more than once there. Equal paths give equal
 bits, so no repeat is lost, and others that pass by chance only cost their transport. The paths that
 pass travel with their words and their smallest document, and the group's tree gives back one
 bit each. The block then marks its suffixes and cuts the texts. Texts are shuffled once; all
@@ -36,10 +36,12 @@ from pyspark.sql import functions as F
 from sparkwright.llm.common import Words, bound_batches, materialise, mix64, shuffle_partitions
 
 #: Suffixes in a group, bytes of text in a block, frequent prefixes of one length (twice as many at most).
-GROUP, BLOCK, MOST_PREFIXES = 1_000_000, 3_000_000, 16_384
+GROUP, BLOCK, MOST_PREFIXES = 2_000_000, 3_000_000, 16_384
 #: Bytes of a word and its space, for the number of groups.
 WORD = 6
 SHORTEST = 3
+#: Bits of a path that the sieve compares: many more values than a group has suffixes.
+BITS = 28
 #: Bytes of paths that a tree takes in at a time.
 CHUNK = 64_000_000
 _PATH, _PREFIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -144,7 +146,7 @@ def _among(values: np.ndarray, table: np.ndarray | None) -> np.ndarray:
 
 class Block:
     """The distinct paths of a block of documents, each with the block's smallest document and its
-    prefix group; ``order`` lists them by (group, 32 bits of the path), the order of the packed rows."""
+    prefix group; ``order`` lists them by (group, ``BITS`` bits of the path), the order of the packed rows."""
 
     def __init__(self, rows: pa.Table, size: int, table: dict[int, np.ndarray], groups: int):
         self.ids = rows.column("doc_id").combine_chunks()
@@ -154,7 +156,7 @@ class Block:
         self.s = s = Suffixes(self.texts, size, self.known)
         owner = self.number[s.text]
         path, first, self.of = s.nodes()
-        self.first, self.finger = s.at[first], path >> np.uint64(32)
+        self.first, self.finger = s.at[first], path >> np.uint64(64 - BITS)
         self.least = np.full(len(first), np.iinfo(np.int64).max)
         np.minimum.at(self.least, self.of, owner)
         group = np.zeros(len(first), dtype=np.uint64)
@@ -169,16 +171,16 @@ class Block:
             group[where] = h
             more = _among(h, table.get(length))
         group %= np.uint64(groups)
-        self.order = np.argsort(group << np.uint64(32) | self.finger, kind="stable")
+        self.order = np.argsort(group << np.uint64(BITS) | self.finger, kind="stable")
         g = group[self.order].astype(np.int64)
         cut = np.flatnonzero(np.diff(g, prepend=-1, append=np.iinfo(np.int64).max))
         #: group: its part of ``order``
         self.parts = {int(g[a]): self.order[a:b] for a, b in zip(cut[:-1], cut[1:])}
 
     def sieved(self) -> Iterator[tuple[int, bytes]]:
-        """(group, 32 bits of each path), sorted, as differences."""
+        """(group, ``BITS`` bits of each path), sorted, as differences."""
         for g, rows in self.parts.items():
-            yield g, planes(np.diff(self.finger[rows].astype(np.int64), prepend=0), 4)
+            yield g, packed(planes(np.diff(self.finger[rows].astype(np.int64), prepend=0), 4), 1)
 
     def _passed(self, g: int, among: bytes) -> np.ndarray:
         """The group's paths that passed the sieve, by (document, place)."""
@@ -186,8 +188,8 @@ class Block:
         rows = rows[np.unpackbits(np.frombuffer(among, dtype=np.uint8), count=len(rows)).astype(bool)]
         return rows[np.lexsort((self.first[rows], self.least[rows]))]
 
-    def told(self, sieve: dict[int, bytes]) -> Iterator[tuple[int, bytes, bytes, bytes, bytes, int]]:
-        """(group, which paths passed, documents, paths of each, words of the paths, their bytes)
+    def told(self, sieve: dict[int, bytes]) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+        """(group, which paths passed, documents, paths of each, words of the paths)
         with documents as differences, in byte planes (small numbers leave planes of zeros, which
         compress away). Every word of a path has a space behind it."""
         _, begin, data = self.s.words.spaced()
@@ -200,7 +202,7 @@ class Block:
             at = self.first[rows]
             words = b"".join([data[a:b] for a, b in zip(begin[at].tolist(), begin[at + self.s.size].tolist())])
             yield (g, among, planes(np.diff(d[run], prepend=0)), planes(np.diff(np.r_[run, len(rows)])),
-                   pa.compress(words, codec="zstd", asbytes=True), len(words))
+                   packed(words, 6))
 
     def marked(self, answers: dict[int, tuple[bytes, bytes]]) -> np.ndarray:
         """Which suffixes go: those whose path starts in a smaller document. ``answers``: of each
@@ -219,6 +221,14 @@ class Block:
         return np.cumsum(step[:-1]) > 0
 
 
+def packed(data: bytes, level: int) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", level).compress(data, asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
 def planes(values: np.ndarray, width: int = 8) -> bytes:
     return np.ascontiguousarray(values.astype(f"<i{width}")).view(np.uint8).reshape(-1, width).T.tobytes()
 
@@ -228,8 +238,8 @@ def unplanes(data: bytes, width: int = 8) -> np.ndarray:
 
 
 def sieve(rows: pa.Table) -> pa.Table:
-    """One group: for every path of every block, whether its 32 bits occur more than once."""
-    fingers = [np.cumsum(unplanes(x, 4).astype(np.int64)).astype(np.uint32) for x in rows.column("fingers").to_pylist()]
+    """One group: for every path of every block, whether its ``BITS`` bits occur more than once."""
+    fingers = [np.cumsum(unplanes(unpacked(x), 4)) for x in rows.column("fingers").to_pylist()]
     sizes = list(map(len, fingers))
     finger = np.concatenate(fingers)
     del fingers
@@ -275,9 +285,9 @@ class Tree:
 def answers(rows: pa.Table, size: int) -> pa.Table:
     """One group: for every path of every block, whether a smaller document has it."""
     tree, owners, sizes = Tree(size), [], []
-    for docs, counts, words, n in zip(*(rows.column(c) for c in ("documents", "counts", "words", "bytes"))):
-        tree.add(pa.decompress(words.as_buffer(), n.as_py(), codec="zstd", asbytes=True))
-        owners.append(np.repeat(np.cumsum(unplanes(docs.as_py())), unplanes(counts.as_py())))
+    for docs, counts, words in zip(*(rows.column(c).to_pylist() for c in ("documents", "counts", "words"))):
+        tree.add(unpacked(words))
+        owners.append(np.repeat(np.cumsum(unplanes(docs)), unplanes(counts)))
         sizes.append(len(owners[-1]))
     node, owner = tree.nodes(), np.concatenate(owners)
     least = np.full(len(tree.paths), np.iinfo(np.int64).max)
@@ -320,8 +330,8 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
 
     def tell(rows: pa.Table, replies: pa.Table) -> pa.Table:
         out = list(Block(rows, size, table, groups).told(dict(zip(*(replies.column(c).to_pylist() for c in ("part", "among"))))))
-        names = ("part", "among", "documents", "counts", "words", "bytes")
-        kinds = (pa.int32(), *[pa.binary()] * 4, pa.int64())
+        names = ("part", "among", "documents", "counts", "words")
+        kinds = (pa.int32(), *[pa.binary()] * 4)
         return pa.table({"block": pa.array([rows.column("block")[0].as_py()] * len(out), pa.int32())}
                         | {c: pa.array([x[k] for x in out], kind) for k, (c, kind) in enumerate(zip(names, kinds))})
 
@@ -362,7 +372,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, keep_layout: bool = False,
     asked = dealt.groupBy("block").applyInArrow(ask, "block int, part int, fingers binary")
     passed = asked.groupBy("part").applyInArrow(sieve, "block int, part int, among binary")
     told = dealt.groupBy("block").cogroup(passed.groupBy("block")).applyInArrow(
-        tell, "block int, part int, among binary, documents binary, counts binary, words binary, bytes long")
+        tell, "block int, part int, among binary, documents binary, counts binary, words binary")
     replies = told.groupBy("part").applyInArrow(decide, "block int, part int, among binary, later binary")
     kinds = "".join(f", carry_{k} {texts.schema[f'carry_{k}'].dataType.simpleString()}" for k in range(len(carry)))
     out = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(

@@ -52,7 +52,7 @@ def test_substring_dedup_matches_brute_force(spark, passages, monkeypatch, limit
 def test_substring_repeats_are_compared_by_words(passages, monkeypatch, hashes):
     """Paths of few different hashes: neither a block's nodes nor a group's tree may mix them up."""
     path = substrings.Suffixes.path
-    monkeypatch.setattr(substrings.Suffixes, "path", lambda self: path(self) % np.uint64(hashes) << np.uint64(32))
+    monkeypatch.setattr(substrings.Suffixes, "path", lambda self: path(self) % np.uint64(hashes) << np.uint64(64 - substrings.BITS))
     monkeypatch.setattr(substrings, "CHUNK", 500)
     rows = passages + [(None, passages[-1][1])]
     tables = [pa.table({"doc_id": [i for i, _ in part], "text": [t for _, t in part]}) for part in (rows[k::5] for k in range(5))]
@@ -65,7 +65,7 @@ def test_substring_repeats_are_compared_by_words(passages, monkeypatch, hashes):
             among[r["block"]][g] = r["among"]
     told = [(k, *x) for k, b in enumerate(blocks) for x in b.told(among[k])]
     later = [{} for _ in blocks]
-    names = ("block", "part", "among", "documents", "counts", "words", "bytes")
+    names = ("block", "part", "among", "documents", "counts", "words")
     for g in range(2):
         out = substrings.answers(pa.table(dict(zip(names, zip(*[x for x in told if x[1] == g])))), 13)
         for r in out.to_pylist():
