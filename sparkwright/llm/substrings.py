@@ -146,7 +146,10 @@ def _among(values: np.ndarray, table: np.ndarray | None) -> np.ndarray:
 
 class Block:
     """The distinct paths of a block of documents, each with the block's smallest document and its
-    prefix group; ``order`` lists them by (group, ``BITS`` bits of the path), the order of the packed rows."""
+    prefix group; ``order`` lists them by (group, ``BITS`` bits of the path), the order of the packed rows.
+
+    Every step builds the block anew, and an exchange may hand over its rows in another order each time. Answers are
+    matched to paths by their order, so that goes by ``place``: where a path would first stand if the rows were sorted."""
 
     def __init__(self, rows: pa.Table, size: int, table: dict[int, np.ndarray], groups: int):
         self.ids = rows.column("doc_id").combine_chunks()
@@ -157,8 +160,9 @@ class Block:
         owner = self.number[s.text]
         path, first, self.of = s.nodes()
         self.first, self.finger = s.at[first], path >> np.uint64(64 - BITS)
-        self.least = np.full(len(first), np.iinfo(np.int64).max)
+        self.least, self.place = (np.full(len(first), np.iinfo(np.int64).max) for _ in range(2))
         np.minimum.at(self.least, self.of, owner)
+        np.minimum.at(self.place, self.of, s.at + self._moved()[s.text])
         group = np.zeros(len(first), dtype=np.uint64)
         walk, more = s.prefixes(first), None
         where = np.arange(len(first))
@@ -171,22 +175,35 @@ class Block:
             group[where] = h
             more = _among(h, table.get(length))
         group %= np.uint64(groups)
-        self.order = np.argsort(group << np.uint64(BITS) | self.finger, kind="stable")
+        key = group << np.uint64(BITS) | self.finger
+        self.order = np.argsort(key, kind="stable")
+        same = np.diff(key[self.order]) == 0
+        tied = np.flatnonzero(np.r_[False, same] | np.r_[same, False]) if len(key) else np.zeros(0, dtype=np.int64)
+        rows = self.order[tied]
+        self.order[tied] = rows[np.lexsort((self.place[rows], key[rows]))]
         g = group[self.order].astype(np.int64)
         cut = np.flatnonzero(np.diff(g, prepend=-1, append=np.iinfo(np.int64).max))
         #: group: its part of ``order``
         self.parts = {int(g[a]): self.order[a:b] for a, b in zip(cut[:-1], cut[1:])}
 
+    def _moved(self) -> np.ndarray:
+        """How far the words of each row move if the rows are sorted by document and text."""
+        order = np.array(sorted(range(len(self.texts)), key=lambda k: (not self.known[k], self.number[k], self.texts[k])), dtype=np.int64)
+        first = self.s.words.first
+        begin = np.empty(len(order), dtype=np.int64)
+        begin[order] = np.cumsum(np.r_[0, np.diff(first)[order]])[:-1]
+        return begin - first[:-1]
+
     def sieved(self) -> Iterator[tuple[int, bytes]]:
         """(group, ``BITS`` bits of each path), sorted, as differences."""
         for g, rows in self.parts.items():
             yield g, packed(planes(np.diff(self.finger[rows].astype(np.int64), prepend=0), 4), 1)
 
     def _passed(self, g: int, among: bytes) -> np.ndarray:
-        """The group's paths that passed the sieve, by (document, place)."""
+        """The group's paths that passed the sieve, by (smallest document, place)."""
         rows = self.parts[g]
         rows = rows[np.unpackbits(np.frombuffer(among, dtype=np.uint8), count=len(rows)).astype(bool)]
-        return rows[np.lexsort((self.first[rows], self.least[rows]))]
+        return rows[np.lexsort((self.place[rows], self.least[rows]))]
 
     def told(self, sieve: dict[int, bytes]) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
         """(group, which paths passed, documents, paths of each, words of the paths)

@@ -78,6 +78,40 @@ def test_substring_repeats_are_compared_by_words(passages, monkeypatch, hashes):
             assert set(np.flatnonzero(gone[first[j]:first[j + 1]]).tolist()) == set(want)
 
 
+@pytest.mark.parametrize("hashes", [1, 3, 1 << 62])
+def test_substring_blocks_may_be_read_in_another_order_each_time(monkeypatch, hashes):
+    """Every step builds its blocks from rows in an order of its own (as an exchange between machines hands them over)."""
+    path = substrings.Suffixes.path
+    monkeypatch.setattr(substrings.Suffixes, "path", lambda self: path(self) % np.uint64(hashes) << np.uint64(64 - substrings.BITS))
+    rng = random.Random(9)
+    words = [f"v{k}" for k in range(400)]
+    shared = [text_of(rng, words, 30) for _ in range(12)]
+    rows = [(k, " ".join(x for _ in range(4) for x in (rng.choice(shared), text_of(rng, words, rng.randint(0, 3))))) for k in rng.sample(range(90), 60)]
+    rows += [rows[3], (rows[4][0], rows[5][1]), (None, rows[6][1])]
+
+    def step():
+        order = [rng.sample(rows[k::3], len(rows[k::3])) for k in range(3)]
+        return [substrings.Block(pa.table({"doc_id": [i for i, _ in part], "text": [t for _, t in part]}), 13, {}, 2) for part in order]
+
+    def exchanged(found, names, group):
+        out = [{} for _ in range(3)]
+        for g in range(2):
+            for r in group(pa.table(dict(zip(names, zip(*[x for x in found if x[1] == g]))))).to_pylist():
+                out[r["block"]][g] = r
+        return out
+    among = exchanged([(k, *x) for k, b in enumerate(step()) for x in b.sieved()], ("block", "part", "fingers"), substrings.sieve)
+    told = [(k, *x) for k, b in enumerate(step()) for x in b.told({g: r["among"] for g, r in among[k].items()})]
+    later = exchanged(told, ("block", "part", "among", "documents", "counts", "words"), lambda t: substrings.answers(t, 13))
+    got, want = Counter(), Counter()
+    for k, b in enumerate(step()):
+        gone = b.covered(b.marked({g: (r["among"], r["later"]) for g, r in later[k].items()}))
+        for j, (i, t) in enumerate(zip(b.ids.to_pylist(), b.texts)):
+            got[i, t, tuple(np.flatnonzero(gone[b.s.words.first[j]:b.s.words.first[j + 1]]).tolist())] += 1
+    for (i, t), gone in zip(rows, brute.covered(rows, 13)):
+        want[i, t, tuple(sorted(gone))] += 1
+    assert got == want
+
+
 def test_substring_dedup_edges(spark, edge, edge_rows, nothing):
     check_substrings(substrings.remove_repeats(edge, 13), edge_rows)
     assert substrings.remove_repeats(nothing, 13).count() == 0
