@@ -5,11 +5,10 @@ For items a < b rated by common users u the reference computes
     strength(a, b) = number of common users,
 where all sums run over the common users only.
 
-The ratings are joined with themselves on the user with a < b (so half of all
-pairs is formed), and the four sums are added up inside the join's tasks before
-the pairs are shuffled: what moves is one row per pair and task, not one per
-pair and user. A user with very many ratings is split by adaptive skew handling,
-which deals one side of the user's rows over several tasks.
+Users are dealt into blocks, which form the pairs a < b of each user's ratings (so
+half of all pairs); the four sums travel packed to groups of pairs, which add them
+up (:mod:`sparkwright.operators.pair_sums`). A user with very many ratings is dealt
+over several blocks.
 """
 
 from __future__ import annotations
@@ -17,10 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.operators.pair_sums import pair_sums
 from sparkwright.session import write_shared
 
 #: Ratings of a user beyond which the pairs of the user's items are formed in a grid of tasks.
-GRID = 2_000
+GRID = 1_000
 
 
 def cosine_pairs(ratings: DataFrame, user: str, item: str, rating: str,
@@ -31,13 +31,9 @@ def cosine_pairs(ratings: DataFrame, user: str, item: str, rating: str,
     ``ratings`` must hold one row per (user, item); ids may be of any orderable type, rows with a
     null user, item or rating take no part. A pair without length has score 0.
     """
-    r = ratings.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(rating).cast("double").alias("_x")) \
-        .dropna()
-    a = r.select("_u", F.col("_i").alias("item_a"), "_x")
-    b = r.select("_u", F.col("_i").alias("item_b"), F.col("_x").alias("_y"))
-    s = a.join(b, "_u").filter(F.col("item_a") < F.col("item_b")).groupBy("item_a", "item_b").agg(
-        F.sum(F.col("_x") * F.col("_y")).alias("sxy"), F.sum(F.col("_x") * F.col("_x")).alias("sxx"),
-        F.sum(F.col("_y") * F.col("_y")).alias("syy"), F.count(F.lit(1)).alias("strength"))
+    r = write_shared(ratings.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(rating).cast("double").alias("_x"))
+                     .dropna(), "ratings")
+    s = pair_sums(r, write_shared(r.groupBy("_u").agg(F.count(F.lit(1)).alias("_d")), "degrees"), GRID)
     den = F.sqrt("sxx") * F.sqrt("syy")
     out = s.select("item_a", "item_b", F.when(den != 0, F.col("sxy") / den).otherwise(F.lit(0.0)).alias("score"),
                    "strength")
@@ -81,23 +77,11 @@ class PrunedPairs:
             F.map_from_entries(F.collect_list(F.struct("_u", "_x"))).alias("_h")), "heavy-ratings")
         self.open = write_shared(self._candidates(), "candidates")
 
-    def _cells(self) -> DataFrame:
-        """The other users' ratings with their part and the grid cells (pairs of parts) that they take part in."""
-        parts = F.ceil(F.col("_d") / GRID).cast("int")
-        part = F.pmod(F.xxhash64("_i"), parts.cast("bigint")).cast("int")
-        cells = F.transform(F.sequence(F.lit(0), parts - 1), lambda t: F.struct(
-            F.least(t, F.col("_p")).alias("a"), F.greatest(t, F.col("_p")).alias("b")))
-        return self.light.withColumn("_p", part).select("_u", "_i", "_x", "_p", F.explode(cells).alias("_c"))
-
     def _candidates(self) -> DataFrame:
-        cells = self._cells()
-        a = cells.select("_u", "_c", F.col("_p").alias("_pa"), F.col("_i").alias("item_a"), "_x")
-        b = cells.select("_u", "_c", F.col("_p").alias("_pb"), F.col("_i").alias("item_b"), F.col("_x").alias("_y"))
-        once = (F.col("_c.a") == F.col("_c.b")) | (F.col("_pa") != F.col("_pb"))  # of a cell of two parts, pairs across
-        sums = a.join(b, ["_u", "_c"]).where((F.col("item_a") < F.col("item_b")) & once).groupBy("item_a", "item_b").agg(
-            F.sum(F.col("_x") * F.col("_y")).alias("sxy"), F.sum(F.col("_x") * F.col("_x")).alias("sxx"),
-            F.sum(F.col("_y") * F.col("_y")).alias("syy"), F.count(F.lit(1)).alias("strength"))
+        sums = pair_sums(self.light, self.degree.where("not _heavy"), GRID)
         h = self.own.select(F.col("_i"), "_h")
+        # no item has more entries than this: most pairs end here, before the joins
+        sums = sums.where(F.col("strength") + F.lit(h.agg(F.max(F.size("_h"))).first()[0] or 0) > self.m)
         sums = (sums.join(h.select(F.col("_i").alias("item_a"), F.col("_h").alias("_ha")), "item_a", "left")
                 .join(h.select(F.col("_i").alias("item_b"), F.col("_h").alias("_hb")), "item_b", "left"))
         most = F.least(F.coalesce(F.size("_ha"), F.lit(0)), F.coalesce(F.size("_hb"), F.lit(0)))

@@ -202,3 +202,47 @@ def test_pruned_pairs_equal_all_pairs(spark, monkeypatch, grid, strength):
     assert report["pairs_formed"] <= report["pairs_of_all"] and report["pairs_strong"] <= report["pairs_open"]
     if strength >= 5:  # the five users' 15,800 pairs are not formed
         assert report["pairs_formed"] < report["pairs_of_all"] // 10
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "string"])
+def test_pairs_in_many_small_blocks(spark, monkeypatch, kind):
+    """Also negative and large ids, users of one part and of many, groups of a few pairs, and blocks that add up."""
+    from sparkwright.operators import pair_sums
+    monkeypatch.setattr(pair_sums, "BLOCK", 40)
+    monkeypatch.setattr(pair_sums, "GROUP", 30)
+    monkeypatch.setattr(similarity, "GRID", 7)
+    big = 2**31 - 50 if kind == "int" else 2**62
+    rows = {(u, (i - 40) * 3 if i < 75 else big + i - 75): x for (u, i), x in {(r[0], r[1]): r[2] for r in _skewed_ratings()}.items()}
+    rows = [(u, f"{i:+021d}" if kind == "string" else i, x) for (u, i), x in rows.items()]
+    df = spark.createDataFrame(rows, f"u string, i {kind}, x double").repartition(3)
+    out = similarity.cosine_pairs(df, "u", "i", "x")
+    assert dict(out.dtypes)["item_a"] == df.schema["i"].dataType.simpleString()
+    assert {(r["item_a"], r["item_b"]): (round(r["score"], 9), r["strength"]) for r in out.collect()} == _brute(rows)
+
+
+def test_pairs_of_repeated_ratings_are_those_of_a_join(spark):
+    df = spark.createDataFrame([(1, 5, 2.0), (1, 5, 3.0), (1, 6, 1.0)], "u int, i int, x double")
+    row, = similarity.cosine_pairs(df, "u", "i", "x").collect()
+    assert (row["item_a"], row["item_b"], row["strength"], round(row["score"], 9)) == (5, 6, 2, round(5 / 26 ** 0.5, 9))
+
+
+def test_pair_sums_travel_packed(spark):
+    """No row of a pair is exchanged, and a packed pair of ratings takes a fraction of its 56 bytes."""
+    import numpy as np
+    import pyarrow as pa
+
+    from sparkwright.operators import pair_sums
+    df = spark.createDataFrame([(1, 5, 2.0), (1, 6, 1.0)], "u long, i long, x double")
+    for out in (similarity.cosine_pairs(df, "u", "i", "x"), similarity.PrunedPairs(df, "u", "i", "x", 0)._candidates()):
+        assert "hashpartitioning(item_a" not in out._jdf.queryExecution().toString()
+    rng = np.random.default_rng(4)
+    n = 40_000
+    user, item = np.divmod(np.unique(rng.integers(0, 1000, n) * 20_000 + rng.integers(0, 20_000, n)), 20_000)
+    none = np.zeros(len(user), dtype=np.int32)
+    block = pa.table({"_u": user, "_i": item, "_x": rng.integers(1, 51, len(user)).astype(float), "_p": none, "_pa": none, "_pb": none})
+    packed = list(pair_sums.block_rows(block, 10))
+    found = [pair_sums.unpack(x) for _, x in packed]
+    pairs = sum(int(n.sum()) for _, _, n, _ in found)
+    assert pairs == sum(int(d) * (int(d) - 1) // 2 for d in np.bincount(user))
+    assert all((a < b).all() for a, b, _, _ in found)
+    assert sum(len(x) for _, x in packed) < 10 * pairs
