@@ -14,14 +14,16 @@ Most sets have no partner, and their number must not matter:
    alone; only the others go on, one copy of each set. Copies are told apart by 128-bit digests.
 2. Short lists. In the order of frequency classes (rare first), two partners share one of their first
    n - T + 1 shingles: these are the lists that are always short. A list with one set ends here.
-3. Stars. Every set is compared with one partner, the smallest key in its short lists. A group of
-   near copies becomes one class in this linear step. Lists whose sets are all in one class are closed.
-4. Search. The other lists join sets into candidate components, each searched by one task. A component with
-   more than ``SLICE`` shingles is cut by length class and hash, and every pair of slices with lengths in
+3. Stars. Every set is compared with one partner, the smallest key in its short lists. The sets that link with one
+   leader are a class, which is searched as a whole. Lists whose sets are all in one class are closed.
+4. Search. The other lists join sets into candidate components, each searched for links between classes. A class or
+   component with more than ``SLICE`` shingles is cut by length class and hash, and every pair of slices with lengths in
    reach of each other becomes a task; so none is dropped, and no task grows with the data.
 
-In a task, sets of one class stand next to each other in the index, so a query starts behind its own
-class: what is connected is never compared again. Links give connected components.
+Every pair of sets that may link meets in exactly one task, and every link is counted there, once for each copy of the
+other set. What leaves a task is a count per set and a spanning forest of its links, which gives connected components,
+so a group of near copies takes no room for its pairs. In a task, lists with few entries are merged by DivideSkip; where they
+have many (near copies of each other), the entries are counted in one array (ScanCount).
 """
 
 from __future__ import annotations
@@ -45,6 +47,8 @@ BLOCK, GROUP, SLICE = 4_000_000, 12_000_000, 250_000
 STAR = 300_000
 #: DivideSkip's trade between merging and probing: L = T / (MU log2(longest list) + 1).
 MU = 0.0085
+#: Entries of a query's lists up to which they are merged; more are counted in an array.
+SCAN = 1_000
 _TOKEN, _KEY = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -228,7 +232,8 @@ class Index:
         self.m = len(sets)
         owner = np.repeat(np.arange(self.m), [len(s) for s in sets])
         self.entry = np.sort(np.concatenate(sets) * self.m + owner)  # by shingle, then document
-        self.place = (self.entry % self.m).tolist()
+        self.where = self.entry % self.m
+        self.place = self.where.tolist()
 
     def search(self, query: np.ndarray, least: int, lo: int, hi: int) -> Iterator[tuple[int, int, np.ndarray]]:
         """DivideSkip: (document, short lists that hold it, shingles of the long lists) for the
@@ -251,72 +256,74 @@ class Index:
         return int((self.entry[at] == shingles * self.m + document).sum())
 
 
-class Union:
-    def __init__(self, labels: list[bytes]):
-        first: dict[bytes, int] = {}
-        self.up = [first.setdefault(x, i) for i, x in enumerate(labels)]
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = x = self.up[self.up[x]]
-        return x
-
-
-def join_sets(left: list[int], right: list[int] | None, tokens: list[np.ndarray], size: np.ndarray,
-              labels: list[bytes], need: Need) -> list[tuple[int, int]]:
-    """Links that make the sets ``left`` and ``right`` (None: ``left`` with itself), given by their numbers, as
-    connected as all their links would; ``labels`` name classes that are connected already.
+    def matches(self, query: np.ndarray, least: int, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """(documents, shingles shared with the query) for the documents lo .. hi - 1 that share at least ``least``."""
+        a = np.searchsorted(self.entry, query * self.m + lo)
+        size = np.searchsorted(self.entry, query * self.m + hi) - a
+        total = int(size.sum())
+        if total > SCAN:
+            at = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(total)
+            n = np.bincount(self.where[at] - lo, minlength=hi - lo)
+            found = np.flatnonzero(n >= least)
+            return found + lo, n[found]
+        found = [(k, n + self.probe(k, rest)) for k, n, rest in self.search(query, least, lo, hi)] if total >= least else []
+        k, n = (np.array([x[c] for x in found], dtype=np.int64) for c in range(2))
+        return k[n >= least], n[n >= least]
+
+
+def join_sets(left: list[int], right: list[int] | None, tokens: list[np.ndarray], size: np.ndarray, labels: list[bytes],
+              copies: np.ndarray, need: Need) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """(links of each set, a spanning forest of them) between the sets ``left`` and ``right`` (None: ``left`` with itself),
+    given by their numbers, whose ``labels`` differ. A link counts once for each of the other set's ``copies``.
+    Sets of one label are connected already; their links are counted elsewhere.
 
     ``tokens`` leave out what no other set has; ``size`` counts it.
     """
     _, of = np.unique(np.concatenate(tokens), return_inverse=True)
     number = np.split(of.astype(np.int64), np.cumsum([len(t) for t in tokens])[:-1])
-    union, links = Union(labels), []
-    count: dict[int, int] = {}
-    for i in left if right is None else right:
-        count[union.find(i)] = count.get(union.find(i), 0) + 1
-    # sets of a class side by side, the largest class first
-    placed = sorted(left if right is None else right, key=lambda i: (-count[union.find(i)], union.find(i), i))
-    begin: dict[int, int] = {}
-    for k, i in enumerate(placed):
-        begin.setdefault(union.find(i), k)
-    end = {c: k + count[c] for c, k in begin.items()}
-    known = {i: union.find(i) for i in {*left, *(right or ())}}  # classes as they are placed
+    _, label = np.unique(np.array([x.hex() for x in labels]), return_inverse=True)
+    root, n_links, forest = label.copy(), np.zeros(len(tokens), dtype=np.int64), []
+    placed = np.array(left if right is None else right)
     index = Index([number[i] for i in placed])
-    for i in (placed if right is None else left):
-        a, b = begin.get(known[i], 0), end.get(known[i], 0)
-        for lo, hi in ([(b, len(placed))] if right is None else [(0, a), (b, len(placed))]):
-            if lo >= hi:
-                continue
-            for k, n, rest in index.search(number[i], int(need.least(size[i])), lo, hi):
-                j = placed[k]
-                if not need.in_reach(size[i], size[j]) or union.find(i) == union.find(j):
-                    continue
-                if n + index.probe(k, rest) >= need.shared(size[i], size[j]):
-                    links.append((i, j))
-                    union.up[max(union.find(i), union.find(j))] = min(union.find(i), union.find(j))
-    return links
+    for at, i in enumerate(left):
+        lo = at + 1 if right is None else 0
+        if lo >= len(placed):
+            continue
+        k, n = index.matches(number[i], int(need.least(size[i])), lo, len(placed))
+        j = placed[k]
+        j = j[(label[j] != label[i]) & need.in_reach(size[i], size[j]) & (n >= need.shared(size[i], size[j]))]
+        n_links[i] += copies[j].sum()
+        n_links[j] += copies[i]
+        for r, first in zip(*np.unique(root[j], return_index=True)):
+            if r != root[i]:
+                forest.append((i, int(j[first])))
+                root[root == r] = root[i]
+    return n_links, forest
 
 
 def _join_node(rows: pa.Table, need: Need) -> pa.Table:
-    """A task: sets of side 0 among themselves, and those of side 1 with those of side 2."""
+    """A task: sets of side 0 among themselves, and those of side 1 with those of side 2. Rows (u, v) of links, and (u, n)
+    of sets with n links."""
     side, key = rows.column("side").to_numpy(), rows.column("key").to_pylist()
     tokens = [np.frombuffer(t, dtype=np.uint64) for t in rows.column("tokens").to_pylist()]
-    size, labels = rows.column("n").to_numpy(), rows.column("label").to_pylist()
-    links = []
+    size, labels, copies = rows.column("n").to_numpy(), rows.column("label").to_pylist(), rows.column("copies").to_numpy()
+    n_links, links = np.zeros(len(key), dtype=np.int64), []
     own, one, two = ([int(i) for i in np.flatnonzero(side == s)] for s in range(3))
-    if len(own) > 1:
-        links += join_sets(own, None, tokens, size, labels, need)
-    if one and two:
-        links += join_sets(one, two, tokens, size, labels, need)
-    return pa.table({"u": pa.array([key[i] for i, _ in links], pa.binary()),
-                     "v": pa.array([key[j] for _, j in links], pa.binary())})
+    for left, right in ((own, None), (one, two)):
+        if len(own) > 1 if right is None else one and two:
+            n, forest = join_sets(left, right, tokens, size, labels, copies, need)
+            n_links += n
+            links += forest
+    some = np.flatnonzero(n_links).tolist()
+    return pa.table({"u": pa.array([key[i] for i, _ in links] + [key[i] for i in some], pa.binary()),
+                     "v": pa.array([key[j] for _, j in links] + [None] * len(some), pa.binary()),
+                     "n": pa.array([None] * len(links) + n_links[some].tolist(), pa.int64())})
 
 
 def _joined(tasks: DataFrame, need: Need, parts: int) -> DataFrame:
-    """Links found by the tasks; dealt over ``parts`` partitions, as their work is more than their bytes say."""
-    return tasks.select("node", "side", "key", "label", "n", "tokens").repartition(parts, "node").groupBy("node").applyInArrow(
-        lambda rows: _join_node(rows, need), "u binary, v binary")
+    """Links and counts found by the tasks; dealt over ``parts`` partitions, as their work is more than their bytes say."""
+    return tasks.select("node", "side", "key", "label", "n", "copies", "tokens").repartition(parts, "node").groupBy("node").applyInArrow(
+        lambda rows: _join_node(rows, need), "u binary, v binary, n long")
 
 
 def _short_lists(batches: Iterator[pa.RecordBatch], need: Need) -> Iterator[pa.RecordBatch]:
@@ -332,7 +339,7 @@ def _short_lists(batches: Iterator[pa.RecordBatch], need: Need) -> Iterator[pa.R
 
 
 def _stars(lists: DataFrame, sets: DataFrame, need: Need) -> DataFrame:
-    """(node, side, key, label, n, tokens): tasks that compare sets with the smallest key of their short lists."""
+    """(node, side, key, label, n, copies, tokens): tasks that compare sets with the smallest key of their short lists."""
     leads = lists.groupBy("token").agg(F.min("key").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = lists.join(leads.drop("n"), "token").groupBy("key").agg(F.min("leader").alias("leader")).where("leader != key")
     pairs = materialise(pairs, "stars")
@@ -346,18 +353,30 @@ def _stars(lists: DataFrame, sets: DataFrame, need: Need) -> DataFrame:
     return members.unionByName(leaders).join(sets, "key").withColumn("label", F.col("key"))
 
 
-def _tasks(open_: DataFrame, sets: DataFrame, need: Need) -> DataFrame:
-    """(node, side, key, label, n, tokens): the search tasks of the sets of the open lists (token, key, label)."""
+def _components(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, group, label, sets' columns): the sets of the open lists (token, key, label) by candidate component."""
     edges = open_.join(open_.groupBy("token").agg(F.min("key").alias("u")), "token").select("u", F.col("key").alias("v"))
     members = connected_components(edges.where("u != v").distinct()).select(F.col("node").alias("key"), F.col("component").alias("group"))
-    labels = open_.select("key", "label").distinct()
-    found = materialise(members.join(labels, "key").join(sets, "key"), "members")
+    return members.join(open_.select("key", "label").distinct(), "key").join(sets, "key")
+
+
+def _classes(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, group, label, sets' columns): the sets that link with one leader (stars: u leader, v set), and the leader unless
+    it links with one itself; each with a label of its own, so that all links are counted."""
+    labels = stars.select(F.col("v").alias("key"), F.col("u").alias("group"))
+    leaders = stars.select(F.col("u").alias("key"), F.col("u").alias("group")).distinct().join(labels.select("key"), "key", "left_anti")
+    of = F.concat(F.lit(b"class "), "group")  # a component may have the name of a class
+    return labels.unionByName(leaders).join(sets, "key").withColumns({"label": F.col("key"), "group": of})
+
+
+def _tasks(found: DataFrame, need: Need) -> DataFrame:
+    """(node, side, key, label, n, copies, tokens): the search tasks of groups of sets."""
     whole = found.groupBy("group").agg(F.sum("held").alias("group_held"))
     # lengths in reach of each other are in one class or in neighbouring ones (the base is a little above 1 / similarity)
     base = 1.01 * 100 / need.percent
     by_length = found.withColumn("span", F.floor(F.log(base, "n")).cast("int")).join(whole, "group")
     small = by_length.where(F.col("group_held") <= SLICE).select(
-        F.xxhash64("group").alias("node"), F.lit(0).alias("side"), "key", "label", "n", "tokens")
+        F.xxhash64("group").alias("node"), F.lit(0).alias("side"), "key", "label", "n", "copies", "tokens")
     large = by_length.where(F.col("group_held") > SLICE)
     spans = large.groupBy("group", "span").agg(F.ceil(F.sum("held") / SLICE).cast("int").alias("parts"))
     beside = spans.select("group", (F.col("span") + 1).alias("span"), F.col("parts").alias("below"))
@@ -376,14 +395,14 @@ def _tasks(open_: DataFrame, sets: DataFrame, need: Need) -> DataFrame:
         F.concat(F.col("span").cast("string"), F.lit("<")), F.col("slice"), t, F.lit(1))))
     down = F.when(F.col("below").isNull(), none).otherwise(F.transform(F.sequence(F.lit(0), F.col("below") - 1), lambda t: pair(
         F.concat((F.col("span") - 1).cast("string"), F.lit("<")), t, F.col("slice"), F.lit(2))))
-    cut = cut.select(F.explode(F.concat(same, up, down)).alias("p"), "key", "label", "n", "tokens")
-    return small.unionByName(cut.select("p.node", "p.side", "key", "label", "n", "tokens"))
+    cut = cut.select(F.explode(F.concat(same, up, down)).alias("p"), "key", "label", "n", "copies", "tokens")
+    return small.unionByName(cut.select("p.node", "p.side", "key", "label", "n", "copies", "tokens"))
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, n_links, component_id) of every document: component_id is the smallest doc_id reachable over links
-    of sets with a Jaccard similarity of at least ``percent`` / 100, itself included; n_links counts the links that the search
-    kept for the document's set (a spanning choice: links inside a class already connected are not looked for).
+    of sets with a Jaccard similarity of at least ``percent`` / 100, itself included; n_links counts all other documents (rows with
+    an id) that it links with, copies too.
 
     A-Z are read as a-z; shingles are ``length`` words, a shorter text is one shingle, a text without words (or null) has none
     and links with nothing. Documents with equal sets are in one component. A row with a null doc_id makes no links; it
@@ -392,28 +411,34 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, id_col:
     """
     need = Need(percent)
     found = materialise(shared_sets(docs, length, need, id_col, text_col), "sets")
+    reps = materialise(found.where("doc_id is not null and key is not null").groupBy("key").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "copies")
     sets = materialise(found.where("tokens is not null").groupBy("key").agg(
         F.first("n").alias("n"), F.first("alone").alias("alone"), F.first("tokens").alias("tokens"))
-        .withColumn("held", F.octet_length("tokens") / 8), "distinct")
+        .withColumn("held", F.octet_length("tokens") / 8).join(reps.drop("rep"), "key"), "distinct")
     lists = sets.select("key", "n", "alone", "tokens").mapInArrow(lambda b: _short_lists(b, need), "token long, key binary")
-    held = sets.select("key", "n", "held", "tokens")
+    held = sets.select("key", "n", "held", "copies", "tokens")
     parts = max(shuffle_partitions(docs.sparkSession), int(held.agg(F.sum("held")).first()[0] or 0) // STAR)
     lists = materialise(lists, "lists")
-    stars = materialise(_joined(_stars(lists, held, need), need, parts), "star-links")  # one link of a set at most, v to its leader u
+    stars = materialise(_joined(_stars(lists, held, need), need, parts).where("v is not null").select("u", "v"), "star-links")  # one link of a set at most, v to its leader u
     labelled = lists.join(stars.select(F.col("v").alias("key"), F.col("u").alias("leader")), "key", "left").select(
         "token", "key", F.coalesce("leader", "key").alias("label"))
     mixed = labelled.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("token")
     open_ = materialise(labelled.join(mixed, "token", "left_semi"), "open")
-    links = materialise(stars.unionByName(_joined(_tasks(open_, held, need), need, parts)), "links")
+    # two sets of one class meet in the class, two of different classes in the component of an open list
+    work = [materialise(x, "groups") for x in (_classes(stars, held), _components(open_, held))]
+    search = materialise(_joined(_tasks(work[0], need).unionByName(_tasks(work[1], need)), need, parts), "links")
+    links = stars.unionByName(search.where("v is not null").select("u", "v"))
 
     classes = connected_components(links)
-    reps = found.where("doc_id is not null and key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
     linked = reps.join(classes, reps.key == classes.node).select("key", "component", "rep")
     least = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
-    ends = links.select(F.explode(F.array("u", "v")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
-    named = (reps.join(linked.join(least, "component").select("key", "component_id"), "key", "left").join(ends, "key", "left")
-             .select("key", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    n_links = search.where("v is null").groupBy(F.col("u").alias("key")).agg(F.sum("n").alias("n_links"))
+    named = (reps.join(linked.join(least, "component").select("key", "component_id"), "key", "left").join(n_links, "key", "left")
+             .select("key", F.coalesce("component_id", "rep").alias("component_id"),
+                     (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    counted = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.col("n_links"))
     full = found.where("key is not null").join(named, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce(counted, F.lit(0)).cast("long").alias("n_links"), "component_id")
     return full.unionByName(found.where("key is null").select(
         "doc_id", F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id")))

@@ -171,3 +171,18 @@ def test_sets_are_distinct_shingles():
     assert s.size.tolist() == [len(shingles(t)) for t in texts]
     keys = s.keys()
     assert keys[0] is None and len(set(keys)) == len(texts)
+
+
+@pytest.mark.parametrize("scan, limits, length, percent", [(0, (1_000_000, 300_000), 5, 80), (1_000, (300, 150), 2, 60), (10**9, (300, 150), 5, 80)])
+def test_every_link_is_counted(spark, monkeypatch, hard, scan, limits, length, percent):
+    """Links inside connected groups too, those of copies once each; by merging, by counting, and cut into slices."""
+    for name, v in zip(("SLICE", "STAR", "SCAN"), (*limits, scan)):
+        monkeypatch.setattr(jaccard, name, v)
+    rows = hard + [(1000 + k, hard[k % 7][1]) for k in range(20)] + [hard[3], (None, hard[5][1]), (5000, ""), (5001, None)]
+    sets = [shingles(t, length) for _, t in rows]
+    want = Counter()
+    for (i, _), s in zip(rows, sets):
+        n = sum(1 for (j, _), o in zip(rows, sets) if s and o and j is not None and 100 * len(s & o) >= percent * len(s | o))
+        want[i, n - 1 if i is not None and s else 0] += 1
+    out = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), length, percent)
+    assert Counter((r.doc_id, r.n_links) for r in out.collect()) == want
