@@ -13,6 +13,8 @@ over several blocks.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,8 @@ def cosine_pairs(ratings: DataFrame, user: str, item: str, rating: str,
     """
     r = write_shared(ratings.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(rating).cast("double").alias("_x"))
                      .dropna(), "ratings")
-    s = pair_sums(r, write_shared(r.groupBy("_u").agg(F.count(F.lit(1)).alias("_d")), "degrees"), GRID)
+    rated = write_shared(r.join(r.groupBy("_u").agg(F.count(F.lit(1)).alias("_d")), "_u"), "rated")
+    s = pair_sums(rated, GRID, 1 if min_strength is None else max(1, math.floor(min_strength) + 1))
     den = F.sqrt("sxx") * F.sqrt("syy")
     out = s.select("item_a", "item_b", F.when(den != 0, F.col("sxy") / den).otherwise(F.lit(0.0)).alias("score"),
                    "strength")
@@ -64,24 +67,25 @@ class PrunedPairs:
         self.m = m = min_strength
         r = write_shared(ratings.select(F.col(user).alias("_u"), F.col(item).alias("_i"),
                                         F.col(rating).cast("double").alias("_x")).dropna(), "ratings")
-        enough = r.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > m).select("_i")
-        self.all, self.left = r, write_shared(r.join(enough, "_i", "left_semi"), "enough")
-        degree = self.left.groupBy("_u").agg(F.count(F.lit(1)).alias("_d"))
+        # written, so the planner knows its size before it would exchange the ratings
+        enough = write_shared(r.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > m).select("_i"), "enough")
+        left = r.join(enough, "_i", "left_semi")
+        degree = left.groupBy("_u").agg(F.count(F.lit(1)).alias("_d"))
         heavy = degree.orderBy(F.col("_d").desc(), "_u").limit(m)
         self.degree = write_shared(degree.join(heavy.select("_u", F.lit(True).alias("_heavy")), "_u", "left")
                                    .withColumn("_heavy", F.coalesce("_heavy", F.lit(False))), "degrees")
-        both = self.left.join(self.degree, "_u")
-        self.light = both.where("not _heavy and _d > 1")
+        self.all, self.left = r, write_shared(left.join(self.degree, "_u"), "rated")
+        self.light = self.left.where("not _heavy and _d > 1")
         # at most m entries of an item
-        self.own = write_shared(both.where("_heavy").groupBy("_i").agg(
+        self.own = write_shared(self.left.where("_heavy").groupBy("_i").agg(
             F.map_from_entries(F.collect_list(F.struct("_u", "_x"))).alias("_h")), "heavy-ratings")
         self.open = write_shared(self._candidates(), "candidates")
 
     def _candidates(self) -> DataFrame:
-        sums = pair_sums(self.light, self.degree.where("not _heavy"), GRID)
         h = self.own.select(F.col("_i"), "_h")
-        # no item has more entries than this: most pairs end here, before the joins
-        sums = sums.where(F.col("strength") + F.lit(h.agg(F.max(F.size("_h"))).first()[0] or 0) > self.m)
+        # no item has more entries than this: most pairs end before their sums are made
+        most = h.agg(F.max(F.size("_h"))).first()[0] or 0
+        sums = pair_sums(self.light, GRID, max(1, self.m + 1 - most))
         sums = (sums.join(h.select(F.col("_i").alias("item_a"), F.col("_h").alias("_ha")), "item_a", "left")
                 .join(h.select(F.col("_i").alias("item_b"), F.col("_h").alias("_hb")), "item_b", "left"))
         most = F.least(F.coalesce(F.size("_ha"), F.lit(0)), F.coalesce(F.size("_hb"), F.lit(0)))

@@ -246,3 +246,54 @@ def test_pair_sums_travel_packed(spark):
     assert pairs == sum(int(d) * (int(d) - 1) // 2 for d in np.bincount(user))
     assert all((a < b).all() for a, b, _, _ in found)
     assert sum(len(x) for _, x in packed) < 10 * pairs
+
+
+def _packed_by_group(tables, groups):
+    import pyarrow as pa
+
+    from sparkwright.operators import pair_sums
+    sent = defaultdict(list)
+    for t in tables:
+        for g, p in pair_sums.block_rows(t, groups):
+            sent[g].append(p)
+    return {g: pa.table({"packed": pa.array(p, pa.binary())}) for g, p in sent.items()}
+
+
+def test_groups_sum_only_common_pairs_of_items_dealt_over_groups(monkeypatch):
+    """Blocks of users that agree and that do not meet in the groups; an item of all users lies in several groups; rows of
+    pairs that are not common enough end at their count."""
+    import numpy as np
+    import pyarrow as pa
+
+    from sparkwright.operators import pair_sums
+    rng = np.random.default_rng(8)
+    rows = {(u, int(i)): float(rng.integers(1, 9)) for u in range(300) for i in [0, *rng.integers(1, 120, 5)]}
+    rows |= {(u, i): float(u % 7 + i) for u in range(300, 330) for i in range(8)}
+    tables = []
+    for users in (range(150), range(150, 300), range(300, 330)):
+        own = [(u, i, x) for (u, i), x in rows.items() if u in users]
+        user, item, x = (np.array(c) for c in zip(*own))
+        none = np.zeros(len(own), dtype=np.int32)
+        tables.append(pa.table({"_u": user, "_i": item, "_x": x, "_s": np.where(item == 0, 6, 1).astype(np.int32), "_p": none, "_pa": none, "_pb": none}))
+    want = _brute([(u, i, x) for (u, i), x in rows.items()])
+    added, summed = pair_sums.added, []
+    monkeypatch.setattr(pair_sums, "added", lambda key, n, numbers: (summed.append(len(key)), added(key, n, numbers))[1])
+    for some in (tables, tables[:2]):
+        sent = _packed_by_group(some, 12)
+        kept = want if some is tables else _brute([(u, i, x) for (u, i), x in rows.items() if u < 300])
+        for least in (1, 9, 10_000):
+            summed.clear()
+            got, groups_of_0 = {}, set()
+            for g, packed in sent.items():
+                for r in pair_sums.group_sums(packed, least).to_pylist():
+                    pair = (r["item_a"], r["item_b"])
+                    assert pair not in got
+                    got[pair] = (round(r["sxy"] / (math.sqrt(r["sxx"]) * math.sqrt(r["syy"])), 9), r["strength"])
+                    if pair[0] == 0:
+                        groups_of_0.add(g)
+            assert got == {k: v for k, v in kept.items() if v[1] >= least}
+            assert least > 9 or len(groups_of_0) > 3
+            if some is not tables and least == 9:  # in the first blocks few pairs but those of item 0 are common
+                assert sum(summed) < sum(v[1] for v in kept.values()) / 2
+            if some is not tables and least == 10_000:
+                assert not summed
