@@ -21,6 +21,9 @@ HASH_BITS = 52
 _RADIX = 12       # bits settled by one counting pass of ``sample_exact``
 _FEW = 10_000     # rows of the last bucket that are ordered on the driver
 
+#: Fewest blocks of users and of items that ALS deals ratings into, and the ratings of a block beyond them.
+ALS_BLOCKS, ALS_BLOCK = 10, 8_000_000
+
 
 def key_hash(key: str, seed: int):
     """52 bits of the MD5 of "key:seed" as a long: the same in any engine (a null key: empty)."""
@@ -196,10 +199,14 @@ def fit_glm_binomial(train: DataFrame, label: str, features: str = "features", m
 def recommend(ratings: DataFrame, user: str, item: str, rating: str, users: DataFrame, k: int = 10,
               rank: int = 8, iters: int = 20, reg: float = 0.01, seed: int = 42) -> DataFrame:
     """Top-k items per requested user from explicit-rating ALS (M1); items the
-    user already rated are not excluded."""
+    user already rated are not excluded. A task holds the ratings of one block, so blocks grow in number with the ratings;
+    they lie on disk between the iterations, and every second one drops the exchanged factors of those before."""
     from pyspark.ml.recommendation import ALS
-    model = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=iters, regParam=reg,
-                seed=seed, coldStartStrategy="drop").fit(ratings)
+    ratings = write_shared(ratings.select(user, item, rating), "ratings")
+    blocks = max(ALS_BLOCKS, -(-ratings.count() // ALS_BLOCK))
+    model = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=iters, regParam=reg, seed=seed,
+                coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=2,
+                intermediateStorageLevel="DISK_ONLY").fit(ratings)
     recs = model.recommendForUserSubset(users, k)
     return recs.select(user, F.posexplode("recommendations").alias("pos", "r")) \
         .select(user, (F.col("pos") + 1).alias("rank"), F.col(f"r.{item}").alias(item),

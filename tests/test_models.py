@@ -63,6 +63,21 @@ def test_recommend_returns_k_ranked_items(spark):
     assert all(recs[i]["score"] >= recs[i + 1]["score"] for i in range(4))
 
 
+def test_recommend_deals_many_ratings_into_more_blocks(spark, monkeypatch):
+    from pyspark.ml import recommendation
+    fits, fit = [], recommendation.ALS.fit
+    monkeypatch.setattr(recommendation.ALS, "fit", lambda als, ratings: (
+        fits.append((als.getNumUserBlocks(), als.getNumItemBlocks(), als.getIntermediateStorageLevel())), fit(als, ratings))[1])
+    likes = {(u, i): 5.0 if (u + i) % 2 else 1.0 for u in range(24) for i in range(16) if (3 * u + i) % 5}
+    df = spark.createDataFrame([(u, i, x) for (u, i), x in likes.items()], "user int, item int, rating double")
+    users = df.where("user = 3").select("user").distinct()
+    for most, blocks in ((models.ALS_BLOCK, 10), (20, -(-len(likes) // 20))):
+        monkeypatch.setattr(models, "ALS_BLOCK", most)
+        recs = models.recommend(df, "user", "item", "rating", users, k=8, rank=2, iters=10).collect()
+        assert fits.pop() == (blocks, blocks, "DISK_ONLY")
+        assert sorted(r["item"] for r in recs) == list(range(0, 16, 2)) and all(abs(r["score"] - 5) < 0.5 for r in recs)
+
+
 def test_gram_stats_leave_out_rows_with_nulls(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, None), (None, 5.0)], "x double, y double")
     g, b, yy, n = models.gram_stats(df, "y", ["x"])
